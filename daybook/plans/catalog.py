@@ -13,10 +13,14 @@ from pyspark.sql import functions as F
 
 from daybook.operators import quality as Q
 from daybook.operators import scd2 as S
+from daybook.operators import checks as CH
 from daybook.operators import clean as C
+from daybook.operators import facts as FA
+from daybook.operators.upsert import gate, not_yet_loaded
 from daybook.plans import oracle as O
 from daybook.plans.model import Warehouse
 from daybook.sources import fixtures as FX
+from daybook.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -188,3 +192,103 @@ def q_fact_products(w: Warehouse) -> DataFrame:
 @query("fact_comments", O.FACT_COMMENTS)
 def q_fact_comments(w: Warehouse) -> DataFrame:
     return w.fact_comments
+
+
+# --------------------------------------------------- incremental (one batch)
+
+def _prior_and_last(w: Warehouse):
+    return w.before_last_batch(w.stg_products)
+
+
+@query("incremental_gate", O.INCREMENTAL_GATE)
+def q_incremental_gate(w: Warehouse) -> DataFrame:
+    prior, _ = _prior_and_last(w)
+    target = S.scd2_history(prior, S.PRODUCTS)
+    return gate(w.stg_products, target, "load_date", "effective_date", inclusive=True)
+
+
+@query("new_rows_anti_join", O.NEW_ROWS_ANTI_JOIN)
+def q_new_rows_anti_join(w: Warehouse) -> DataFrame:
+    prior, _ = _prior_and_last(w)
+    target = S.scd2_history(prior, S.PRODUCTS)
+    b = gate(w.stg_products, target, "load_date", "effective_date", inclusive=True)
+    return not_yet_loaded(b, target, "product_id", "load_date", "effective_date")
+
+
+@query("keyed_upsert", O.DIM_PRODUCTS)
+def q_keyed_upsert(w: Warehouse) -> DataFrame:
+    """History of all batches but the newest, then the newest merged in as a
+    daily increment: must equal the one-job history of all batches."""
+    prior, last = _prior_and_last(w)
+    return S.scd2_apply(S.scd2_history(prior, S.PRODUCTS), last, S.PRODUCTS, S.AS_WRITTEN)
+
+
+@query("scd2_apply_strict", O.DIM_PRODUCTS_STRICT)
+def q_scd2_apply_strict(w: Warehouse) -> DataFrame:
+    prior, last = _prior_and_last(w)
+    return S.scd2_apply(S.scd2_history(prior, S.PRODUCTS, S.STRICT), last, S.PRODUCTS, S.STRICT)
+
+
+# -------------------------------------------------------------------- as-of
+
+@query("asof_dim_join", O.ASOF_DIM_JOIN)
+def q_asof_dim_join(w: Warehouse) -> DataFrame:
+    """Each line item with the product version valid on its ship date."""
+    li = table(w.spark, w.sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.to_date("l_shipdate").alias("ship_date"))
+    dim = w.dim_products(S.STRICT).select(
+        F.col("product_id").cast("bigint").alias("pk"), "effective_date", "end_date",
+        "product_inventory_status")
+    j = FA.asof_join(li, dim, "l_partkey", "pk", "ship_date")
+    return j.select("f.l_orderkey", "f.l_linenumber", "f.l_partkey", "f.ship_date",
+                    "d.effective_date", "d.end_date", "d.product_inventory_status")
+
+
+# --------------------------------------------------------------- data tests
+
+@query("check_not_null", O.CHECK_NOT_NULL)
+def q_check_not_null(w: Warehouse) -> DataFrame:
+    return CH.union_all([
+        CH.check_not_null(w.stg_products, "stg_products", ["product_id", "product_name", "load_date"]),
+        CH.check_not_null(w.stg_comments, "stg_comments", ["comment_id", "product_id", "load_date"]),
+        CH.check_not_null(w.dim_products(), "dim_products",
+                          ["product_id", "effective_date", "is_active", "product_name"]),
+        CH.check_not_null(w.dim_comments(history=False), "dim_comments",
+                          ["comment_id", "product_id", "comment_content", "comment_rating"]),
+        CH.check_not_null(w.fact_comments, "fact_comments", ["comment_id"]),
+    ])
+
+
+@query("check_relationships", O.CHECK_RELATIONSHIPS)
+def q_check_relationships(w: Warehouse) -> DataFrame:
+    return CH.union_all([
+        CH.check_relationship(w.stg_comments, w.stg_products, "stg_comments", "product_id", "product_id"),
+        CH.check_relationship(w.dim_comments(history=False), w.dim_products(), "dim_comments",
+                              "product_id", "product_id"),
+    ])
+
+
+@query("check_unique", O.CHECK_UNIQUE)
+def q_check_unique(w: Warehouse) -> DataFrame:
+    return CH.union_all([
+        CH.check_unique(w.stg_products, "stg_products", ["product_id", "load_date"]),
+        CH.check_unique(w.stg_comments, "stg_comments", ["comment_id", "load_date"]),
+        CH.check_unique(w.dim_products(), "dim_products", ["product_id", "effective_date"]),
+        CH.check_unique(w.dim_comments(history=False), "dim_comments", ["comment_id", "effective_date"]),
+        CH.check_unique(w.fact_products, "fact_products", ["product_id", "snapshot_date"]),
+        CH.check_unique(w.fact_comments, "fact_comments", ["comment_id", "snapshot_date"]),
+    ])
+
+
+@query("check_scd2_invariants", O.CHECK_SCD2_INVARIANTS)
+def q_check_scd2_invariants(w: Warehouse) -> DataFrame:
+    return CH.union_all([
+        CH.check_one_active(w.dim_products(), "dim_products", "product_id"),
+        CH.check_one_active(w.dim_products(S.STRICT), "dim_products_strict", "product_id"),
+        CH.check_one_active(w.dim_comments(S.STRICT), "dim_comments_strict", "comment_id"),
+        CH.check_validity(w.dim_products(), "dim_products"),
+        CH.check_validity(w.dim_products(S.STRICT), "dim_products_strict"),
+        CH.check_validity(w.dim_comments(), "dim_comments"),
+        CH.check_accepted(w.stg_comments, "stg_comments", "sentiment",
+                          ["positive", "neutral", "negative", "unknown"]),
+    ])

@@ -186,3 +186,100 @@ SELECT DISTINCT c.comment_id, c.product_id, c.comment_rating, c.days_to_review,
   CAST(c.created_at AS DATE) AS comment_date, c.load_date AS snapshot_date
 FROM ({STG_COMMENTS}) c
 JOIN ({DIM_PRODUCTS}) p ON c.product_id = p.product_id AND p.is_active AND p.end_date IS NULL"""
+
+
+def _split_last(stg: str) -> tuple[str, str]:
+    last = f"(SELECT max(load_date) FROM ({stg}) m)"
+    return (f"SELECT * FROM ({stg}) a WHERE load_date < {last}",
+            f"SELECT * FROM ({stg}) b WHERE load_date = {last}")
+
+
+STG_PRODUCTS_PRIOR, STG_PRODUCTS_LAST = _split_last(STG_PRODUCTS)
+
+INCREMENTAL_GATE = f"""
+SELECT * FROM ({STG_PRODUCTS}) s
+WHERE load_date >= (SELECT coalesce(max(load_date), DATE '1900-01-01') FROM ({STG_PRODUCTS_PRIOR}) t)"""
+
+NEW_ROWS_ANTI_JOIN = f"""
+SELECT * FROM ({INCREMENTAL_GATE}) s
+WHERE NOT EXISTS (SELECT 1 FROM ({STG_PRODUCTS_PRIOR}) t
+                  WHERE t.product_id = s.product_id AND t.load_date = s.load_date)"""
+
+ASOF_DIM_JOIN = f"""
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, CAST(l.l_shipdate AS DATE) AS ship_date,
+  d.effective_date, d.end_date, d.product_inventory_status
+FROM lineitem l
+JOIN ({DIM_PRODUCTS_STRICT}) d
+  ON CAST(d.product_id AS BIGINT) = l.l_partkey
+ AND CAST(l.l_shipdate AS DATE) >= d.effective_date
+ AND (d.end_date IS NULL OR CAST(l.l_shipdate AS DATE) < d.end_date)"""
+
+# Comment dimension of the daily pipeline (from staged reviews, not history).
+DIM_COMMENTS_STG = scd2_as_written(STG_COMMENTS, C_KEY, C_COLS, C_TRACKED, ["created_at"])
+
+
+def _nn(table: str, src: str, cols: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT 'not_null' AS test, '{table}' AS table_name, '{c}' AS column_name, "
+        f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS failures FROM ({src}) x"
+        for c in cols)
+
+
+CHECK_NOT_NULL = " UNION ALL ".join([
+    _nn("stg_products", STG_PRODUCTS, ["product_id", "product_name", "load_date"]),
+    _nn("stg_comments", STG_COMMENTS, ["comment_id", "product_id", "load_date"]),
+    _nn("dim_products", DIM_PRODUCTS, ["product_id", "effective_date", "is_active", "product_name"]),
+    _nn("dim_comments", DIM_COMMENTS_STG, ["comment_id", "product_id", "comment_content", "comment_rating"]),
+    _nn("fact_comments", FACT_COMMENTS, ["comment_id"]),
+])
+
+
+def _rel(table: str, child: str, parent: str, key: str) -> str:
+    return (f"SELECT 'relationships' AS test, '{table}' AS table_name, '{key}' AS column_name, "
+            f"CAST(count(*) AS BIGINT) AS failures FROM ({child}) c WHERE c.{key} IS NOT NULL "
+            f"AND NOT EXISTS (SELECT 1 FROM ({parent}) p WHERE p.{key} = c.{key})")
+
+
+CHECK_RELATIONSHIPS = (_rel("stg_comments", STG_COMMENTS, STG_PRODUCTS, "product_id") + " UNION ALL " +
+                       _rel("dim_comments", DIM_COMMENTS_STG, DIM_PRODUCTS, "product_id"))
+
+
+def _uniq(table: str, src: str, keys: list[str]) -> str:
+    k = ", ".join(keys)
+    return (f"SELECT 'unique' AS test, '{table}' AS table_name, '{','.join(keys)}' AS column_name, "
+            f"CAST(count(*) AS BIGINT) AS failures FROM (SELECT {k} FROM ({src}) s GROUP BY {k} HAVING count(*) > 1) d")
+
+
+CHECK_UNIQUE = " UNION ALL ".join([
+    _uniq("stg_products", STG_PRODUCTS, ["product_id", "load_date"]),
+    _uniq("stg_comments", STG_COMMENTS, ["comment_id", "load_date"]),
+    _uniq("dim_products", DIM_PRODUCTS, ["product_id", "effective_date"]),
+    _uniq("dim_comments", DIM_COMMENTS_STG, ["comment_id", "effective_date"]),
+    _uniq("fact_products", FACT_PRODUCTS, ["product_id", "snapshot_date"]),
+    _uniq("fact_comments", FACT_COMMENTS, ["comment_id", "snapshot_date"]),
+])
+
+
+def _one_active(table: str, src: str, key: str) -> str:
+    return (f"SELECT 'one_active' AS test, '{table}' AS table_name, '{key}' AS column_name, "
+            f"CAST(count(*) AS BIGINT) AS failures FROM (SELECT {key} FROM ({src}) s WHERE is_active "
+            f"GROUP BY {key} HAVING count(*) > 1) d")
+
+
+def _validity(table: str, src: str) -> str:
+    return (f"SELECT 'validity' AS test, '{table}' AS table_name, 'end_date' AS column_name, "
+            f"CAST(count(*) FILTER (WHERE (end_date IS NOT NULL AND end_date <= effective_date) "
+            f"OR (is_active != (end_date IS NULL))) AS BIGINT) AS failures FROM ({src}) s")
+
+
+CHECK_SCD2_INVARIANTS = " UNION ALL ".join([
+    _one_active("dim_products", DIM_PRODUCTS, "product_id"),
+    _one_active("dim_products_strict", DIM_PRODUCTS_STRICT, "product_id"),
+    _one_active("dim_comments_strict", DIM_COMMENTS_STRICT, "comment_id"),
+    _validity("dim_products", DIM_PRODUCTS),
+    _validity("dim_products_strict", DIM_PRODUCTS_STRICT),
+    _validity("dim_comments", DIM_COMMENTS),
+    "SELECT 'accepted_values' AS test, 'stg_comments' AS table_name, 'sentiment' AS column_name, "
+    "CAST(count(*) FILTER (WHERE sentiment IS NOT NULL AND sentiment NOT IN "
+    "('positive', 'neutral', 'negative', 'unknown')) AS BIGINT) AS failures FROM (" + STG_COMMENTS + ") s",
+])
