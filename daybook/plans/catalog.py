@@ -17,7 +17,14 @@ from daybook.operators import checks as CH
 from daybook.operators import clean as C
 from daybook.operators import facts as FA
 from daybook.operators.upsert import gate, not_yet_loaded
+from daybook.functions import expressions as X
+from daybook.operators import topk as TK
 from daybook.plans import oracle as O
+from daybook.session import scratch_path
+from daybook.sinks import tables as SK
+from daybook.sources import contracts as K
+from daybook.sources import documents as DOC
+from daybook.sources import readers as RD
 from daybook.plans.model import Warehouse
 from daybook.sources import fixtures as FX
 from daybook.sources.tables import table
@@ -292,3 +299,75 @@ def q_check_scd2_invariants(w: Warehouse) -> DataFrame:
         CH.check_accepted(w.stg_comments, "stg_comments", "sentiment",
                           ["positive", "neutral", "negative", "unknown"]),
     ])
+
+
+# ------------------------------------------------------------------- ingest
+
+@query("json_flatten_products", O.JSON_FLATTEN_PRODUCTS)
+def q_json_flatten_products(w: Warehouse) -> DataFrame:
+    return DOC.flatten_products(DOC.product_docs(w.raw_products))
+
+
+@query("json_flatten_comments", O.JSON_FLATTEN_COMMENTS)
+def q_json_flatten_comments(w: Warehouse) -> DataFrame:
+    return DOC.flatten_reviews(DOC.review_pages(w.raw_comments))
+
+
+def _listing(w: Warehouse) -> DataFrame:
+    docs = DOC.listing_docs(table(w.spark, w.sf_dir, "part"))
+    return DOC.explode_listing(docs, keep=["category", "page"])
+
+
+@query("json_explode_listing", O.JSON_EXPLODE_LISTING)
+def q_json_explode_listing(w: Warehouse) -> DataFrame:
+    return _listing(w).select("category", "position", "product_id")
+
+
+@query("first_n_ids", O.FIRST_N_IDS)
+def q_first_n_ids(w: Warehouse) -> DataFrame:
+    """The first 100 listed ids in listing order (the prefix is the feature:
+    a crawl budget). Runs as a per-task top-N merged once."""
+    return (_listing(w).orderBy("category", "page", "position").limit(100)
+                       .select("category", "position", "product_id"))
+
+
+@query("link_last_segment", O.LINK_LAST_SEGMENT)
+def q_link_last_segment(w: Warehouse) -> DataFrame:
+    p = table(w.spark, w.sf_dir, "pages")
+    return p.select("page_id", "url", X.last_segment("url", "/").alias("segment"))
+
+
+@query("menu_category_ids", O.MENU_CATEGORY_IDS)
+def q_menu_category_ids(w: Warehouse) -> DataFrame:
+    return DOC.menu_categories(DOC.menu_docs(table(w.spark, w.sf_dir, "pages").select("page_id", "url")))
+
+
+@query("csv_to_parquet_landing", O.CSV_TO_PARQUET_LANDING)
+def q_csv_to_parquet_landing(w: Warehouse) -> DataFrame:
+    """Conversation text (with newlines, quotes, edge spaces) -> CSV ->
+    multiLine CSV read -> Parquet landing folder named by run stamp -> read."""
+    conv = table(w.spark, w.sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    root = scratch_path(w.spark, "landing")
+    SK.write_csv(conv, f"{root}/csv/conversations")
+    back = SK.read_csv(w.spark, f"{root}/csv/conversations", conv.schema)
+    path = SK.write_landing(back, root, "conversations", "20240130_000000")
+    return w.spark.read.parquet(path)
+
+
+@query("topk_comments_per_product", O.TOPK_COMMENTS_PER_PRODUCT)
+def q_topk_comments_per_product(w: Warehouse) -> DataFrame:
+    raw = FX.raw_comments(w.spark, w.sf_dir, with_score=True).where(F.col("product_id").isNotNull())
+    return TK.top_k_per_group(raw, ["product_id"], [F.desc("score"), F.desc("id")], 5, "rank") \
+             .select("product_id", "id", "score", "rank")
+
+
+@query("type_drift_read", O.TYPE_DRIFT_READ)
+def q_type_drift_read(w: Warehouse) -> DataFrame:
+    """Two landed runs whose quantity column differs in type (long, then
+    double) read each with its own schema and conformed to one contract."""
+    raw = w.raw_products
+    root = scratch_path(w.spark, "drift")
+    early = SK.write_landing(raw.where(F.col("date") < "1999"), root, "products", "a")
+    late = SK.write_landing(raw.where(F.col("date") >= "1999").withColumn(
+        "all_time_quantity_sold", F.col("all_time_quantity_sold").cast("double")), root, "products", "b")
+    return RD.read_landed(w.spark, [early, late], K.RAW_PRODUCTS)

@@ -283,3 +283,50 @@ CHECK_SCD2_INVARIANTS = " UNION ALL ".join([
     "CAST(count(*) FILTER (WHERE sentiment IS NOT NULL AND sentiment NOT IN "
     "('positive', 'neutral', 'negative', 'unknown')) AS BIGINT) AS failures FROM (" + STG_COMMENTS + ") s",
 ])
+
+# ------------------------------------------------------------------ ingest
+
+JSON_FLATTEN_PRODUCTS = f"""
+SELECT id, name, short_description, price, list_price, discount, discount_rate,
+  all_time_quantity_sold, inventory_status,
+  CASE WHEN id % 37 = 0 THEN NULL ELSE stock_item_qty END AS stock_item_qty,
+  CASE WHEN id % 37 = 0 THEN NULL ELSE stock_item_max_sale_qty END AS stock_item_max_sale_qty,
+  date
+FROM ({FX_PRODUCTS}) f"""
+
+RAW_COMMENT_COLUMNS = "id, product_id, title, content, rating, created_at, purchased_at, date"
+
+JSON_FLATTEN_COMMENTS = f"SELECT {RAW_COMMENT_COLUMNS} FROM ({FX_COMMENTS}) f"
+
+LISTING_ENTRIES = """
+SELECT p_brand AS category, CAST(floor(p_partkey / 1000) AS BIGINT) AS page,
+  CAST(row_number() OVER (PARTITION BY p_brand, floor(p_partkey / 1000) ORDER BY p_partkey) - 1 AS INTEGER) AS position,
+  CASE WHEN p_size > 45 THEN NULL ELSE p_partkey END AS product_id
+FROM part"""
+
+JSON_EXPLODE_LISTING = f"""
+SELECT category, position, product_id FROM ({LISTING_ENTRIES}) e WHERE product_id IS NOT NULL"""
+
+FIRST_N_IDS = f"""
+SELECT category, position, product_id FROM ({LISTING_ENTRIES}) e WHERE product_id IS NOT NULL
+ORDER BY category, page, position LIMIT 100"""
+
+LINK_LAST_SEGMENT = "SELECT page_id, url, string_split(url, '/')[-1] AS segment FROM pages"
+
+MENU_CATEGORY_IDS = """
+SELECT link, string_split(link, '/c')[-1] AS category_id
+FROM (SELECT url || '/c' || CAST(page_id AS VARCHAR) AS link FROM pages) m"""
+
+CSV_TO_PARQUET_LANDING = "SELECT conv_id, turn, role, text FROM conversations"
+
+TOPK_COMMENTS_PER_PRODUCT = f"""
+SELECT product_id, id, score, rank FROM (
+  SELECT product_id, id, score,
+    CAST(row_number() OVER (PARTITION BY product_id ORDER BY score DESC, id DESC) AS INTEGER) AS rank
+  FROM ({FX_COMMENTS}) f WHERE product_id IS NOT NULL) r
+WHERE rank <= 5"""
+
+TYPE_DRIFT_READ = f"""
+SELECT id, name, short_description, price, list_price, discount, discount_rate,
+  all_time_quantity_sold, inventory_status, stock_item_qty, stock_item_max_sale_qty, date
+FROM ({FX_PRODUCTS}) f"""
