@@ -112,7 +112,7 @@ def comments_report(df: DataFrame) -> DataFrame:
     return scalars.unionByName(rating).unionByName(sent)
 
 
-def observed_metrics(df: DataFrame, name: str = "quality") -> DataFrame:
+def observed_metrics(df: DataFrame, observation) -> DataFrame:
     """Attach the scalar review/product counters to a write with ``observe``:
     they are computed by the write itself, with no extra pass over the data."""
     cols = [F.count(F.lit(1)).alias("rows")]
@@ -123,4 +123,4 @@ def observed_metrics(df: DataFrame, name: str = "quality") -> DataFrame:
         cols += [F.count_if(F.col("price") < 0).alias("negative_price")]
     if "all_time_quantity_sold" in df.columns:
         cols += [F.count_if(F.col("all_time_quantity_sold") < 0).alias("negative_quantity")]
-    return df.observe(name, *cols)
+    return df.observe(observation, *cols)

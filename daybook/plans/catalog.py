@@ -20,6 +20,7 @@ from daybook.operators.upsert import gate, not_yet_loaded
 from daybook.functions import expressions as X
 from daybook.operators import topk as TK
 from daybook.plans import oracle as O
+from daybook.plans import pipeline as PL
 from daybook.session import scratch_path
 from daybook.sinks import tables as SK
 from daybook.sources import contracts as K
@@ -371,3 +372,29 @@ def q_type_drift_read(w: Warehouse) -> DataFrame:
     late = SK.write_landing(raw.where(F.col("date") >= "1999").withColumn(
         "all_time_quantity_sold", F.col("all_time_quantity_sold").cast("double")), root, "products", "b")
     return RD.read_landed(w.spark, [early, late], K.RAW_PRODUCTS)
+
+
+# ----------------------------------------------------- layout and pipeline
+
+@query("partitioned_overwrite_roundtrip", O.FACT_PRODUCTS)
+def q_partitioned_overwrite_roundtrip(w: Warehouse) -> DataFrame:
+    """Write the fact partitioned by snapshot date (clustered by product)
+    with a stale newest partition, then re-run only that partition with
+    dynamic overwrite: every other partition must survive untouched."""
+    root = scratch_path(w.spark, "fact")
+    fact = w.fact_products
+    last = fact.agg(F.max("snapshot_date")).scalar()
+    stale = fact.where(F.col("snapshot_date") == last).withColumn(
+        "product_all_time_quantity_sold", F.lit(0).cast("bigint"))
+    SK.write_clustered(fact.where(F.col("snapshot_date") < last).unionByName(stale),
+                       root, "snapshot_date", "product_id")
+    SK.overwrite_partitions(fact.where(F.col("snapshot_date") == last), root, "snapshot_date")
+    return K.conform(w.spark.read.parquet(root), K.FACT_PRODUCTS)
+
+
+@query("pipeline_row_counts", O.PIPELINE_ROW_COUNTS)
+def q_pipeline_row_counts(w: Warehouse) -> DataFrame:
+    """Every load day run through the daily pipeline in date order (land,
+    clean, append, stage, SCD2 merge, facts, tests); rows per stored table."""
+    pl = PL.run_days(w.spark, scratch_path(w.spark, "warehouse"), w.raw_products, w.raw_comments)
+    return pl.row_counts()

@@ -330,3 +330,11 @@ TYPE_DRIFT_READ = f"""
 SELECT id, name, short_description, price, list_price, discount, discount_rate,
   all_time_quantity_sold, inventory_status, stock_item_qty, stock_item_max_sale_qty, date
 FROM ({FX_PRODUCTS}) f"""
+
+# ------------------------------------------------------- layout and pipeline
+
+PIPELINE_ROW_COUNTS = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, CAST(count(*) AS BIGINT) AS rows FROM ({sql}) x"
+    for name, sql in [("raw_products", CLEAN_PRODUCTS_BY_DAY), ("raw_comments", CLEAN_COMMENTS),
+                      ("dim_products", DIM_PRODUCTS), ("dim_comments", DIM_COMMENTS_STG),
+                      ("fact_products", FACT_PRODUCTS), ("fact_comments", FACT_COMMENTS)])
