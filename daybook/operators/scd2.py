@@ -78,7 +78,7 @@ def _versions(stg: DataFrame, spec: Scd2Spec, load_col: str = "load_date") -> Da
     return dedupe_by_key(df, [spec.key, "effective_date"], spec.prefer)
 
 
-def _as_written_end(df: DataFrame, spec: Scd2Spec) -> DataFrame:
+def _as_written_end(df: DataFrame, spec: Scd2Spec, extra: tuple[str, ...] = ()) -> DataFrame:
     """End date of every version under the as-written rule, without pairing
     rows: per tracked column c, a version with non-NULL c is closed by the
     first later version whose c is non-NULL and different, and that is the
@@ -98,11 +98,11 @@ def _as_written_end(df: DataFrame, spec: Scd2Spec) -> DataFrame:
                    F.min(F.when(F.col(f"_start{i}"), eff)).over(desc_prev))
             for i, c in enumerate(spec.tracked)]
     end = ends[0] if len(ends) == 1 else F.least(*ends)
-    return (df.select(*spec.value_columns, "effective_date", end.alias("end_date"))
+    return (df.select(*spec.value_columns, "effective_date", end.alias("end_date"), *extra)
               .withColumn("is_active", F.col("end_date").isNull()))
 
 
-def _strict_runs(df: DataFrame, spec: Scd2Spec) -> DataFrame:
+def _strict_runs(df: DataFrame, spec: Scd2Spec, extra: tuple[str, ...] = ()) -> DataFrame:
     """Keep the first version of each run of NULL-safe-equal tracked values;
     its end is the next kept version's start."""
     w = Window.partitionBy(spec.key).orderBy("effective_date")
@@ -111,7 +111,7 @@ def _strict_runs(df: DataFrame, spec: Scd2Spec) -> DataFrame:
     kept = df.withColumn("_start", first | ~same).where("_start")
     return (kept.withColumn("end_date", F.lead("effective_date").over(w))
                 .withColumn("is_active", F.col("end_date").isNull())
-                .select(*spec.value_columns, *VALIDITY))
+                .select(*spec.value_columns, *VALIDITY, *extra))
 
 
 def scd2_history(stg: DataFrame, spec: Scd2Spec, mode: str = AS_WRITTEN,
@@ -168,3 +168,32 @@ def scd2_apply(target: DataFrame, batch: DataFrame, spec: Scd2Spec,
     target = target.select(*spec.value_columns, *VALIDITY)
     delta = scd2_delta(target, batch, spec, mode, load_col)
     return keyed_upsert(target, delta, [spec.key, "effective_date"])
+
+
+def scd2_merge(target: DataFrame, batch: DataFrame, spec: Scd2Spec,
+               mode: str = AS_WRITTEN, load_col: str = "load_date") -> DataFrame:
+    """Target after merging a batch that may span several load dates, in one
+    job and with the same result as applying its dates one by one.
+
+    The active versions of the batch's keys seed the same window pass that
+    ``scd2_history`` runs: every seed is older than the batch rows of its
+    key (the gate and the (key, date) anti join guarantee it), a seed can
+    only be closed by a batch row, and under the as-written rule an active
+    seed never differs from a later active seed (it would have been closed),
+    so the window end dates are exactly the loop's. Seeds whose end did not
+    change are not rewritten."""
+    target = target.select(*spec.value_columns, *VALIDITY)
+    inc = incoming(target, batch, spec, load_col)
+    keys = inc.select(spec.key).distinct()
+    seeds = (target.where(F.col("is_active") & F.col("end_date").isNull())
+                   .join(keys, spec.key, "left_semi")
+                   .select(*spec.value_columns, "effective_date", F.lit(True).alias("_seed")))
+    rows = seeds.unionByName(inc.withColumn("_seed", F.lit(False)))
+    if mode == AS_WRITTEN:
+        out = _as_written_end(rows, spec, ("_seed",))
+    elif mode == STRICT:
+        out = _strict_runs(rows, spec, ("_seed",))
+    else:
+        raise ValueError(f"unknown SCD2 mode {mode!r}")
+    delta = out.where(~F.col("_seed") | F.col("end_date").isNotNull()).drop("_seed")
+    return keyed_upsert(target, delta, [spec.key, "effective_date"])

@@ -26,6 +26,7 @@ from daybook.sinks import tables as SK
 from daybook.sources import contracts as K
 from daybook.sources import documents as DOC
 from daybook.sources import readers as RD
+from daybook.streaming import landing_stream as STR
 from daybook.plans.model import Warehouse
 from daybook.sources import fixtures as FX
 from daybook.sources.tables import table
@@ -398,3 +399,54 @@ def q_pipeline_row_counts(w: Warehouse) -> DataFrame:
     clean, append, stage, SCD2 merge, facts, tests); rows per stored table."""
     pl = PL.run_days(w.spark, scratch_path(w.spark, "warehouse"), w.raw_products, w.raw_comments)
     return pl.row_counts()
+
+
+def _first_days(w: Warehouse, n: int):
+    """(rows of the first ``n`` load days, rows of the later days)."""
+    days = w.stg_products.select("load_date").distinct()
+    cut = days.where(F.col("load_date") <= days.orderBy("load_date").limit(n).agg(F.max("load_date")).scalar())
+    early = w.stg_products.join(cut, "load_date", "left_semi")
+    late = w.stg_products.join(cut, "load_date", "left_anti")
+    return early, late
+
+
+@query("scd2_merge_many_days", O.DIM_PRODUCTS)
+def q_scd2_merge_many_days(w: Warehouse) -> DataFrame:
+    """History of the first three load days, then the other four merged as
+    one multi-day batch in one job: must equal the full history."""
+    early, late = _first_days(w, 3)
+    return S.scd2_merge(S.scd2_history(early, S.PRODUCTS), late, S.PRODUCTS, S.AS_WRITTEN)
+
+
+@query("scd2_merge_many_days_strict", O.DIM_PRODUCTS_STRICT)
+def q_scd2_merge_many_days_strict(w: Warehouse) -> DataFrame:
+    early, late = _first_days(w, 3)
+    return S.scd2_merge(S.scd2_history(early, S.PRODUCTS, S.STRICT), late, S.PRODUCTS, S.STRICT)
+
+
+@query("scd2_merge_comments_many_days", O.DIM_COMMENTS)
+def q_scd2_merge_comments_many_days(w: Warehouse) -> DataFrame:
+    """Same invariant on the review history, whose tracked columns include a
+    nullable one (a change to or from NULL is not seen as a change)."""
+    h = w.comment_history
+    days = h.select("load_date").distinct()
+    cut = days.orderBy("load_date").limit(10)
+    early = h.join(cut, "load_date", "left_semi")
+    late = h.join(cut, "load_date", "left_anti")
+    return S.scd2_merge(S.scd2_history(early, S.COMMENTS), late, S.COMMENTS, S.AS_WRITTEN)
+
+
+# ---------------------------------------------------------------- streaming
+
+@query("stream_scd2_available_now", O.DIM_PRODUCTS)
+def q_stream_scd2_available_now(w: Warehouse) -> DataFrame:
+    """Product documents landed day by day, consumed as a file stream with
+    an AvailableNow trigger (two files per micro-batch) and merged into a
+    versioned dimension by foreachBatch: equals the one-job history."""
+    root = scratch_path(w.spark, "stream")
+    STR.land_days_in_order(w.raw_products, f"{root}/landing")
+    dim = SK.VersionedTable(w.spark, f"{root}/dim_products", K.DIM_PRODUCTS,
+                            "effective_date", "product_id")
+    STR.stream_products_into_dimension(w.spark, f"{root}/landing", dim, f"{root}/_checkpoint",
+                                       max_files=2)
+    return dim.read()
