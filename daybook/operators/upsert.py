@@ -14,8 +14,10 @@ from daybook.functions.expressions import DIM_FLOOR_DATE, FACT_FLOOR_DATE
 
 
 def keyed_upsert(target: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
-    delta = delta.select(*target.columns)
-    kept = target.join(delta.select(*keys), on=keys, how="left_anti")
+    cols = target.columns
+    delta = delta.select(*cols)
+    # A join on a list of names moves the keys to the front; restore order.
+    kept = target.join(delta.select(*keys), on=keys, how="left_anti").select(*cols)
     return kept.unionByName(delta)
 
 

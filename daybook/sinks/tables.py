@@ -27,7 +27,8 @@ def write_landing(df: DataFrame, root: str, entity: str, stamp: str) -> str:
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Header CSV; text is quoted (RFC 4180 doubled quotes) and written
-    as-is, so embedded newlines and edge whitespace survive a round trip."""
+    as-is, so embedded newlines and edge whitespace survive a round trip.
+    An empty string and NULL both read back as NULL (as with pandas)."""
     (df.write.mode("overwrite").option("header", True).option("quote", '"')
        .option("escape", '"').option("ignoreLeadingWhiteSpace", False)
        .option("ignoreTrailingWhiteSpace", False).csv(path))
