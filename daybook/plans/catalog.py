@@ -36,9 +36,11 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, sql: str | None = None, stored: bool = False):
+    """Register a query. ``stored``: the staged inputs are read several
+    times, so they are materialized once like the stored tables they are."""
     def reg(fn: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse], DataFrame]:
-        QUERIES[name] = lambda spark, sf_dir: fn(Warehouse(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: fn(Warehouse(spark, sf_dir, stored=stored))
         if sql is not None:
             ORACLE[name] = sql
         return fn
@@ -209,14 +211,14 @@ def _prior_and_last(w: Warehouse):
     return w.before_last_batch(w.stg_products)
 
 
-@query("incremental_gate", O.INCREMENTAL_GATE)
+@query("incremental_gate", O.INCREMENTAL_GATE, stored=True)
 def q_incremental_gate(w: Warehouse) -> DataFrame:
     prior, _ = _prior_and_last(w)
     target = S.scd2_history(prior, S.PRODUCTS)
     return gate(w.stg_products, target, "load_date", "effective_date", inclusive=True)
 
 
-@query("new_rows_anti_join", O.NEW_ROWS_ANTI_JOIN)
+@query("new_rows_anti_join", O.NEW_ROWS_ANTI_JOIN, stored=True)
 def q_new_rows_anti_join(w: Warehouse) -> DataFrame:
     prior, _ = _prior_and_last(w)
     target = S.scd2_history(prior, S.PRODUCTS)
@@ -224,7 +226,7 @@ def q_new_rows_anti_join(w: Warehouse) -> DataFrame:
     return not_yet_loaded(b, target, "product_id", "load_date", "effective_date")
 
 
-@query("keyed_upsert", O.DIM_PRODUCTS)
+@query("keyed_upsert", O.DIM_PRODUCTS, stored=True)
 def q_keyed_upsert(w: Warehouse) -> DataFrame:
     """History of all batches but the newest, then the newest merged in as a
     daily increment: must equal the one-job history of all batches."""
@@ -232,7 +234,7 @@ def q_keyed_upsert(w: Warehouse) -> DataFrame:
     return S.scd2_apply(S.scd2_history(prior, S.PRODUCTS), last, S.PRODUCTS, S.AS_WRITTEN)
 
 
-@query("scd2_apply_strict", O.DIM_PRODUCTS_STRICT)
+@query("scd2_apply_strict", O.DIM_PRODUCTS_STRICT, stored=True)
 def q_scd2_apply_strict(w: Warehouse) -> DataFrame:
     prior, last = _prior_and_last(w)
     return S.scd2_apply(S.scd2_history(prior, S.PRODUCTS, S.STRICT), last, S.PRODUCTS, S.STRICT)
@@ -255,7 +257,7 @@ def q_asof_dim_join(w: Warehouse) -> DataFrame:
 
 # --------------------------------------------------------------- data tests
 
-@query("check_not_null", O.CHECK_NOT_NULL)
+@query("check_not_null", O.CHECK_NOT_NULL, stored=True)
 def q_check_not_null(w: Warehouse) -> DataFrame:
     return CH.union_all([
         CH.check_not_null(w.stg_products, "stg_products", ["product_id", "product_name", "load_date"]),
@@ -268,7 +270,7 @@ def q_check_not_null(w: Warehouse) -> DataFrame:
     ])
 
 
-@query("check_relationships", O.CHECK_RELATIONSHIPS)
+@query("check_relationships", O.CHECK_RELATIONSHIPS, stored=True)
 def q_check_relationships(w: Warehouse) -> DataFrame:
     return CH.union_all([
         CH.check_relationship(w.stg_comments, w.stg_products, "stg_comments", "product_id", "product_id"),
@@ -277,7 +279,7 @@ def q_check_relationships(w: Warehouse) -> DataFrame:
     ])
 
 
-@query("check_unique", O.CHECK_UNIQUE)
+@query("check_unique", O.CHECK_UNIQUE, stored=True)
 def q_check_unique(w: Warehouse) -> DataFrame:
     return CH.union_all([
         CH.check_unique(w.stg_products, "stg_products", ["product_id", "load_date"]),
@@ -289,7 +291,7 @@ def q_check_unique(w: Warehouse) -> DataFrame:
     ])
 
 
-@query("check_scd2_invariants", O.CHECK_SCD2_INVARIANTS)
+@query("check_scd2_invariants", O.CHECK_SCD2_INVARIANTS, stored=True)
 def q_check_scd2_invariants(w: Warehouse) -> DataFrame:
     return CH.union_all([
         CH.check_one_active(w.dim_products(), "dim_products", "product_id"),
@@ -410,7 +412,7 @@ def _first_days(w: Warehouse, n: int):
     return early, late
 
 
-@query("scd2_merge_many_days", O.DIM_PRODUCTS)
+@query("scd2_merge_many_days", O.DIM_PRODUCTS, stored=True)
 def q_scd2_merge_many_days(w: Warehouse) -> DataFrame:
     """History of the first three load days, then the other four merged as
     one multi-day batch in one job: must equal the full history."""
@@ -418,13 +420,13 @@ def q_scd2_merge_many_days(w: Warehouse) -> DataFrame:
     return S.scd2_merge(S.scd2_history(early, S.PRODUCTS), late, S.PRODUCTS, S.AS_WRITTEN)
 
 
-@query("scd2_merge_many_days_strict", O.DIM_PRODUCTS_STRICT)
+@query("scd2_merge_many_days_strict", O.DIM_PRODUCTS_STRICT, stored=True)
 def q_scd2_merge_many_days_strict(w: Warehouse) -> DataFrame:
     early, late = _first_days(w, 3)
     return S.scd2_merge(S.scd2_history(early, S.PRODUCTS, S.STRICT), late, S.PRODUCTS, S.STRICT)
 
 
-@query("scd2_merge_comments_many_days", O.DIM_COMMENTS)
+@query("scd2_merge_comments_many_days", O.DIM_COMMENTS, stored=True)
 def q_scd2_merge_comments_many_days(w: Warehouse) -> DataFrame:
     """Same invariant on the review history, whose tracked columns include a
     nullable one (a change to or from NULL is not seen as a change)."""

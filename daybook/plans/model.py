@@ -16,6 +16,7 @@ from daybook.operators import facts as FA
 from daybook.operators import scd2 as S
 from daybook.operators import staging as ST
 from daybook.sources import contracts as K
+from daybook.session import checkpoint_dir
 from daybook.sources import fixtures as FX
 
 # Processing date stamped by the review job in the catalog queries (the last
@@ -24,8 +25,20 @@ CATALOG_RUN_DATE = "2024-01-30"
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str, run_date: str = CATALOG_RUN_DATE):
-        self.spark, self.sf_dir, self.run_date = spark, sf_dir, run_date
+    """``stored=True`` makes the staged tables behave like the stored tables
+    they are in the daily runs: computed once and written (a reliable
+    checkpoint in the session's checkpoint folder), then read by every later
+    step. Queries that read a staged table several times use it; the rest
+    stay one lazy plan."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, run_date: str = CATALOG_RUN_DATE,
+                 stored: bool = False):
+        self.spark, self.sf_dir, self.run_date, self.stored = spark, sf_dir, run_date, stored
+        if stored:
+            checkpoint_dir(spark)
+
+    def _store(self, df: DataFrame) -> DataFrame:
+        return df.checkpoint(eager=True) if self.stored else df
 
     # --- products ---
     @cached_property
@@ -39,7 +52,7 @@ class Warehouse:
 
     @cached_property
     def stg_products(self) -> DataFrame:
-        return ST.stage_products(self.clean_products_by_day)
+        return self._store(ST.stage_products(self.clean_products_by_day))
 
     def dim_products(self, mode: str = S.AS_WRITTEN) -> DataFrame:
         return S.scd2_history(self.stg_products, S.PRODUCTS, mode)
@@ -59,11 +72,11 @@ class Warehouse:
 
     @cached_property
     def stg_comments(self) -> DataFrame:
-        return ST.stage_comments(self.clean_comments)
+        return self._store(ST.stage_comments(self.clean_comments))
 
     @cached_property
     def comment_history(self) -> DataFrame:
-        return FX.comment_history(self.spark, self.sf_dir)
+        return self._store(FX.comment_history(self.spark, self.sf_dir))
 
     def dim_comments(self, mode: str = S.AS_WRITTEN, history: bool = True) -> DataFrame:
         src = self.comment_history if history else self.stg_comments

@@ -73,13 +73,17 @@ class DailyPipeline:
         fs, p = SK._fs(self.spark, path)
         if not fs.exists(p):
             return K.empty(self.spark, contract)
-        return K.conform(self.spark.read.parquet(path), contract)
+        return K.conform(self.spark.read.schema(contract).parquet(path), contract)
 
     def _raw_day(self, path: str, run_date: str, contract) -> DataFrame:
-        fs, p = SK._fs(self.spark, f"{path}/date={run_date}")
+        """One day of a raw table: read that partition folder only."""
+        day = f"{path}/date={run_date}"
+        fs, p = SK._fs(self.spark, day)
         if not fs.exists(p):
             return K.empty(self.spark, contract)
-        return self._read_or_empty(path, contract).where(F.col("date") == F.lit(run_date).cast("date"))
+        part = K.T.StructType([f for f in contract.fields if f.name != "date"])
+        return K.conform(self.spark.read.schema(part).parquet(day)
+                         .withColumn("date", F.lit(run_date).cast("date")), contract)
 
     def fact_products(self) -> DataFrame:
         return self._read_or_empty(self.layout.fact_products, K.FACT_PRODUCTS)

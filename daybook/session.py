@@ -21,6 +21,9 @@ BASE_CONF = {
     # Dimension and fact writes replace only the partitions they touch.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
+    # max(date) over a date-partitioned table (the incremental gates) is
+    # answered from the partition folder names, without reading any file.
+    "spark.sql.optimizer.metadataOnly": "true",
 }
 
 
@@ -50,7 +53,8 @@ def build_session(master: str | None = None, app: str = "daybook",
 def apply_conf(spark: SparkSession) -> None:
     """Pin the runtime options a session handed to us must have."""
     for k in ("spark.sql.session.timeZone",
-              "spark.sql.sources.partitionOverwriteMode"):
+              "spark.sql.sources.partitionOverwriteMode",
+              "spark.sql.optimizer.metadataOnly"):
         spark.conf.set(k, BASE_CONF[k])
 
 

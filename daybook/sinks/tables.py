@@ -108,7 +108,8 @@ class VersionedTable:
         v = self.current_version()
         if v is None:
             return empty(self.spark, self.contract)
-        return conform(self.spark.read.parquet(self.path(v)), self.contract)
+        # The contract is the file schema: no footer sampling on read.
+        return conform(self.spark.read.schema(self.contract).parquet(self.path(v)), self.contract)
 
     def write(self, df: DataFrame) -> int:
         v = (self.current_version() or 0) + 1

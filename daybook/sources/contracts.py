@@ -118,5 +118,8 @@ def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
 
 def empty(spark, contract: T.StructType) -> DataFrame:
     """Typed empty table: the 'target does not exist yet' state, so a first
-    run takes the same code path as every later one."""
-    return spark.createDataFrame([], contract)
+    run takes the same code path as every later one. Built as a filtered-out
+    row so Catalyst sees an empty relation and prunes every branch that
+    reads it (anti joins against it, unions with it)."""
+    row = spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in contract.fields])
+    return row.where(F.lit(False))
