@@ -381,18 +381,19 @@ def q_type_drift_read(w: Warehouse) -> DataFrame:
 
 @query("partitioned_overwrite_roundtrip", O.FACT_PRODUCTS)
 def q_partitioned_overwrite_roundtrip(w: Warehouse) -> DataFrame:
-    """Write the fact partitioned by snapshot date (clustered by product)
-    with a stale newest partition, then re-run only that partition with
-    dynamic overwrite: every other partition must survive untouched."""
+    """Write the fact partitioned by snapshot date and clustered by product,
+    append a stale copy of the newest partition, then re-run only that
+    partition with dynamic overwrite: it is replaced and every other
+    partition survives untouched."""
     root = scratch_path(w.spark, "fact")
     fact = w.fact_products
     last = fact.agg(F.max("snapshot_date")).scalar()
+    SK.write_clustered(fact.where(F.col("snapshot_date") < last), root, "snapshot_date", "product_id")
     stale = fact.where(F.col("snapshot_date") == last).withColumn(
         "product_all_time_quantity_sold", F.lit(0).cast("bigint"))
-    SK.write_clustered(fact.where(F.col("snapshot_date") < last).unionByName(stale),
-                       root, "snapshot_date", "product_id")
+    SK.append_partitioned(stale, root, "snapshot_date")
     SK.overwrite_partitions(fact.where(F.col("snapshot_date") == last), root, "snapshot_date")
-    return K.conform(w.spark.read.parquet(root), K.FACT_PRODUCTS)
+    return K.conform(w.spark.read.schema(K.FACT_PRODUCTS).parquet(root), K.FACT_PRODUCTS)
 
 
 @query("pipeline_row_counts", O.PIPELINE_ROW_COUNTS)
@@ -452,3 +453,24 @@ def q_stream_scd2_available_now(w: Warehouse) -> DataFrame:
     STR.stream_products_into_dimension(w.spark, f"{root}/landing", dim, f"{root}/_checkpoint",
                                        max_files=2)
     return dim.read()
+
+
+@query("product_quality_report", O.PRODUCT_QUALITY_REPORT)
+def q_product_quality_report(w: Warehouse) -> DataFrame:
+    """The product job's whole report in one long table (metric, key,
+    value): one scalar aggregate plus two small grouped aggregates."""
+    return Q.product_report(C.clean_products(w.raw_products))
+
+
+@query("comments_quality_report", O.COMMENTS_QUALITY_REPORT)
+def q_comments_quality_report(w: Warehouse) -> DataFrame:
+    return Q.comments_report(w.clean_comments)
+
+
+@query("adhoc_copy_qty_double", O.ADHOC_COPY_QTY_DOUBLE)
+def q_adhoc_copy_qty_double(w: Warehouse) -> DataFrame:
+    """Landed product files read under the copy job's contract: quantity
+    as double, the date column left out (and so never read)."""
+    root = scratch_path(w.spark, "copy")
+    path = SK.write_landing(w.raw_products, root, "products", "a")
+    return RD.read_landed(w.spark, [path], K.RAW_PRODUCTS_QTY_DOUBLE)

@@ -338,3 +338,42 @@ PIPELINE_ROW_COUNTS = " UNION ALL ".join(
     for name, sql in [("raw_products", CLEAN_PRODUCTS_BY_DAY), ("raw_comments", CLEAN_COMMENTS),
                       ("dim_products", DIM_PRODUCTS), ("dim_comments", DIM_COMMENTS_STG),
                       ("fact_products", FACT_PRODUCTS), ("fact_comments", FACT_COMMENTS)])
+
+# ------------------------------------------------------ one-pass reports
+
+_P_COLS = ["id", "name", "short_description", "price", "list_price", "discount", "discount_rate",
+           "all_time_quantity_sold", "inventory_status", "stock_item_qty", "stock_item_max_sale_qty", "date"]
+
+
+def _metric(name: str, expr: str, src: str = "c", key: str = "CAST(NULL AS VARCHAR)") -> str:
+    return f"SELECT '{name}' AS metric, {key} AS key, CAST({expr} AS DOUBLE) AS value FROM {src}"
+
+
+PRODUCT_QUALITY_REPORT = f"WITH c AS ({CLEAN_PRODUCTS_ONE_RUN})\n" + "\nUNION ALL ".join(
+    [_metric("total_records", "count(*)"),
+     _metric("avg_price", "round(avg(price), 4)"),
+     _metric("min_price", "min(price)"), _metric("max_price", "max(price)"),
+     _metric("stddev_price", "round(stddev_samp(price), 4)"),
+     _metric("total_sold", "sum(all_time_quantity_sold)"),
+     _metric("avg_sold", "round(avg(all_time_quantity_sold), 4)"),
+     _metric("max_sold", "max(all_time_quantity_sold)"),
+     _metric("negative_price", "count(*) FILTER (WHERE price < 0)"),
+     _metric("negative_quantity", "count(*) FILTER (WHERE all_time_quantity_sold < 0)")]
+    + [_metric("null_count", f"count(*) FILTER (WHERE {c} IS NULL)", key=f"'{c}'") for c in _P_COLS]
+    + ["SELECT 'inventory_status' AS metric, inventory_status AS key, CAST(count(*) AS DOUBLE) AS value "
+       "FROM c GROUP BY inventory_status",
+       _metric("duplicate_ids", "count(*)", src="(SELECT id FROM c GROUP BY id HAVING count(*) > 1) d")])
+
+COMMENTS_QUALITY_REPORT = f"WITH c AS ({CLEAN_COMMENTS})\n" + "\nUNION ALL ".join(
+    [_metric("total_records", "count(*)"),
+     _metric("valid_ratings", "count(*) FILTER (WHERE rating_valid)"),
+     _metric("valid_share", "round(count(*) FILTER (WHERE rating_valid) / count(*), 4)"),
+     _metric("unknown_content", "count(*) FILTER (WHERE content = 'unknown')"),
+     "SELECT 'rating' AS metric, CAST(rating AS VARCHAR) AS key, CAST(count(*) AS DOUBLE) AS value FROM c GROUP BY rating",
+     "SELECT 'sentiment' AS metric, sentiment AS key, CAST(count(*) AS DOUBLE) AS value FROM c GROUP BY sentiment"])
+
+ADHOC_COPY_QTY_DOUBLE = f"""
+SELECT id, name, short_description, price, list_price, discount, discount_rate,
+  CAST(all_time_quantity_sold AS DOUBLE) AS all_time_quantity_sold, inventory_status,
+  stock_item_qty, stock_item_max_sale_qty
+FROM ({FX_PRODUCTS}) f"""
