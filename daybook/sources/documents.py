@@ -1,7 +1,8 @@
 """JSON documents -> rows: product pages, review pages, category listings
 and the menu. Parsing is ``from_json`` with a declared schema (absent keys
-and a NULL parent give NULL fields; an unparsable document gives a NULL
-struct and is dropped), flattening is plain struct field access and
+and a NULL parent give NULL fields; an unparsable product document is
+flagged by the corrupt-record column and dropped, an unparsable page yields
+no rows), flattening is plain struct field access and
 ``explode``. Document builders for the fixtures are here too; every
 document they build holds a bounded number of entries (at most
 ``PAGE_SIZE``), however large a product, brand or site becomes."""
@@ -44,8 +45,17 @@ PAGE_SIZE = 1000
 
 # ------------------------------------------------------------------ parsing
 
+CORRUPT = "_corrupt_record"
+
+
 def flatten_products(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
-    p = docs.select(F.from_json(doc_col, PRODUCT_DOC).alias("p")).where(F.col("p").isNotNull())
+    """One row per product document; a document that does not parse is
+    dropped (flagged through the corrupt-record column, since a malformed
+    document otherwise parses to a row of NULLs)."""
+    schema = T.StructType(PRODUCT_DOC.fields + [T.StructField(CORRUPT, S)])
+    p = (docs.select(F.from_json(doc_col, schema, {"mode": "PERMISSIVE",
+                                                   "columnNameOfCorruptRecord": CORRUPT}).alias("p"))
+             .where(F.col("p").isNotNull() & F.col(f"p.{CORRUPT}").isNull()))
     return p.select(
         "p.id", "p.name", "p.short_description", "p.price", "p.list_price", "p.discount",
         "p.discount_rate", "p.all_time_quantity_sold", "p.inventory_status",
