@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from daybook.operators import checks as CH
 from daybook.operators import clean as C
@@ -81,7 +82,7 @@ class DailyPipeline:
         fs, p = SK._fs(self.spark, day)
         if not fs.exists(p):
             return K.empty(self.spark, contract)
-        part = K.T.StructType([f for f in contract.fields if f.name != "date"])
+        part = StructType([f for f in contract.fields if f.name != "date"])
         return K.conform(self.spark.read.schema(part).parquet(day)
                          .withColumn("date", F.lit(run_date).cast("date")), contract)
 
@@ -92,7 +93,7 @@ class DailyPipeline:
         return self._read_or_empty(self.layout.fact_comments, K.FACT_COMMENTS)
 
     def raw_products(self) -> DataFrame:
-        return self._read_or_empty(self.layout.raw_products, C_PRODUCTS)
+        return self._read_or_empty(self.layout.raw_products, K.CLEAN_PRODUCTS)
 
     def raw_comments(self) -> DataFrame:
         return self._read_or_empty(self.layout.raw_comments, K.CLEAN_COMMENTS)
@@ -114,7 +115,7 @@ class DailyPipeline:
             SK.overwrite_partitions(clean, lay.raw_comments, "date")
             self.metrics.append({"run_date": run_date, "table": "comments", **obs.get})
 
-        stg_p = ST.stage_products(self._raw_day(lay.raw_products, run_date, C_PRODUCTS), run_date)
+        stg_p = ST.stage_products(self._raw_day(lay.raw_products, run_date, K.CLEAN_PRODUCTS), run_date)
         stg_c = ST.stage_comments(self._raw_day(lay.raw_comments, run_date, K.CLEAN_COMMENTS), run_date)
 
         if products is not None:
@@ -154,13 +155,6 @@ class DailyPipeline:
                              for name, df in frames.items()])
 
 
-# Contract of the cleaned product rows as stored in raw/products.
-C_PRODUCTS = K.RAW_PRODUCTS.__class__([
-    f if f.name != "date" else K.T.StructField("date", K.T.DateType(), True)
-    for f in K.RAW_PRODUCTS.fields
-])
-
-
 def land_by_day(df: DataFrame, root: str, entity: str) -> str:
     """Land raw documents partitioned by their text ``date`` so each run
     reads only its own day."""

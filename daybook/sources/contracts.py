@@ -39,6 +39,14 @@ RAW_COMMENTS = _schema(
     ("created_at", L), ("purchased_at", L), ("date", S),
 )
 
+# Cleaned product rows as stored in the raw table (date parsed).
+CLEAN_PRODUCTS = _schema(
+    ("id", L), ("name", S), ("short_description", S), ("price", D),
+    ("list_price", L), ("discount", L), ("discount_rate", L),
+    ("all_time_quantity_sold", L), ("inventory_status", S),
+    ("stock_item_qty", L), ("stock_item_max_sale_qty", L), ("date", DATE),
+)
+
 CLEAN_COMMENTS = _schema(
     ("id", L), ("product_id", L), ("title", S), ("content", S), ("rating", L),
     ("created_at", TS), ("purchased_at", TS), ("date", DATE), ("sentiment", S),
