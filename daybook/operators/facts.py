@@ -34,8 +34,11 @@ def fact_comments_delta(stg: DataFrame, dim_products: DataFrame, target: DataFra
     so a semi join gives the same rows without the fan-out. Spark chooses
     broadcast or sort-merge from runtime sizes (AQE), and AQE splits a skewed
     product on the review side."""
+    # Distinct keys: several active versions of one product (as-written mode)
+    # collapse map-side, and the distinct's shuffle on product_id is the one
+    # the join needs.
     active = (dim_products.where(F.col("is_active") & F.col("end_date").isNull())
-                          .select("product_id"))
+                          .select("product_id").distinct())
     b = gate(stg, target, "load_date", "snapshot_date", inclusive=False)
     c = b.join(active, "product_id", "left_semi")
     return c.select(

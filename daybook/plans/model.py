@@ -16,7 +16,7 @@ from daybook.operators import facts as FA
 from daybook.operators import scd2 as S
 from daybook.operators import staging as ST
 from daybook.sources import contracts as K
-from daybook.session import checkpoint_dir
+from daybook.session import checkpoint_dir, scratch_path
 from daybook.sources import fixtures as FX
 
 # Processing date stamped by the review job in the catalog queries (the last
@@ -26,9 +26,8 @@ CATALOG_RUN_DATE = "2024-01-30"
 
 class Warehouse:
     """``stored=True`` makes the staged tables behave like the stored tables
-    they are in the daily runs: computed once and written (a reliable
-    checkpoint in the session's checkpoint folder), then read by every later
-    step. Queries that read a staged table several times use it; the rest
+    they are in the daily runs: computed once and written as Parquet in the
+    session's shared checkpoint folder, then read by every later step. Queries that read a staged table several times use it; the rest
     stay one lazy plan."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, run_date: str = CATALOG_RUN_DATE,
@@ -38,7 +37,13 @@ class Warehouse:
             checkpoint_dir(spark)
 
     def _store(self, df: DataFrame) -> DataFrame:
-        return df.checkpoint(eager=True) if self.stored else df
+        """Write ``df`` as a Parquet table in the shared checkpoint folder and
+        read it back (lineage cut; later scans are columnar and pruned)."""
+        if not self.stored:
+            return df
+        path = scratch_path(self.spark, "stored")
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     # --- products ---
     @cached_property
