@@ -66,7 +66,8 @@ class DailyPipeline:
         self.dim_products = SK.VersionedTable(spark, f"{self.layout.root}/dim_products",
                                               K.DIM_PRODUCTS, "effective_date", "product_id")
         self.dim_comments = SK.VersionedTable(spark, f"{self.layout.root}/dim_comments",
-                                              K.DIM_COMMENTS, "effective_date", "product_id")
+                                              K.DIM_COMMENTS, "effective_date", "product_id",
+                                              tiebreak=("comment_id",))
         self.metrics: list[dict] = []
 
     # -------------------------------------------------------------- readers
@@ -127,7 +128,8 @@ class DailyPipeline:
             dim = S.scd2_apply(self.dim_comments.read(), stg_c, S.COMMENTS, self.mode)
             self.dim_comments.write(dim)
             delta = FA.fact_comments_delta(stg_c, self.dim_products.read(), self.fact_comments())
-            SK.write_clustered(delta, lay.fact_comments, "snapshot_date", "product_id", mode="overwrite")
+            SK.write_clustered(delta, lay.fact_comments, "snapshot_date", "product_id", mode="overwrite",
+                               tiebreak=("comment_id",))
         return self.tests(stg_p, stg_c)
 
     def tests(self, stg_p: DataFrame, stg_c: DataFrame) -> DataFrame:

@@ -53,18 +53,21 @@ def overwrite_partitions(df: DataFrame, path: str, partition_col: str) -> None:
        .partitionBy(partition_col).parquet(path))
 
 
-def clustered(df: DataFrame, partition_col: str, cluster_col: str) -> DataFrame:
-    """Partition + cluster layout: range-partition on (partition, cluster) so
-    a large day is spread over several tasks and files, each file holding a
-    contiguous, sorted range of the cluster key (tight Parquet min/max
-    statistics for key lookups)."""
-    return (df.repartitionByRange(partition_col, cluster_col)
-              .sortWithinPartitions(partition_col, cluster_col))
+def clustered(df: DataFrame, partition_col: str, cluster_col: str,
+              tiebreak: tuple[str, ...] = ()) -> DataFrame:
+    """Partition + cluster layout: range-partition on (partition, cluster,
+    tie-break) so a large day is spread over several tasks and files, each
+    file holding a contiguous, sorted range of the cluster key (tight Parquet
+    min/max statistics for key lookups). The tie-break (the table's unique
+    key) lets range boundaries fall inside one cluster value, so a product
+    holding a large share of a day is still split over several tasks."""
+    cols = [partition_col, cluster_col, *[c for c in tiebreak if c not in (partition_col, cluster_col)]]
+    return df.repartitionByRange(*cols).sortWithinPartitions(*cols)
 
 
 def write_clustered(df: DataFrame, path: str, partition_col: str, cluster_col: str,
-                    mode: str = "overwrite") -> None:
-    (clustered(df, partition_col, cluster_col).write.mode(mode)
+                    mode: str = "overwrite", tiebreak: tuple[str, ...] = ()) -> None:
+    (clustered(df, partition_col, cluster_col, tiebreak).write.mode(mode)
        .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
 
 
@@ -83,9 +86,11 @@ class VersionedTable:
     POINTER = "_CURRENT"
 
     def __init__(self, spark: SparkSession, root: str, contract: T.StructType,
-                 partition_col: str | None = None, cluster_col: str | None = None):
+                 partition_col: str | None = None, cluster_col: str | None = None,
+                 tiebreak: tuple[str, ...] = ()):
         self.spark, self.root = spark, root.rstrip("/")
         self.contract, self.partition_col, self.cluster_col = contract, partition_col, cluster_col
+        self.tiebreak = tiebreak
 
     def current_version(self) -> int | None:
         fs, p = _fs(self.spark, f"{self.root}/{self.POINTER}")
@@ -116,7 +121,7 @@ class VersionedTable:
         out = conform(df, self.contract)
         w = out
         if self.partition_col and self.cluster_col:
-            w = clustered(out, self.partition_col, self.cluster_col)
+            w = clustered(out, self.partition_col, self.cluster_col, self.tiebreak)
         writer = w.write.mode("overwrite")
         if self.partition_col:
             writer = writer.partitionBy(self.partition_col)
