@@ -133,3 +133,16 @@ def test_late_batch_is_ignored_by_gate(spark):
     dim = materialize(spark, S.scd2_history(spark.createDataFrame([("X", "a", 1, d2)], STG), SPEC))
     late = spark.createDataFrame([("X", "z", 1, d1), ("Z", "z", 1, d1)], STG)
     assert rows_of(S.scd2_apply(dim, late, SPEC)) == rows_of(dim)
+
+
+@pytest.mark.parametrize("mode", [S.AS_WRITTEN, S.STRICT])
+def test_merge_from_every_split_point(spark, mode):
+    batches = random_batches(7, keys=25, days=6)
+    want = model_loop(batches, mode)
+    want = {(k, e, a, b, end, act) for (k, e, a, b, end, act) in want}
+    stg = to_stg(spark, batches)
+    for i in range(len(batches)):
+        cut = batches[i][0]
+        early = materialize(spark, S.scd2_history(stg.where(F.col("load_date") <= F.lit(cut)), SPEC, mode))
+        merged = S.scd2_merge(early, stg.where(F.col("load_date") > F.lit(cut)), SPEC, mode)
+        assert rows_of(merged) == want, i
