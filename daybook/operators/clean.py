@@ -48,10 +48,12 @@ def fill_defaults(df: DataFrame, defaults: dict | None = None) -> DataFrame:
     return df.fillna(d)
 
 
-def clean_comments(raw: DataFrame, run_date: str) -> DataFrame:
+def clean_comments(raw: DataFrame, run_date: str | None) -> DataFrame:
     """Review job: unknown title/content, drop rows without product or rating,
     epoch seconds to TIMESTAMP, sentiment, review delay, rating flag and the
-    processing date. No dedupe."""
+    processing date (``run_date``; None in a backfill = each row's own day,
+    the date its daily run would have stamped). No dedupe."""
+    stamp = F.lit(run_date) if run_date is not None else X.day_stamp("date")
     df = conform(raw, RAW_COMMENTS)
     return (df.withColumn("title", X.title_or_unknown("title"))
               .withColumn("content", X.content_or_unknown("content"))
@@ -62,4 +64,4 @@ def clean_comments(raw: DataFrame, run_date: str) -> DataFrame:
               .withColumn("sentiment", X.sentiment("title"))
               .withColumn("days_to_review", X.days_between("created_at", "purchased_at"))
               .withColumn("rating_valid", X.rating_valid("rating"))
-              .withColumn("processing_date", F.lit(run_date)))
+              .withColumn("processing_date", stamp))

@@ -48,6 +48,25 @@ def fact_comments_delta(stg: DataFrame, dim_products: DataFrame, target: DataFra
     ).distinct().select(*FACT_COMMENTS.fieldNames())
 
 
+def fact_comments_delta_asof(stg: DataFrame, dim_products: DataFrame, target: DataFrame) -> DataFrame:
+    """``fact_comments_delta`` for a batch spanning several load days, against
+    the dimension as it stands after the last of them: a review of day d
+    needs a product version that was active after run d, i.e.
+    ``effective_date <= d`` and not closed by then (``end_date`` NULL or
+    after d). Equi join on the product plus that range test, as a semi join."""
+    b = gate(stg, target, "load_date", "snapshot_date", inclusive=False).alias("c")
+    d = dim_products.select("product_id", "effective_date", "end_date").alias("d")
+    cond = ((F.col("c.product_id") == F.col("d.product_id"))
+            & (F.col("d.effective_date") <= F.col("c.load_date"))
+            & (F.col("d.end_date").isNull() | (F.col("d.end_date") > F.col("c.load_date"))))
+    c = b.join(d, cond, "left_semi")
+    return c.select(
+        "comment_id", "product_id", "comment_rating", "days_to_review",
+        F.to_date("created_at").alias("comment_date"),
+        F.col("load_date").alias("snapshot_date"),
+    ).distinct().select(*FACT_COMMENTS.fieldNames())
+
+
 def fact_comments(stg: DataFrame, dim_products: DataFrame, target: DataFrame) -> DataFrame:
     return keyed_upsert(target.select(*FACT_COMMENTS.fieldNames()),
                         fact_comments_delta(stg, dim_products, target),

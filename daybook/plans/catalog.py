@@ -396,6 +396,14 @@ def q_partitioned_overwrite_roundtrip(w: Warehouse) -> DataFrame:
     return K.conform(w.spark.read.schema(K.FACT_PRODUCTS).parquet(root), K.FACT_PRODUCTS)
 
 
+@query("pipeline_backfill_row_counts", O.PIPELINE_ROW_COUNTS)
+def q_pipeline_backfill_row_counts(w: Warehouse) -> DataFrame:
+    """All load days caught up in one backfill run: the stored tables must
+    hold the same rows as after the day-by-day runs."""
+    pl = PL.backfill(w.spark, scratch_path(w.spark, "backfill"), w.raw_products, w.raw_comments)
+    return pl.row_counts()
+
+
 @query("pipeline_row_counts", O.PIPELINE_ROW_COUNTS)
 def q_pipeline_row_counts(w: Warehouse) -> DataFrame:
     """Every load day run through the daily pipeline in date order (land,
