@@ -49,6 +49,10 @@ DAY_FORMAT = "yyyy-MM-dd"
 # --- end of fixed values ---
 
 
+# Every value the sentiment expression can produce.
+SENTIMENTS = sorted({label for _, label in TITLE_SENTIMENT} | {UNKNOWN})
+
+
 def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

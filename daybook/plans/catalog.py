@@ -300,8 +300,7 @@ def q_check_scd2_invariants(w: Warehouse) -> DataFrame:
         CH.check_validity(w.dim_products(), "dim_products"),
         CH.check_validity(w.dim_products(S.STRICT), "dim_products_strict"),
         CH.check_validity(w.dim_comments(), "dim_comments"),
-        CH.check_accepted(w.stg_comments, "stg_comments", "sentiment",
-                          ["positive", "neutral", "negative", "unknown"]),
+        CH.check_accepted(w.stg_comments, "stg_comments", "sentiment", X.SENTIMENTS),
     ])
 
 

@@ -7,7 +7,7 @@ which the Spark side computes with window passes instead."""
 
 from __future__ import annotations
 
-from daybook.functions.expressions import TITLE_SENTIMENT
+from daybook.functions.expressions import SENTIMENTS, TITLE_SENTIMENT
 from daybook.plans.model import CATALOG_RUN_DATE
 from daybook.sources.fixtures import EVENT_RATINGS, EVENT_TITLES
 
@@ -280,8 +280,8 @@ CHECK_SCD2_INVARIANTS = " UNION ALL ".join([
     _validity("dim_products_strict", DIM_PRODUCTS_STRICT),
     _validity("dim_comments", DIM_COMMENTS),
     "SELECT 'accepted_values' AS test, 'stg_comments' AS table_name, 'sentiment' AS column_name, "
-    "CAST(count(*) FILTER (WHERE sentiment IS NOT NULL AND sentiment NOT IN "
-    "('positive', 'neutral', 'negative', 'unknown')) AS BIGINT) AS failures FROM (" + STG_COMMENTS + ") s",
+    "CAST(count(*) FILTER (WHERE sentiment IS NOT NULL AND sentiment NOT IN ("
+    + ", ".join(f"'{v}'" for v in SENTIMENTS) + ")) AS BIGINT) AS failures FROM (" + STG_COMMENTS + ") s",
 ])
 
 # ------------------------------------------------------------------ ingest
