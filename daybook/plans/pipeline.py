@@ -7,7 +7,7 @@ Storage layout under ``root`` (a shared folder on a cluster):
   a run replaces its own day (dynamic partition overwrite), so a re-run
   does not duplicate the day.
 * ``dim_products``, ``dim_comments`` — versioned tables (new version per run,
-  pointer switched last) partitioned by ``effective_date`` and clustered
+  committed by a marker last) partitioned by ``effective_date`` and clustered
   by ``product_id``.
 * ``fact_products``, ``fact_comments`` — partitioned by ``snapshot_date``; a
   run only ever adds its own snapshot partition (the gate admits nothing

@@ -3,8 +3,8 @@ layout, and versioned tables for targets that a job both reads and rewrites.
 
 Overwriting a Parquet path that the same plan reads fails and can leave the
 path empty, and an SCD2 merge rewrites rows in old effective-date
-partitions. So a dimension is written as a new version folder and a small
-pointer file is switched last: a failed or retried job leaves the previous
+partitions. So a dimension is written as a new version folder and committed
+by a marker file created last: a failed or retried job leaves the previous
 version intact, and readers never see a half-written table."""
 
 from __future__ import annotations
@@ -80,10 +80,13 @@ def _fs(spark: SparkSession, path: str):
 
 
 class VersionedTable:
-    """A table stored as ``<root>/v=<n>`` folders plus a ``_CURRENT``
-    pointer naming the live one (switched only after a complete write)."""
+    """A table stored as ``<root>/v=<n>`` folders. A version is live once its
+    ``_COMMITTED`` marker exists; the marker is created after the data write
+    has fully committed, and the newest committed version is the table.
+    Nothing is deleted or renamed: a crash at any point leaves the previous
+    version live, and a retried run rewrites the uncommitted folder."""
 
-    POINTER = "_CURRENT"
+    MARKER = "_COMMITTED"
 
     def __init__(self, spark: SparkSession, root: str, contract: T.StructType,
                  partition_col: str | None = None, cluster_col: str | None = None,
@@ -92,19 +95,23 @@ class VersionedTable:
         self.contract, self.partition_col, self.cluster_col = contract, partition_col, cluster_col
         self.tiebreak = tiebreak
 
-    def current_version(self) -> int | None:
-        fs, p = _fs(self.spark, f"{self.root}/{self.POINTER}")
+    def _versions(self) -> list[int]:
+        fs, p = _fs(self.spark, self.root)
         if not fs.exists(p):
-            return None
-        stream = fs.open(p)
-        try:
-            reader = self.spark._jvm.java.io.BufferedReader(
-                self.spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            line = reader.readLine()
-        finally:
-            stream.close()
-        m = re.fullmatch(r"v=(\d+)", (line or "").strip())
-        return int(m.group(1)) if m else None
+            return []
+        out = []
+        for st in fs.listStatus(p):
+            m = re.fullmatch(r"v=(\d+)", st.getPath().getName())
+            if m and st.isDirectory():
+                out.append(int(m.group(1)))
+        return sorted(out)
+
+    def current_version(self) -> int | None:
+        for v in reversed(self._versions()):
+            fs, p = _fs(self.spark, f"{self.path(v)}/{self.MARKER}")
+            if fs.exists(p):
+                return v
+        return None
 
     def path(self, version: int) -> str:
         return f"{self.root}/v={version:08d}"
@@ -117,7 +124,11 @@ class VersionedTable:
         return conform(self.spark.read.schema(self.contract).parquet(self.path(v)), self.contract)
 
     def write(self, df: DataFrame) -> int:
-        v = (self.current_version() or 0) + 1
+        """Write ``df`` as the next version and commit it. ``df`` may read the
+        current version: the output goes to a new folder."""
+        committed = self.current_version() or 0
+        # Any folder above the committed one is a failed attempt; reuse its number.
+        v = committed + 1
         out = conform(df, self.contract)
         w = out
         if self.partition_col and self.cluster_col:
@@ -126,15 +137,6 @@ class VersionedTable:
         if self.partition_col:
             writer = writer.partitionBy(self.partition_col)
         writer.parquet(self.path(v))
-        self._switch(v)
+        fs, p = _fs(self.spark, f"{self.path(v)}/{self.MARKER}")
+        fs.create(p, True).close()
         return v
-
-    def _switch(self, version: int) -> None:
-        fs, p = _fs(self.spark, f"{self.root}/{self.POINTER}")
-        tmp_fs, tmp = _fs(self.spark, f"{self.root}/.{self.POINTER}.tmp")
-        out = tmp_fs.create(tmp, True)
-        out.write(bytearray(f"v={version:08d}\n", "utf-8"))
-        out.close()
-        if fs.exists(p):
-            fs.delete(p, False)
-        fs.rename(tmp, p)

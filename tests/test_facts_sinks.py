@@ -45,7 +45,7 @@ def test_asof_join_half_open(spark):
     assert got == [(D1, "a"), (D2, "b")]
 
 
-def test_versioned_table_roundtrip_and_pointer(spark):
+def test_versioned_table_roundtrip(spark):
     root = scratch_path(spark, "vt")
     vt = SK.VersionedTable(spark, root, K.FACT_COMMENTS, "snapshot_date", "product_id")
     assert vt.read().count() == 0 and vt.current_version() is None
@@ -88,3 +88,16 @@ def test_checks_report_shape(spark):
     assert rep.columns == CH.REPORT
     got = {(r.test, r.failures) for r in rep.collect()}
     assert got == {("not_null", 1), ("relationships", 2), ("unique", 1)}
+
+
+def test_versioned_table_uncommitted_attempt_is_ignored_and_reused(spark):
+    root = scratch_path(spark, "vt2")
+    vt = SK.VersionedTable(spark, root, K.FACT_COMMENTS)
+    df = K.conform(spark.createDataFrame([("c", "p", D1)], "comment_id string, product_id string, snapshot_date date"),
+                   K.FACT_COMMENTS)
+    assert vt.write(df) == 1
+    # A crashed attempt: data written for version 2 but never committed.
+    df.write.parquet(vt.path(2))
+    assert vt.current_version() == 1 and vt.read().count() == 1
+    # The next run reuses the number and commits.
+    assert vt.write(df.unionByName(df)) == 2 and vt.read().count() == 2
