@@ -61,8 +61,11 @@ class Layout:
 
 
 class DailyPipeline:
-    def __init__(self, spark: SparkSession, root: str, mode: str = S.AS_WRITTEN):
+    def __init__(self, spark: SparkSession, root: str, mode: str = S.AS_WRITTEN,
+                 keep_versions: int = 3):
+        """``keep_versions``: committed dimension versions kept for rollback."""
         self.spark, self.layout, self.mode = spark, Layout(root), mode
+        self.keep_versions = keep_versions
         self.dim_products = SK.VersionedTable(spark, f"{self.layout.root}/dim_products",
                                               K.DIM_PRODUCTS, "effective_date", "product_id")
         self.dim_comments = SK.VersionedTable(spark, f"{self.layout.root}/dim_comments",
@@ -122,11 +125,13 @@ class DailyPipeline:
         if products is not None:
             dim = S.scd2_apply(self.dim_products.read(), stg_p, S.PRODUCTS, self.mode)
             self.dim_products.write(dim)
+            self.dim_products.vacuum(self.keep_versions)
             delta = FA.fact_products_delta(stg_p, self.fact_products())
             SK.write_clustered(delta, lay.fact_products, "snapshot_date", "product_id", mode="overwrite")
         if comments is not None:
             dim = S.scd2_apply(self.dim_comments.read(), stg_c, S.COMMENTS, self.mode)
             self.dim_comments.write(dim)
+            self.dim_comments.vacuum(self.keep_versions)
             delta = FA.fact_comments_delta(stg_c, self.dim_products.read(), self.fact_comments())
             SK.write_clustered(delta, lay.fact_comments, "snapshot_date", "product_id", mode="overwrite",
                                tiebreak=("comment_id",))
@@ -150,10 +155,12 @@ class DailyPipeline:
         stg_c = ST.stage_comments(self.raw_comments().where(F.col("date").between(lo, hi)))
         if products is not None:
             self.dim_products.write(S.scd2_merge(self.dim_products.read(), stg_p, S.PRODUCTS, self.mode))
+            self.dim_products.vacuum(self.keep_versions)
             delta = FA.fact_products_delta(stg_p, self.fact_products())
             SK.write_clustered(delta, lay.fact_products, "snapshot_date", "product_id", mode="overwrite")
         if comments is not None:
             self.dim_comments.write(S.scd2_merge(self.dim_comments.read(), stg_c, S.COMMENTS, self.mode))
+            self.dim_comments.vacuum(self.keep_versions)
             delta = FA.fact_comments_delta_asof(stg_c, self.dim_products.read(), self.fact_comments())
             SK.write_clustered(delta, lay.fact_comments, "snapshot_date", "product_id", mode="overwrite",
                                tiebreak=("comment_id",))

@@ -106,10 +106,13 @@ class VersionedTable:
                 out.append(int(m.group(1)))
         return sorted(out)
 
+    def _committed(self, version: int) -> bool:
+        fs, p = _fs(self.spark, f"{self.path(version)}/{self.MARKER}")
+        return bool(fs.exists(p))
+
     def current_version(self) -> int | None:
         for v in reversed(self._versions()):
-            fs, p = _fs(self.spark, f"{self.path(v)}/{self.MARKER}")
-            if fs.exists(p):
+            if self._committed(v):
                 return v
         return None
 
@@ -140,3 +143,20 @@ class VersionedTable:
         fs, p = _fs(self.spark, f"{self.path(v)}/{self.MARKER}")
         fs.create(p, True).close()
         return v
+
+    def vacuum(self, keep: int = 3) -> list[int]:
+        """Remove versions older than the newest ``keep`` committed ones
+        (kept for rollback), including abandoned attempts below them. Every
+        daily run writes a whole version, so without this the storage grows
+        with days x table size. Returns the removed version numbers."""
+        current = self.current_version()
+        if current is None:
+            return []
+        committed = [v for v in self._versions() if self._committed(v)]
+        kept = set(committed[-keep:]) if keep > 0 else {current}
+        floor = min(kept)
+        removed = [v for v in self._versions() if v < floor]
+        for v in removed:
+            fs, p = _fs(self.spark, self.path(v))
+            fs.delete(p, True)
+        return removed

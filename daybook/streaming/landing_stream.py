@@ -22,12 +22,13 @@ from daybook.sinks.tables import VersionedTable
 from daybook.sources import contracts as K
 
 
-def products_micro_batch(dim: VersionedTable, mode: str):
+def products_micro_batch(dim: VersionedTable, mode: str, keep_versions: int = 3):
     def run(batch: DataFrame, epoch_id: int) -> None:
         # One run's documents: clean per (id, day), stage, merge.
         clean = C.clean_products(batch, dedupe_keys=["id", "date"])
         stg = ST.stage_products(clean)
         dim.write(S.scd2_merge(dim.read(), stg, S.PRODUCTS, mode))
+        dim.vacuum(keep_versions)
     return run
 
 

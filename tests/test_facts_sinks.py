@@ -101,3 +101,15 @@ def test_versioned_table_uncommitted_attempt_is_ignored_and_reused(spark):
     assert vt.current_version() == 1 and vt.read().count() == 1
     # The next run reuses the number and commits.
     assert vt.write(df.unionByName(df)) == 2 and vt.read().count() == 2
+
+
+def test_versioned_table_vacuum_keeps_newest(spark):
+    root = scratch_path(spark, "vt3")
+    vt = SK.VersionedTable(spark, root, K.FACT_COMMENTS)
+    df = K.conform(spark.createDataFrame([("c", "p", D1)], "comment_id string, product_id string, snapshot_date date"),
+                   K.FACT_COMMENTS)
+    for _ in range(4):
+        vt.write(df)
+    assert vt.vacuum(keep=2) == [1, 2]
+    assert vt._versions() == [3, 4] and vt.current_version() == 4 and vt.read().count() == 1
+    assert vt.vacuum(keep=2) == []
