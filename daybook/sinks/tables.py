@@ -55,14 +55,16 @@ def overwrite_partitions(df: DataFrame, path: str, partition_col: str) -> None:
 
 def clustered(df: DataFrame, partition_col: str, cluster_col: str,
               tiebreak: tuple[str, ...] = ()) -> DataFrame:
-    """Partition + cluster layout: range-partition on (partition, cluster,
-    tie-break) so a large day is spread over several tasks and files, each
-    file holding a contiguous, sorted range of the cluster key (tight Parquet
-    min/max statistics for key lookups). The tie-break (the table's unique
-    key) lets range boundaries fall inside one cluster value, so a product
-    holding a large share of a day is still split over several tasks."""
+    """Partition + cluster layout for a write partitioned by ``partition_col``.
+
+    ``REBALANCE`` on the partition column lets AQE size the write tasks from
+    the shuffle statistics: a large day is split over several tasks (a hot
+    product inside it too, since splits follow size, not key), small days are
+    coalesced, and unlike range partitioning no extra sampling pass over
+    the input is needed. Within each file rows are sorted by (day, cluster
+    key, tie-break) for tight Parquet min/max statistics on the key."""
     cols = [partition_col, cluster_col, *[c for c in tiebreak if c not in (partition_col, cluster_col)]]
-    return df.repartitionByRange(*cols).sortWithinPartitions(*cols)
+    return df.hint("rebalance", partition_col).sortWithinPartitions(*cols)
 
 
 def write_clustered(df: DataFrame, path: str, partition_col: str, cluster_col: str,
