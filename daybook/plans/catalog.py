@@ -455,8 +455,7 @@ def q_stream_scd2_available_now(w: Warehouse) -> DataFrame:
     versioned dimension by foreachBatch: equals the one-job history."""
     root = scratch_path(w.spark, "stream")
     STR.land_days_in_order(w.raw_products, f"{root}/landing")
-    dim = SK.VersionedTable(w.spark, f"{root}/dim_products", K.DIM_PRODUCTS,
-                            "effective_date", "product_id")
+    dim = SK.Scd2Store(w.spark, f"{root}/dim_products", K.DIM_PRODUCTS, "product_id")
     STR.stream_products_into_dimension(w.spark, f"{root}/landing", dim, f"{root}/_checkpoint",
                                        max_files=2)
     return dim.read()

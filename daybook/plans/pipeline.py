@@ -6,9 +6,10 @@ Storage layout under ``root`` (a shared folder on a cluster):
 * ``raw/products``, ``raw/comments`` — cleaned rows partitioned by ``date``;
   a run replaces its own day (dynamic partition overwrite), so a re-run
   does not duplicate the day.
-* ``dim_products``, ``dim_comments`` — versioned tables (new version per run,
-  committed by a marker last) partitioned by ``effective_date`` and clustered
-  by ``product_id``.
+* ``dim_products``, ``dim_comments`` — ``Scd2Store``: each run rewrites only
+  the open versions and adds the versions it closed, in one write committed
+  by a marker; partitioned by ``effective_date``, clustered by ``product_id``.
+  A run's cost follows the open set and the batch, not the history.
 * ``fact_products``, ``fact_comments`` — partitioned by ``snapshot_date``; a
   run only ever adds its own snapshot partition (the gate admits nothing
   older than the newest snapshot), so writing that partition is the whole
@@ -66,11 +67,10 @@ class DailyPipeline:
         """``keep_versions``: committed dimension versions kept for rollback."""
         self.spark, self.layout, self.mode = spark, Layout(root), mode
         self.keep_versions = keep_versions
-        self.dim_products = SK.VersionedTable(spark, f"{self.layout.root}/dim_products",
-                                              K.DIM_PRODUCTS, "effective_date", "product_id")
-        self.dim_comments = SK.VersionedTable(spark, f"{self.layout.root}/dim_comments",
-                                              K.DIM_COMMENTS, "effective_date", "product_id",
-                                              tiebreak=("comment_id",))
+        self.dim_products = SK.Scd2Store(spark, f"{self.layout.root}/dim_products",
+                                         K.DIM_PRODUCTS, "product_id")
+        self.dim_comments = SK.Scd2Store(spark, f"{self.layout.root}/dim_comments",
+                                         K.DIM_COMMENTS, "product_id", tiebreak=("comment_id",))
         self.metrics: list[dict] = []
 
     # -------------------------------------------------------------- readers
@@ -123,16 +123,16 @@ class DailyPipeline:
         stg_c = ST.stage_comments(self._raw_day(lay.raw_comments, run_date, K.CLEAN_COMMENTS), run_date)
 
         if products is not None:
-            dim = S.scd2_apply(self.dim_products.read(), stg_p, S.PRODUCTS, self.mode)
+            dim = S.scd2_apply(self.dim_products.read_open(), stg_p, S.PRODUCTS, self.mode)
             self.dim_products.write(dim)
             self.dim_products.vacuum(self.keep_versions)
             delta = FA.fact_products_delta(stg_p, self.fact_products())
             SK.write_clustered(delta, lay.fact_products, "snapshot_date", "product_id", mode="overwrite")
         if comments is not None:
-            dim = S.scd2_apply(self.dim_comments.read(), stg_c, S.COMMENTS, self.mode)
+            dim = S.scd2_apply(self.dim_comments.read_open(), stg_c, S.COMMENTS, self.mode)
             self.dim_comments.write(dim)
             self.dim_comments.vacuum(self.keep_versions)
-            delta = FA.fact_comments_delta(stg_c, self.dim_products.read(), self.fact_comments())
+            delta = FA.fact_comments_delta(stg_c, self.dim_products.read_open(), self.fact_comments())
             SK.write_clustered(delta, lay.fact_comments, "snapshot_date", "product_id", mode="overwrite",
                                tiebreak=("comment_id",))
         return self.tests(stg_p, stg_c)
@@ -154,12 +154,12 @@ class DailyPipeline:
         stg_p = ST.stage_products(self.raw_products().where(F.col("date").between(lo, hi)))
         stg_c = ST.stage_comments(self.raw_comments().where(F.col("date").between(lo, hi)))
         if products is not None:
-            self.dim_products.write(S.scd2_merge(self.dim_products.read(), stg_p, S.PRODUCTS, self.mode))
+            self.dim_products.write(S.scd2_merge(self.dim_products.read_open(), stg_p, S.PRODUCTS, self.mode))
             self.dim_products.vacuum(self.keep_versions)
             delta = FA.fact_products_delta(stg_p, self.fact_products())
             SK.write_clustered(delta, lay.fact_products, "snapshot_date", "product_id", mode="overwrite")
         if comments is not None:
-            self.dim_comments.write(S.scd2_merge(self.dim_comments.read(), stg_c, S.COMMENTS, self.mode))
+            self.dim_comments.write(S.scd2_merge(self.dim_comments.read_open(), stg_c, S.COMMENTS, self.mode))
             self.dim_comments.vacuum(self.keep_versions)
             delta = FA.fact_comments_delta_asof(stg_c, self.dim_products.read(), self.fact_comments())
             SK.write_clustered(delta, lay.fact_comments, "snapshot_date", "product_id", mode="overwrite",

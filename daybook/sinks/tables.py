@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.sources.contracts import conform, empty
@@ -138,7 +139,9 @@ class VersionedTable:
         w = out
         if self.partition_col and self.cluster_col:
             w = clustered(out, self.partition_col, self.cluster_col, self.tiebreak)
-        writer = w.write.mode("overwrite")
+        # Static overwrite: a retry must clear every partition a crashed
+        # attempt left in this version folder, not only those it rewrites.
+        writer = w.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if self.partition_col:
             writer = writer.partitionBy(self.partition_col)
         writer.parquet(self.path(v))
@@ -162,3 +165,101 @@ class VersionedTable:
             fs, p = _fs(self.spark, self.path(v))
             fs.delete(p, True)
         return removed
+
+
+class Scd2Store:
+    """Storage for a type-2 dimension whose daily cost follows the open
+    versions, not the whole history.
+
+    A closed version (``end_date`` set) never changes again; only open
+    versions can be closed or re-stated. Each run writes, in one job, the
+    folder ``v=<n>`` with ``state=open`` (the complete new open set) and
+    ``state=closed`` (only the versions this run closed), both partitioned by
+    ``effective_date``, then creates ``v=<n>/_COMMITTED``. The table is the
+    open part of the newest committed run plus the closed parts of all
+    committed runs, selected by partition pruning on (v, state); a crashed
+    run is invisible and its retry overwrites its folder.
+
+    Merges need only the open rows: the newest effective date, every (key,
+    date) a batch could repeat and every version a batch could close are all
+    open. So a run reads and rewrites the open set plus the batch, and the
+    closed history is never read or rewritten by the merge."""
+
+    MARKER = "_COMMITTED"
+
+    def __init__(self, spark: SparkSession, root: str, contract: T.StructType,
+                 cluster_col: str, tiebreak: tuple[str, ...] = ()):
+        self.spark, self.root, self.contract = spark, root.rstrip("/"), contract
+        self.cluster_col, self.tiebreak = cluster_col, tiebreak
+        self._schema = T.StructType(contract.fields + [
+            T.StructField("v", T.IntegerType()), T.StructField("state", T.StringType())])
+
+    def _versions(self) -> list[int]:
+        fs, p = _fs(self.spark, self.root)
+        if not fs.exists(p):
+            return []
+        out = [int(m.group(1)) for st in fs.listStatus(p)
+               if st.isDirectory() and (m := re.fullmatch(r"v=(\d+)", st.getPath().getName()))]
+        return sorted(out)
+
+    def _path(self, v: int) -> str:
+        return f"{self.root}/v={v}"
+
+    def _committed(self, v: int) -> bool:
+        fs, p = _fs(self.spark, f"{self._path(v)}/{self.MARKER}")
+        return bool(fs.exists(p))
+
+    def current_version(self) -> int | None:
+        for v in reversed(self._versions()):
+            if self._committed(v):
+                return v
+        return None
+
+    def _scan(self, cond) -> DataFrame:
+        v = self.current_version()
+        if v is None:
+            return empty(self.spark, self.contract)
+        df = self.spark.read.schema(self._schema).parquet(self.root)
+        return conform(df.where(cond(v)), self.contract)
+
+    def read_open(self) -> DataFrame:
+        return self._scan(lambda v: (F.col("v") == v) & (F.col("state") == "open"))
+
+    def read(self) -> DataFrame:
+        return self._scan(lambda v: ((F.col("v") == v) & (F.col("state") == "open"))
+                          | ((F.col("v") <= v) & (F.col("state") == "closed")))
+
+    def write(self, merged_open: DataFrame) -> int:
+        """``merged_open``: a batch merged into ``read_open()`` — the new open
+        versions plus the previously open versions it closed. One write job."""
+        v = (self.current_version() or 0) + 1
+        rows = conform(merged_open, self.contract).withColumn(
+            "state", F.when(F.col("end_date").isNull(), F.lit("open")).otherwise(F.lit("closed")))
+        out = (rows.hint("rebalance", "state", "effective_date")
+                   .sortWithinPartitions("state", "effective_date", self.cluster_col, *self.tiebreak))
+        # Static overwrite: a retry clears everything a crashed attempt left.
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+            .partitionBy("state", "effective_date").parquet(self._path(v)))
+        fs, p = _fs(self.spark, f"{self._path(v)}/{self.MARKER}")
+        fs.create(p, True).close()
+        return v
+
+    def vacuum(self, keep: int = 3) -> list[int]:
+        """Drop the open parts of all but the newest ``keep`` committed runs
+        and any abandoned run below them; closed parts are the history."""
+        committed = [v for v in self._versions() if self._committed(v)]
+        if not committed:
+            return []
+        floor = min(committed[-max(keep, 1):])
+        removed = []
+        for v in self._versions():
+            if v >= floor:
+                continue
+            if self._committed(v):
+                fs, p = _fs(self.spark, f"{self._path(v)}/state=open")
+            else:
+                fs, p = _fs(self.spark, self._path(v))
+            if fs.exists(p):
+                fs.delete(p, True)
+                removed.append(v)
+        return removed

@@ -18,21 +18,21 @@ from pyspark.sql import functions as F
 from daybook.operators import clean as C
 from daybook.operators import scd2 as S
 from daybook.operators import staging as ST
-from daybook.sinks.tables import VersionedTable
+from daybook.sinks.tables import Scd2Store
 from daybook.sources import contracts as K
 
 
-def products_micro_batch(dim: VersionedTable, mode: str, keep_versions: int = 3):
+def products_micro_batch(dim: Scd2Store, mode: str, keep_versions: int = 3):
     def run(batch: DataFrame, epoch_id: int) -> None:
         # One run's documents: clean per (id, day), stage, merge.
         clean = C.clean_products(batch, dedupe_keys=["id", "date"])
         stg = ST.stage_products(clean)
-        dim.write(S.scd2_merge(dim.read(), stg, S.PRODUCTS, mode))
+        dim.write(S.scd2_merge(dim.read_open(), stg, S.PRODUCTS, mode))
         dim.vacuum(keep_versions)
     return run
 
 
-def stream_products_into_dimension(spark: SparkSession, landing: str, dim: VersionedTable,
+def stream_products_into_dimension(spark: SparkSession, landing: str, dim: Scd2Store,
                                    checkpoint: str, mode: str = S.AS_WRITTEN,
                                    max_files: int | None = None) -> None:
     """Process everything landed so far, then stop (one scheduled run)."""

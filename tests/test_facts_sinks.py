@@ -113,3 +113,27 @@ def test_versioned_table_vacuum_keeps_newest(spark):
     assert vt.vacuum(keep=2) == [1, 2]
     assert vt._versions() == [3, 4] and vt.current_version() == 4 and vt.read().count() == 1
     assert vt.vacuum(keep=2) == []
+
+
+def test_scd2_store_crash_and_vacuum_keep_history(spark):
+    from daybook.operators import scd2 as S
+    st = SK.Scd2Store(spark, scratch_path(spark, "store"), K.DIM_PRODUCTS, "product_id")
+    cols = "product_id string, product_name string, product_description string, product_inventory_status string, load_date date"
+    days = [D1, D2, dt.date(2024, 1, 3)]
+    stg = K.conform(spark.createDataFrame(
+        [("1", "a", "d", s, d) for s, d in zip("xyz", days)], cols), K.STG_PRODUCTS)
+    for d in days[:2]:
+        st.write(S.scd2_apply(st.read_open(), stg.where(F.col("load_date") == d), S.PRODUCTS))
+        st.vacuum(keep=1)
+    before = sorted(tuple(r) for r in st.read().collect())
+    assert len(before) == 2 and len(st.read_open().collect()) == 1
+    # A crashed third run: its folder is written but never committed.
+    merged = S.scd2_apply(st.read_open(), stg.where(F.col("load_date") == days[2]), S.PRODUCTS)
+    merged.withColumn("state", F.lit("closed")).write.mode("overwrite") \
+        .partitionBy("state", "effective_date").parquet(f"{st.root}/v=3")
+    assert sorted(tuple(r) for r in st.read().collect()) == before
+    # The retry takes its number and commits; the history stays whole.
+    assert st.write(merged) == 3
+    st.vacuum(keep=1)
+    assert sorted(tuple(r) for r in st.read().collect()) == \
+        sorted(tuple(r) for r in S.scd2_history(stg, S.PRODUCTS).collect())

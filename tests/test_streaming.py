@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from daybook.operators import scd2 as S
 from daybook.session import scratch_path
-from daybook.sinks.tables import VersionedTable
+from daybook.sinks.tables import Scd2Store
 from daybook.sources import contracts as K
 from daybook.streaming import landing_stream as STR
 
@@ -24,7 +24,7 @@ def _dim(vt):
 def test_available_now_runs_pick_up_only_new_days(spark):
     root = scratch_path(spark, "stream-test")
     landing, ckpt = f"{root}/landing", f"{root}/_checkpoint"
-    vt = VersionedTable(spark, f"{root}/dim", K.DIM_PRODUCTS, "effective_date", "product_id")
+    vt = Scd2Store(spark, f"{root}/dim", K.DIM_PRODUCTS, "product_id")
     first = spark.createDataFrame([_p(1, "a", "2024-01-01"), _p(2, "a", "2024-01-01"),
                                    _p(1, "b", "2024-01-02")], COLS)
     STR.land_days_in_order(first, landing)
@@ -46,7 +46,7 @@ def test_available_now_runs_pick_up_only_new_days(spark):
 
 def test_micro_batch_replay_is_noop(spark):
     root = scratch_path(spark, "replay")
-    vt = VersionedTable(spark, f"{root}/dim", K.DIM_PRODUCTS, "effective_date", "product_id")
+    vt = Scd2Store(spark, f"{root}/dim", K.DIM_PRODUCTS, "product_id")
     batch = K.conform(spark.createDataFrame([_p(1, "a", "2024-01-01"), _p(1, "b", "2024-01-02")], COLS),
                       K.RAW_PRODUCTS)
     run = STR.products_micro_batch(vt, S.AS_WRITTEN)
