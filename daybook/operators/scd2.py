@@ -159,6 +159,10 @@ def scd2_delta(target: DataFrame, batch: DataFrame, spec: Scd2Spec,
         new = inc.join(unchanged, spec.key, "left_anti")
     new = new.select(*spec.value_columns, "effective_date",
                      null_date().alias("end_date"), F.lit(True).alias("is_active"))
+    # The delta is already one row per (key, effective_date), so the model's
+    # final one-row-per-(key, date) guard has nothing to remove: new rows are
+    # deduped and absent from the target (anti join), and a closed row keeps
+    # its older target date, which no new row of the batch can carry.
     return new.unionByName(closed)
 
 

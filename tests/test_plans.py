@@ -44,3 +44,12 @@ def test_scans_read_only_needed_columns(spark):
     plan = plan_of(spark, "asof_dim_join")
     for unused in ("l_extendedprice", "l_tax", "l_suppkey", "l_linestatus", "p_brand", "p_size"):
         assert unused not in plan, unused
+
+
+def test_dedupe_and_distinct_combine_before_the_shuffle(spark):
+    """A key holding a large share of the rows is reduced per task first."""
+    plan = plan_of(spark, "clean_products")
+    lines = plan.split("\n")
+    partial = [i for i, l in enumerate(lines) if "partial_max(struct(" in l]
+    exchange = [i for i, l in enumerate(lines) if "Exchange hashpartitioning(id" in l]
+    assert partial and exchange and partial[0] > exchange[0]
