@@ -72,10 +72,12 @@ def days_between(a: str | Column, b: str | Column) -> Column:
     return F.abs(F.datediff(col_(a), col_(b)))
 
 
-def sentiment(title: str | Column) -> Column:
+def sentiment(title: str | Column, mapping: list[tuple[str, str]] | None = None) -> Column:
+    """Exact title -> label lookup as one CASE expression (``mapping``
+    defaults to the fixed title vocabulary); anything else is 'unknown'."""
     t = col_(title)
     expr = None
-    for text, label in TITLE_SENTIMENT:
+    for text, label in (mapping or TITLE_SENTIMENT):
         expr = F.when(t == text, label) if expr is None else expr.when(t == text, label)
     return expr.otherwise(UNKNOWN)
 

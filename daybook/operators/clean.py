@@ -48,7 +48,8 @@ def fill_defaults(df: DataFrame, defaults: dict | None = None) -> DataFrame:
     return df.fillna(d)
 
 
-def clean_comments(raw: DataFrame, run_date: str | None) -> DataFrame:
+def clean_comments(raw: DataFrame, run_date: str | None,
+                   sentiment_map: list[tuple[str, str]] | None = None) -> DataFrame:
     """Review job: unknown title/content, drop rows without product or rating,
     epoch seconds to TIMESTAMP, sentiment, review delay, rating flag and the
     processing date (``run_date``; None in a backfill = each row's own day,
@@ -61,7 +62,7 @@ def clean_comments(raw: DataFrame, run_date: str | None) -> DataFrame:
               .withColumn("created_at", X.epoch_to_ts("created_at"))
               .withColumn("purchased_at", X.epoch_to_ts("purchased_at"))
               .withColumn("date", X.parse_day("date"))
-              .withColumn("sentiment", X.sentiment("title"))
+              .withColumn("sentiment", X.sentiment("title", sentiment_map))
               .withColumn("days_to_review", X.days_between("created_at", "purchased_at"))
               .withColumn("rating_valid", X.rating_valid("rating"))
               .withColumn("processing_date", stamp))

@@ -50,3 +50,9 @@ def test_changed_null_unsafe_vs_safe(spark):
                        X.changed("l", "r", ["c"], True).alias("s")).collect()
     assert [r.u for r in got] == [False, True, None, None]
     assert [r.s for r in got] == [False, True, True, False]
+
+
+def test_sentiment_custom_mapping(spark):
+    df = spark.createDataFrame([("great",), ("meh",), ("Hài lòng",)], "title string")
+    got = [r[0] for r in df.select(X.sentiment("title", [("great", "positive"), ("meh", "neutral")])).collect()]
+    assert got == ["positive", "neutral", "unknown"]
