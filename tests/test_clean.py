@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from daybook.operators import clean as C
 from daybook.operators import quality as Q

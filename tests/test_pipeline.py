@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from daybook.plans import pipeline as PL
 from daybook.session import scratch_path
-from daybook.sources import contracts as K
 
 PRODUCT_COLS = ("id bigint, name string, short_description string, price double, list_price bigint, "
                 "discount bigint, discount_rate bigint, all_time_quantity_sold bigint, inventory_status string, "

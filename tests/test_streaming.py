@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from daybook.operators import scd2 as S
 from daybook.session import scratch_path
