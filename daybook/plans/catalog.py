@@ -20,7 +20,7 @@ from daybook.operators.upsert import gate, not_yet_loaded
 from daybook.functions import expressions as X
 from daybook.operators import topk as TK
 from daybook.plans import oracle as O
-from daybook.plans import pipeline as PL
+from daybook.plans import daily as PL
 from daybook.session import scratch_path
 from daybook.sinks import tables as SK
 from daybook.sources import contracts as K
@@ -395,16 +395,16 @@ def q_partitioned_overwrite_roundtrip(w: Warehouse) -> DataFrame:
     return K.conform(w.spark.read.schema(K.FACT_PRODUCTS).parquet(root), K.FACT_PRODUCTS)
 
 
-@query("pipeline_backfill_row_counts", O.PIPELINE_ROW_COUNTS)
-def q_pipeline_backfill_row_counts(w: Warehouse) -> DataFrame:
+@query("backfill_row_counts", O.DAILY_ROW_COUNTS)
+def q_backfill_row_counts(w: Warehouse) -> DataFrame:
     """All load days caught up in one backfill run: the stored tables must
     hold the same rows as after the day-by-day runs."""
     pl = PL.backfill(w.spark, scratch_path(w.spark, "backfill"), w.raw_products, w.raw_comments)
     return pl.row_counts()
 
 
-@query("pipeline_row_counts", O.PIPELINE_ROW_COUNTS)
-def q_pipeline_row_counts(w: Warehouse) -> DataFrame:
+@query("daily_runs_row_counts", O.DAILY_ROW_COUNTS)
+def q_daily_runs_row_counts(w: Warehouse) -> DataFrame:
     """Every load day run through the daily pipeline in date order (land,
     clean, append, stage, SCD2 merge, facts, tests); rows per stored table."""
     pl = PL.run_days(w.spark, scratch_path(w.spark, "warehouse"), w.raw_products, w.raw_comments)

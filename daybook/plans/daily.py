@@ -61,7 +61,7 @@ class Layout:
         return f"{self.root}/fact_comments"
 
 
-class DailyPipeline:
+class DailyWarehouse:
     def __init__(self, spark: SparkSession, root: str, mode: str = S.AS_WRITTEN,
                  keep_versions: int = 3):
         """``keep_versions``: committed dimension versions kept for rollback."""
@@ -204,11 +204,11 @@ def landed_day(spark: SparkSession, path: str, day: str, contract) -> DataFrame:
 
 
 def run_days(spark: SparkSession, root: str, raw_products: DataFrame, raw_comments: DataFrame,
-             mode: str = S.AS_WRITTEN) -> DailyPipeline:
+             mode: str = S.AS_WRITTEN) -> DailyWarehouse:
     """Land both raw inputs once, then run every load day in date order, as
     the daily schedule would. The list of days is tiny (one entry per day);
     all row work happens in Spark."""
-    pl = DailyPipeline(spark, root, mode)
+    pl = DailyWarehouse(spark, root, mode)
     lp = land_by_day(raw_products, root, "products")
     lc = land_by_day(raw_comments, root, "comments")
     p_days = {r[0] for r in spark.read.parquet(lp).select(F.col("date").cast("string")).distinct().collect()}
@@ -224,9 +224,9 @@ def run_days(spark: SparkSession, root: str, raw_products: DataFrame, raw_commen
 
 
 def backfill(spark: SparkSession, root: str, raw_products: DataFrame, raw_comments: DataFrame,
-             mode: str = S.AS_WRITTEN) -> DailyPipeline:
+             mode: str = S.AS_WRITTEN) -> DailyWarehouse:
     """Land both raw inputs, then catch up all their days in one run."""
-    pl = DailyPipeline(spark, root, mode)
+    pl = DailyWarehouse(spark, root, mode)
     lp = land_by_day(raw_products, root, "products")
     lc = land_by_day(raw_comments, root, "comments")
     p = K.conform(spark.read.parquet(lp), K.RAW_PRODUCTS)

@@ -333,7 +333,7 @@ FROM ({FX_PRODUCTS}) f"""
 
 # ------------------------------------------------------- layout and pipeline
 
-PIPELINE_ROW_COUNTS = " UNION ALL ".join(
+DAILY_ROW_COUNTS = " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, CAST(count(*) AS BIGINT) AS rows FROM ({sql}) x"
     for name, sql in [("raw_products", CLEAN_PRODUCTS_BY_DAY), ("raw_comments", CLEAN_COMMENTS),
                       ("dim_products", DIM_PRODUCTS), ("dim_comments", DIM_COMMENTS_STG),

@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from daybook.plans import pipeline as PL
+from daybook.plans import daily as PL
 from daybook.session import scratch_path
 
 PRODUCT_COLS = ("id bigint, name string, short_description string, price double, list_price bigint, "
@@ -31,7 +31,7 @@ def test_daily_runs_rerun_is_noop_and_facts_gate(spark):
         (10, 1, "Hài lòng", "ok", 5, 1704153600, None, "2024-01-02"),
         (11, 9, "x", "", 2, 1704153600, 1704067200, "2024-01-02"),
     ], COMMENT_COLS)
-    pl = PL.DailyPipeline(spark, scratch_path(spark, "pl"))
+    pl = PL.DailyWarehouse(spark, scratch_path(spark, "pl"))
     for day in ["2024-01-01", "2024-01-02"]:
         report = pl.run_batch(day, products.where(F.col("date") == day),
                               comments.where(F.col("date") == day))
@@ -79,10 +79,10 @@ def test_backfill_equals_day_by_day(spark):
         (13, 1, "Bình thường", "x", 3, t + 86400, None, days[1]),
         (14, 3, "x", "x", 1, t + 3 * 86400, None, days[3]),  # product 3 never exists
     ], COMMENT_COLS)
-    daily = PL.DailyPipeline(spark, scratch_path(spark, "daily"))
+    daily = PL.DailyWarehouse(spark, scratch_path(spark, "daily"))
     for d in days:
         daily.run_batch(d, products.where(F.col("date") == d), comments.where(F.col("date") == d))
-    back = PL.DailyPipeline(spark, scratch_path(spark, "backfill"))
+    back = PL.DailyWarehouse(spark, scratch_path(spark, "backfill"))
     back.run_range(days[0], days[-1], products, comments)
     a, b = _tables(daily), _tables(back)
     for name in a:
