@@ -177,6 +177,11 @@ class DailyWarehouse:
             CH.check_not_null(fc, "fact_comments", ["comment_id"]),
             CH.check_relationship(stg_c, stg_p, "stg_comments", "product_id", "product_id"),
             CH.check_relationship(dc, dp, "dim_comments", "product_id", "product_id"),
+            # Business rules of the product job (counted, never enforced).
+            CH.check_rules(stg_p, "stg_products", {
+                "product_price": F.col("product_price") < 0,
+                "product_all_time_quantity_sold": F.col("product_all_time_quantity_sold") < 0,
+            }),
         ])
 
     def row_counts(self) -> DataFrame:

@@ -46,6 +46,7 @@ def test_daily_runs_rerun_is_noop_and_facts_gate(spark):
     # Review 11 points at product 9, which no product row has.
     assert failures[("relationships", "stg_comments", "product_id")] == 1
     assert sum(failures.values()) == 2  # the same orphan in dim_comments
+    assert failures[("rule", "stg_products", "product_price")] == 0
 
     # Re-running a day changes nothing anywhere.
     pl.run_batch("2024-01-02", products.where(F.col("date") == "2024-01-02"),
