@@ -88,8 +88,8 @@ def fold_merges(word: Column, rank_map: Column) -> Column:
                      F.array(rank(F.concat(new, F.get(p, i + 1)))), F.slice(r, i + 2, F.size(r)))))
 
     def step(s: Column, _: Column) -> Column:
-        return let(F.array_min(s["r"]), lambda best: F.when(best.isNull(), s).otherwise(
-            let(F.array_position(s["r"], best).cast("int"), lambda i: merge(s, i))))
+        return let(F.array_position(s["r"], F.array_min(s["r"])).cast("int"),
+                   lambda i: F.when(i.isNull(), s).otherwise(merge(s, i)))
 
     chars = F.filter(F.split(word, ""), lambda c: c != "")
     folded = F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(word) - 1, F.lit(1))), let(chars, first), step,
@@ -97,6 +97,12 @@ def fold_merges(word: Column, rank_map: Column) -> Column:
     return F.coalesce(let(rank(word), lambda whole: F.when(whole.isNotNull(), F.array(whole))), folded)
 
 
+def word_ids(word: Column, ranks: dict[bytes, int]) -> Column:
+    """``fold_merges`` with the map bound once: as a lambda variable it is one
+    literal of the plan, however often the merges look it up."""
+    return let(_rank_map(ranks), lambda rank_map: fold_merges(word, rank_map))
+
+
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The same ids by a heap of neighbouring pairs: n log n for long words."""
     if word in ranks:
@@ -216,19 +222,41 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
 
     numbered = given.mapInArrow(number, f"{schema}, `{kind}` tinyint, `{word}` string, `{at}` array<int>")
     folds = (F.col(kind) == 1) & (F.length(word) <= MAX_FOLD)
-    folded = numbered.select(*(F.col(f"`{c}`") for c in kept), kind,
-                             F.when(~folds, F.col(word)).alias(word),
-                             F.when(folds, fold_merges(F.col(word), _rank_map(ranks))).alias("ids"), at)
+    folded = numbered.select(*(F.col(f"`{c}`") for c in kept), kind, word,
+                             F.when(folds, word_ids(F.col(word), ranks)).alias("ids"), at)
     return folded.mapInArrow(gather, f"{schema}, `{ids_col}` array<int>")
 
 
-def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
-    """binary: the concatenated pieces of an array of ids."""
-    pieces = [""] * (max(ranks.values()) + 1)
+def _concatenated(lists: pa.ListArray, pieces: pa.BinaryArray) -> pa.BinaryArray:
+    """The pieces that the numbers of each list name, one after another."""
+    taken = pieces.take(lists.flatten())
+    ends = np.frombuffer(taken.buffers()[1], np.int32, len(taken) + 1, taken.offset * 4)
+    bounds = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())])
+    return pa.BinaryArray.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(ends[bounds]), taken.buffers()[2]])
+
+
+def decode(encoded: DataFrame, ranks: dict[bytes, int], ids_col: str = "token_ids", bytes_col: str = "decoded",
+           decimal_col: str | None = None) -> DataFrame:
+    """``encoded`` with ``bytes_col``, the concatenated binary pieces of its ids,
+    and, if named, ``decimal_col``, the ids in decimal with commas between."""
+    names, at = encoded.columns, encoded.columns.index(ids_col)
+    table_of = [b""] * (max(ranks.values()) + 1)
     for piece, rank in ranks.items():
-        pieces[rank] = piece.decode("latin-1")
-    literal = F.from_json(F.lit(json.dumps(pieces, ensure_ascii=False)), "array<string>")
-    return F.encode(F.array_join(F.transform(ids, lambda i: F.get(literal, i)), ""), "ISO-8859-1")
+        table_of[rank] = piece
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema) + f", `{bytes_col}` binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = pa.array(table_of, pa.binary())
+        decimals = pa.array([b"%d," % i for i in range(len(table_of))], pa.binary())
+        for whole in batches:
+            for b in (whole.slice(k, BLOCK) for k in range(0, whole.num_rows, BLOCK)):
+                out, cols = [_concatenated(b.column(at), pieces)], [*names, bytes_col]
+                if decimal_col:
+                    out.append(pa.array([x[:-1].decode() for x in _concatenated(b.column(at), decimals).to_pylist()]))
+                    cols.append(decimal_col)
+                yield pa.RecordBatch.from_arrays([*b.columns, *out], cols)
+
+    return encoded.mapInArrow(run, schema + (f", `{decimal_col}` string" if decimal_col else ""))
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,8 +264,7 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ranks = read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = F.col("token_ids")
-    return encode(docs, ranks, public_tokenizers.PATTERN, keep_text=False).select(
-        "doc_id", F.size(ids).cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.transform(ids, lambda i: i.cast("string")), ","), 256).alias("ids_sha256"),
-        F.sha2(decode(ids, ranks), 256).alias("decoded_sha256"))
+    encoded = encode(docs, ranks, public_tokenizers.PATTERN, keep_text=False)
+    return decode(encoded, ranks, decimal_col="decimals").select(
+        "doc_id", F.size("token_ids").cast("long").alias("n_tokens"), F.sha2("decimals", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
