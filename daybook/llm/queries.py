@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from daybook.llm import byte_bpe, host_quality, language_id, license_scan, line_chunks, source_mix
+from daybook.llm import byte_bpe, host_quality, language_id, license_scan, line_chunks, near_dup, source_mix
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_language_id": language_id.op4_language_id,
     "op6_byte_bpe": byte_bpe.op6_byte_bpe,
     "op8_line_chunks": line_chunks.op8_line_chunks,
+    "op9_near_dup": near_dup.op9_near_dup,
     "op10_host_quality": host_quality.op10_host_quality,
 }
 
