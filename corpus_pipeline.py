@@ -1,23 +1,66 @@
-"""A corpus pipeline over ``documents``: stages that each write Parquet and read it again."""
+"""A corpus pipeline over ``documents``.
+
+Each stage works on the whole of what the one before kept, written as Parquet
+in the shared folder and read again:
+
+1. language ID: documents without a letter, or whose language is in doubt, go;
+2. line dedup: repeated chunks of lines are cut from the texts;
+3. MinHash near-dedup: one document of each group of near copies stays;
+4. source mix: each document is repeated to the target weights and shuffled;
+5. byte-level BPE: texts become ids, which are decoded again.
+
+All but the last return the columns of ``documents``. SQL cannot express
+stages 1, 3 and 5; the rows are tested against the stages' brute-force
+versions instead.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from daybook.llm.byte_bpe import decode, encode, read_ranks
 from daybook.llm.common import stored, table
+from daybook.llm.language_id import UNKNOWN, predict, train_on_documents
 from daybook.llm.line_chunks import dedup_line_chunks
+from daybook.llm.near_dup import drop_near_duplicates
 from daybook.llm.source_mix import mix_sources
 
+#: Below this score a language is in doubt.
+MIN_LANGUAGE_SCORE = 0.25
+#: Words of a shingle in near-dedup.
+SHINGLE = 5
+RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    sure = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
+    return predict(docs, train_on_documents(docs)).where(sure).select(docs.columns)
+
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return dedup_line_chunks(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_near_duplicates(docs, size=SHINGLE)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mix_sources(docs)
 
 
-STAGES = [("line dedup", drop_repeated_lines), ("source mix", mix)]
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, the ids, and the text decoded from them."""
+    ranks = read_ranks(public_tokenizers.path(RANK_FILE))
+    encoded = encode(docs.select("doc_id", "lang", "source", "text"), ranks, public_tokenizers.PATTERN, keep_text=False)
+    return decode(encoded, ranks).select("doc_id", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"),
+                                         "token_ids", F.col("decoded").cast("string").alias("text"))
+
+
+STAGES = [("language ID", identify_language), ("line dedup", drop_repeated_lines),
+          ("near dedup", drop_near_copies), ("source mix", mix), ("byte BPE", tokenize)]
 
 ORACLE_SQL = None
 

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from daybook.llm import (byte_bpe, chat_pairs, host_quality, language_id, license_scan, line_chunks, near_dup,
-                         source_mix, token_files)
+                         sketch_diff, source_mix, token_files)
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
     "op2_token_files": token_files.op2_token_files,
     "op3_source_mix": source_mix.op3_source_mix,
     "op4_language_id": language_id.op4_language_id,
+    "op5_sketch_diff": sketch_diff.op5_sketch_diff,
     "op6_byte_bpe": byte_bpe.op6_byte_bpe,
     "op7_chat_pairs": chat_pairs.op7_chat_pairs,
     "op8_line_chunks": line_chunks.op8_line_chunks,
