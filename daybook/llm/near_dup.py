@@ -5,10 +5,15 @@
    equal words are one class, represented by its smallest id.
 2. Representatives that agree in a whole band of the signature are candidates.
    Not all pairs of a bucket are compared: its hubs (one in the first round,
-   four times as many in each further one) are compared with those members
-   that are not yet in the same component. Rounds go on until every bucket
-   holds one component or all its members have been hubs, so no pair of a
-   bucket that could join two components is left out.
+   eight times as many in each further one) are compared with those members that
+   are not yet in the same component. The members that share the most buckets
+   with others, such as the text that all of a group were made from, are hubs
+   first. From the second round on, the shingles that only one of the
+   documents left has are counted for each: they bound the similarity of a
+   pair from above, and pairs below the threshold by this bound are not made.
+   Rounds go on until every bucket holds one component or all its members
+   have been hubs, so no pair of a bucket that could join two components is
+   left out.
 3. Candidates are compared batch by batch of their signatures. After each
    batch a pair is dropped if the posterior probability that its similarity
    reaches the threshold is below ``MISS``; the prior is uniform.
@@ -46,8 +51,8 @@ BATCH = 25
 PERMUTATIONS = BANDS * ROWS
 THRESHOLD_PERCENT = 80
 #: Probability at which a pair is given up although it might reach the threshold.
-MISS = 1e-6
-HUB_GROWTH = 4
+MISS = 1e-3
+HUB_GROWTH = 8
 
 _SEED = np.random.Generator(np.random.PCG64(20240607))
 _FACTORS = _SEED.integers(1, 2 ** 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -177,6 +182,24 @@ def _band_rows(signed: DataFrame) -> DataFrame:
     return signed.select(F.explode(bands).alias("bucket"), "id")
 
 
+def _own_shingles(ids: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """(id, own): how many shingles of each text no other of these texts has.
+    Hashes that collide make it smaller, never larger."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_64_intdigest
+
+        for b in batches:
+            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                x = np.fromiter(set(map(xxh3_64_intdigest, shingles(words_of(text or ""), size))), np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), doc_id)), pa.array(x)], ["id", "shingle"])
+
+    found = texts.join(ids, "id", "left_semi").mapInArrow(rows, "id long, shingle long")
+    # min and max differ if two texts have the shingle, not if a text has two rows.
+    alone = found.groupBy("shingle").agg(F.min("id").alias("id"), F.max("id").alias("other")).where("id = other")
+    return alone.groupBy("id").agg(F.count(F.lit(1)).alias("own"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
                     percent: int = THRESHOLD_PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of each row."""
@@ -187,27 +210,39 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = known.select("id", "key").join(classes, "key").select("id", "rep").distinct()
     reps = stored(known.join(classes.withColumnRenamed("key", "its_key"), [F.col("id") == F.col("rep"),
                                                                           F.col("key") == F.col("its_key")])
-                  .select("id", "signature").dropDuplicates(["id"]), "representatives")
+                  .select("id", "n", "signature").dropDuplicates(["id"]), "representatives")
     rep_texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL")
 
     rows = _band_rows(reps)
-    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    buckets = stored(rows.join(shared, "bucket", "left_semi"), "buckets")
+    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("mates")).where("mates > 1")
+    several = stored(rows.join(shared, "bucket"), "buckets")
+    degrees = several.groupBy("id").agg(F.sum("mates").alias("degree"))
+    buckets = stored(several.join(degrees, "id").select("bucket", "id", "degree"), "buckets")
     labels = stored(reps.select("id", F.col("id").alias("label")), "labels")
+    bounds = reps.select("id", "n", F.lit(0).cast("long").alias("own"))
     done, count = 0, 1
     while True:
         now = buckets.join(labels, "id")
-        # Buckets of several components; their members in the order of ids.
+        # Buckets of several components.
         mixed = now.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"),
                                           F.count(F.lit(1)).alias("n"))
         left = stored(now.join(mixed.where(f"low != high AND n > {done}").select("bucket"), "bucket", "left_semi"),
                       "open-buckets")
         if left.isEmpty():
             break
-        turn = F.row_number().over(Window.partitionBy("bucket").orderBy("id"))
+        if done:
+            own = _own_shingles(left.select("id").distinct(), rep_texts, size)
+            bounds = stored(bounds.select("id", "n").join(own, "id", "left")
+                            .select("id", "n", F.coalesce("own", F.lit(0)).alias("own")), "own-shingles")
+        left = left.join(bounds, "id").withColumn("shared", F.col("n") - F.col("own"))
+        turn = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("degree"), "id"))
         hubs = (left.withColumn("turn", turn).where(f"turn <= {done + count}").where(f"turn > {done}")
-                .select("bucket", F.col("id").alias("hub"), F.col("label").alias("hub_label")))
-        pairs = (left.join(hubs, "bucket").where("label != hub_label")
+                .select("bucket", F.col("id").alias("hub"), F.col("label").alias("hub_label"), F.col("n").alias("hub_n"),
+                        F.col("shared").alias("hub_shared")))
+        # At most this many shingles are common, so at least the rest are in the union.
+        common = F.least("shared", "hub_shared")
+        possible = 100 * common >= percent * (F.col("n") + F.col("hub_n") - common)
+        pairs = (left.join(hubs, "bucket").where((F.col("label") != F.col("hub_label")) & possible)
                  .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct())
         links = stored(_verified(pairs, reps, rep_texts, size, percent), "links")
         labels = connected(labels, links)
