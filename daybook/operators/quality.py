@@ -89,7 +89,7 @@ def product_report(df: DataFrame) -> DataFrame:
         n=len(names), args=", ".join(f"'{m}', `{m}`" for m in names))
     scalars = scal.selectExpr(stack).select(
         F.when(F.col("metric").startswith("null:"), F.lit("null_count")).otherwise(F.col("metric")).alias("metric"),
-        F.when(F.col("metric").startswith("null:"), F.substring("metric", 6, 1000)).alias("key"),
+        F.when(F.col("metric").startswith("null:"), F.expr("substring(metric, 6)")).alias("key"),
         F.col("value"))
     status = (df.groupBy("inventory_status").agg(F.count(F.lit(1)).cast("double").alias("value"))
                 .select(F.lit("inventory_status").alias("metric"),

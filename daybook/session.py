@@ -20,9 +20,6 @@ BASE_CONF = {
     # Dimension and fact writes replace only the partitions they touch.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
-    # max(date) over a date-partitioned table (the incremental gates) is
-    # answered from the partition folder names, without reading any file.
-    "spark.sql.optimizer.metadataOnly": "true",
 }
 
 
@@ -52,8 +49,7 @@ def build_session(master: str | None = None, app: str = "daybook",
 def apply_conf(spark: SparkSession) -> None:
     """Pin the runtime options a session handed to us must have."""
     for k in ("spark.sql.session.timeZone",
-              "spark.sql.sources.partitionOverwriteMode",
-              "spark.sql.optimizer.metadataOnly"):
+              "spark.sql.sources.partitionOverwriteMode"):
         spark.conf.set(k, BASE_CONF[k])
 
 
@@ -68,7 +64,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         d = jdir.get() if jdir.isDefined() else None
     if not d:
-        # Unset: only in local runs and tests.
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="daybook-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)

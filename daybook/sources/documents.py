@@ -1,9 +1,11 @@
 """JSON documents -> rows: product pages, review pages, category listings
-and the menu. Parsing is ``from_json`` with a declared schema (absent keys
-and a NULL parent give NULL fields; an unparsable product document is
-flagged by the corrupt-record column and dropped, an unparsable page yields
-no rows), flattening is plain struct field access and
-``explode``. Document builders for the fixtures are here too; every
+and the menu. Parsing is ``from_json``; the fields of products and reviews are
+read as text and cast one by one, so a field of another JSON type ("12.5",
+3.0, []) never costs its document: it keeps its value where that can be read
+as the declared type, and is NULL otherwise. Absent keys and a NULL parent
+give NULL fields. Documents that are not JSON of the expected outer shape are
+``rejected_products`` and ``rejected_pages``. Flattening is plain struct field
+access and ``explode``. Document builders for the fixtures are here too; every
 document they build holds a bounded number of entries (at most
 ``PAGE_SIZE``), however large a product, brand or site becomes."""
 
@@ -17,21 +19,20 @@ from daybook.functions.expressions import last_segment
 
 L, D, S = T.LongType(), T.DoubleType(), T.StringType()
 
-PRODUCT_DOC = T.StructType([
-    T.StructField("id", L), T.StructField("name", S), T.StructField("short_description", S),
-    T.StructField("price", D), T.StructField("list_price", L), T.StructField("discount", L),
-    T.StructField("discount_rate", L), T.StructField("all_time_quantity_sold", L),
-    T.StructField("inventory_status", S),
-    T.StructField("stock_item", T.StructType([T.StructField("qty", L), T.StructField("max_sale_qty", L)])),
-    T.StructField("date", S),
-])
-
-REVIEW = T.StructType([
-    T.StructField("id", L), T.StructField("product_id", L), T.StructField("title", S),
-    T.StructField("content", S), T.StructField("rating", L), T.StructField("created_at", L),
-    T.StructField("created_by", T.StructType([T.StructField("purchased_at", L)])),
-    T.StructField("date", S),
-])
+# Declared types of the flattened fields; documents are read as text.
+PRODUCT_FIELDS = [("id", L), ("name", S), ("short_description", S), ("price", D), ("list_price", L), ("discount", L),
+                  ("discount_rate", L), ("all_time_quantity_sold", L), ("inventory_status", S), ("date", S)]
+STOCK_FIELDS = [("qty", L), ("max_sale_qty", L)]
+REVIEW_FIELDS = [("id", L), ("product_id", L), ("title", S), ("content", S), ("rating", L), ("created_at", L), ("date", S)]
+BUYER_FIELDS = [("purchased_at", L)]
+
+
+def _as_text(fields: list[tuple[str, T.DataType]], *more: str) -> T.StructType:
+    return T.StructType([T.StructField(n, S) for n in [*(f[0] for f in fields), *more]])
+
+
+PRODUCT_DOC = _as_text(PRODUCT_FIELDS, "stock_item")
+REVIEW = _as_text(REVIEW_FIELDS, "created_by")
 REVIEW_PAGE = T.StructType([T.StructField("data", T.ArrayType(REVIEW))])
 
 LISTING = T.StructType([T.StructField("data", T.ArrayType(T.StructType([T.StructField("id", L)])))])
@@ -48,28 +49,55 @@ PAGE_SIZE = 1000
 CORRUPT = "_corrupt_record"
 
 
-def flatten_products(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
-    """One row per product document; a document that does not parse is
-    dropped (flagged through the corrupt-record column, since a malformed
-    document otherwise parses to a row of NULLs)."""
+def _typed(text: Column, kind: T.DataType) -> Column:
+    """The declared type of a field read as text; a whole-number field written
+    as a decimal is cut to its whole part, as a cast of the number would."""
+    if kind == S:
+        return text
+    if kind == L:
+        return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+    return text.try_cast(kind)
+
+
+def _fields(parent: str, fields: list[tuple[str, T.DataType]]) -> dict[str, Column]:
+    return {n: _typed(F.col(f"{parent}.{n}"), t).alias(n) for n, t in fields}
+
+
+def _parsed_products(docs: DataFrame, doc_col: str) -> DataFrame:
     schema = T.StructType(PRODUCT_DOC.fields + [T.StructField(CORRUPT, S)])
-    p = (docs.select(F.from_json(doc_col, schema, {"mode": "PERMISSIVE",
-                                                   "columnNameOfCorruptRecord": CORRUPT}).alias("p"))
-             .where(F.col("p").isNotNull() & F.col(f"p.{CORRUPT}").isNull()))
-    return p.select(
-        "p.id", "p.name", "p.short_description", "p.price", "p.list_price", "p.discount",
-        "p.discount_rate", "p.all_time_quantity_sold", "p.inventory_status",
-        F.col("p.stock_item.qty").alias("stock_item_qty"),
-        F.col("p.stock_item.max_sale_qty").alias("stock_item_max_sale_qty"),
-        "p.date")
+    return docs.select(F.col(doc_col).alias("doc"), F.from_json(
+        doc_col, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("p"))
+
+
+def flatten_products(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
+    """One row per product document that is JSON, whatever its fields' types."""
+    p = (_parsed_products(docs, doc_col).where(F.col("p").isNotNull() & F.col(f"p.{CORRUPT}").isNull())
+         .withColumn("stock", F.from_json("p.stock_item", _as_text(STOCK_FIELDS))))
+    out = _fields("p", PRODUCT_FIELDS)
+    date = out.pop("date")
+    return p.select(*out.values(), *(c.alias(f"stock_item_{n}") for n, c in _fields("stock", STOCK_FIELDS).items()), date)
+
+
+def rejected_products(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
+    """The product documents that ``flatten_products`` cannot read."""
+    p = _parsed_products(docs, doc_col)
+    return p.where(F.col("p").isNull() | F.col(f"p.{CORRUPT}").isNotNull()).select("doc")
 
 
 def flatten_reviews(pages: DataFrame, doc_col: str = "doc") -> DataFrame:
     """Review pages ``{data: [review, ...]}`` -> one row per review, all
     pages appended."""
-    r = (pages.select(F.explode(F.from_json(doc_col, REVIEW_PAGE).getField("data")).alias("r")))
-    return r.select("r.id", "r.product_id", "r.title", "r.content", "r.rating", "r.created_at",
-                    F.col("r.created_by.purchased_at").alias("purchased_at"), "r.date")
+    r = (pages.select(F.explode(F.from_json(doc_col, REVIEW_PAGE).getField("data")).alias("r"))
+         .withColumn("buyer", F.from_json("r.created_by", _as_text(BUYER_FIELDS))))
+    out = _fields("r", REVIEW_FIELDS)
+    date = out.pop("date")
+    return r.select(*out.values(), *_fields("buyer", BUYER_FIELDS).values(), date)
+
+
+def rejected_pages(pages: DataFrame, doc_col: str = "doc") -> DataFrame:
+    """The review pages without a readable ``data`` array."""
+    return (pages.where(F.from_json(doc_col, REVIEW_PAGE).getField("data").isNull())
+            .select(F.col(doc_col).alias("doc")))
 
 
 def explode_listing(listings: DataFrame, doc_col: str = "doc",

@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 from pyspark.sql import functions as F
 
@@ -49,3 +50,26 @@ def test_stamps(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 30, 7, 41, 12),)], "ts timestamp")
     r = df.select(X.run_stamp("ts").alias("a"), X.day_stamp("ts").alias("b")).first()
     assert (r.a, r.b) == ("20240130_074112", "2024-01-30")
+
+
+def test_drifting_field_types_keep_the_document(spark):
+    docs = [{"id": 1, "price": "12.5", "all_time_quantity_sold": 3.0}, {"id": "2", "discount": 1.5, "stock_item": []},
+            {"id": 3, "stock_item": {"qty": "7", "max_sale_qty": 8.0}, "name": 5}]
+    df = spark.createDataFrame([(json.dumps(d),) for d in docs] + [("{broken",), (None,)], "doc string")
+    got = {r["id"]: r for r in DOC.flatten_products(df).collect()}
+    assert set(got) == {1, 2, 3}
+    assert (got[1]["price"], got[1]["all_time_quantity_sold"], got[2]["discount"]) == (12.5, 3, 1)
+    assert (got[3]["stock_item_qty"], got[3]["stock_item_max_sale_qty"], got[3]["name"]) == (7, 8, "5")
+    assert got[2]["stock_item_qty"] is None
+    assert DOC.rejected_products(df).count() == 2
+    page = {"data": [{"id": 1, "rating": "5", "created_by": {"purchased_at": "9"}}, {"id": 2, "rating": 4.5, "created_by": []}]}
+    pages = spark.createDataFrame([(json.dumps(page),), ("{broken",)], "doc string")
+    got = {r["id"]: (r["rating"], r["purchased_at"]) for r in DOC.flatten_reviews(pages).collect()}
+    assert got == {1: (5, 9), 2: (4, None)} and DOC.rejected_pages(pages).count() == 1
+
+
+def test_gate_ignores_partitions_of_empty_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1,)], "id int").write.parquet(f"{path}/d=2024-01-01")
+    spark.createDataFrame([], "id int").write.parquet(f"{path}/d=2024-05-01")
+    assert str(spark.read.parquet(path).agg({"d": "max"}).first()[0]) == "2024-01-01"
