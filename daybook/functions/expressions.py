@@ -41,8 +41,6 @@ PRODUCT_DEFAULTS = {
 # facts with >.
 DIM_FLOOR_DATE = "1900-01-01"
 FACT_FLOOR_DATE = "1900-12-31"
-# Open end of a validity interval when one must be spelled out.
-OPEN_END_DATE = "9999-12-31"
 # Stamp formats of landed files: run stamp and day stamp.
 RUN_STAMP_FORMAT = "yyyyMMdd_HHmmss"
 DAY_FORMAT = "yyyy-MM-dd"

@@ -174,10 +174,10 @@ def scd2_apply(target: DataFrame, batch: DataFrame, spec: Scd2Spec,
     return keyed_upsert(target, delta, [spec.key, "effective_date"])
 
 
-def scd2_merge(target: DataFrame, batch: DataFrame, spec: Scd2Spec,
-               mode: str = AS_WRITTEN, load_col: str = "load_date") -> DataFrame:
-    """Target after merging a batch that may span several load dates, in one
-    job and with the same result as applying its dates one by one.
+def scd2_merge_delta(target: DataFrame, batch: DataFrame, spec: Scd2Spec,
+                     mode: str = AS_WRITTEN, load_col: str = "load_date") -> DataFrame:
+    """The rows that a batch of several load dates writes into the dimension,
+    in one job and with the same result as applying its dates one by one.
 
     The active versions of the batch's keys seed the same window pass that
     ``scd2_history`` runs: every seed is older than the batch rows of its
@@ -185,7 +185,7 @@ def scd2_merge(target: DataFrame, batch: DataFrame, spec: Scd2Spec,
     only be closed by a batch row, and under the as-written rule an active
     seed never differs from a later active seed (it would have been closed),
     so the window end dates are exactly the loop's. Seeds whose end did not
-    change are not rewritten."""
+    change are not written."""
     target = target.select(*spec.value_columns, *VALIDITY)
     inc = incoming(target, batch, spec, load_col)
     keys = inc.select(spec.key).distinct()
@@ -199,5 +199,12 @@ def scd2_merge(target: DataFrame, batch: DataFrame, spec: Scd2Spec,
         out = _strict_runs(rows, spec, ("_seed",))
     else:
         raise ValueError(f"unknown SCD2 mode {mode!r}")
-    delta = out.where(~F.col("_seed") | F.col("end_date").isNotNull()).drop("_seed")
+    return out.where(~F.col("_seed") | F.col("end_date").isNotNull()).drop("_seed")
+
+
+def scd2_merge(target: DataFrame, batch: DataFrame, spec: Scd2Spec,
+               mode: str = AS_WRITTEN, load_col: str = "load_date") -> DataFrame:
+    """Target after merging a batch that may span several load dates."""
+    target = target.select(*spec.value_columns, *VALIDITY)
+    delta = scd2_merge_delta(target, batch, spec, mode, load_col)
     return keyed_upsert(target, delta, [spec.key, "effective_date"])

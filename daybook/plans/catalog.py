@@ -395,12 +395,43 @@ def q_partitioned_overwrite_roundtrip(w: Warehouse) -> DataFrame:
     return K.conform(w.spark.read.schema(K.FACT_PRODUCTS).parquet(root), K.FACT_PRODUCTS)
 
 
+@query("raw_append_two_batches", O.CLEAN_PRODUCTS_BY_DAY)
+def q_raw_append_two_batches(w: Warehouse) -> DataFrame:
+    """Two batches of the same days appended to the raw table, the second one
+    run twice: every row of both is there once."""
+    root = scratch_path(w.spark, "raw")
+    clean, even = w.clean_products_by_day, F.col("id") % 2 == 0
+    SK.append_run(clean.where(even), root, "a")
+    for _ in range(2):
+        SK.append_run(clean.where(~even), root, "b")
+    return K.conform(w.spark.read.schema(K.CLEAN_PRODUCTS).parquet(root), K.CLEAN_PRODUCTS)
+
+
+def _backfill(w: Warehouse) -> PL.DailyWarehouse:
+    return PL.backfill(w.spark, scratch_path(w.spark, "backfill"), w.raw_products, w.raw_comments)
+
+
+@query("backfill_dim_products", O.DIM_PRODUCTS)
+def q_backfill_dim_products(w: Warehouse) -> DataFrame:
+    """The stored product dimension after a catch-up run over all days."""
+    return _backfill(w).dim_products.read()
+
+
+@query("backfill_dim_comments", O.DIM_COMMENTS_STG)
+def q_backfill_dim_comments(w: Warehouse) -> DataFrame:
+    return _backfill(w).dim_comments.read()
+
+
+@query("backfill_fact_comments", O.FACT_COMMENTS)
+def q_backfill_fact_comments(w: Warehouse) -> DataFrame:
+    return _backfill(w).fact_comments()
+
+
 @query("backfill_row_counts", O.DAILY_ROW_COUNTS)
 def q_backfill_row_counts(w: Warehouse) -> DataFrame:
     """All load days caught up in one backfill run: the stored tables must
     hold the same rows as after the day-by-day runs."""
-    pl = PL.backfill(w.spark, scratch_path(w.spark, "backfill"), w.raw_products, w.raw_comments)
-    return pl.row_counts()
+    return _backfill(w).row_counts()
 
 
 @query("daily_runs_row_counts", O.DAILY_ROW_COUNTS)
@@ -452,7 +483,7 @@ def q_scd2_merge_comments_many_days(w: Warehouse) -> DataFrame:
 def q_stream_scd2_available_now(w: Warehouse) -> DataFrame:
     """Product documents landed day by day, consumed as a file stream with
     an AvailableNow trigger (two files per micro-batch) and merged into a
-    versioned dimension by foreachBatch: equals the one-job history."""
+    stored dimension by foreachBatch: equals the one-job history."""
     root = scratch_path(w.spark, "stream")
     STR.land_days_in_order(w.raw_products, f"{root}/landing")
     dim = SK.Scd2Store(w.spark, f"{root}/dim_products", K.DIM_PRODUCTS, "product_id")

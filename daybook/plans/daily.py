@@ -1,19 +1,22 @@
 """The daily batch: land -> clean -> append raw -> stage -> dimensions ->
-facts -> data tests, for one run date (any day can be rebuilt).
+facts -> data tests, for one run date.
 
 Storage layout under ``root`` (a shared folder on a cluster):
 
-* ``raw/products``, ``raw/comments`` — cleaned rows partitioned by ``date``;
-  a run replaces its own day (dynamic partition overwrite), so a re-run
-  does not duplicate the day.
-* ``dim_products``, ``dim_comments`` — ``Scd2Store``: each run rewrites only
-  the open versions and adds the versions it closed, in one write committed
-  by a marker; partitioned by ``effective_date``, clustered by ``product_id``.
-  A run's cost follows the open set and the batch, not the history.
+* ``raw/products``, ``raw/comments`` — cleaned rows under
+  ``run_ts=<run>/date=<day>``: each run appends a folder of its own, so a
+  second batch of a day, a late document or one without a date removes
+  nothing, and a re-run replaces only its own rows.
+* ``staging/products``, ``staging/comments`` — the run's staged rows, written
+  once and read by every later step.
+* ``dim_products``, ``dim_comments`` — ``Scd2Store``: each run writes the
+  versions it inserts or ends, committed by a marker.
 * ``fact_products``, ``fact_comments`` — partitioned by ``snapshot_date``; a
   run only ever adds its own snapshot partition (the gate admits nothing
   older than the newest snapshot), so writing that partition is the whole
   upsert and the fact history is never rewritten.
+* ``reports/tests``, ``reports/quality`` — a folder ``run_ts=<run>`` for each
+  run: the data tests and the quality report, computed in the run.
 
 Each written table cuts the lineage for the next step, so a run's plans
 stay short however many runs came before.
@@ -21,6 +24,9 @@ stay short however many runs came before.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -35,6 +41,7 @@ from daybook.operators import scd2 as S
 from daybook.operators import staging as ST
 from daybook.sinks import tables as SK
 from daybook.sources import contracts as K
+from daybook.sources import readers as RD
 
 
 @dataclass
@@ -61,16 +68,19 @@ class Layout:
         return f"{self.root}/fact_comments"
 
 
+def _together(*steps: Callable):
+    """Results of independent steps, whose Spark jobs run side by side."""
+    with ThreadPoolExecutor(max(1, len(steps))) as pool:
+        return [f.result() for f in [pool.submit(step) for step in steps]]
+
+
 class DailyWarehouse:
-    def __init__(self, spark: SparkSession, root: str, mode: str = S.AS_WRITTEN,
-                 keep_versions: int = 3):
-        """``keep_versions``: committed dimension versions kept for rollback."""
+    def __init__(self, spark: SparkSession, root: str, mode: str = S.AS_WRITTEN):
         self.spark, self.layout, self.mode = spark, Layout(root), mode
-        self.keep_versions = keep_versions
         self.dim_products = SK.Scd2Store(spark, f"{self.layout.root}/dim_products",
                                          K.DIM_PRODUCTS, "product_id")
         self.dim_comments = SK.Scd2Store(spark, f"{self.layout.root}/dim_comments",
-                                         K.DIM_COMMENTS, "product_id", tiebreak=("comment_id",))
+                                         K.DIM_COMMENTS, "comment_id", cluster_col="product_id")
         self.metrics: list[dict] = []
 
     # -------------------------------------------------------------- readers
@@ -81,15 +91,25 @@ class DailyWarehouse:
         return K.conform(self.spark.read.schema(contract).parquet(path), contract)
 
     def _raw_day(self, path: str, run_date: str, contract) -> DataFrame:
-        """One day of a raw table: read that partition folder only."""
-        day = f"{path}/date={run_date}"
+        """One day of a raw table: read that day's folder of each run only."""
+        day = f"{path}/run_ts=*/date={run_date}"
         fs, p = SK._fs(self.spark, day)
-        if not fs.exists(p):
+        if not fs.globStatus(p):
             return K.empty(self.spark, contract)
         part = StructType([f for f in contract.fields if f.name != "date"])
         return K.conform(self.spark.read.schema(part).parquet(day)
                          .withColumn("date", F.lit(run_date).cast("date")), contract)
 
+    def _stored(self, df: DataFrame, path: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{self.layout.root}/{path}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.layout.root}/{path}")
+
+    def reports(self, kind: str) -> DataFrame:
+        """Every run's report rows: ``kind`` is ``tests`` or ``quality``."""
+        return (self.spark.read.option("basePath", f"{self.layout.root}/reports/{kind}")
+                .parquet(f"{self.layout.root}/reports/{kind}/run_ts=*")
+                .withColumn("run_ts", F.col("run_ts").cast("string")))
+
     def fact_products(self) -> DataFrame:
         return self._read_or_empty(self.layout.fact_products, K.FACT_PRODUCTS)
 
@@ -104,67 +124,92 @@ class DailyWarehouse:
 
     # ------------------------------------------------------------------ run
     def run_batch(self, run_date: str, products: DataFrame | None,
-                  comments: DataFrame | None) -> DataFrame:
-        """Run one day. ``products`` / ``comments`` are that day's landed raw
-        documents (either may be None). Returns the data-test report."""
-        lay = self.layout
+                  comments: DataFrame | None, run_ts: str | None = None) -> DataFrame:
+        """Run one day. ``products`` / ``comments`` are landed raw documents
+        (either may be None). ``run_ts`` names the run: a run of the same name
+        replaces the raw rows of the one before, another name (a second batch
+        of the day) adds to them; the run date if None. Returns the run's
+        data-test report, which is stored."""
+        run, lay = run_ts or run_date, self.layout
+
+        def raw(name: str, clean: DataFrame, path: str) -> Callable:
+            def step() -> dict:
+                obs = Observation(f"{name}_{run}")
+                SK.append_run(Q.observed_metrics(clean, obs), path, run)
+                return {"run_date": run_date, "table": name, **obs.get}
+            return step
+
+        steps = []
         if products is not None:
-            obs = Observation(f"products_{run_date}")
-            clean = Q.observed_metrics(C.clean_products(products), obs)
-            SK.overwrite_partitions(clean, lay.raw_products, "date")
-            self.metrics.append({"run_date": run_date, "table": "products", **obs.get})
+            steps.append(raw("products", C.clean_products(products), lay.raw_products))
         if comments is not None:
-            obs = Observation(f"comments_{run_date}")
-            clean = Q.observed_metrics(C.clean_comments(comments, run_date), obs)
-            SK.overwrite_partitions(clean, lay.raw_comments, "date")
-            self.metrics.append({"run_date": run_date, "table": "comments", **obs.get})
-
-        stg_p = ST.stage_products(self._raw_day(lay.raw_products, run_date, K.CLEAN_PRODUCTS), run_date)
-        stg_c = ST.stage_comments(self._raw_day(lay.raw_comments, run_date, K.CLEAN_COMMENTS), run_date)
-
-        if products is not None:
-            dim = S.scd2_apply(self.dim_products.read_open(), stg_p, S.PRODUCTS, self.mode)
-            self.dim_products.write(dim)
-            self.dim_products.vacuum(self.keep_versions)
-            delta = FA.fact_products_delta(stg_p, self.fact_products())
-            SK.write_clustered(delta, lay.fact_products, "snapshot_date", "product_id", mode="overwrite")
-        if comments is not None:
-            dim = S.scd2_apply(self.dim_comments.read_open(), stg_c, S.COMMENTS, self.mode)
-            self.dim_comments.write(dim)
-            self.dim_comments.vacuum(self.keep_versions)
-            delta = FA.fact_comments_delta(stg_c, self.dim_products.read_open(), self.fact_comments())
-            SK.write_clustered(delta, lay.fact_comments, "snapshot_date", "product_id", mode="overwrite",
-                               tiebreak=("comment_id",))
-        return self.tests(stg_p, stg_c)
+            steps.append(raw("comments", C.clean_comments(comments, run_date), lay.raw_comments))
+        self.metrics += _together(*steps)
+        stg_p, stg_c = self._stage(
+            ST.stage_products(self._raw_day(lay.raw_products, run_date, K.CLEAN_PRODUCTS), run_date),
+            ST.stage_comments(self._raw_day(lay.raw_comments, run_date, K.CLEAN_COMMENTS), run_date))
+        return self._load(run, stg_p, stg_c, products is not None, comments is not None, S.scd2_delta,
+                          lambda: FA.fact_comments_delta(stg_c, self.dim_products.read_open(), self.fact_comments()))
 
     def run_range(self, start: str, end: str, products: DataFrame | None,
-                  comments: DataFrame | None) -> DataFrame:
+                  comments: DataFrame | None, run_ts: str | None = None) -> DataFrame:
         """Catch up every day in [start, end] in one pass: the same tables as
         running ``run_batch`` for each day in order, with one job per step
-        instead of one per day (dimensions via ``scd2_merge``, the review fact
-        via the as-of activity test). ``products`` / ``comments`` hold the
+        instead of one per day (dimensions via ``scd2_merge_delta``, the review
+        fact via the as-of activity test). ``products`` / ``comments`` hold the
         landed documents of those days."""
-        lay = self.layout
+        run, lay = run_ts or f"{start}_{end}", self.layout
+        steps = []
         if products is not None:
-            SK.overwrite_partitions(C.clean_products(products, dedupe_keys=["id", "date"]),
-                                    lay.raw_products, "date")
+            clean_p = C.clean_products(products, dedupe_keys=["id", "date"])
+            steps.append(lambda: SK.append_run(clean_p, lay.raw_products, run))
         if comments is not None:
-            SK.overwrite_partitions(C.clean_comments(comments, None), lay.raw_comments, "date")
+            clean_c = C.clean_comments(comments, None)
+            steps.append(lambda: SK.append_run(clean_c, lay.raw_comments, run))
+        _together(*steps)
         lo, hi = F.lit(start).cast("date"), F.lit(end).cast("date")
-        stg_p = ST.stage_products(self.raw_products().where(F.col("date").between(lo, hi)))
-        stg_c = ST.stage_comments(self.raw_comments().where(F.col("date").between(lo, hi)))
-        if products is not None:
-            self.dim_products.write(S.scd2_merge(self.dim_products.read_open(), stg_p, S.PRODUCTS, self.mode))
-            self.dim_products.vacuum(self.keep_versions)
-            delta = FA.fact_products_delta(stg_p, self.fact_products())
-            SK.write_clustered(delta, lay.fact_products, "snapshot_date", "product_id", mode="overwrite")
-        if comments is not None:
-            self.dim_comments.write(S.scd2_merge(self.dim_comments.read_open(), stg_c, S.COMMENTS, self.mode))
-            self.dim_comments.vacuum(self.keep_versions)
-            delta = FA.fact_comments_delta_asof(stg_c, self.dim_products.read(), self.fact_comments())
-            SK.write_clustered(delta, lay.fact_comments, "snapshot_date", "product_id", mode="overwrite",
+        stg_p, stg_c = self._stage(
+            ST.stage_products(self.raw_products().where(F.col("date").between(lo, hi))),
+            ST.stage_comments(self.raw_comments().where(F.col("date").between(lo, hi))))
+        return self._load(run, stg_p, stg_c, products is not None, comments is not None, S.scd2_merge_delta,
+                          lambda: FA.fact_comments_delta_asof(stg_c, self.dim_products.read(), self.fact_comments()))
+
+    def _stage(self, stg_p: DataFrame, stg_c: DataFrame) -> list[DataFrame]:
+        return _together(lambda: self._stored(stg_p, "staging/products"),
+                         lambda: self._stored(stg_c, "staging/comments"))
+
+    def _load(self, run: str, stg_p: DataFrame, stg_c: DataFrame, with_products: bool, with_comments: bool,
+              delta: Callable, comment_facts: Callable) -> DataFrame:
+        """Dimensions, facts and reports from the staged rows of a run."""
+        lay = self.layout
+        steps = [lambda: self._report(run, with_products, with_comments)]
+        if with_products:
+            steps += [lambda: self.dim_products.write(delta(self.dim_products.read_open(), stg_p, S.PRODUCTS, self.mode)),
+                      lambda: SK.write_clustered(FA.fact_products_delta(stg_p, self.fact_products()), lay.fact_products,
+                                                 "snapshot_date", "product_id", mode="overwrite")]
+        if with_comments:
+            steps.append(lambda: self.dim_comments.write(
+                delta(self.dim_comments.read_open(), stg_c, S.COMMENTS, self.mode)))
+        _together(*steps)
+        if with_comments:  # needs the products' new versions
+            SK.write_clustered(comment_facts(), lay.fact_comments, "snapshot_date", "product_id", mode="overwrite",
                                tiebreak=("comment_id",))
-        return self.tests(stg_p, stg_c)
+        return self._stored(self.tests(stg_p, stg_c).coalesce(1), f"reports/tests/run_ts={run}")
+
+    def _report(self, run: str, with_products: bool, with_comments: bool) -> None:
+        """The whole quality report on the raw rows that this run wrote."""
+        def own(path: str, contract) -> DataFrame:
+            return K.conform(self.spark.read.schema(contract).parquet(f"{path}/run_ts={run}"), contract)
+
+        parts = []
+        if with_products:
+            parts.append(Q.product_report(own(self.layout.raw_products, K.CLEAN_PRODUCTS))
+                         .select(F.lit("products").alias("table_name"), "*"))
+        if with_comments:
+            parts.append(Q.comments_report(own(self.layout.raw_comments, K.CLEAN_COMMENTS))
+                         .select(F.lit("comments").alias("table_name"), "*"))
+        if parts:
+            self._stored(CH.union_all(parts).coalesce(1), f"reports/quality/run_ts={run}")
 
     def tests(self, stg_p: DataFrame, stg_c: DataFrame) -> DataFrame:
         """The warehouse's declared tests on the current state."""
@@ -205,7 +250,16 @@ def land_by_day(df: DataFrame, root: str, entity: str) -> str:
 
 
 def landed_day(spark: SparkSession, path: str, day: str, contract) -> DataFrame:
-    return K.conform(spark.read.parquet(path).where(F.col("date") == day), contract)
+    """One landed day, read with the schema its own files carry."""
+    fs, p = SK._fs(spark, f"{path}/date={day}")
+    return RD.read_landed_days(spark, path, [day], contract) if fs.exists(p) else K.empty(spark, contract)
+
+
+def landed_days(spark: SparkSession, path: str) -> list[str]:
+    """The days that have a folder (one entry a day)."""
+    fs, p = SK._fs(spark, path)
+    days = [st.getPath().getName().removeprefix("date=") for st in fs.listStatus(p) if st.isDirectory()]
+    return sorted(d for d in days if re.fullmatch(r"\d{4}-\d\d-\d\d", d))
 
 
 def run_days(spark: SparkSession, root: str, raw_products: DataFrame, raw_comments: DataFrame,
@@ -216,15 +270,11 @@ def run_days(spark: SparkSession, root: str, raw_products: DataFrame, raw_commen
     pl = DailyWarehouse(spark, root, mode)
     lp = land_by_day(raw_products, root, "products")
     lc = land_by_day(raw_comments, root, "comments")
-    p_days = {r[0] for r in spark.read.parquet(lp).select(F.col("date").cast("string")).distinct().collect()}
-    c_days = {r[0] for r in spark.read.parquet(lc).select(F.col("date").cast("string")).distinct().collect()}
-    report = None
+    p_days, c_days = (set(landed_days(spark, p)) for p in (lp, lc))
     for day in sorted(p_days | c_days):
         p = landed_day(spark, lp, day, K.RAW_PRODUCTS) if day in p_days else None
         c = landed_day(spark, lc, day, K.RAW_COMMENTS) if day in c_days else None
-        report = pl.run_batch(day, p, c)
-    # The test report is a handful of rows (one per declared test).
-    pl.last_report = report.collect() if report is not None else []
+        pl.run_batch(day, p, c)
     return pl
 
 
@@ -234,8 +284,8 @@ def backfill(spark: SparkSession, root: str, raw_products: DataFrame, raw_commen
     pl = DailyWarehouse(spark, root, mode)
     lp = land_by_day(raw_products, root, "products")
     lc = land_by_day(raw_comments, root, "comments")
-    p = K.conform(spark.read.parquet(lp), K.RAW_PRODUCTS)
-    c = K.conform(spark.read.parquet(lc), K.RAW_COMMENTS)
-    bounds = p.select("date").unionByName(c.select("date")).agg(F.min("date"), F.max("date")).first()
-    pl.last_report = pl.run_range(bounds[0], bounds[1], p, c).collect()
+    p_days, c_days = (landed_days(spark, p) for p in (lp, lc))
+    p = RD.read_landed_days(spark, lp, p_days, K.RAW_PRODUCTS)
+    c = RD.read_landed_days(spark, lc, c_days, K.RAW_COMMENTS)
+    pl.run_range(min(p_days + c_days), max(p_days + c_days), p, c)
     return pl

@@ -1,11 +1,10 @@
-"""Writers: landing files, partitioned appends and overwrites, clustered
-layout, and versioned tables for targets that a job both reads and rewrites.
+"""Writers: landing files, appends per run, partitioned appends and
+overwrites, clustered layout, and the store of a dimension.
 
 Overwriting a Parquet path that the same plan reads fails and can leave the
-path empty, and an SCD2 merge rewrites rows in old effective-date
-partitions. So a dimension is written as a new version folder and committed
-by a marker file created last: a failed or retried job leaves the previous
-version intact, and readers never see a half-written table."""
+path empty. So each run of a dimension writes its changes into a folder of
+its own, committed by a marker file created last: a failed or retried job
+leaves the table as it was, and readers never see half a run."""
 
 from __future__ import annotations
 
@@ -47,6 +46,17 @@ def append_partitioned(df: DataFrame, path: str, partition_col: str = "date") ->
     df.write.mode("append").partitionBy(partition_col).parquet(path)
 
 
+def append_run(df: DataFrame, path: str, run: str, partition_col: str = "date") -> None:
+    """Append one run's rows under ``run_ts=<run>/<partition_col>=<day>``. A
+    re-run of the same ``run`` replaces what it wrote and nothing else: other
+    runs' rows of the same day, or without a day, stay. ``run`` is part of a
+    path, so it must not hold ``/``, ``:`` or glob characters."""
+    if not re.fullmatch(r"[\w.+-]+", run):
+        raise ValueError(f"run name {run!r} cannot be a folder name")
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+       .partitionBy(partition_col).parquet(f"{path}/run_ts={run}"))
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_col: str) -> None:
     """Replace only the partitions present in ``df`` (dynamic overwrite);
     every other partition under ``path`` is kept."""
@@ -74,7 +84,7 @@ def write_clustered(df: DataFrame, path: str, partition_col: str, cluster_col: s
        .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
 
 
-# ----------------------------------------------------------- versioned table
+# ------------------------------------------------------------ dimension store
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark._jvm
@@ -82,115 +92,24 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-class VersionedTable:
-    """A table stored as ``<root>/v=<n>`` folders. A version is live once its
-    ``_COMMITTED`` marker exists; the marker is created after the data write
-    has fully committed, and the newest committed version is the table.
-    Nothing is deleted or renamed: a crash at any point leaves the previous
-    version live, and a retried run rewrites the uncommitted folder."""
-
-    MARKER = "_COMMITTED"
-
-    def __init__(self, spark: SparkSession, root: str, contract: T.StructType,
-                 partition_col: str | None = None, cluster_col: str | None = None,
-                 tiebreak: tuple[str, ...] = ()):
-        self.spark, self.root = spark, root.rstrip("/")
-        self.contract, self.partition_col, self.cluster_col = contract, partition_col, cluster_col
-        self.tiebreak = tiebreak
-
-    def _versions(self) -> list[int]:
-        fs, p = _fs(self.spark, self.root)
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            m = re.fullmatch(r"v=(\d+)", st.getPath().getName())
-            if m and st.isDirectory():
-                out.append(int(m.group(1)))
-        return sorted(out)
-
-    def _committed(self, version: int) -> bool:
-        fs, p = _fs(self.spark, f"{self.path(version)}/{self.MARKER}")
-        return bool(fs.exists(p))
-
-    def current_version(self) -> int | None:
-        for v in reversed(self._versions()):
-            if self._committed(v):
-                return v
-        return None
-
-    def path(self, version: int) -> str:
-        return f"{self.root}/v={version:08d}"
-
-    def read(self) -> DataFrame:
-        v = self.current_version()
-        if v is None:
-            return empty(self.spark, self.contract)
-        # The contract is the file schema: no footer sampling on read.
-        return conform(self.spark.read.schema(self.contract).parquet(self.path(v)), self.contract)
-
-    def write(self, df: DataFrame) -> int:
-        """Write ``df`` as the next version and commit it. ``df`` may read the
-        current version: the output goes to a new folder."""
-        committed = self.current_version() or 0
-        # Any folder above the committed one is a failed attempt; reuse its number.
-        v = committed + 1
-        out = conform(df, self.contract)
-        w = out
-        if self.partition_col and self.cluster_col:
-            w = clustered(out, self.partition_col, self.cluster_col, self.tiebreak)
-        # Static overwrite: a retry must clear every partition a crashed
-        # attempt left in this version folder, not only those it rewrites.
-        writer = w.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        if self.partition_col:
-            writer = writer.partitionBy(self.partition_col)
-        writer.parquet(self.path(v))
-        fs, p = _fs(self.spark, f"{self.path(v)}/{self.MARKER}")
-        fs.create(p, True).close()
-        return v
-
-    def vacuum(self, keep: int = 3) -> list[int]:
-        """Remove versions older than the newest ``keep`` committed ones
-        (kept for rollback), including abandoned attempts below them. Every
-        daily run writes a whole version, so without this the storage grows
-        with days x table size. Returns the removed version numbers."""
-        current = self.current_version()
-        if current is None:
-            return []
-        committed = [v for v in self._versions() if self._committed(v)]
-        kept = set(committed[-keep:]) if keep > 0 else {current}
-        floor = min(kept)
-        removed = [v for v in self._versions() if v < floor]
-        for v in removed:
-            fs, p = _fs(self.spark, self.path(v))
-            fs.delete(p, True)
-        return removed
-
-
 class Scd2Store:
-    """Storage for a type-2 dimension whose daily cost follows the open
-    versions, not the whole history.
-
-    A closed version (``end_date`` set) never changes again; only open
-    versions can be closed or re-stated. Each run writes, in one job, the
-    folder ``v=<n>`` with ``state=open`` (the complete new open set) and
-    ``state=closed`` (only the versions this run closed), both partitioned by
-    ``effective_date``, then creates ``v=<n>/_COMMITTED``. The table is the
-    open part of the newest committed run plus the closed parts of all
-    committed runs, selected by partition pruning on (v, state); a crashed
-    run is invisible and its retry overwrites its folder.
-
-    Merges need only the open rows: the newest effective date, every (key,
-    date) a batch could repeat and every version a batch could close are all
-    open. So a run reads and rewrites the open set plus the batch, and the
-    closed history is never read or rewritten by the merge."""
+    """Storage for a type-2 dimension whose runs write only what they change.
+
+    Each run writes one folder ``v=<n>`` in one job: ``state=new`` holds the
+    versions it inserted and ``state=closed`` those it ended, each in full
+    with its end date. ``v=<n>/_COMMITTED`` is created last, so a crashed run
+    is invisible and its retry overwrites its folder; nothing else is ever
+    rewritten, moved or deleted. A version ends at most once, so the table is
+    the closed versions plus the new ones that no later run closed (an anti
+    join on the key and the effective date). What a run writes follows its
+    batch, however large the dimension has grown."""
 
     MARKER = "_COMMITTED"
 
     def __init__(self, spark: SparkSession, root: str, contract: T.StructType,
-                 cluster_col: str, tiebreak: tuple[str, ...] = ()):
-        self.spark, self.root, self.contract = spark, root.rstrip("/"), contract
-        self.cluster_col, self.tiebreak = cluster_col, tiebreak
+                 key: str, cluster_col: str | None = None):
+        self.spark, self.root, self.contract, self.key = spark, root.rstrip("/"), contract, key
+        self.sort_cols = list(dict.fromkeys([cluster_col or key, key]))
         self._schema = T.StructType(contract.fields + [
             T.StructField("v", T.IntegerType()), T.StructField("state", T.StringType())])
 
@@ -215,51 +134,32 @@ class Scd2Store:
                 return v
         return None
 
-    def _scan(self, cond) -> DataFrame:
+    def _state(self, state: str) -> DataFrame:
         v = self.current_version()
         if v is None:
             return empty(self.spark, self.contract)
         df = self.spark.read.schema(self._schema).parquet(self.root)
-        return conform(df.where(cond(v)), self.contract)
+        return conform(df.where((F.col("v") <= v) & (F.col("state") == state)), self.contract)
 
     def read_open(self) -> DataFrame:
-        return self._scan(lambda v: (F.col("v") == v) & (F.col("state") == "open"))
+        ended = self._state("closed").select(self.key, "effective_date")
+        return (self._state("new").join(ended, [self.key, "effective_date"], "left_anti")
+                .select(*self.contract.fieldNames()))
 
     def read(self) -> DataFrame:
-        return self._scan(lambda v: ((F.col("v") == v) & (F.col("state") == "open"))
-                          | ((F.col("v") <= v) & (F.col("state") == "closed")))
+        return self.read_open().unionByName(self._state("closed"))
 
-    def write(self, merged_open: DataFrame) -> int:
-        """``merged_open``: a batch merged into ``read_open()`` — the new open
-        versions plus the previously open versions it closed. One write job."""
+    def write(self, delta: DataFrame) -> int:
+        """``delta``: the versions a run inserts or ends (``scd2_delta``,
+        ``scd2_merge_delta``). It may be derived from this table."""
         v = (self.current_version() or 0) + 1
-        rows = conform(merged_open, self.contract).withColumn(
-            "state", F.when(F.col("end_date").isNull(), F.lit("open")).otherwise(F.lit("closed")))
-        out = (rows.hint("rebalance", "state", "effective_date")
-                   .sortWithinPartitions("state", "effective_date", self.cluster_col, *self.tiebreak))
+        rows = conform(delta, self.contract).withColumn(
+            "state", F.when(F.col("end_date").isNull(), F.lit("new")).otherwise(F.lit("closed")))
+        out = (rows.hint("rebalance", "state")
+                   .sortWithinPartitions("state", "effective_date", *self.sort_cols))
         # Static overwrite: a retry clears everything a crashed attempt left.
         (out.write.mode("overwrite").option("partitionOverwriteMode", "static")
-            .partitionBy("state", "effective_date").parquet(self._path(v)))
+            .partitionBy("state").parquet(self._path(v)))
         fs, p = _fs(self.spark, f"{self._path(v)}/{self.MARKER}")
         fs.create(p, True).close()
         return v
-
-    def vacuum(self, keep: int = 3) -> list[int]:
-        """Drop the open parts of all but the newest ``keep`` committed runs
-        and any abandoned run below them; closed parts are the history."""
-        committed = [v for v in self._versions() if self._committed(v)]
-        if not committed:
-            return []
-        floor = min(committed[-max(keep, 1):])
-        removed = []
-        for v in self._versions():
-            if v >= floor:
-                continue
-            if self._committed(v):
-                fs, p = _fs(self.spark, f"{self._path(v)}/state=open")
-            else:
-                fs, p = _fs(self.spark, self._path(v))
-            if fs.exists(p):
-                fs.delete(p, True)
-                removed.append(v)
-        return removed

@@ -95,9 +95,6 @@ FACT_COMMENTS = _schema(
     ("days_to_review", L), ("comment_date", DATE), ("snapshot_date", DATE),
 )
 
-# Columns the warehouse declares NOT NULL (checked as data, not enforced).
-NOT_NULL = {"fact_comments": ["comment_id"]}
-
 
 def _convert(c: Column, src: T.DataType, dst: T.DataType) -> Column:
     if src == dst:

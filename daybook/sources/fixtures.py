@@ -94,12 +94,6 @@ def raw_products_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
                            .otherwise(F.col("all_time_quantity_sold"))))
 
 
-def raw_products_qty_double(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Type drift: the same documents with quantity written as double."""
-    return raw_products(spark, sf_dir).withColumn(
-        "all_time_quantity_sold", F.col("all_time_quantity_sold").cast("double"))
-
-
 def comment_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged-review history (contract STG_COMMENTS): the last event of each
     (user, day) by (ts, event_id); key = user; the event type is the content.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,10 +22,19 @@ def read_landed(spark: SparkSession, paths: list[str], contract: T.StructType) -
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def read_day(spark: SparkSession, root: str, day: str, contract: T.StructType,
-             partition_col: str = "date") -> DataFrame:
-    """One day of a date-partitioned table: the equality on the partition
-    column prunes the scan to that folder."""
-    from pyspark.sql import functions as F
-    df = spark.read.parquet(root).where(F.col(partition_col) == F.lit(day).cast("date"))
-    return conform(df, contract)
+def read_landed_days(spark: SparkSession, root: str, days: list[str], contract: T.StructType,
+                     partition_col: str = "date") -> DataFrame:
+    """The given ``<partition_col>=<day>`` folders of a landing folder, one
+    scan for all days whose files have the same schema. Only the folders of
+    these days are listed; their schemas are read at the same time."""
+    folders = [f"{root}/{partition_col}={d}" for d in days]
+    with ThreadPoolExecutor(8) as pool:
+        schemas = list(pool.map(lambda p: spark.read.parquet(p).schema, folders))
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for schema, path in zip(schemas, folders):
+        groups.setdefault(schema.simpleString(), (schema, []))[1].append(path)
+    frames = []
+    for schema, paths in groups.values():
+        whole = T.StructType([f for f in schema.fields if f.name != partition_col]).add(partition_col, "string")
+        frames.append(conform(spark.read.schema(whole).option("basePath", root).parquet(*paths), contract))
+    return reduce(lambda a, b: a.unionByName(b), frames)

@@ -5,8 +5,7 @@ once (``Trigger.AvailableNow``) and merged into the dimension by
 A micro-batch may hold several load days or part of one; ``scd2_merge``
 handles both in one job. Replaying a micro-batch after a failure is a
 no-op: the gate and the (key, date) anti join skip what the target already
-holds, and the target only changes by switching to a fully written
-version. Files must land in date order (the daily schedule does), since a
+holds, and the target only changes by committing a fully written run. Files must land in date order (the daily schedule does), since a
 day older than the dimension's newest load is ignored by the gate, as in
 the batch model."""
 
@@ -22,13 +21,12 @@ from daybook.sinks.tables import Scd2Store
 from daybook.sources import contracts as K
 
 
-def products_micro_batch(dim: Scd2Store, mode: str, keep_versions: int = 3):
+def products_micro_batch(dim: Scd2Store, mode: str):
     def run(batch: DataFrame, epoch_id: int) -> None:
         # One run's documents: clean per (id, day), stage, merge.
         clean = C.clean_products(batch, dedupe_keys=["id", "date"])
         stg = ST.stage_products(clean)
-        dim.write(S.scd2_merge(dim.read_open(), stg, S.PRODUCTS, mode))
-        dim.vacuum(keep_versions)
+        dim.write(S.scd2_merge_delta(dim.read_open(), stg, S.PRODUCTS, mode))
     return run
 
 

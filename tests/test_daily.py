@@ -53,6 +53,10 @@ def test_daily_runs_rerun_is_noop_and_facts_gate(spark):
                  comments.where(F.col("date") == "2024-01-02"))
     assert _state(pl) == (dims, counts)
     assert pl.metrics[-1]["rows"] == 2 and pl.metrics[-2]["rows"] == 3
+    # Every run's tests and quality report are stored.
+    assert {r.run_ts for r in pl.reports("tests").select("run_ts").distinct().collect()} == {"2024-01-01", "2024-01-02"}
+    totals = pl.reports("quality").where("metric = 'total_records' AND run_ts = '2024-01-02'")
+    assert {(r.table_name, r.value) for r in totals.collect()} == {("products", 3.0), ("comments", 2.0)}
 
 
 def _tables(pl):
@@ -89,3 +93,32 @@ def test_backfill_equals_day_by_day(spark):
     for name in a:
         assert a[name] == b[name], name
     assert {r[0] for r in a["fact_comments"]} == {"10", "12", "13"}
+
+
+def test_second_batch_late_and_undated_documents_remove_nothing(spark):
+    def docs(*rows):
+        return spark.createDataFrame(list(rows), PRODUCT_COLS)
+
+    pl = PL.DailyWarehouse(spark, scratch_path(spark, "append"))
+    pl.run_batch("2024-01-01", docs(_p(1, "a", "x", "2024-01-01"), _p(2, "b", "x", "no day")), None)
+    pl.run_batch("2024-01-01", docs(_p(3, "c", "x", "2024-01-01")), None, run_ts="2024-01-01.2")
+    late = docs(_p(4, "d", "x", "2024-01-02"), _p(5, "e", "x", "2024-01-01"), _p(6, "f", "x", None))
+    for _ in range(2):
+        pl.run_batch("2024-01-02", late, None)
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    assert {(r.id, r.date) for r in pl.raw_products().collect()} == {(1, d1), (2, None), (3, d1), (4, d2), (5, d1), (6, None)}
+    assert pl.raw_products().count() == 6
+    assert {r.product_id for r in pl.dim_products.read().collect()} == {"1", "3", "4"}
+
+
+def test_landed_days_with_drifting_types(spark):
+    path = f"{scratch_path(spark, 'landing')}/products"
+    first = spark.createDataFrame([_p(1, "a", "x", "2024-01-01")], PRODUCT_COLS).drop("date")
+    first.write.parquet(f"{path}/date=2024-01-01")
+    first.withColumn("all_time_quantity_sold", F.lit(7.0)).write.parquet(f"{path}/date=2024-01-02")
+    days = PL.landed_days(spark, path)
+    got = PL.RD.read_landed_days(spark, path, days, PL.K.RAW_PRODUCTS).collect()
+    assert {(r.date, r.all_time_quantity_sold) for r in got} == {("2024-01-01", 3), ("2024-01-02", 7)}
+    one = PL.landed_day(spark, path, "2024-01-02", PL.K.RAW_PRODUCTS).collect()
+    assert [(r.date, r.all_time_quantity_sold) for r in one] == [("2024-01-02", 7)]
+    assert PL.landed_day(spark, path, "2024-01-03", PL.K.RAW_PRODUCTS).count() == 0

@@ -1,5 +1,4 @@
 import datetime as dt
-import os
 
 from pyspark.sql import functions as F
 
@@ -45,20 +44,6 @@ def test_asof_join_half_open(spark):
     assert got == [(D1, "a"), (D2, "b")]
 
 
-def test_versioned_table_roundtrip(spark):
-    root = scratch_path(spark, "vt")
-    vt = SK.VersionedTable(spark, root, K.FACT_COMMENTS, "snapshot_date", "product_id")
-    assert vt.read().count() == 0 and vt.current_version() is None
-    df = K.conform(spark.createDataFrame([("c", "p", D1)], "comment_id string, product_id string, snapshot_date date"),
-                   K.FACT_COMMENTS)
-    assert vt.write(df) == 1
-    # Writing a frame derived from the current version is safe (new folder).
-    assert vt.write(vt.read().withColumn("comment_rating", F.lit(5).cast("bigint"))) == 2
-    r = vt.read().collect()
-    assert len(r) == 1 and r[0].comment_rating == 5 and r[0].snapshot_date == D1
-    assert os.path.exists(vt.path(1))  # the previous version stays readable
-
-
 def test_dynamic_overwrite_keeps_other_partitions(spark):
     path = scratch_path(spark, "parts")
     df = spark.createDataFrame([(1, D1), (2, D2)], "v int, d date")
@@ -90,50 +75,36 @@ def test_checks_report_shape(spark):
     assert got == {("not_null", 1), ("relationships", 2), ("unique", 1)}
 
 
-def test_versioned_table_uncommitted_attempt_is_ignored_and_reused(spark):
-    root = scratch_path(spark, "vt2")
-    vt = SK.VersionedTable(spark, root, K.FACT_COMMENTS)
-    df = K.conform(spark.createDataFrame([("c", "p", D1)], "comment_id string, product_id string, snapshot_date date"),
-                   K.FACT_COMMENTS)
-    assert vt.write(df) == 1
-    # A crashed attempt: data written for version 2 but never committed.
-    df.write.parquet(vt.path(2))
-    assert vt.current_version() == 1 and vt.read().count() == 1
-    # The next run reuses the number and commits.
-    assert vt.write(df.unionByName(df)) == 2 and vt.read().count() == 2
-
-
-def test_versioned_table_vacuum_keeps_newest(spark):
-    root = scratch_path(spark, "vt3")
-    vt = SK.VersionedTable(spark, root, K.FACT_COMMENTS)
-    df = K.conform(spark.createDataFrame([("c", "p", D1)], "comment_id string, product_id string, snapshot_date date"),
-                   K.FACT_COMMENTS)
-    for _ in range(4):
-        vt.write(df)
-    assert vt.vacuum(keep=2) == [1, 2]
-    assert vt._versions() == [3, 4] and vt.current_version() == 4 and vt.read().count() == 1
-    assert vt.vacuum(keep=2) == []
-
-
-def test_scd2_store_crash_and_vacuum_keep_history(spark):
+def _store(spark):
     from daybook.operators import scd2 as S
-    st = SK.Scd2Store(spark, scratch_path(spark, "store"), K.DIM_PRODUCTS, "product_id")
     cols = "product_id string, product_name string, product_description string, product_inventory_status string, load_date date"
     days = [D1, D2, dt.date(2024, 1, 3)]
     stg = K.conform(spark.createDataFrame(
         [("1", "a", "d", s, d) for s, d in zip("xyz", days)], cols), K.STG_PRODUCTS)
+    return S, SK.Scd2Store(spark, scratch_path(spark, "store"), K.DIM_PRODUCTS, "product_id"), stg, days
+
+
+def test_scd2_store_ignores_a_crashed_run_and_retries_it(spark):
+    S, st, stg, days = _store(spark)
     for d in days[:2]:
-        st.write(S.scd2_apply(st.read_open(), stg.where(F.col("load_date") == d), S.PRODUCTS))
-        st.vacuum(keep=1)
+        st.write(S.scd2_delta(st.read_open(), stg.where(F.col("load_date") == d), S.PRODUCTS))
     before = sorted(tuple(r) for r in st.read().collect())
     assert len(before) == 2 and len(st.read_open().collect()) == 1
     # A crashed third run: its folder is written but never committed.
-    merged = S.scd2_apply(st.read_open(), stg.where(F.col("load_date") == days[2]), S.PRODUCTS)
-    merged.withColumn("state", F.lit("closed")).write.mode("overwrite") \
-        .partitionBy("state", "effective_date").parquet(f"{st.root}/v=3")
+    delta = S.scd2_delta(st.read_open(), stg.where(F.col("load_date") == days[2]), S.PRODUCTS)
+    delta.withColumn("state", F.lit("closed")).write.mode("overwrite").partitionBy("state").parquet(f"{st.root}/v=3")
     assert sorted(tuple(r) for r in st.read().collect()) == before
     # The retry takes its number and commits; the history stays whole.
-    assert st.write(merged) == 3
-    st.vacuum(keep=1)
+    assert st.write(delta) == 3
     assert sorted(tuple(r) for r in st.read().collect()) == \
         sorted(tuple(r) for r in S.scd2_history(stg, S.PRODUCTS).collect())
+
+
+def test_scd2_store_run_writes_its_changes_only(spark):
+    S, st, stg, days = _store(spark)
+    many = K.conform(spark.range(200).selectExpr("string(id + 10) product_id", "'n' product_name",
+                                                 "date'2024-01-01' load_date"), K.STG_PRODUCTS)
+    st.write(S.scd2_delta(st.read_open(), many.unionByName(stg.where(F.col("load_date") == D1)), S.PRODUCTS))
+    v = st.write(S.scd2_delta(st.read_open(), stg.where(F.col("load_date") == D2), S.PRODUCTS))
+    # One version ended, one inserted; the 200 others are not written again.
+    assert spark.read.parquet(f"{st.root}/v={v}").count() == 2 and st.read().count() == 202

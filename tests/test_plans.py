@@ -8,7 +8,8 @@ import __spark_entry__ as E
 SF_DIR = "/root/testdata/sf0.001"
 # These run whole pipelines or streams when called; their returned frames
 # are plain scans of the stored result.
-HEAVY = {"daily_runs_row_counts", "backfill_row_counts", "stream_scd2_available_now"}
+HEAVY = {"daily_runs_row_counts", "backfill_row_counts", "stream_scd2_available_now",
+         "backfill_dim_products", "backfill_dim_comments", "backfill_fact_comments"}
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas", "LocalCheckpoint"]
 QUERIES = E.queries()
