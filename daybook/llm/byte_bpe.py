@@ -42,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm.common import fresh, let, table
+from daybook.llm.common import fresh, let, ranges, table
 
 BUCKETS = 16384
 MAX_FOLD = 64
@@ -135,12 +135,6 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The numbers start .. start + size - 1 of each pair, one after another."""
-    ends = np.cumsum(sizes)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
-
-
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text", ids_col: str = "token_ids",
            keep_text: bool = True) -> DataFrame:
     """``docs`` with ``ids_col``, the ids of the text (array of int)."""
@@ -217,7 +211,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
                         ends = np.concatenate([[0], np.cumsum(of_word)])
                         bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(index).to_numpy())])
                         ids = pa.ListArray.from_arrays(pa.array(ends[bounds].astype(np.int32)),
-                                                       pa.array(values[_ranges(starts[flat], of_word)], pa.int32()))
+                                                       pa.array(values[ranges(starts[flat], of_word)], pa.int32()))
                         yield pa.RecordBatch.from_arrays([*doc.columns[:n], ids], [*kept, ids_col])
 
     numbered = given.mapInArrow(number, f"{schema}, `{kind}` tinyint, `{word}` string, `{at}` array<int>")

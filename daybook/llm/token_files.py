@@ -11,8 +11,8 @@ number of ids. The manifest, a row per shard, names the files of the attempts
 that succeeded; files of lost attempts are not in it.
 
 Texts are split at ASCII blanks, which no token of these vocabularies spans;
-each distinct word of a task is normalised, split and encoded once by the
-model of the tokenizers library, and looked up after that. A tokenizer of
+each distinct word of a task is numbered, normalised, split and encoded once by
+the model of the tokenizers library; documents gather the ids of their words. A tokenizer of
 another make is called on whole texts. Special tokens in a text are ordinary
 text.
 
@@ -30,16 +30,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import stored, table
+from daybook.llm.common import ranges, stored, table
 from daybook.session import scratch_path
 
 SEQUENCE = 2048
 BATCH = 64
 END_ID = 2
 MAX_WORDS = 400_000
+#: Documents that are encoded together.
+BLOCK = 200
 
 
 class Encoder:
@@ -64,7 +67,12 @@ class Encoder:
             plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
             other = [b for b in range(256) if b not in plain]
             self.alphabet = {b: b for b in plain} | {b: 256 + k for k, b in enumerate(other)}
-        self.words: dict[bytes, tuple[int, ...]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Words by number, with the number of ids of each, and all ids end to end."""
+        self.words: dict[str, int] = {}
+        self.sizes, self.values = np.zeros(0, np.int64), np.zeros(0, np.uint32)
         self.pieces: dict[str, tuple[int, ...]] = {}
 
     def _piece(self, piece: str) -> tuple[int, ...]:
@@ -73,24 +81,34 @@ class Encoder:
             ids = self.pieces[piece] = tuple(t.id for t in self.tokenizer.model.tokenize(mapped))
         return ids
 
-    def _word(self, word: bytes) -> tuple[int, ...]:
+    def _word(self, word: str) -> list[int]:
         from unicodedata import normalize
 
-        text = word.decode()
-        if not text.isascii():
-            text = "".join(c.lower() for c in normalize("NFC", text))
-        return tuple(i for piece in self.split.findall(text) for i in self._piece(piece))
+        if not word.isascii():
+            word = "".join(c.lower() for c in normalize("NFC", word))
+        return [i for piece in self.split.findall(word) for i in self._piece(piece)]
 
-    def encode(self, text: str) -> np.ndarray:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the texts end to end, number of ids of each); no nulls."""
         if not self.by_words:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+            found = [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32) for t in texts.to_pylist()]
+            return np.concatenate([np.zeros(0, np.uint32), *found]), np.array([len(x) for x in found], np.int64)
         if len(self.words) > MAX_WORDS:
-            self.words, self.pieces = {}, {}
-        words, known = text.encode().lower().split(), self.words
-        for w in words:
-            if w not in known:
-                known[w] = self._word(w)
-        return np.fromiter((i for w in words for i in known[w]), np.uint32)
+            self._forget()
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        coded, known = pc.dictionary_encode(lists.flatten()), len(self.words)
+        distinct = coded.dictionary.to_pylist()
+        numbers = np.array([self.words.setdefault(w, len(self.words)) for w in distinct], np.int64)
+        new = [self._word(w) for w, k in zip(distinct, numbers.tolist()) if k >= known]
+        if new:
+            self.sizes = np.concatenate([self.sizes, np.array([len(x) for x in new], np.int64)])
+            self.values = np.concatenate([self.values, np.array([i for x in new for i in x], np.uint32)])
+        at = numbers[coded.indices.to_numpy()]
+        sizes = self.sizes[at]
+        flat = self.values[ranges((np.cumsum(self.sizes) - self.sizes)[at], sizes)]
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        words = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
+        return flat, np.diff(upto[words])
 
 
 def _open(path: str):
@@ -154,27 +172,26 @@ def write_tokens(docs: DataFrame, tokenizer_json: str, root: str, id_col: str =
         task = TaskContext.get()
         path = f"{root}/shard-{task.partitionId():06d}-{task.taskAttemptId()}.arrow"
         shard, encoder, ids, sizes = None, None, [], []
-        end = np.array([] if end_id is None else [end_id], np.uint32)
-        for b in batches:
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+        for whole in batches:
+            for b in (whole.slice(k, BLOCK) for k in range(0, whole.num_rows, BLOCK)):
                 shard, encoder = shard or _Shard(path, kind), encoder or Encoder(tokenizer_json)
-                before = shard.total
-                if text:
-                    shard.add(encoder.encode(text))
-                shard.add(end)
-                ids.append(doc_id)
-                sizes.append(shard.total - before)
+                flat, n = encoder.encode(pc.fill_null(b.column(1), ""))
+                if end_id is not None:
+                    flat, n = np.insert(flat, np.cumsum(n), end_id), n + 1
+                shard.add(flat)
+                ids.append(b.column(0))
+                sizes.append(n)
         if shard is None:
             return
         shard.close()
-        n = np.array(sizes, np.int64)
-        listed = pa.record_batch([pa.array(ids, pa.int64()), pa.array(np.cumsum(n) - n), pa.array(n)],
+        n = np.concatenate(sizes)
+        listed = pa.record_batch([pa.concat_arrays(ids), pa.array(np.cumsum(n) - n), pa.array(n)],
                                  ["doc_id", "start", "n_tokens"])
         system, at = _open(f"{path}.docs")
         with system.open_output_stream(at) as sink, pa.ipc.new_file(sink, listed.schema) as file:
             file.write_batch(listed)
         yield pa.RecordBatch.from_arrays([pa.array([task.partitionId()], pa.int32()), pa.array([path]),
-                                          pa.array([len(ids)], pa.int64()), pa.array([shard.total], pa.int64())],
+                                          pa.array([len(n)], pa.int64()), pa.array([shard.total], pa.int64())],
                                          ["shard", "path", "n_docs", "n_tokens"])
 
     manifest = stored(ordered.mapInArrow(write, "shard int, path string, n_docs long, n_tokens long"), "token-manifest")
