@@ -46,7 +46,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def partitions_for(rows: int, each: int, least: int) -> int:
-    """Partitions that hold about ``each`` rows, ``least`` of them at least."""
+    """Partitions that hold about ``each`` rows or bytes, ``least`` of them at least."""
     return max(least, math.ceil(rows / each))
 
 

@@ -27,6 +27,8 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Iterator
+from itertools import chain
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -34,15 +36,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import ranges, stored, table
+from daybook.llm.common import partitions_for, ranges, stored, table
 from daybook.session import scratch_path
 
 SEQUENCE = 2048
 BATCH = 64
 END_ID = 2
-MAX_WORDS = 400_000
-#: Documents that are encoded together.
-BLOCK = 200
+MAX_WORDS = 600_000
+#: Bytes of text in a shard: larger ones encode fewer words in several tasks.
+SHARD_BYTES = 32 << 20
+#: Bytes of text that are encoded together, or one longer document.
+BLOCK = 8 << 20
 
 
 class Encoder:
@@ -54,6 +58,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         parts = json.loads(tokenizer_json)
         normal = [x.get("type") for x in (parts.get("normalizer") or {}).get("normalizers", [])]
         pre = (parts.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
@@ -73,20 +78,22 @@ class Encoder:
         """Words by number, with the number of ids of each, and all ids end to end."""
         self.words: dict[str, int] = {}
         self.sizes, self.values = np.zeros(0, np.int64), np.zeros(0, np.uint32)
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.pieces: dict[str, list[int]] = {}
 
-    def _piece(self, piece: str) -> tuple[int, ...]:
+    def _piece(self, piece: str) -> list[int]:
         if (ids := self.pieces.get(piece)) is None:
             mapped = piece if piece.isascii() and piece.isalnum() else piece.encode().decode("latin-1").translate(self.alphabet)
-            ids = self.pieces[piece] = tuple(t.id for t in self.tokenizer.model.tokenize(mapped))
+            ids = self.pieces[piece] = [t.id for t in self.model.tokenize(mapped)]
         return ids
 
     def _word(self, word: str) -> list[int]:
-        from unicodedata import normalize
-
-        if not word.isascii():
+        if word.isascii():
+            if word.isalpha():  # letters are one piece
+                return self._piece(word)
+        else:
             word = "".join(c.lower() for c in normalize("NFC", word))
-        return [i for piece in self.split.findall(word) for i in self._piece(piece)]
+        pieces = self.split.findall(word)
+        return self._piece(pieces[0]) if len(pieces) == 1 else [i for piece in pieces for i in self._piece(piece)]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of the texts end to end, number of ids of each); no nulls."""
@@ -102,7 +109,7 @@ class Encoder:
         new = [self._word(w) for w, k in zip(distinct, numbers.tolist()) if k >= known]
         if new:
             self.sizes = np.concatenate([self.sizes, np.array([len(x) for x in new], np.int64)])
-            self.values = np.concatenate([self.values, np.array([i for x in new for i in x], np.uint32)])
+            self.values = np.concatenate([self.values, np.fromiter(chain.from_iterable(new), np.uint32)])
         at = numbers[coded.indices.to_numpy()]
         sizes = self.sizes[at]
         flat = self.values[ranges((np.cumsum(self.sizes) - self.sizes)[at], sizes)]
@@ -111,6 +118,13 @@ class Encoder:
         return flat, np.diff(upto[words])
 
 
+def _blocks(whole: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of about ``BLOCK`` bytes of text (column 1) each."""
+    block = np.cumsum(pc.fill_null(pc.binary_length(whole.column(1)), 0).to_numpy().astype(np.int64)) // BLOCK
+    cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), whole.num_rows]
+    return (whole.slice(i, j - i) for i, j in zip(cuts, cuts[1:]) if j > i)
+
+
 def _open(path: str):
     from pyarrow import fs
 
@@ -163,8 +177,9 @@ def write_tokens(docs: DataFrame, tokenizer_json: str, root: str, id_col: str =
     ids and returns their manifest: shard, path, n_docs, n_tokens, start."""
     size = max(json.loads(tokenizer_json)["model"]["vocab"].values()) + 1
     kind = pa.uint16() if max(size, (end_id or 0) + 1) <= 2 ** 16 else pa.uint32()
-    ordered = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-               .repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text")))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ordered = (texts.repartitionByRange(partitions_for(total, SHARD_BYTES, 1), "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text")))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -173,7 +188,7 @@ def write_tokens(docs: DataFrame, tokenizer_json: str, root: str, id_col: str =
         path = f"{root}/shard-{task.partitionId():06d}-{task.taskAttemptId()}.arrow"
         shard, encoder, ids, sizes = None, None, [], []
         for whole in batches:
-            for b in (whole.slice(k, BLOCK) for k in range(0, whole.num_rows, BLOCK)):
+            for b in _blocks(whole):
                 shard, encoder = shard or _Shard(path, kind), encoder or Encoder(tokenizer_json)
                 flat, n = encoder.encode(pc.fill_null(b.column(1), ""))
                 if end_id is not None:
