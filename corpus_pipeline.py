@@ -27,16 +27,20 @@ from daybook.llm.line_chunks import dedup_line_chunks
 from daybook.llm.near_dup import drop_near_duplicates
 from daybook.llm.source_mix import mix_sources
 
-#: Below this score a language is in doubt.
-MIN_LANGUAGE_SCORE = 0.25
+#: A language is in doubt whose score is less than this share of the way from the
+#: lowest score it can have to 1 (0.4 for two families of several languages).
+MIN_CERTAINTY = 0.2
 #: Words of a shingle in near-dedup.
 SHINGLE = 5
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    sure = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
-    return predict(docs, train_on_documents(docs)).where(sure).select(docs.columns)
+    model = train_on_documents(docs)
+    least = {lang: low + MIN_CERTAINTY * (1 - low) for lang, low in model.lowest_scores().items()} | {UNKNOWN: 1.0}
+    needed = F.create_map(*(F.lit(x) for pair in least.items() for x in pair))
+    sure = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= F.element_at(needed, F.col("lang_pred")))
+    return predict(docs, model).where(sure).select(docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

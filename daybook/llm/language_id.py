@@ -131,6 +131,13 @@ class Model:
         best = belief.argmax(0)
         return best, belief[best, np.arange(len(best))] / (len(classes) - 1)
 
+    def lowest_scores(self) -> dict[str, float]:
+        """The least score each language can have. The mean beliefs of a decision
+        sum to half its classes, so the winner has a half at least; a decision of
+        one class is certain."""
+        top = 0.5 if len(self.families) > 1 else 1.0
+        return {lang: top * (0.5 if len(langs) > 1 else 1.0) for langs in self.families.values() for lang in langs}
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         prepared = [_text_of_letters(t) for t in texts]
         langs, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))

@@ -214,3 +214,25 @@ def test_pipeline(spark):
     assert mixed == +want
     last = C.STAGES[4][1](spark, docs, SMALL).collect()
     assert collections.Counter((r["doc_id"], r["text"]) for r in last) == mixed
+
+
+def test_pipeline_drops_doubtful_languages(spark):
+    import corpus_pipeline as C
+
+    docs = C.table(spark, SMALL, "documents")
+    by, r = collections.defaultdict(list), random.Random(3)
+    for row in docs.orderBy("doc_id").collect():
+        by[row["lang"]].append(row["text"])
+    bad = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(500)) for _ in range(10)]
+    bad += ["\n".join(texts[k][:300] for texts in by.values()) for k in range(3)]
+    # No label, so that they are not trained on.
+    planted = spark.createDataFrame([(-1 - k, t) for k, t in enumerate(bad)], "doc_id long, text string")
+    every = docs.unionByName(planted, allowMissingColumns=True)
+    kept = {row["doc_id"] for row in C.identify_language(spark, every, SMALL).collect()}
+    assert kept == {row["doc_id"] for row in docs.collect()}
+    # A family of one language: the lowest score is a half, and the limit follows.
+    two = every.where("lang IS NULL OR lang IN ('en', 'fr')")
+    assert language_id.train_on_documents(two).lowest_scores() == {"en": 0.5, "fr": 0.5}
+    kept = {row["doc_id"] for row in C.identify_language(spark, two, SMALL).collect()}
+    assert kept >= {row["doc_id"] for row in two.where("lang IS NOT NULL").collect()} and len(kept & set(range(-10, 0))) < 5
+    assert C.identify_language(spark, every.where("lang IS NULL"), SMALL).count() == 0
