@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 
 import numpy as np
@@ -236,3 +237,15 @@ def test_pipeline_drops_doubtful_languages(spark):
     kept = {row["doc_id"] for row in C.identify_language(spark, two, SMALL).collect()}
     assert kept >= {row["doc_id"] for row in two.where("lang IS NOT NULL").collect()} and len(kept & set(range(-10, 0))) < 5
     assert C.identify_language(spark, every.where("lang IS NULL"), SMALL).count() == 0
+
+
+def test_near_dup_keeps_pairs_at_the_threshold():
+    lost, alive = 0.0, {0: 1.0}
+    for _, least in near_dup.least_matches():
+        after = collections.Counter()
+        for m, p in alive.items():
+            for k in range(near_dup.BATCH + 1):
+                after[m + k] += p * math.comb(near_dup.BATCH, k) * 0.8 ** k * 0.2 ** (near_dup.BATCH - k)
+        lost += sum(p for m, p in after.items() if m < least)
+        alive = {m: p for m, p in after.items() if m >= least}
+    assert lost < 1e-5
