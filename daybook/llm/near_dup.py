@@ -2,8 +2,8 @@
 
 1. One pass over whole texts gives each document the size of its shingle set,
    a MinHash signature and the SHA-256 of its lower-cased words. Documents of
-   equal words are one class, represented by its smallest id.
-2. Representatives that agree in a whole band of the signature are candidates.
+   equal words are one class, a numbered node; its label is its smallest id.
+2. Nodes that agree in a whole band of the signature are candidates.
    Not all pairs of a bucket are compared: its hubs (one in the first round,
    eight times as many in each further one) are compared with those members that
    are not yet in the same component. The members that share the most buckets
@@ -30,8 +30,8 @@ dropped again in every round. Nothing is capped or sampled.
 
 Cases: a null or empty text, or one of blanks only, has no shingles and is
 linked with nothing; a text of fewer words than a shingle is one shingle;
-rows that share a ``doc_id`` are one node, and each is returned; a null
-``doc_id`` is linked with nothing; an empty table gives no rows; other columns
+rows that share a ``doc_id`` are in one component, whatever their texts, and
+each is returned; a null ``doc_id`` is linked with nothing; an empty table gives no rows; other columns
 are not read (``drop_near_duplicates`` passes them through).
 """
 
@@ -141,14 +141,28 @@ def _linked(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Itera
                                           b.column(1).take(pa.array(keep, pa.int64()))], ["a", "b"])
 
 
+def _texts(ids: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """(id, text) of the nodes ``ids``. ``docs``: doc_id and text. Of the rows
+    that share a doc_id, only those with the words of the node are its texts."""
+
+    def same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = [k for k, (key, text) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist()))
+                    if hashlib.sha256(b" ".join(words_of(text or ""))).digest() == key]
+            yield pa.RecordBatch.from_arrays([b.column(j).take(pa.array(keep, pa.int64())) for j in (0, 2)], ["id", "text"])
+
+    wanted = reps.join(ids, "id", "left_semi").select("id", "key", F.col("rep").alias("doc_id"))
+    return docs.join(wanted, "doc_id").select("id", "key", "text").mapInArrow(same, "id long, text string")
+
+
 def _verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those of (a, b) that are linked. ``docs``: id and text of the representatives."""
+    """Those of (a, b) that are linked. ``docs``: doc_id and text of the rows."""
     bounds = least_matches(percent)
     one, two = (signed.select(F.col("id").alias(k), F.col("signature").alias(f"s{k}")) for k in "ab")
     likely = stored(pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb")
                     .mapInArrow(lambda x: _likely(x, bounds), "a long, b long"), "likely-pairs")
     wanted = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = stored(docs.join(wanted, "id", "left_semi"), "likely-texts")
+    texts = stored(_texts(wanted, signed, docs), "likely-texts")
     one, two = (texts.select(F.col("id").alias(k), F.col("text").alias(f"t{k}")) for k in "ab")
     return likely.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(
         lambda x: _linked(x, size, percent), "a long, b long")
@@ -185,7 +199,7 @@ def _band_rows(signed: DataFrame) -> DataFrame:
     return signed.select(F.explode(bands).alias("bucket"), "id")
 
 
-def _own_shingles(ids: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+def _own_shingles(texts: DataFrame, size: int) -> DataFrame:
     """(id, own): how many shingles of each text no other of these texts has.
     Hashes that collide make it smaller, never larger."""
 
@@ -197,7 +211,7 @@ def _own_shingles(ids: DataFrame, texts: DataFrame, size: int) -> DataFrame:
                 x = np.fromiter(set(map(xxh3_64_intdigest, shingles(words_of(text or ""), size))), np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), doc_id)), pa.array(x)], ["id", "shingle"])
 
-    found = texts.join(ids, "id", "left_semi").mapInArrow(rows, "id long, shingle long")
+    found = texts.mapInArrow(rows, "id long, shingle long")
     # min and max differ if two texts have the shingle, not if a text has two rows.
     alone = found.groupBy("shingle").agg(F.min("id").alias("id"), F.max("id").alias("other")).where("id = other")
     return alone.groupBy("id").agg(F.count(F.lit(1)).alias("own"))
@@ -208,20 +222,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(doc_id, n_shingles, component_id, kept) of each row."""
     signed = stored(sign(docs, id_col, text_col, size), "signatures")
     known = signed.where("n > 0 AND id IS NOT NULL")
-    classes = known.groupBy("key").agg(F.min("id").alias("rep"))
-    # Nodes are ids: rows that share one link the classes of their texts.
-    members = known.select("id", "key").join(classes, "key").select("id", "rep").distinct()
-    reps = stored(known.join(classes.withColumnRenamed("key", "its_key"), [F.col("id") == F.col("rep"),
-                                                                          F.col("key") == F.col("its_key")])
-                  .select("id", "n", "signature").dropDuplicates(["id"]), "representatives")
-    rep_texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL")
+    # Nodes are classes, numbered: an id may have rows of several. Equal words
+    # have equal signatures.
+    reps = stored(known.groupBy("key").agg(F.min("id").alias("rep"), F.first("n").alias("n"),
+                                           F.first("signature").alias("signature"))
+                  .withColumn("id", F.monotonically_increasing_id()), "representatives")
+    members = (known.select("id", "key").join(reps.select("key", F.col("id").alias("node")), "key")
+               .select("id", "node").distinct())
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id IS NOT NULL")
 
     rows = _band_rows(reps)
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("mates")).where("mates > 1")
     several = stored(rows.join(shared, "bucket"), "buckets")
     degrees = several.groupBy("id").agg(F.sum("mates").alias("degree"))
     buckets = stored(several.join(degrees, "id").select("bucket", "id", "degree"), "buckets")
-    labels = stored(reps.select("id", F.col("id").alias("label")), "labels")
+    # Classes of one smallest id start as one component.
+    labels = stored(reps.select("id", F.col("rep").alias("label")), "labels")
     bounds = reps.select("id", "n", F.lit(0).cast("long").alias("own"))
     done, count = 0, 1
     while True:
@@ -234,7 +250,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if left.isEmpty():
             break
         if done:
-            own = _own_shingles(left.select("id").distinct(), rep_texts, size)
+            own = _own_shingles(_texts(left.select("id").distinct(), reps, texts), size)
             bounds = stored(bounds.select("id", "n").join(own, "id", "left")
                             .select("id", "n", F.coalesce("own", F.lit(0)).alias("own")), "own-shingles")
         left = left.join(bounds, "id").withColumn("shared", F.col("n") - F.col("own"))
@@ -247,11 +263,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         possible = 100 * common >= percent * (F.col("n") + F.col("hub_n") - common)
         pairs = (left.join(hubs, "bucket").where((F.col("label") != F.col("hub_label")) & possible)
                  .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct())
-        links = stored(_verified(pairs, reps, rep_texts, size, percent), "links")
+        links = stored(_verified(pairs, reps, texts, size, percent), "links")
         labels = connected(labels, links)
         done, count = done + count, count * HUB_GROWTH
 
-    nodes = members.join(labels.withColumnRenamed("id", "rep"), "rep").select("id", "label")
+    nodes = members.join(labels.withColumnRenamed("id", "node"), "node").select("id", "label")
     several = stored(nodes.groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("other")), "members")
     # An id whose rows have texts of several classes joins their components.
     joins = several.where("label != other").select(F.col("label").alias("a"), F.col("other").alias("b"))

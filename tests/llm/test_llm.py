@@ -249,3 +249,12 @@ def test_near_dup_keeps_pairs_at_the_threshold():
         lost += sum(p for m, p in after.items() if m < least)
         alive = {m: p for m, p in after.items() if m >= least}
     assert lost < 1e-5
+
+
+def test_near_dup_one_id_of_several_texts(spark):
+    one, two, three = (words(80, k) for k in (31, 32, 33))
+    rows = [(1, one), (1, two), (1, three), (1, one), (2, one + " tail"), (3, two + " tail"), (4, three + " tail"),
+            (5, two), (6, words(80, 34)), (7, one), (7, words(80, 35)), (8, words(80, 35) + " tail")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = collections.Counter((r["doc_id"], r["component_id"], r["kept"]) for r in near_dup.near_duplicates(table).collect())
+    assert got == collections.Counter((i, 6 if i == 6 else 1, i in (1, 6)) for i, _ in rows)
