@@ -24,7 +24,7 @@ stay short however many runs came before.
 
 from __future__ import annotations
 
-import re
+import datetime as dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -44,6 +44,10 @@ from daybook.sources import contracts as K
 from daybook.sources import readers as RD
 
 
+#: Name of the run that holds the documents without a valid day.
+UNDATED = "undated"
+
+
 @dataclass
 class Layout:
     root: str
@@ -90,8 +94,11 @@ class DailyWarehouse:
             return K.empty(self.spark, contract)
         return K.conform(self.spark.read.schema(contract).parquet(path), contract)
 
-    def _raw_day(self, path: str, run_date: str, contract) -> DataFrame:
-        """One day of a raw table: read that day's folder of each run only."""
+    def _raw_day(self, path: str, run_date: str | None, contract) -> DataFrame:
+        """One day of a raw table: read that day's folder of each run only.
+        Rows without a day are staged by no run."""
+        if run_date is None:
+            return K.empty(self.spark, contract)
         day = f"{path}/run_ts=*/date={run_date}"
         fs, p = SK._fs(self.spark, day)
         if not fs.globStatus(p):
@@ -123,14 +130,15 @@ class DailyWarehouse:
         return self._read_or_empty(self.layout.raw_comments, K.CLEAN_COMMENTS)
 
     # ------------------------------------------------------------------ run
-    def run_batch(self, run_date: str, products: DataFrame | None,
+    def run_batch(self, run_date: str | None, products: DataFrame | None,
                   comments: DataFrame | None, run_ts: str | None = None) -> DataFrame:
         """Run one day. ``products`` / ``comments`` are landed raw documents
         (either may be None). ``run_ts`` names the run: a run of the same name
         replaces the raw rows of the one before, another name (a second batch
-        of the day) adds to them; the run date if None. Returns the run's
-        data-test report, which is stored."""
-        run, lay = run_ts or run_date, self.layout
+        of the day) adds to them; the run date if None. A ``run_date`` of None is
+        for documents without a day: they reach raw and the quality report, and
+        no dimension or fact. Returns the run's data-test report, which is stored."""
+        run, lay = run_ts or run_date or UNDATED, self.layout
 
         def raw(name: str, clean: DataFrame, path: str) -> Callable:
             def step() -> dict:
@@ -151,14 +159,15 @@ class DailyWarehouse:
         return self._load(run, stg_p, stg_c, products is not None, comments is not None, S.scd2_delta,
                           lambda: FA.fact_comments_delta(stg_c, self.dim_products.read_open(), self.fact_comments()))
 
-    def run_range(self, start: str, end: str, products: DataFrame | None,
+    def run_range(self, start: str | None, end: str | None, products: DataFrame | None,
                   comments: DataFrame | None, run_ts: str | None = None) -> DataFrame:
         """Catch up every day in [start, end] in one pass: the same tables as
         running ``run_batch`` for each day in order, with one job per step
         instead of one per day (dimensions via ``scd2_merge_delta``, the review
         fact via the as-of activity test). ``products`` / ``comments`` hold the
-        landed documents of those days."""
-        run, lay = run_ts or f"{start}_{end}", self.layout
+        landed documents of those days; those without a day are kept in raw.
+        ``start`` and ``end`` are None if no document has a day."""
+        run, lay = run_ts or (f"{start}_{end}" if start and end else UNDATED), self.layout
         steps = []
         if products is not None:
             clean_p = C.clean_products(products, dedupe_keys=["id", "date"])
@@ -255,18 +264,37 @@ def landed_day(spark: SparkSession, path: str, day: str, contract) -> DataFrame:
     return RD.read_landed_days(spark, path, [day], contract) if fs.exists(p) else K.empty(spark, contract)
 
 
+def _is_day(text: str) -> bool:
+    """Whether cleaning reads ``text`` as a day: yyyy-MM-dd, and in the calendar."""
+    try:
+        return dt.date.fromisoformat(text).isoformat() == text
+    except ValueError:
+        return False
+
+
+def _landed(spark: SparkSession, path: str) -> list[str]:
+    """The ``date`` of every landed folder, as its name spells it."""
+    fs, p = SK._fs(spark, path)
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    return sorted(n.removeprefix("date=") for n in names if n.startswith("date="))
+
+
 def landed_days(spark: SparkSession, path: str) -> list[str]:
     """The days that have a folder (one entry a day)."""
-    fs, p = SK._fs(spark, path)
-    days = [st.getPath().getName().removeprefix("date=") for st in fs.listStatus(p) if st.isDirectory()]
-    return sorted(d for d in days if re.fullmatch(r"\d{4}-\d\d-\d\d", d))
+    return [d for d in _landed(spark, path) if _is_day(d)]
+
+
+def landed_undated(spark: SparkSession, path: str) -> list[str]:
+    """The folders that are no day's: of a null date, or of another spelling."""
+    return [d for d in _landed(spark, path) if not _is_day(d)]
 
 
 def run_days(spark: SparkSession, root: str, raw_products: DataFrame, raw_comments: DataFrame,
              mode: str = S.AS_WRITTEN) -> DailyWarehouse:
     """Land both raw inputs once, then run every load day in date order, as
     the daily schedule would. The list of days is tiny (one entry per day);
-    all row work happens in Spark."""
+    all row work happens in Spark. Documents without a valid day follow in a
+    run of their own."""
     pl = DailyWarehouse(spark, root, mode)
     lp = land_by_day(raw_products, root, "products")
     lc = land_by_day(raw_comments, root, "comments")
@@ -275,17 +303,22 @@ def run_days(spark: SparkSession, root: str, raw_products: DataFrame, raw_commen
         p = landed_day(spark, lp, day, K.RAW_PRODUCTS) if day in p_days else None
         c = landed_day(spark, lc, day, K.RAW_COMMENTS) if day in c_days else None
         pl.run_batch(day, p, c)
+    p_rest, c_rest = (landed_undated(spark, p) for p in (lp, lc))
+    if p_rest or c_rest:
+        pl.run_batch(None, RD.read_landed_days(spark, lp, p_rest, K.RAW_PRODUCTS) if p_rest else None,
+                     RD.read_landed_days(spark, lc, c_rest, K.RAW_COMMENTS) if c_rest else None)
     return pl
 
 
 def backfill(spark: SparkSession, root: str, raw_products: DataFrame, raw_comments: DataFrame,
              mode: str = S.AS_WRITTEN) -> DailyWarehouse:
-    """Land both raw inputs, then catch up all their days in one run."""
+    """Land both raw inputs, then catch up all their days in one run. Every
+    landed folder is read: a date that is no day gives a NULL one in raw."""
     pl = DailyWarehouse(spark, root, mode)
     lp = land_by_day(raw_products, root, "products")
     lc = land_by_day(raw_comments, root, "comments")
-    p_days, c_days = (landed_days(spark, p) for p in (lp, lc))
-    p = RD.read_landed_days(spark, lp, p_days, K.RAW_PRODUCTS)
-    c = RD.read_landed_days(spark, lc, c_days, K.RAW_COMMENTS)
-    pl.run_range(min(p_days + c_days), max(p_days + c_days), p, c)
+    days = landed_days(spark, lp) + landed_days(spark, lc)
+    p = RD.read_landed_days(spark, lp, _landed(spark, lp), K.RAW_PRODUCTS)
+    c = RD.read_landed_days(spark, lc, _landed(spark, lc), K.RAW_COMMENTS)
+    pl.run_range(min(days, default=None), max(days, default=None), p, c)
     return pl

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from daybook.sources.contracts import conform
+from daybook.sources.contracts import conform, empty
 
 
 def read_landed(spark: SparkSession, paths: list[str], contract: T.StructType) -> DataFrame:
@@ -26,7 +26,10 @@ def read_landed_days(spark: SparkSession, root: str, days: list[str], contract:
                      partition_col: str = "date") -> DataFrame:
     """The given ``<partition_col>=<day>`` folders of a landing folder, one
     scan for all days whose files have the same schema. Only the folders of
-    these days are listed; their schemas are read at the same time."""
+    these days are listed; their schemas are read at the same time. No day
+    gives an empty table."""
+    if not days:
+        return empty(spark, contract)
     folders = [f"{root}/{partition_col}={d}" for d in days]
     with ThreadPoolExecutor(8) as pool:
         schemas = list(pool.map(lambda p: spark.read.parquet(p).schema, folders))

@@ -122,3 +122,35 @@ def test_landed_days_with_drifting_types(spark):
     one = PL.landed_day(spark, path, "2024-01-02", PL.K.RAW_PRODUCTS).collect()
     assert [(r.date, r.all_time_quantity_sold) for r in one] == [("2024-01-02", 7)]
     assert PL.landed_day(spark, path, "2024-01-03", PL.K.RAW_PRODUCTS).count() == 0
+
+
+def test_undated_and_misspelled_documents_are_kept(spark):
+    days, t = ["2024-01-01", "2024-01-02"], 1704067200
+    products = spark.createDataFrame(
+        [_p(1, "a", "x", days[0]), _p(2, "b", "x", days[1]), _p(3, "c", "x", None), _p(4, "d", "x", "2024-1-5"),
+         _p(5, "e", "x", "bad"), _p(6, "f", "x", "2024-02-30"), _p(7, "g", "x", "2024/01/02 10:00")], PRODUCT_COLS)
+    comments = spark.createDataFrame(
+        [(10, 1, "x", "ok", 5, t, None, days[0]), (11, 1, "x", "ok", 4, t, None, None), (12, 2, "x", "ok", 3, t, None, "bad")],
+        COMMENT_COLS)
+    daily = PL.run_days(spark, scratch_path(spark, "daily"), products, comments)
+    back = PL.backfill(spark, scratch_path(spark, "backfill"), products, comments)
+    a, b = _tables(daily), _tables(back)
+    assert a == b
+    day = {1: dt.date(2024, 1, 1), 2: dt.date(2024, 1, 2), 10: dt.date(2024, 1, 1)}
+    for pl in (daily, back):
+        assert {(r.id, r.date) for r in pl.raw_products().collect()} == {(i, day.get(i)) for i in range(1, 8)}
+        assert {(r.id, r.date) for r in pl.raw_comments().collect()} == {(i, day.get(i)) for i in (10, 11, 12)}
+        assert {r.product_id for r in pl.dim_products.read().collect()} == {"1", "2"}
+        assert {r.comment_id for r in pl.fact_comments().collect()} == {"10"}
+    totals = daily.reports("quality").where("metric = 'total_records' AND run_ts = 'undated'").collect()
+    assert {(r.table_name, r.value) for r in totals} == {("products", 5.0), ("comments", 2.0)}
+
+
+def test_landings_without_a_day(spark):
+    none = PL.backfill(spark, scratch_path(spark, "none"), spark.createDataFrame([], PRODUCT_COLS),
+                       spark.createDataFrame([], COMMENT_COLS))
+    assert {r["rows"] for r in none.row_counts().collect()} == {0}
+    products = spark.createDataFrame([_p(3, "c", "x", None)], PRODUCT_COLS)
+    only = PL.backfill(spark, scratch_path(spark, "only"), products, spark.createDataFrame([], COMMENT_COLS))
+    assert [(r.id, r.date) for r in only.raw_products().collect()] == [(3, None)]
+    assert only.dim_products.read().count() == 0
