@@ -4,7 +4,7 @@ Each stage works on the whole of what the one before kept, written as Parquet
 in the shared folder and read again:
 
 1. language ID: documents without a letter, or whose language is in doubt, go;
-2. line dedup: repeated chunks of lines are cut from the texts;
+2. line dedup: repeated runs of two lines or more are cut from the texts;
 3. MinHash near-dedup: one document of each group of near copies stays;
 4. source mix: each document is repeated to the target weights and shuffled;
 5. byte-level BPE: texts become ids, which are decoded again.
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from daybook.llm.byte_bpe import decode, encode, read_ranks
 from daybook.llm.common import stored, table
 from daybook.llm.language_id import UNKNOWN, predict, train_on_documents
-from daybook.llm.line_chunks import dedup_line_chunks
+from daybook.llm.line_chunks import dedup_line_runs
 from daybook.llm.near_dup import drop_near_duplicates
 from daybook.llm.source_mix import mix_sources
 
@@ -44,7 +44,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return dedup_line_chunks(docs)
+    return dedup_line_runs(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

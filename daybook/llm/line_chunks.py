@@ -16,6 +16,13 @@ Cases: a null text stays null, an empty one empty; a text of which every chunk
 is removed becomes empty; rows that share a ``doc_id`` count as one document
 and are each rebuilt; rows with a null ``doc_id`` are left as they are; an
 empty table gives no rows; other columns pass through, whatever their names.
+
+``dedup_line_chunks`` compares no other chunks than these, as its SQL does, so
+a repeated passage goes only as far as whole chunks lie in it.
+``dedup_line_runs`` also compares every two consecutive lines that are not
+blank, with the blank ones between them. These overlap, so every repeated run of
+two such lines or more goes whole from all documents but the first, wherever the
+boundaries of chunks are. Equality is that of SHA-256 digests there.
 """
 
 from __future__ import annotations
@@ -23,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm.common import fresh, let, table
+from daybook.llm.common import fresh, let, stored, table
 
 DIVISOR = 2
 MIN_LINES = 2
@@ -36,17 +43,19 @@ def _line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long")
 
 
+def _ends(h: Column) -> Column:
+    """The numbers of the lines that end a chunk, from the hashes of lines."""
+    last = F.size(h) - 1
+    rolled = F.transform(h, lambda x, i: F.when(
+        (i == last) | ((F.coalesce(F.get(h, i - 1), F.lit(0)) * FACTOR + x) % PRIME % DIVISOR == 0), i))
+    return F.filter(rolled, lambda x: x.isNotNull())
+
+
 def line_chunks(text: Column) -> Column:
     """array<struct(n, chunk)>: the chunks of a text and their numbers of lines.
     Joined by line ends they are the text."""
 
     def cut(lines: Column) -> Column:
-        def ends(h: Column) -> Column:
-            last = F.size(h) - 1
-            rolled = F.transform(h, lambda x, i: F.when(
-                (i == last) | ((F.coalesce(F.get(h, i - 1), F.lit(0)) * FACTOR + x) % PRIME % DIVISOR == 0), i))
-            return F.filter(rolled, lambda x: x.isNotNull())
-
         def chunks(e: Column) -> Column:
             def one(end: Column, k: Column) -> Column:
                 start = F.coalesce(F.get(e, k - 1) + 1, F.lit(0))
@@ -54,7 +63,7 @@ def line_chunks(text: Column) -> Column:
                                 F.array_join(F.slice(lines, start + 1, end - start + 1), "\n").alias("chunk"))
             return F.transform(e, one)
 
-        return let(let(F.transform(lines, _line_hash), ends), chunks)
+        return let(let(F.transform(lines, _line_hash), _ends), chunks)
 
     return let(F.split(text, "\n"), cut)
 
@@ -101,6 +110,66 @@ def dedup_line_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return joined.select(*(text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns))
 
 
+def _spans(text: Column) -> Column:
+    """array<struct(digest, a, b, again)>: the lines a to b of each chunk of two
+    lines or more and of each two consecutive lines that are not blank; again: an
+    equal span that does not overlap it is before it in this text."""
+
+    def cut(lines: Column) -> Column:
+        def chunks(e: Column) -> Column:
+            spans = F.transform(e, lambda end, k: F.struct(F.coalesce(F.get(e, k - 1) + 1, F.lit(0)).alias("a"), end.alias("b")))
+            return F.filter(spans, lambda s: s["b"] - s["a"] + 1 >= MIN_LINES)
+
+        def pairs(filled: Column) -> Column:
+            spans = F.transform(filled, lambda a, k: F.struct(a.alias("a"), F.get(filled, k + 1).alias("b")))
+            return F.filter(spans, lambda s: s["b"].isNotNull())
+
+        def digest(s: Column) -> Column:
+            whole = F.array_join(F.slice(lines, s["a"] + 1, s["b"] - s["a"] + 1), "\n")
+            return F.struct(F.unhex(F.sha2(whole, 256)).alias("digest"), s["a"].alias("a"), s["b"].alias("b"))
+
+        filled = F.filter(F.transform(lines, lambda x, i: F.when(F.trim(x) != "", i)), lambda i: i.isNotNull())
+        every = F.array_distinct(F.concat(let(filled, pairs), let(let(F.transform(lines, _line_hash), _ends), chunks)))
+        return F.sort_array(F.transform(every, digest))
+
+    def marked(spans: Column) -> Column:
+        def one(s: Column, i: Column) -> Column:
+            before = F.get(spans, i - 1)
+            again = before["digest"].eqNullSafe(s["digest"]) & (before["b"] < s["a"])
+            return F.struct(s["digest"].alias("digest"), s["a"].alias("a"), s["b"].alias("b"),
+                            F.coalesce(again, F.lit(False)).alias("again"))
+        return F.transform(spans, one)
+
+    return let(let(F.split(text, "\n"), cut), marked)
+
+
+def dedup_line_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the lines of spans (see ``_spans``) that a document of
+    smaller id or the text itself holds before; columns and rows as given. What
+    is removed is left somewhere: each line goes for an equal one further to the
+    front, by (id, line). Positions belong to (id, hash of the text), as rows may
+    share an id."""
+    found = stored(docs.where(F.col(id_col).isNotNull())
+                   .select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("version"),
+                           F.explode(_spans(F.col(text_col))).alias("s")).select("id", "version", "s.*"), "line-spans")
+    repeated = (found.groupBy("digest").agg(F.min("id").alias("keeper"), F.max("id").alias("last"))
+                .where("keeper < last").select("digest", "keeper"))
+    across = found.where("NOT again").join(repeated, "digest").where("id != keeper")
+    gone_name, key, version = fresh(docs, "gone", "gone_id", "gone_version")
+    gone = (across.select("id", "version", "a", "b").unionByName(found.where("again").select("id", "version", "a", "b"))
+            .groupBy(F.col("id").alias(key), F.col("version").alias(version))
+            .agg(F.collect_set(F.struct("a", "b")).alias(gone_name)))
+
+    def rebuilt(lines: Column) -> Column:
+        out = F.flatten(F.transform(F.col(gone_name), lambda s: F.sequence(s["a"], s["b"])))
+        keep = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), out)
+        return F.array_join(F.transform(keep, lambda i: F.get(lines, i)), "\n")
+
+    text = F.when(F.col(gone_name).isNull(), F.col(text_col)).otherwise(let(F.split(F.col(text_col), "\n"), rebuilt))
+    joined = docs.join(gone, (F.col(id_col) == F.col(key)) & (F.xxhash64(text_col) == F.col(version)), "left")
+    return joined.select(*(text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns))
+
+
 def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its text after the removal."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

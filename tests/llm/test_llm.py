@@ -258,3 +258,37 @@ def test_near_dup_one_id_of_several_texts(spark):
     table = spark.createDataFrame(rows, "doc_id long, text string")
     got = collections.Counter((r["doc_id"], r["component_id"], r["kept"]) for r in near_dup.near_duplicates(table).collect())
     assert got == collections.Counter((i, 6 if i == 6 else 1, i in (1, 6)) for i, _ in rows)
+
+
+def test_line_runs_go_whole(spark, docs, empty):
+    import corpus_pipeline as C
+
+    r = random.Random(8)
+    own = [[words(9, 1000 * d + k) for k in range(6)] for d in range(30)]
+    passages = [[words(-(-55 // n), 50 * n + k) for k in range(n)] for n in (2, 3, 4, 7) for _ in (0, 1)]
+    passages = [[f"{line} p{j}" for line in p] for j, p in enumerate(passages)]
+    made, want = [], []
+    for d, lines in enumerate(own):
+        picks = r.sample(range(len(passages)), 3) if d else range(len(passages))
+        at, full, left = sorted(r.sample(range(7), 3)), [], []
+        for k in range(7):
+            for p in ([passages[j] for j in picks] if k == 3 else []) if not d else [passages[j] for j, x in zip(picks, at) if x == k]:
+                full += p[:1] + [""] + p[1:] if len(p) == 7 else p
+                left += (p[:1] + [""] + p[1:] if len(p) == 7 else p) if not d else []
+            full += lines[k:k + 1]
+            left += lines[k:k + 1]
+        made.append((d, "\n".join(full), "k"))
+        want.append((d, "\n".join(left), "k"))
+    table = spark.createDataFrame(made, "doc_id long, text string, gone string")
+    assert sorted(tuple(x) for x in C.drop_repeated_lines(spark, table, SMALL).collect()) == want
+    got = collections.defaultdict(list)
+    for row in line_chunks.dedup_line_runs(docs).collect():
+        assert (row["gone"], row["_at"]) == ("g", 2)
+        got[row["doc_id"]].append(row["text"])
+    assert got[0] == [None] and got[1] == [""] and got[6] == [LONG, LONG] and got[None] == ["null id text"]
+    assert got[9] == [TEXTS[9]] and got[10] == ["intro"]
+    assert line_chunks.dedup_line_runs(empty).count() == 0
+    # Within a text, and rows that share an id: one document, positions of their own.
+    rows = [(1, "a\nb\nc\na\nb"), (1, "z\na\nb"), (2, "q\na\nb"), (2, "a\nb\nr"), (3, "x\nx\nx")]
+    got = line_chunks.dedup_line_runs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == [(1, "a\nb\nc"), (1, "z\na\nb"), (2, "q"), (2, "r"), (3, "x\nx\nx")]
