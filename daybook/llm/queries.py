@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from daybook.llm import (byte_bpe, chat_pairs, chunk_recipes, host_quality, language_id, license_scan, line_chunks, near_dup,
+from daybook.llm import (byte_bpe, chat_pairs, chunk_recipes, hard_negatives, host_quality, language_id, license_scan, line_chunks, near_dup,
                          sketch_diff, source_mix, token_files)
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_line_chunks": line_chunks.op8_line_chunks,
     "op9_near_dup": near_dup.op9_near_dup,
     "op10_host_quality": host_quality.op10_host_quality,
+    "op12_hard_negatives": hard_negatives.op12_hard_negatives,
     "op13_chunk_recipes": chunk_recipes.op13_chunk_recipes,
 }
 
@@ -26,5 +27,6 @@ ORACLE = {
     "op7_chat_pairs": chat_pairs.ORACLE,
     "op8_line_chunks": line_chunks.ORACLE,
     "op10_host_quality": host_quality.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
     "op13_chunk_recipes": chunk_recipes.ORACLE,
 }
