@@ -12,6 +12,8 @@ from daybook.session import scratch_path
 
 #: White space and words of the contracts: ASCII blanks only.
 BLANKS = "[ \\t\\n\\x0B\\f\\r]+"
+#: Rows and bytes of an Arrow batch.
+ARROW_ROWS, ARROW_BYTES = 2000, 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +47,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_arrow(df: DataFrame, function, schema) -> DataFrame:
+    """``df.mapInArrow`` with batches of bounded size: an Arrow batch is held in the
+    JVM and again in the worker, and texts may be long."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+    return df.mapInArrow(function, schema)
+
+
 def partitions_for(rows: int, each: int, least: int) -> int:
     """Partitions that hold about ``each`` rows or bytes, ``least`` of them at least."""
     return max(least, math.ceil(rows / each))

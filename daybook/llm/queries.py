@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from daybook.llm import (byte_bpe, chat_pairs, chunk_recipes, hard_negatives, host_quality, language_id, license_scan, line_chunks, near_dup,
-                         sketch_diff, source_mix, token_files)
+                         sketch_diff, source_mix, spelling, token_files)
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_line_chunks": line_chunks.op8_line_chunks,
     "op9_near_dup": near_dup.op9_near_dup,
     "op10_host_quality": host_quality.op10_host_quality,
+    "op11_spelling": spelling.op11_spelling,
     "op12_hard_negatives": hard_negatives.op12_hard_negatives,
     "op13_chunk_recipes": chunk_recipes.op13_chunk_recipes,
 }
