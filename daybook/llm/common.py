@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,14 +50,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of bounded size: a batch is held in the JVM and again in the
+    worker, and texts may be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+
+
 def in_arrow(df: DataFrame, function, schema) -> DataFrame:
-    """``df.mapInArrow`` with batches of bounded size: an Arrow batch is held in the
-    JVM and again in the worker, and texts may be long."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+    """``df.mapInArrow`` with batches of bounded size."""
+    bounded_batches(df.sparkSession)
     return df.mapInArrow(function, schema)
 
 
+def by_bytes(texts: pa.Array, most: int) -> Iterator[pa.Array]:
+    """Slices of about ``most`` bytes of text, or of one longer text."""
+    part = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // most
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
+    return (texts.slice(i, j - i) for i, j in zip(cuts, cuts[1:]) if j > i)
+
+
 def partitions_for(rows: int, each: int, least: int) -> int:
     """Partitions that hold about ``each`` rows or bytes, ``least`` of them at least."""
     return max(least, math.ceil(rows / each))

@@ -15,7 +15,8 @@ Cases: a null text, or one without a letter, is ``und`` with score 0, and so is
 every text if no labelled row was given; a language outside ``FAMILIES`` is a
 family of its own; a single class is predicted for all; rows that share an id
 are separate rows; a null id trains as any other; texts may be of any length;
-extra columns are not read.
+extra columns are not read; more than ``MAX_LANGUAGES`` labels are an error, as
+the machines are one for each pair of a decision.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import table
+from daybook.llm.common import bounded_batches, by_bytes, fresh, in_arrow, table
 from daybook.llm.source_mix import uniform
 
 # Families of closely related languages, by ISO code.
@@ -48,6 +49,8 @@ MAX_LANGUAGES = 200
 DIM = 8192
 #: Slope of the logistic curve that maps a margin to a share of belief.
 SLOPE = 2.0
+#: Bytes of text that a worker takes apart at a time, or one longer text.
+STEP_BYTES = 1 << 20
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -188,7 +191,7 @@ def train(labelled: DataFrame, label_col: str = "lang", id_col: str = "doc_id",
                  pa.array([f[a].astype(np.float32).tobytes() for f, a in zip(found, at)], pa.binary())],
                 ["label", "at", "n"])
 
-    got = sample.mapInArrow(count, "label string, at binary, n binary").collect()
+    got = in_arrow(sample, count, "label string, at binary, n binary").collect()
     got = sorted((r for r in got if r["at"]), key=lambda r: (r["label"], bytes(r["at"]), bytes(r["n"])))
     x = np.zeros((len(got), DIM), np.float32)
     for row, r in zip(x, got):
@@ -196,21 +199,26 @@ def train(labelled: DataFrame, label_col: str = "lang", id_col: str = "doc_id",
     return Model([r["label"] for r in got], x, families)
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score."""
-    names = docs.columns
-    at = names.index(text_col)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for part in (b.slice(k, 500) for k in range(0, b.num_rows, 500)):
-                langs, scores = model.predict(part.column(at).to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                    [*names, "lang_pred", "score"])
-
-    return docs.mapInArrow(run, f"{schema}, lang_pred string, score double")
+def predict(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang_pred",
+            score_col: str = "score") -> DataFrame:
+    """``docs`` with the language and its score; where ``docs`` has columns of these
+    names, the new ones are the last two all the same (see ``fresh``). Only texts go
+    to Python."""
+    found, lang, score = fresh(docs, "found", lang_col, score_col)
+    bounded_batches(docs.sparkSession)
+
+    @F.arrow_udf("lang string, score double")
+    def language(texts: pa.Array) -> pa.Array:
+        langs, scores = [], []
+        for part in by_bytes(texts, STEP_BYTES):
+            one, two = model.predict(part.to_pylist())
+            langs += one
+            scores.append(two)
+        return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(np.concatenate([np.zeros(0), *scores]))],
+                                          ["lang", "score"])
+
+    return (docs.withColumn(found, language(F.col(f"`{text_col}`")))
+            .select(*(F.col(f"`{c}`") for c in docs.columns), F.col(f"{found}.lang").alias(lang), F.col(f"{found}.score").alias(score)))
 
 
 def held_out(id_col: str = "doc_id") -> Column:
