@@ -39,8 +39,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     model = train_on_documents(docs)
     least = {lang: low + MIN_CERTAINTY * (1 - low) for lang, low in model.lowest_scores().items()} | {UNKNOWN: 1.0}
     needed = F.create_map(*(F.lit(x) for pair in least.items() for x in pair))
-    sure = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= F.element_at(needed, F.col("lang_pred")))
-    return predict(docs, model).where(sure).select(docs.columns)
+    found = predict(docs, model)
+    lang, score = found.columns[-2:]
+    sure = (F.col(lang) != UNKNOWN) & (F.col(score) >= F.element_at(needed, F.col(lang)))
+    return found.where(sure).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
