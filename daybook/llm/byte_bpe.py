@@ -1,37 +1,39 @@
 """Byte-level BPE encoding and decoding with a file of ranks.
 
-Texts are split by the pattern into words. Within a task each distinct word
-is encoded once: Spark higher-order functions fold the ranked merges over its
-bytes, looking pairs up in a literal map of ranks, and the words of a document
-are then replaced by the ids of their distinct words. All steps are narrow:
-
-1. ``mapInArrow`` numbers the words of a partition in order of appearance and
-   passes on a row for each new word and a row for each document with the
-   numbers of its words;
-2. a projection folds the merges of the word rows;
-3. ``mapInArrow`` gathers the ids of the words, in the same order, and writes
-   each document's ids.
-
-No text is shuffled, and nothing grows with the corpus but the number of
-tasks: the numbering starts anew after ``MAX_WORDS`` distinct words.
+Texts are split by the pattern into words, and each distinct word of the corpus is
+encoded once: Spark higher-order functions fold the ranked merges over its bytes,
+looking pairs up in a literal map of ranks.
+
+1. A pass over the texts numbers the words of a part of the documents (a part has
+   ``PART_WORDS`` distinct words or ``PART_ITEMS`` words in all at most, or is one
+   document) and writes a row for each new word and a row for each document with the
+   numbers of its words, as a string of a character a number, in place of its text.
+2. The distinct words of all parts are folded and written.
+3. The ids of words go back to their parts, each part's words and then its
+   documents meet in a task, and documents gather the ids of their words.
+
+Texts are read once and not shuffled. A step of the fold takes the pair of lowest rank
+and merges it wherever it stands, left to right, as one replacement in a string
+of marked pieces; a merge makes no pair of a lower rank in a vocabulary that its
+own merges reproduce, so this equals one merge at a time. A word of n bytes takes as
+many steps as it has different merges, n - 1 at most; words of thousands of bytes
+(runs without a boundary) are slow, but are folded as all others.
 
 Bytes are handled as strings of the characters U+0000 to U+00FF, one a byte.
 The map is an array of small maps, chosen by the CRC-32 of the key, because
-Spark searches a map from its start. Words of more than ``MAX_FOLD`` bytes
-(runs without a boundary) would take quadratic time in a fold; they are
-merged with a heap instead, with the same result. Texts with characters that
+Spark searches a map from its start. Texts with characters that
 the JVM's Unicode tables lack are split in Python.
 
 Cases: a null text counts as empty and has no ids; texts and words may be of
 any length; every row is encoded by itself, so repeated ids do no harm; other
-columns pass through; an empty table gives no rows. Decoding concatenates the
-pieces of the ids; null ids decode to nothing.
+columns pass through, whatever their names (where one has the name of the new
+column, see ``fresh``, the new one is still the last); an empty table gives no rows.
+Decoding concatenates the pieces of the ids; null ids decode to nothing.
 """
 
 from __future__ import annotations
 
 import base64
-import heapq
 import json
 import zlib
 from collections.abc import Iterator
@@ -41,14 +43,18 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from daybook.llm.common import fresh, let, ranges, table
+from daybook.llm.common import fresh, in_arrow, let, partitions_for, ranges, shuffle_partitions, stored, table
 
 BUCKETS = 16384
-MAX_FOLD = 64
-MAX_WORDS = 400_000
-#: Documents whose words are numbered together.
+PART_WORDS = 200_000
+PART_ITEMS = 4_000_000
+#: Documents whose words are numbered together; words that a task folds.
 BLOCK = 500
+FOLDED = 20_000
+#: Stands before and after each piece of a word; no byte is this character.
+MARK = "\u0100"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -71,29 +77,25 @@ def fold_merges(word: Column, rank_map: Column) -> Column:
     def rank(piece: Column) -> Column:
         return F.element_at(F.get(rank_map, (F.crc32(piece) % BUCKETS).cast("int")), piece)
 
-    def state(pieces: Column, ranks: Column) -> Column:
-        return F.struct(pieces.alias("p"), ranks.alias("r"))
+    def pieces(marked: Column) -> Column:
+        return F.filter(F.split(marked, MARK), lambda x: x != "")
 
-    def first(pieces: Column) -> Column:
-        return state(pieces, F.transform(pieces, lambda x, i: rank(F.concat(x, F.get(pieces, i + 1)))))
-
-    def merge(s: Column, i: Column) -> Column:
-        """Merge the pieces at ``i`` and ``i + 1`` (from 1) and rank the new neighbours."""
-        p, r = s["p"], s["r"]
-        return let(F.concat(F.get(p, i - 1), F.get(p, i)), lambda new: state(
-            F.concat(F.slice(p, 1, i - 1), F.array(new), F.slice(p, i + 2, F.size(p))),
-            F.concat(F.when(i > 1, F.concat(F.slice(r, 1, F.greatest(i - 2, F.lit(0))),
-                                            F.array(rank(F.concat(F.get(p, i - 2), new)))))
-                     .otherwise(F.slice(r, 1, 0)),
-                     F.array(rank(F.concat(new, F.get(p, i + 1)))), F.slice(r, i + 2, F.size(r)))))
+    def state(marked: Column) -> Column:
+        """The pieces and the pair to merge next, null if none has a rank."""
+        def lowest(p: Column) -> Column:
+            return let(F.transform(p, lambda x, i: rank(F.concat(x, F.get(p, i + 1)))), lambda r: let(
+                F.array_position(r, F.array_min(r)).cast("int"),
+                lambda i: F.struct(marked.alias("marked"), F.get(p, i - 1).alias("one"), F.get(p, i).alias("two"))))
+        return let(pieces(marked), lowest)
 
     def step(s: Column, _: Column) -> Column:
-        return let(F.array_position(s["r"], F.array_min(s["r"])).cast("int"),
-                   lambda i: F.when(i.isNull(), s).otherwise(merge(s, i)))
+        pair = F.concat(F.lit(MARK), s["one"], F.lit(MARK + MARK), s["two"], F.lit(MARK))
+        merged = F.concat(F.lit(MARK), s["one"], s["two"], F.lit(MARK))
+        return F.when(s["one"].isNull(), s).otherwise(let(F.replace(s["marked"], pair, merged), state))
 
-    chars = F.filter(F.split(word, ""), lambda c: c != "")
-    folded = F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(word) - 1, F.lit(1))), let(chars, first), step,
-                         lambda s: F.transform(s["p"], rank))
+    single = F.concat(F.lit(MARK), F.array_join(F.filter(F.split(word, ""), lambda c: c != ""), MARK + MARK), F.lit(MARK))
+    folded = F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(word) - 1, F.lit(1))), let(single, state), step,
+                         lambda s: F.transform(pieces(s["marked"]), rank))
     return F.coalesce(let(rank(word), lambda whole: F.when(whole.isNotNull(), F.array(whole))), folded)
 
 
@@ -103,122 +105,102 @@ def word_ids(word: Column, ranks: dict[bytes, int]) -> Column:
     return let(_rank_map(ranks), lambda rank_map: fold_merges(word, rank_map))
 
 
-def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The same ids by a heap of neighbouring pairs: n log n for long words."""
-    if word in ranks:
-        return [ranks[word]]
-    n = len(word)
-    after, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-    heap = [(ranks[word[i:i + 2]], i, i + 2) for i in range(n - 1) if word[i:i + 2] in ranks]
-    heapq.heapify(heap)
-
-    def offer(i: int) -> None:
-        if i >= 0 and after[i] < n:
-            end = after[after[i]]
-            if (r := ranks.get(word[i:end])) is not None:
-                heapq.heappush(heap, (r, i, end))
-
-    while heap:
-        _, i, end = heapq.heappop(heap)
-        if not alive[i] or after[i] >= n or after[after[i]] != end:
-            continue
-        alive[after[i]] = False
-        after[i] = end
-        if end < n:
-            before[end] = i
-        offer(i)
-        offer(before[i])
-    out, i = [], 0
-    while i < n:
-        out.append(ranks[word[i:after[i]]])
-        i = after[i]
-    return out
+def _packed(numbers: np.ndarray, sizes: np.ndarray) -> pa.StringArray:
+    """Lists of numbers as strings of a character a number (not the surrogates)."""
+    points = numbers + np.where(numbers >= 0xD800, 0x800, 0)
+    width = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
+    ends = np.concatenate([[0], np.cumsum(width)])[np.concatenate([[0], np.cumsum(sizes)])]
+    data = points.astype("<u4").tobytes().decode("utf-32-le").encode()
+    return pa.StringArray.from_buffers(len(sizes), pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data))
+
+
+def _unpacked(packed: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers of all lists, sizes of the lists)."""
+    points = np.frombuffer("".join(packed.to_pylist()).encode("utf-32-le"), "<u4").astype(np.int64)
+    return points - np.where(points >= 0xE000, 0x800, 0), pc.utf8_length(packed).to_numpy().astype(np.int64)
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text", ids_col: str = "token_ids",
            keep_text: bool = True) -> DataFrame:
-    """``docs`` with ``ids_col``, the ids of the text (array of int)."""
-    kept = [c for c in docs.columns if keep_text or c != text_col]
-    words_name, kind, word, at = fresh(docs, "words", "kind", "word", "at")
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    """``docs`` and, as the last column, the ids of the text (array of int)."""
+    kept = [f for f in docs.schema.fields if keep_text or f.name != text_col]
+    part, number, word, ids = fresh(docs, "part", "number", "word", ids_col)
+    n, columns = len(kept), [F.col(f"`{f.name}`") for f in kept]
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     # Characters that are unassigned to the JVM may be letters to others.
-    words = F.when(~F.rlike(text, F.lit(r"\p{Cn}")), F.regexp_extract_all(text, F.lit(f"(?U){pattern}"), F.lit(0)))
-    odd = F.when(F.rlike(text, F.lit(r"\p{Cn}")), text)
-    given = docs.select(*(F.col(f"`{c}`") for c in kept), words.alias(words_name), odd.alias(word))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in kept)
-    n = len(kept)
+    strange = F.rlike(text, F.lit(r"\p{Cn}"))
+    given = docs.select(*columns, F.when(~strange, F.regexp_extract_all(text, F.lit(f"(?U){pattern}"), F.lit(0))).alias(part),
+                        F.when(strange, text).alias(word))
+    numbers = T.StructType([*(T.StructField(f.name, f.dataType) for f in kept), T.StructField(part, T.LongType()),
+                            T.StructField(number, T.IntegerType()), T.StructField(word, T.StringType())])
 
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
-        split = regex.compile(pattern)
-        seen: dict[str, int] = {}
-        names = [*kept, kind, word, at]
-
-        def extra(kinds: list, words: list, ats: pa.Array, types: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([*(pa.nulls(len(kinds), t) for t in types), pa.array(kinds, pa.int8()),
-                                               pa.array(words, pa.string()), ats], names)
+        from pyspark import TaskContext
 
+        split, seen, items, at = regex.compile(pattern), {}, 0, TaskContext.get().partitionId() << 32
+        names = [*(f.name for f in kept), part, number, word]
         for whole in batches:
-            types = [whole.schema.field(i).type for i in range(n)]
             for b in (whole.slice(k, BLOCK) for k in range(0, whole.num_rows, BLOCK)):
-                if len(seen) > MAX_WORDS:
-                    seen = {}
-                    yield extra([2], [None], pa.nulls(1, pa.list_(pa.int32())), types)
+                if len(seen) > PART_WORDS or items > PART_ITEMS:
+                    seen, items, at = {}, 0, at + 1
                 lists = b.column(n)
                 if lists.null_count:
-                    lists = pa.array([split.findall(o) if w is None else w
-                                      for w, o in zip(lists.to_pylist(), b.column(n + 1).to_pylist())],
-                                     pa.list_(pa.string()))
-                coded = pc.dictionary_encode(lists.flatten())
+                    lists = pa.array([split.findall(o) if w is None else w for w, o in
+                                      zip(lists.to_pylist(), b.column(n + 1).to_pylist())], pa.list_(pa.string()))
+                coded, known = pc.dictionary_encode(lists.flatten()), len(seen)
                 distinct = coded.dictionary.to_pylist()
-                size = len(seen)
-                numbers = np.array([seen.setdefault(w, len(seen)) for w in distinct], np.int32)
-                new = [w.encode().decode("latin-1") for w, k in zip(distinct, numbers) if k >= size]
-                if new:
-                    yield extra([1] * len(new), new, pa.nulls(len(new), pa.list_(pa.int32())), types)
-                sizes = pc.list_value_length(lists).to_numpy()
-                ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-                index = pa.ListArray.from_arrays(ends, pa.array(numbers[coded.indices.to_numpy()], pa.int32()))
+                of = np.array([seen.setdefault(w, len(seen)) for w in distinct], np.int64)
+                new = [w.encode().decode("latin-1") for w, k in zip(distinct, of) if k >= known]
+                items += len(coded)
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.nulls(len(new), b.schema.field(i).type) for i in range(n)), pa.array(np.full(len(new), at)),
+                     pa.array(np.arange(known, len(seen)), pa.int32()), pa.array(new, pa.string())], names)
                 yield pa.RecordBatch.from_arrays(
-                    [*b.columns[:n], pa.array([0] * b.num_rows, pa.int8()), pa.nulls(b.num_rows, pa.string()), index],
-                    names)
+                    [*b.columns[:n], pa.array(np.full(b.num_rows, at)), pa.nulls(b.num_rows, pa.int32()),
+                     _packed(of[coded.indices.to_numpy()], pc.list_value_length(lists).to_numpy())], names)
 
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        starts, sizes, values = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, waiting = None, []
+        starts = sizes = np.zeros(0, np.int64)
+        values = np.zeros(0, np.int32)
         for b in batches:
-            kinds = b.column(n).to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(kinds)) + 1).tolist(), b.num_rows]
-            for part in (b.slice(i, j - i) for i, j in zip(cuts, cuts[1:]) if j > i):
-                which = part.column(n)[0].as_py()
-                if which == 2:
-                    starts, sizes, values, waiting = starts[:0], sizes[:0], values[:0], []
-                elif which == 1:
-                    ids = part.column(n + 2)
-                    if ids.null_count:  # words too long to fold
-                        ids = pa.array([merge_long(w.encode("latin-1"), ranks) if x is None else x for x, w in
-                                        zip(ids.to_pylist(), part.column(n + 1).to_pylist())], pa.list_(pa.int32()))
-                    waiting.append((pc.list_value_length(ids).to_numpy().astype(np.int64), ids.flatten().to_numpy()))
-                else:
-                    if waiting:
-                        sizes = np.concatenate([sizes, *(s for s, _ in waiting)])
-                        values = np.concatenate([values, *(v for _, v in waiting)])
-                        starts, waiting = np.cumsum(sizes) - sizes, []
-                    for doc in (part.slice(k, BLOCK) for k in range(0, part.num_rows, BLOCK)):
-                        index = doc.column(n + 3)
-                        flat = index.flatten().to_numpy()
-                        of_word = sizes[flat]
-                        ends = np.concatenate([[0], np.cumsum(of_word)])
-                        bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(index).to_numpy())])
-                        ids = pa.ListArray.from_arrays(pa.array(ends[bounds].astype(np.int32)),
-                                                       pa.array(values[ranges(starts[flat], of_word)], pa.int32()))
-                        yield pa.RecordBatch.from_arrays([*doc.columns[:n], ids], [*kept, ids_col])
-
-    numbered = given.mapInArrow(number, f"{schema}, `{kind}` tinyint, `{word}` string, `{at}` array<int>")
-    folds = (F.col(kind) == 1) & (F.length(word) <= MAX_FOLD)
-    folded = numbered.select(*(F.col(f"`{c}`") for c in kept), kind, word,
-                             F.when(folds, word_ids(F.col(word), ranks)).alias("ids"), at)
-    return folded.mapInArrow(gather, f"{schema}, `{ids_col}` array<int>")
+            parts, is_doc = b.column(n).to_numpy(), b.column(n + 1).is_null().to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((np.diff(parts) != 0) | (np.diff(is_doc.astype(np.int8)) != 0)) + 1
+            cuts = [0, *cuts.tolist(), b.num_rows]
+            for i, j in zip(cuts, cuts[1:]):
+                if i == j:
+                    continue
+                if parts[i] != at:
+                    at, waiting, starts, sizes, values = parts[i], [], starts[:0], sizes[:0], values[:0]
+                run = b.slice(i, j - i)
+                if not is_doc[i]:
+                    found = run.column(n + 3)
+                    waiting.append((pc.list_value_length(found).to_numpy().astype(np.int64), found.flatten().to_numpy()))
+                    continue
+                if waiting:
+                    sizes = np.concatenate([sizes, *(x for x, _ in waiting)])
+                    values = np.concatenate([values, *(x for _, x in waiting)])
+                    starts, waiting = np.cumsum(sizes) - sizes, []
+                for doc in (run.slice(k, BLOCK) for k in range(0, run.num_rows, BLOCK)):
+                    flat, of_doc = _unpacked(doc.column(n + 2))
+                    of_word = sizes[flat]
+                    ends = np.concatenate([[0], np.cumsum(of_word)])[np.concatenate([[0], np.cumsum(of_doc)])]
+                    lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)),
+                                                     pa.array(values[ranges(starts[flat], of_word)], pa.int32()))
+                    yield pa.RecordBatch.from_arrays([*doc.columns[:n], lists], [*(f.name for f in kept), ids])
+
+    rows = stored(in_arrow(given, numbered, numbers), "numbered-words")
+    words = rows.where(F.col(number).isNotNull()).select(part, number, word)
+    tasks = partitions_for(words.count(), FOLDED, shuffle_partitions(docs.sparkSession))
+    known = stored(words.select(word).repartition(tasks, word).distinct()
+                   .select(word, word_ids(F.col(word), ranks).alias(ids)), "word-ids")
+    answers = words.join(known, word).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in kept), part, number,
+                                             F.lit(None).cast("string").alias(word), ids)
+    every = (rows.where(F.col(number).isNull()).withColumn(ids, F.lit(None).cast("array<int>")).unionAll(answers)
+             .repartition(part).sortWithinPartitions(part, F.col(number).asc_nulls_last()))
+    return in_arrow(every, gathered, T.StructType([*(T.StructField(f.name, f.dataType) for f in kept),
+                                                   T.StructField(ids, T.ArrayType(T.IntegerType()))]))
 
 
 def _concatenated(lists: pa.ListArray, pieces: pa.BinaryArray) -> pa.BinaryArray:
@@ -229,28 +211,30 @@ def _concatenated(lists: pa.ListArray, pieces: pa.BinaryArray) -> pa.BinaryArray
     return pa.BinaryArray.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(ends[bounds]), taken.buffers()[2]])
 
 
-def decode(encoded: DataFrame, ranks: dict[bytes, int], ids_col: str = "token_ids", bytes_col: str = "decoded",
+def decode(encoded: DataFrame, ranks: dict[bytes, int], ids_col: str | None = None, bytes_col: str = "decoded",
            decimal_col: str | None = None) -> DataFrame:
-    """``encoded`` with ``bytes_col``, the concatenated binary pieces of its ids,
-    and, if named, ``decimal_col``, the ids in decimal with commas between."""
-    names, at = encoded.columns, encoded.columns.index(ids_col)
+    """``encoded`` with the concatenated binary pieces of its ids (of the last column,
+    if none is named) and, if named, the ids in decimal with commas between."""
+    names = encoded.columns
+    at = names.index(ids_col or names[-1])
     table_of = [b""] * (max(ranks.values()) + 1)
     for piece, rank in ranks.items():
         table_of[rank] = piece
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema) + f", `{bytes_col}` binary"
+    new = fresh(encoded, bytes_col, *([decimal_col] if decimal_col else []))
+    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in encoded.schema.fields),
+                           *(T.StructField(c, t) for c, t in zip(new, (T.BinaryType(), T.StringType())))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pa.array(table_of, pa.binary())
         decimals = pa.array([b"%d," % i for i in range(len(table_of))], pa.binary())
         for whole in batches:
             for b in (whole.slice(k, BLOCK) for k in range(0, whole.num_rows, BLOCK)):
-                out, cols = [_concatenated(b.column(at), pieces)], [*names, bytes_col]
+                out = [_concatenated(b.column(at), pieces)]
                 if decimal_col:
-                    out.append(pa.array([x[:-1].decode() for x in _concatenated(b.column(at), decimals).to_pylist()]))
-                    cols.append(decimal_col)
-                yield pa.RecordBatch.from_arrays([*b.columns, *out], cols)
+                    out.append(pa.array([x[:-1].decode() for x in _concatenated(b.column(at), decimals).to_pylist()], pa.string()))
+                yield pa.RecordBatch.from_arrays([*b.columns, *out], [*names, *new])
 
-    return encoded.mapInArrow(run, schema + (f", `{decimal_col}` string" if decimal_col else ""))
+    return in_arrow(encoded, run, schema)
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
