@@ -8,9 +8,11 @@
    eight times as many in each further one) are compared with those members that
    are not yet in the same component. The members that share the most buckets
    with others, such as the text that all of a group were made from, are hubs
-   first. From the second round on, the shingles that only one of the
-   documents left has are counted for each: they bound the similarity of a
-   pair from above, and pairs below the threshold by this bound are not made.
+   first. From the second round on, the shingles that another of the documents
+   left has too are counted for each, by blocks of their hashes: two documents have
+   no more in common than the sum of the lesser counts of the blocks. Pairs below
+   the threshold by this bound are not made, and a pair that shares several buckets
+   is made in the first of them only.
    Rounds go on until every bucket holds one component or all its members
    have been hubs, so no pair of a bucket that could join two components is
    left out.
@@ -43,10 +45,10 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import fresh, stored, table
+from daybook.llm.common import fresh, in_arrow, stored, table
 
 SHINGLE = 4
 BANDS, ROWS = 25, 5
@@ -56,6 +58,8 @@ THRESHOLD_PERCENT = 80
 #: Probability at which a pair is given up although it might reach the threshold.
 MISS = 1e-6
 HUB_GROWTH = 8
+#: Blocks of shingles that are counted for the bounds (a power of 2).
+BLOCKS = 128
 
 _SEED = np.random.Generator(np.random.PCG64(20240607))
 _FACTORS = _SEED.integers(1, 2 ** 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -96,8 +100,8 @@ def _sign(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
 
 def sign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
     """(id, n, key, signature) of each row: one pass, no shuffle."""
-    return (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-            .mapInArrow(lambda batches: _sign(batches, size), "id long, n long, key binary, signature binary"))
+    return in_arrow(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")),
+                    lambda batches: _sign(batches, size), "id long, n long, key binary, signature binary")
 
 
 def least_matches(percent: int = THRESHOLD_PERCENT, miss: float = MISS) -> list[tuple[int, int]]:
@@ -152,20 +156,20 @@ def _texts(ids: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(j).take(pa.array(keep, pa.int64())) for j in (0, 2)], ["id", "text"])
 
     wanted = reps.join(ids, "id", "left_semi").select("id", "key", F.col("rep").alias("doc_id"))
-    return docs.join(wanted, "doc_id").select("id", "key", "text").mapInArrow(same, "id long, text string")
+    return in_arrow(docs.join(wanted, "doc_id").select("id", "key", "text"), same, "id long, text string")
 
 
 def _verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Those of (a, b) that are linked. ``docs``: doc_id and text of the rows."""
     bounds = least_matches(percent)
     one, two = (signed.select(F.col("id").alias(k), F.col("signature").alias(f"s{k}")) for k in "ab")
-    likely = stored(pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb")
-                    .mapInArrow(lambda x: _likely(x, bounds), "a long, b long"), "likely-pairs")
+    likely = stored(in_arrow(pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb"),
+                             lambda x: _likely(x, bounds), "a long, b long"), "likely-pairs")
     wanted = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = stored(_texts(wanted, signed, docs), "likely-texts")
     one, two = (texts.select(F.col("id").alias(k), F.col("text").alias(f"t{k}")) for k in "ab")
-    return likely.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(
-        lambda x: _linked(x, size, percent), "a long, b long")
+    return in_arrow(likely.join(one, "a").join(two, "b").select("a", "b", "ta", "tb"),
+                    lambda x: _linked(x, size, percent), "a long, b long")
 
 
 def connected(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -191,30 +195,49 @@ def connected(nodes: DataFrame, links: DataFrame) -> DataFrame:
                         .select("id", F.coalesce("to", "label").alias("label")), "labels")
 
 
+def _bands() -> Column:
+    """array<long>: the buckets of a signature, one for each band."""
+    width = 4 * ROWS
+    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
+                       lambda k: F.xxhash64(k, F.substring(F.col("signature"), k * width + 1, F.lit(width))))
+
+
 def _band_rows(signed: DataFrame) -> DataFrame:
     """(bucket, id): a row for each band; signatures are little-endian words."""
-    width = 4 * ROWS
-    bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
-                        lambda k: F.xxhash64(k, F.substring(F.col("signature"), k * width + 1, F.lit(width))))
-    return signed.select(F.explode(bands).alias("bucket"), "id")
+    return signed.select(F.explode(_bands()).alias("bucket"), "id")
 
 
-def _own_shingles(texts: DataFrame, size: int) -> DataFrame:
-    """(id, own): how many shingles of each text no other of these texts has.
-    Hashes that collide make it smaller, never larger."""
+def _shared_shingles(texts: DataFrame, size: int) -> DataFrame:
+    """(id, shared): how many shingles of each text another of these texts has, in each
+    of ``BLOCKS`` blocks of their hashes. Two texts have no more in common than the sum
+    of the lesser counts. Hashes that collide make counts larger, never smaller."""
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hashes(text: str | None) -> np.ndarray:
         from xxhash import xxh3_64_intdigest
 
+        return np.fromiter(set(map(xxh3_64_intdigest, shingles(words_of(text or ""), size))), np.uint64)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                x = np.fromiter(set(map(xxh3_64_intdigest, shingles(words_of(text or ""), size))), np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), doc_id)), pa.array(x)], ["id", "shingle"])
+                x = hashes(text)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), doc_id, np.int64)), pa.array(x.view(np.int64))],
+                                                 ["id", "shingle"])
 
-    found = texts.mapInArrow(rows, "id long, shingle long")
+    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [np.bincount((hashes(t) % np.uint64(BLOCKS)).astype(np.int64), minlength=BLOCKS) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int32()))], ["id", "total"])
+
+    found = in_arrow(texts, rows, "id long, shingle long")
     # min and max differ if two texts have the shingle, not if a text has two rows.
     alone = found.groupBy("shingle").agg(F.min("id").alias("id"), F.max("id").alias("other")).where("id = other")
-    return alone.groupBy("id").agg(F.count(F.lit(1)).alias("own"))
+    block = F.pmod(F.col("shingle"), F.lit(BLOCKS)).cast("int")  # 2^64 is a multiple of BLOCKS
+    own = (alone.groupBy("id", block.alias("block")).agg(F.count(F.lit(1)).cast("int").alias("n"))
+           .groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("block", "n"))).alias("own")))
+    total = in_arrow(texts, totals, "id long, total array<int>").dropDuplicates(["id"])
+    shared = F.transform("total", lambda x, k: x - F.coalesce(F.element_at("own", k), F.lit(0)))
+    return total.join(own, "id", "left").select("id", shared.alias("shared"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
@@ -238,7 +261,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = stored(several.join(degrees, "id").select("bucket", "id", "degree"), "buckets")
     # Classes of one smallest id start as one component.
     labels = stored(reps.select("id", F.col("rep").alias("label")), "labels")
-    bounds = reps.select("id", "n", F.lit(0).cast("long").alias("own"))
+    bounds = reps.select("id", "n")
     done, count = 0, 1
     while True:
         now = buckets.join(labels, "id")
@@ -250,18 +273,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if left.isEmpty():
             break
         if done:
-            own = _own_shingles(_texts(left.select("id").distinct(), reps, texts), size)
-            bounds = stored(bounds.select("id", "n").join(own, "id", "left")
-                            .select("id", "n", F.coalesce("own", F.lit(0)).alias("own")), "own-shingles")
-        left = left.join(bounds, "id").withColumn("shared", F.col("n") - F.col("own"))
+            now = left.select("id").distinct()
+            shared = _shared_shingles(stored(_texts(now, reps, texts), "open-texts"), size)
+            bounds = stored(reps.join(now, "id", "left_semi").select("id", "n", _bands().alias("bands"))
+                            .join(shared, "id"), "shared-shingles")
+        left = left.join(bounds, "id")
         turn = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("degree"), "id"))
         hubs = (left.withColumn("turn", turn).where(f"turn <= {done + count}").where(f"turn > {done}")
                 .select("bucket", F.col("id").alias("hub"), F.col("label").alias("hub_label"), F.col("n").alias("hub_n"),
-                        F.col("shared").alias("hub_shared")))
+                        *(F.col(c).alias(f"hub_{c}") for c in ("shared", "bands") if done)))
         # At most this many shingles are common, so at least the rest are in the union.
-        common = F.least("shared", "hub_shared")
+        common, first = F.least("n", "hub_n"), F.lit(True)
+        if done:
+            common = F.aggregate(F.zip_with("shared", "hub_shared", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+            # A pair that shares several buckets is made in the first of them.
+            before = F.slice("bands", F.lit(1), F.array_position("bands", F.col("bucket")).cast("int") - 1)
+            first = ~F.arrays_overlap(before, F.col("hub_bands"))
         possible = 100 * common >= percent * (F.col("n") + F.col("hub_n") - common)
-        pairs = (left.join(hubs, "bucket").where((F.col("label") != F.col("hub_label")) & possible)
+        pairs = (left.join(hubs, "bucket").where((F.col("label") != F.col("hub_label")) & first & possible)
                  .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct())
         links = stored(_verified(pairs, reps, texts, size, percent), "links")
         labels = connected(labels, links)
