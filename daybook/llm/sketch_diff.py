@@ -1,8 +1,8 @@
 """Document fingerprints that subtract: invertible Bloom lookup sketches.
 
-A text is a multiset of paragraphs (lines; a long line is cut at
-content-defined places, after blanks that follow certain characters, so that
-an edit moves no other cut). Each paragraph's digest, with its number among
+A text is a multiset of paragraphs: lines, cut after their first ``HEAD`` characters
+and wherever a hash of the three characters before says so, in every script, so that
+an edit moves no cut but those next to it. Each paragraph's digest, with its number among
 equal ones, is added to one cell in each of three parts of a small table; a
 cell holds the count, the sum of digests and the sum of check digests. The
 tables of two versions are subtracted cell by cell. What they share cancels,
@@ -28,23 +28,22 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
+import json
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm.common import shuffle_partitions, table
+from daybook.llm.common import in_arrow, let, shuffle_partitions, table
 
 #: Cells of the smallest table (three parts), and the growth on failure.
 CELLS = 24
 GROWTH = 4
-LONG = 128
-_LINES = re.compile(r"\n")
-_CUTS = re.compile(r"(?<=[.!?;]) |(?<=[dlpx]) ")
+#: Characters of the first paragraph of a line; of the others on average (a power of 2).
+HEAD = 8
+LENGTH = 32
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
 
@@ -53,14 +52,29 @@ def _mix(x: np.ndarray, k: int) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def paragraphs(text: str) -> list[str]:
-    out: list[str] = []
-    for line in _LINES.split(text):
-        if len(line) > LONG:
-            out += _CUTS.split(line)
-        elif line:
-            out.append(line)
-    return [p for p in out if p]
+def _cuts(text: str) -> tuple[bytes, list[int]]:
+    """The text in UTF-32 and the places at which it is cut, both ends among them."""
+    encoded = text.encode("utf-32-le")
+    x = np.frombuffer(encoded, np.uint32)
+    rolled = x * np.uint32(0x9E3779B1)
+    rolled[1:] += x[:-1] * np.uint32(0x85EBCA77)
+    rolled[2:] += x[:-2] * np.uint32(0xC2B2AE3D)
+    rolled ^= rolled >> np.uint32(15)
+    after = (rolled * np.uint32(0x2C1B3C6D)) >> np.uint32(32 - LENGTH.bit_length() + 1) == 0
+    line = np.flatnonzero(x == 10)
+    after[line] = True
+    starts = np.concatenate([[0], line + 1])
+    ends = np.concatenate([line, [len(x)]])
+    heads = starts + HEAD - 1
+    after[heads[heads < ends]] = True
+    return encoded, [0, *(np.flatnonzero(after) + 1).tolist(), len(x)]
+
+
+def paragraphs(text: str) -> list[bytes]:
+    """The paragraphs in UTF-32, without their line ends."""
+    encoded, cuts = _cuts(text)
+    found = (encoded[4 * i:4 * j].removesuffix(b"\n\0\0\0") for i, j in zip(cuts, cuts[1:]))
+    return [x for x in found if x]
 
 
 def digests(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -199,6 +213,25 @@ def _in_order(batches: Iterator[pa.RecordBatch], most_rows: int = 400, most_char
                 rows, chars = rows[-1:], len(text)
 
 
+def _literal(numbers: list[int | None]) -> Column:
+    """A literal array of numbers (folded from JSON)."""
+    return F.from_json(F.lit(json.dumps(numbers)), "array<bigint>")
+
+
+def _range_of(place: Column, bounds: list[int]) -> Column:
+    """How many of the ascending ``bounds`` are not above ``place``, by halving."""
+    steps = [2 ** k for k in reversed(range(len(bounds).bit_length()))]
+    if not steps:
+        return F.lit(0)
+
+    def searched(given: Column) -> Column:
+        def step(at: Column, size: Column) -> Column:
+            return F.when(F.coalesce(F.get(given, at + size - 1) <= place, F.lit(False)), at + size).otherwise(at)
+        return F.aggregate(F.lit(steps).cast("array<int>"), F.lit(0), step)
+
+    return let(_literal(bounds), searched)
+
+
 def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of each text and its edited text, and their likenesses."""
     spark = docs.sparkSession
@@ -206,33 +239,27 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.withColumn("place", F.coalesce("id", F.lit(-2 ** 63)))
     probabilities = [k / (4 * parts) for k in range(1, 4 * parts)]
-    bounds = np.array(sorted(set(rows.approxQuantile("place", probabilities, 1 / (16 * parts)))), np.float64)
-
-    def ranges(places: pd.Series) -> np.ndarray:
-        return np.searchsorted(bounds, places.to_numpy().astype(np.float64), "right").astype(np.int32)
-
-    @F.pandas_udf("int")
-    def range_of(places: pd.Series) -> pd.Series:
-        return pd.Series(ranges(places))
-
-    # One row a range: the place of its first document.
-    firsts = sorted((r["part"], r["place"]) for r in rows.select("place", range_of("place").alias("part"))
-                    .groupBy("part").agg(F.min("place").alias("place")).collect())
-    before = {place: firsts[k - 1][0] for k, (_, place) in enumerate(firsts)}
-
-    @F.pandas_udf("int")
-    def guest_of(places: pd.Series) -> pd.Series:
-        return places.map(before).astype("Int32")
-
-    own = F.struct(range_of("place").alias("part"), F.lit(False).alias("guest"))
-    guest = F.struct(guest_of("place").alias("part"), F.lit(True).alias("guest"))
-    dealt = (rows.withColumn("dealt", F.explode(F.array(own, guest))).where("dealt.part IS NOT NULL")
+    bounds = sorted({int(x) for x in rows.approxQuantile("place", probabilities, 1 / (16 * parts))})
+    # A row a range: the place of its first document.
+    firsts = {r["part"]: r["place"] for r in rows.select("place", _range_of(F.col("place"), bounds).alias("part"))
+              .groupBy("part").agg(F.min("place").alias("place")).collect()}
+    filled = sorted(firsts)
+    before = dict(zip(filled, [*filled[-1:], *filled]))
+    every = range(len(bounds) + 1)
+
+    def dealt_to(part: Column) -> Column:
+        first = F.get(_literal([firsts.get(k) for k in every]), part) == F.col("place")
+        guest = F.when(first, F.get(_literal([before.get(k) for k in every]), part).cast("int"))
+        return F.array(F.struct(part.alias("part"), F.lit(False).alias("guest")),
+                       F.struct(guest.alias("part"), F.lit(True).alias("guest")))
+
+    dealt = (rows.withColumn("dealt", F.explode(let(_range_of(F.col("place"), bounds), dealt_to))).where("dealt.part IS NOT NULL")
              .select("dealt.part", "dealt.guest", "id", "text", "place")
              .repartition(parts, "part")
              .sortWithinPartitions("part", "guest", "place", F.xxhash64("text"))
              .select("part", "guest", "id", "text"))
-    return dealt.mapInArrow(_in_order, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
-                                       "edited_fingerprint string, near_edited double, near_next double")
+    return in_arrow(dealt, _in_order, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
+                                      "edited_fingerprint string, near_edited double, near_next double")
 
 
 def op5_sketch_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
