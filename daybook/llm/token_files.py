@@ -13,8 +13,9 @@ that succeeded; files of lost attempts are not in it.
 Texts are split at ASCII blanks, which no token of these vocabularies spans;
 each distinct word of a task is numbered, normalised, split and encoded once by
 the model of the tokenizers library; documents gather the ids of their words. A tokenizer of
-another make is called on whole texts. Special tokens in a text are ordinary
-text.
+another make is called on whole texts, and so is this one on texts that hold the
+content of an added token (as ``<|endoftext|>``), which the library takes for that
+token. Ids are those of the library with no option changed.
 
 Cases: a null or empty text has the end id only; a text of any length is
 written across batches; rows that share an id are written in the order of a
@@ -36,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import partitions_for, ranges, stored, table
+from daybook.llm.common import in_arrow, partitions_for, ranges, stored, table
 from daybook.session import scratch_path
 
 SEQUENCE = 2048
@@ -57,9 +58,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         parts = json.loads(tokenizer_json)
+        self.added = [x["content"] for x in parts.get("added_tokens") or [] if x["content"]]
         normal = [x.get("type") for x in (parts.get("normalizer") or {}).get("normalizers", [])]
         pre = (parts.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
         split, level = pre[0], pre[-1]
@@ -88,6 +89,7 @@ class Encoder:
 
     def _word(self, word: str) -> list[int]:
         if word.isascii():
+            word = word.lower()
             if word.isalpha():  # letters are one piece
                 return self._piece(word)
         else:
@@ -95,14 +97,31 @@ class Encoder:
         pieces = self.split.findall(word)
         return self._piece(pieces[0]) if len(pieces) == 1 else [i for piece in pieces for i in self._piece(piece)]
 
+    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32) for t in texts]
+        return np.concatenate([np.zeros(0, np.uint32), *found]), np.array([len(x) for x in found], np.int64)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of the texts end to end, number of ids of each); no nulls."""
         if not self.by_words:
-            found = [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32) for t in texts.to_pylist()]
-            return np.concatenate([np.zeros(0, np.uint32), *found]), np.array([len(x) for x in found], np.int64)
+            return self._whole(texts.to_pylist())
+        marked = np.zeros(len(texts), bool)
+        for content in self.added:
+            marked |= pc.match_substring(texts, content, ignore_case=True).to_numpy(zero_copy_only=False)
+        if not marked.any():
+            return self._by_words(texts)
+        (one, n), (two, m) = self._by_words(texts.filter(pa.array(~marked))), self._whole(texts.filter(pa.array(marked)).to_pylist())
+        sizes = np.empty(len(texts), np.int64)
+        sizes[~marked], sizes[marked] = n, m
+        flat = np.empty(sizes.sum(), np.uint32)
+        whole = np.repeat(marked, sizes)
+        flat[~whole], flat[whole] = one, two
+        return flat, sizes
+
+    def _by_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if len(self.words) > MAX_WORDS:
             self._forget()
-        lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        lists = pc.ascii_split_whitespace(texts)
         coded, known = pc.dictionary_encode(lists.flatten()), len(self.words)
         distinct = coded.dictionary.to_pylist()
         numbers = np.array([self.words.setdefault(w, len(self.words)) for w in distinct], np.int64)
@@ -125,11 +144,18 @@ def _blocks(whole: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     return (whole.slice(i, j - i) for i, j in zip(cuts, cuts[1:]) if j > i)
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme: one without means Spark's default file system, not the
+    disk of the executor."""
+    given = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = given.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.makeQualified(given).toString().replace("s3a://", "s3://", 1)
+
+
 def _open(path: str):
     from pyarrow import fs
 
-    system, at = fs.FileSystem.from_uri(path)
-    return system, at
+    return fs.FileSystem.from_uri(path)
 
 
 class _Shard:
@@ -179,7 +205,10 @@ def write_tokens(docs: DataFrame, tokenizer_json: str, root: str, id_col: str =
     kind = pa.uint16() if max(size, (end_id or 0) + 1) <= 2 ** 16 else pa.uint32()
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ordered = (texts.repartitionByRange(partitions_for(total, SHARD_BYTES, 1), "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text")))
+    # The rows of one id may fill several shards.
+    order = ["doc_id", F.xxhash64("text")]
+    ordered = texts.repartitionByRange(partitions_for(total, SHARD_BYTES, 1), *order).sortWithinPartitions(*order)
+    root = _qualified(docs.sparkSession, root)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -209,7 +238,7 @@ def write_tokens(docs: DataFrame, tokenizer_json: str, root: str, id_col: str =
                                           pa.array([len(n)], pa.int64()), pa.array([shard.total], pa.int64())],
                                          ["shard", "path", "n_docs", "n_tokens"])
 
-    manifest = stored(ordered.mapInArrow(write, "shard int, path string, n_docs long, n_tokens long"), "token-manifest")
+    manifest = stored(in_arrow(ordered, write, "shard int, path string, n_docs long, n_tokens long"), "token-manifest")
     # One row a shard: as many as the writing job had tasks.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return stored(manifest.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0))), "token-manifest")
@@ -261,7 +290,7 @@ def read_documents(manifest: DataFrame, crc_only: bool = False) -> DataFrame:
                         ["doc_id", "start", "n_tokens", last.split()[0]])
 
     shards = manifest.select("path", "start").repartition(max(1, manifest.count()))
-    return shards.mapInArrow(read, f"doc_id long, start long, n_tokens long, {last}")
+    return in_arrow(shards, read, f"doc_id long, start long, n_tokens long, {last}")
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,13 +62,14 @@ def test_token_files_round_trip(spark, docs, empty):
     with open(P.path("word_bpe_49k.json"), encoding="utf-8") as f:
         text = f.read()
     tokenizer = Tokenizer.from_str(text)
-    tokenizer.encode_special_tokens = True
-    manifest = token_files.write_tokens(docs, text, scratch_path(spark, "t"))
+    odd = ["H\u0331ello W\u030Aorld T\u0308", "a <|endoftext|> b", "<|startoftext|>x", "A <|ENDOFTEXT|> B", "Abc aBC\u00a0x\u3000\u0130"]
+    more = docs.unionByName(spark.createDataFrame([(100 + k, t) for k, t in enumerate(odd)], "doc_id long, text string"), True)
+    manifest = token_files.write_tokens(more, text, scratch_path(spark, "t"))
     got = sorted(token_files.read_documents(manifest).collect(), key=lambda r: r["start"])
-    assert [r["doc_id"] for r in got] == [None, 0, 1, 2, 3, 4, 5, 6, 6, *range(7, len(TEXTS))]
+    assert [r["doc_id"] for r in got] == [None, 0, 1, 2, 3, 4, 5, 6, 6, *range(7, len(TEXTS)), *range(100, 100 + len(odd))]
     at = 0
     for r in got:
-        source = "null id text" if r["doc_id"] is None else TEXTS[r["doc_id"]] or ""
+        source = "null id text" if r["doc_id"] is None else odd[r["doc_id"] - 100] if r["doc_id"] >= 100 else TEXTS[r["doc_id"]] or ""
         assert r["token_ids"] == tokenizer.encode(source, add_special_tokens=False).ids + [2]
         assert (r["start"], r["n_tokens"]) == (at, len(r["token_ids"]))
         at += r["n_tokens"]
@@ -103,12 +104,31 @@ def test_sketch_diff(docs, empty):
     got = sketch_diff.compare_with_next(docs).collect()
     rows = sorted([(-1, "null id text")] + [(i, t or "") for i, t in [*enumerate(TEXTS), (6, LONG)]])
     want = collections.Counter()
+
+    def cut(text):
+        """Paragraphs by the definition, character by character."""
+        out = []
+        for line in text.split("\n"):
+            out.append("")
+            for k, c in enumerate(line):
+                out[-1] += c
+                at = sum(len(x) + 1 for x in text.split("\n")[:len(starts)]) + k
+                a, b, d = (ord(text[j]) if j >= 0 else 0 for j in (at, at - 1, at - 2))
+                h = (a * 0x9E3779B1 + b * 0x85EBCA77 + d * 0xC2B2AE3D) % 2 ** 32
+                h = (h ^ h >> 15) * 0x2C1B3C6D % 2 ** 32
+                if h >> 27 == 0 or k == 7:
+                    out.append("")
+            starts.append(0)
+        starts.clear()
+        return [x for x in out if x]
+
+    starts = []
     for (i, t), (_, after) in zip(rows, rows[1:] + rows[:1]):
         q = len(t) // 4
         edited = t[:len(t) - q] + after[:q]
 
         def like(x, y):
-            a, b = (collections.Counter(sketch_diff.paragraphs(s)) for s in (x, y))
+            a, b = (collections.Counter(cut(s)) for s in (x, y))
             return round(sum((a & b).values()) / (sum((a | b).values()) or 1), 9) if a or b else 1.0
         want[(None if i < 0 else i, len(t), hashlib.sha256(edited.encode()).hexdigest(), like(t, edited), like(t, after))] += 1
     assert want == collections.Counter((r["doc_id"], r["n_chars"], r["edited_sha256"], round(r["near_edited"], 9),
