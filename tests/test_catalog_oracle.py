@@ -5,20 +5,22 @@ import os
 import pytest
 
 import __spark_entry__ as E
-from daybook.plans.compare import compare_one, duck
+from daybook.plans.catalog import ORACLE, QUERIES
+from daybook.session import apply_conf
+from duck_compare import compare_one, duck
 
 SF_DIR = os.environ.get("DAYBOOK_TEST_SF", "/root/testdata/sf0.001")
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
 
 
 @pytest.fixture(scope="module")
-def con():
+def con(spark):
+    apply_conf(spark)
     return duck(SF_DIR)
 
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and ORACLE.items() <= E.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

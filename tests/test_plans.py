@@ -3,7 +3,7 @@ scale, checked on every catalog query."""
 
 import pytest
 
-import __spark_entry__ as E
+from daybook.plans.catalog import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 # These run whole pipelines or streams when called; their returned frames
@@ -12,7 +12,6 @@ HEAVY = {"daily_runs_row_counts", "backfill_row_counts", "stream_scd2_available_
          "backfill_dim_products", "backfill_dim_comments", "backfill_fact_comments"}
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas", "LocalCheckpoint"]
-QUERIES = E.queries()
 
 
 def plan_of(spark, name):
