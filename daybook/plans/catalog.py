@@ -477,6 +477,49 @@ def q_scd2_merge_comments_many_days(w: Warehouse) -> DataFrame:
     return S.scd2_merge(S.scd2_history(early, S.COMMENTS), late, S.COMMENTS, S.AS_WRITTEN)
 
 
+def _merged(w: Warehouse, contract, spec: S.Scd2Spec, parts: list[DataFrame], mode: str) -> DataFrame:
+    """A stored dimension after merging ``parts`` one after another."""
+    dim = SK.Scd2Store(w.spark, scratch_path(w.spark, "merged"), contract, spec)
+    for part in parts:
+        dim.merge(part, mode)
+    return dim.read()
+
+
+@query("scd2_merge_one_shuffle", O.DIM_PRODUCTS, stored=True)
+def q_scd2_merge_one_shuffle(w: Warehouse) -> DataFrame:
+    """The first three load days merged into an empty dimension, then the others as
+    one batch, then all of them again: each merge deals the change log and the batch
+    once by key. Must equal the full history."""
+    return _merged(w, K.DIM_PRODUCTS, S.PRODUCTS, [*_first_days(w, 3), w.stg_products], S.AS_WRITTEN)
+
+
+@query("scd2_merge_one_shuffle_strict", O.DIM_PRODUCTS_STRICT, stored=True)
+def q_scd2_merge_one_shuffle_strict(w: Warehouse) -> DataFrame:
+    return _merged(w, K.DIM_PRODUCTS, S.PRODUCTS, [*_first_days(w, 3)], S.STRICT)
+
+
+def _history_parts(w: Warehouse, n: int) -> list[DataFrame]:
+    """The review history in ``n`` parts of consecutive load days."""
+    h = w.comment_history
+    days = [r[0] for r in h.select("load_date").distinct().orderBy("load_date").collect()]
+    cuts = [days[len(days) * k // n] for k in range(1, n)]
+    edges = [None, *cuts, None]
+    return [h.where((F.lit(True) if lo is None else F.col("load_date") >= F.lit(lo))
+                    & (F.lit(True) if hi is None else F.col("load_date") < F.lit(hi)))
+            for lo, hi in zip(edges, edges[1:])]
+
+
+@query("scd2_merge_one_shuffle_comments", O.DIM_COMMENTS, stored=True)
+def q_scd2_merge_one_shuffle_comments(w: Warehouse) -> DataFrame:
+    """The review history in four merges: changes to and from NULL go unseen."""
+    return _merged(w, K.DIM_COMMENTS, S.COMMENTS, _history_parts(w, 4), S.AS_WRITTEN)
+
+
+@query("scd2_merge_one_shuffle_comments_strict", O.DIM_COMMENTS_STRICT, stored=True)
+def q_scd2_merge_one_shuffle_comments_strict(w: Warehouse) -> DataFrame:
+    return _merged(w, K.DIM_COMMENTS, S.COMMENTS, _history_parts(w, 4), S.STRICT)
+
+
 # ---------------------------------------------------------------- streaming
 
 @query("stream_scd2_available_now", O.DIM_PRODUCTS)
@@ -486,7 +529,7 @@ def q_stream_scd2_available_now(w: Warehouse) -> DataFrame:
     stored dimension by foreachBatch: equals the one-job history."""
     root = scratch_path(w.spark, "stream")
     STR.land_days_in_order(w.raw_products, f"{root}/landing")
-    dim = SK.Scd2Store(w.spark, f"{root}/dim_products", K.DIM_PRODUCTS, "product_id")
+    dim = SK.Scd2Store(w.spark, f"{root}/dim_products", K.DIM_PRODUCTS, S.PRODUCTS)
     STR.stream_products_into_dimension(w.spark, f"{root}/landing", dim, f"{root}/_checkpoint",
                                        max_files=2)
     return dim.read()

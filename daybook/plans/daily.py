@@ -81,10 +81,9 @@ def _together(*steps: Callable):
 class DailyWarehouse:
     def __init__(self, spark: SparkSession, root: str, mode: str = S.AS_WRITTEN):
         self.spark, self.layout, self.mode = spark, Layout(root), mode
-        self.dim_products = SK.Scd2Store(spark, f"{self.layout.root}/dim_products",
-                                         K.DIM_PRODUCTS, "product_id")
-        self.dim_comments = SK.Scd2Store(spark, f"{self.layout.root}/dim_comments",
-                                         K.DIM_COMMENTS, "comment_id", cluster_col="product_id")
+        self.dim_products = SK.Scd2Store(spark, f"{self.layout.root}/dim_products", K.DIM_PRODUCTS, S.PRODUCTS)
+        self.dim_comments = SK.Scd2Store(spark, f"{self.layout.root}/dim_comments", K.DIM_COMMENTS, S.COMMENTS,
+                                         cluster_col="product_id")
         self.metrics: list[dict] = []
 
     # -------------------------------------------------------------- readers
@@ -156,14 +155,14 @@ class DailyWarehouse:
         stg_p, stg_c = self._stage(
             ST.stage_products(self._raw_day(lay.raw_products, run_date, K.CLEAN_PRODUCTS), run_date),
             ST.stage_comments(self._raw_day(lay.raw_comments, run_date, K.CLEAN_COMMENTS), run_date))
-        return self._load(run, stg_p, stg_c, products is not None, comments is not None, S.scd2_delta,
+        return self._load(run, stg_p, stg_c, products is not None, comments is not None,
                           lambda: FA.fact_comments_delta(stg_c, self.dim_products.read_open(), self.fact_comments()))
 
     def run_range(self, start: str | None, end: str | None, products: DataFrame | None,
                   comments: DataFrame | None, run_ts: str | None = None) -> DataFrame:
         """Catch up every day in [start, end] in one pass: the same tables as
         running ``run_batch`` for each day in order, with one job per step
-        instead of one per day (dimensions via ``scd2_merge_delta``, the review
+        instead of one per day (a dimension takes all dates in one merge, the review
         fact via the as-of activity test). ``products`` / ``comments`` hold the
         landed documents of those days; those without a day are kept in raw.
         ``start`` and ``end`` are None if no document has a day."""
@@ -180,7 +179,7 @@ class DailyWarehouse:
         stg_p, stg_c = self._stage(
             ST.stage_products(self.raw_products().where(F.col("date").between(lo, hi))),
             ST.stage_comments(self.raw_comments().where(F.col("date").between(lo, hi))))
-        return self._load(run, stg_p, stg_c, products is not None, comments is not None, S.scd2_merge_delta,
+        return self._load(run, stg_p, stg_c, products is not None, comments is not None,
                           lambda: FA.fact_comments_delta_asof(stg_c, self.dim_products.read(), self.fact_comments()))
 
     def _stage(self, stg_p: DataFrame, stg_c: DataFrame) -> list[DataFrame]:
@@ -188,17 +187,16 @@ class DailyWarehouse:
                          lambda: self._stored(stg_c, "staging/comments"))
 
     def _load(self, run: str, stg_p: DataFrame, stg_c: DataFrame, with_products: bool, with_comments: bool,
-              delta: Callable, comment_facts: Callable) -> DataFrame:
+              comment_facts: Callable) -> DataFrame:
         """Dimensions, facts and reports from the staged rows of a run."""
         lay = self.layout
         steps = [lambda: self._report(run, with_products, with_comments)]
         if with_products:
-            steps += [lambda: self.dim_products.write(delta(self.dim_products.read_open(), stg_p, S.PRODUCTS, self.mode)),
+            steps += [lambda: self.dim_products.merge(stg_p, self.mode),
                       lambda: SK.write_clustered(FA.fact_products_delta(stg_p, self.fact_products()), lay.fact_products,
                                                  "snapshot_date", "product_id", mode="overwrite")]
         if with_comments:
-            steps.append(lambda: self.dim_comments.write(
-                delta(self.dim_comments.read_open(), stg_c, S.COMMENTS, self.mode)))
+            steps.append(lambda: self.dim_comments.merge(stg_c, self.mode))
         _together(*steps)
         if with_comments:  # needs the products' new versions
             SK.write_clustered(comment_facts(), lay.fact_comments, "snapshot_date", "product_id", mode="overwrite",

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daybook.operators import merge as M
+from daybook.operators.scd2 import AS_WRITTEN, Scd2Spec
 from daybook.sources.contracts import conform, empty
 
 
@@ -95,22 +97,26 @@ def _fs(spark: SparkSession, path: str):
 class Scd2Store:
     """Storage for a type-2 dimension whose runs write only what they change.
 
-    Each run writes one folder ``v=<n>`` in one job: ``state=new`` holds the
-    versions it inserted and ``state=closed`` those it ended, each in full
-    with its end date. ``v=<n>/_COMMITTED`` is created last, so a crashed run
-    is invisible and its retry overwrites its folder; nothing else is ever
-    rewritten, moved or deleted. A version ends at most once, so the table is
-    the closed versions plus the new ones that no later run closed (an anti
-    join on the key and the effective date). What a run writes follows its
-    batch, however large the dimension has grown."""
+    Each run writes one folder ``v=<n>`` in one job: ``state=open`` and ``state=ended``
+    hold the versions it inserted, in full and with a digest of each tracked column;
+    ``state=closing`` the key, date and end of each older version it ended.
+    ``v=<n>/_COMMITTED`` is created last and never overwritten, so a crashed run
+    is invisible, its retry overwrites its folder, and a writer that comes late fails;
+    nothing else is ever rewritten, moved or deleted. One pipeline writes a table: two
+    that write at the very same time are not kept apart. The marker holds the dimension's greatest
+    effective date, which the gate of the next run needs.
+
+    ``log`` is what a merge reads: key, date and digests. ``read`` gives the table:
+    inserted versions with the end that a later run gave them (a join on key and date)."""
 
     MARKER = "_COMMITTED"
 
-    def __init__(self, spark: SparkSession, root: str, contract: T.StructType,
-                 key: str, cluster_col: str | None = None):
-        self.spark, self.root, self.contract, self.key = spark, root.rstrip("/"), contract, key
-        self.sort_cols = list(dict.fromkeys([cluster_col or key, key]))
+    def __init__(self, spark: SparkSession, root: str, contract: T.StructType, spec: Scd2Spec,
+                 cluster_col: str | None = None):
+        self.spark, self.root, self.contract, self.spec, self.key = spark, root.rstrip("/"), contract, spec, spec.key
+        self.sort_cols = list(dict.fromkeys([cluster_col or self.key, self.key]))
         self._schema = T.StructType(contract.fields + [
+            T.StructField(M.DIGESTS, M.DIGESTS_TYPE),
             T.StructField("v", T.IntegerType()), T.StructField("state", T.StringType())])
 
     def _versions(self) -> list[int]:
@@ -134,32 +140,65 @@ class Scd2Store:
                 return v
         return None
 
-    def _state(self, state: str) -> DataFrame:
+    def high_water(self) -> str | None:
+        """The greatest effective date, as text, from the newest marker."""
+        v = self.current_version()
+        if v is None:
+            return None
+        fs, p = _fs(self.spark, f"{self._path(v)}/{self.MARKER}")
+        stream = fs.open(p)
+        try:
+            return stream.readLine() or None
+        finally:
+            stream.close()
+
+    def _states(self, *states: str) -> DataFrame:
         v = self.current_version()
         if v is None:
-            return empty(self.spark, self.contract)
+            return empty(self.spark, self._schema)
         df = self.spark.read.schema(self._schema).parquet(self.root)
-        return conform(df.where((F.col("v") <= v) & (F.col("state") == state)), self.contract)
+        return df.where((F.col("v") <= v) & F.col("state").isin(*states))
+
+    def log(self) -> DataFrame:
+        """(key, effective_date, digests, kind): the open versions and the closings."""
+        return self._states(M.OPEN, M.CLOSING).select(self.key, "effective_date", M.DIGESTS, F.col("state").alias("kind"))
+
+    def _closings(self) -> DataFrame:
+        return self._states(M.CLOSING).select(self.key, "effective_date", F.col("end_date").alias("closed_on"))
 
     def read_open(self) -> DataFrame:
-        ended = self._state("closed").select(self.key, "effective_date")
-        return (self._state("new").join(ended, [self.key, "effective_date"], "left_anti")
-                .select(*self.contract.fieldNames()))
+        return (conform(self._states(M.OPEN), self.contract)
+                .join(self._closings(), [self.key, "effective_date"], "left_anti").select(*self.contract.fieldNames()))
 
     def read(self) -> DataFrame:
-        return self.read_open().unionByName(self._state("closed"))
-
-    def write(self, delta: DataFrame) -> int:
-        """``delta``: the versions a run inserts or ends (``scd2_delta``,
-        ``scd2_merge_delta``). It may be derived from this table."""
+        once_open = conform(self._states(M.OPEN), self.contract).join(self._closings(), [self.key, "effective_date"], "left")
+        end = F.coalesce("closed_on", "end_date")
+        return (once_open.withColumns({"end_date": end, "is_active": end.isNull()}).select(*self.contract.fieldNames())
+                .unionByName(conform(self._states(M.ENDED), self.contract)))
+
+    def merge(self, batch: DataFrame, mode: str = AS_WRITTEN) -> int:
+        """Merge staged rows of one load date or several, see ``merge_changes``."""
+        mark = self.high_water()
+        return self._write(M.merge_changes(self.log(), batch, self.spec, mode,
+                                           high_water=F.lit(mark).cast("date") if mark else None), mark)
+
+    def _write(self, changes: DataFrame, mark: str | None) -> int:
         v = (self.current_version() or 0) + 1
-        rows = conform(delta, self.contract).withColumn(
-            "state", F.when(F.col("end_date").isNull(), F.lit("new")).otherwise(F.lit("closed")))
+        active = F.when(F.col("kind") != M.CLOSING, F.col("kind") == M.OPEN)
+        rows = conform(changes.withColumn("is_active", active), T.StructType(
+            self.contract.fields + [T.StructField(M.DIGESTS, M.DIGESTS_TYPE), T.StructField("kind", T.StringType())]))
+        rows = rows.withColumn(M.DIGESTS, F.when(F.col("kind") == M.OPEN, F.col(M.DIGESTS))).withColumnRenamed("kind", "state")
         out = (rows.hint("rebalance", "state")
                    .sortWithinPartitions("state", "effective_date", *self.sort_cols))
+        if self._committed(v):
+            raise FileExistsError(f"{self._path(v)} is committed: another writer was faster")
         # Static overwrite: a retry clears everything a crashed attempt left.
         (out.write.mode("overwrite").option("partitionOverwriteMode", "static")
             .partitionBy("state").parquet(self._path(v)))
+        inserted = self.spark.read.schema(self._schema).parquet(self._path(v)).where(F.col("state") != M.CLOSING)
+        newest = inserted.agg(F.max("effective_date").cast("string")).first()[0]
         fs, p = _fs(self.spark, f"{self._path(v)}/{self.MARKER}")
-        fs.create(p, True).close()
+        stream = fs.create(p, False)
+        stream.writeBytes(max(filter(None, [mark, newest]), default=""))
+        stream.close()
         return v

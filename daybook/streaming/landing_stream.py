@@ -26,7 +26,7 @@ def products_micro_batch(dim: Scd2Store, mode: str):
         # One run's documents: clean per (id, day), stage, merge.
         clean = C.clean_products(batch, dedupe_keys=["id", "date"])
         stg = ST.stage_products(clean)
-        dim.write(S.scd2_merge_delta(dim.read_open(), stg, S.PRODUCTS, mode))
+        dim.merge(stg, mode)
     return run
 
 

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from daybook.operators import checks as CH
@@ -81,30 +82,40 @@ def _store(spark):
     days = [D1, D2, dt.date(2024, 1, 3)]
     stg = K.conform(spark.createDataFrame(
         [("1", "a", "d", s, d) for s, d in zip("xyz", days)], cols), K.STG_PRODUCTS)
-    return S, SK.Scd2Store(spark, scratch_path(spark, "store"), K.DIM_PRODUCTS, "product_id"), stg, days
+    return S, SK.Scd2Store(spark, scratch_path(spark, "store"), K.DIM_PRODUCTS, S.PRODUCTS), stg, days
 
 
 def test_scd2_store_ignores_a_crashed_run_and_retries_it(spark):
     S, st, stg, days = _store(spark)
     for d in days[:2]:
-        st.write(S.scd2_delta(st.read_open(), stg.where(F.col("load_date") == d), S.PRODUCTS))
+        st.merge(stg.where(F.col("load_date") == d))
     before = sorted(tuple(r) for r in st.read().collect())
-    assert len(before) == 2 and len(st.read_open().collect()) == 1
+    assert len(before) == 2 and len(st.read_open().collect()) == 1 and st.high_water() == "2024-01-02"
     # A crashed third run: its folder is written but never committed.
-    delta = S.scd2_delta(st.read_open(), stg.where(F.col("load_date") == days[2]), S.PRODUCTS)
-    delta.withColumn("state", F.lit("closed")).write.mode("overwrite").partitionBy("state").parquet(f"{st.root}/v=3")
+    st.read().withColumn("state", F.lit("closing")).write.mode("overwrite").partitionBy("state").parquet(f"{st.root}/v=3")
     assert sorted(tuple(r) for r in st.read().collect()) == before
     # The retry takes its number and commits; the history stays whole.
-    assert st.write(delta) == 3
+    assert st.merge(stg.where(F.col("load_date") == days[2])) == 3
     assert sorted(tuple(r) for r in st.read().collect()) == \
         sorted(tuple(r) for r in S.scd2_history(stg, S.PRODUCTS).collect())
 
 
+def test_scd2_store_of_two_writers_one_fails(spark, monkeypatch):
+    _, st, stg, days = _store(spark)
+    st.merge(stg.where(F.col("load_date") == days[0]))
+    monkeypatch.setattr(st, "current_version", lambda: None)  # as a writer that started before
+    with pytest.raises(Exception, match="committed"):
+        st.merge(stg.where(F.col("load_date") == days[0]))
+
+
 def test_scd2_store_run_writes_its_changes_only(spark):
     S, st, stg, days = _store(spark)
     many = K.conform(spark.range(200).selectExpr("string(id + 10) product_id", "'n' product_name",
                                                  "date'2024-01-01' load_date"), K.STG_PRODUCTS)
-    st.write(S.scd2_delta(st.read_open(), many.unionByName(stg.where(F.col("load_date") == D1)), S.PRODUCTS))
-    v = st.write(S.scd2_delta(st.read_open(), stg.where(F.col("load_date") == D2), S.PRODUCTS))
+    st.merge(many.unionByName(stg.where(F.col("load_date") == D1)))
+    v = st.merge(stg.where(F.col("load_date") == D2))
     # One version ended, one inserted; the 200 others are not written again.
     assert spark.read.parquet(f"{st.root}/v={v}").count() == 2 and st.read().count() == 202
+    closing = spark.read.parquet(f"{st.root}/v={v}/state=closing").first()
+    assert closing["product_id"] == "1" and closing["product_name"] is None and str(closing["end_date"]) == str(D2)
+    assert st.merge(stg.where(F.col("load_date") == D2)) == v + 1 and st.read().count() == 202  # nothing to do

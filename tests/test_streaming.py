@@ -23,7 +23,7 @@ def _dim(vt):
 def test_available_now_runs_pick_up_only_new_days(spark):
     root = scratch_path(spark, "stream-test")
     landing, ckpt = f"{root}/landing", f"{root}/_checkpoint"
-    vt = Scd2Store(spark, f"{root}/dim", K.DIM_PRODUCTS, "product_id")
+    vt = Scd2Store(spark, f"{root}/dim", K.DIM_PRODUCTS, S.PRODUCTS)
     first = spark.createDataFrame([_p(1, "a", "2024-01-01"), _p(2, "a", "2024-01-01"),
                                    _p(1, "b", "2024-01-02")], COLS)
     STR.land_days_in_order(first, landing)
@@ -45,7 +45,7 @@ def test_available_now_runs_pick_up_only_new_days(spark):
 
 def test_micro_batch_replay_is_noop(spark):
     root = scratch_path(spark, "replay")
-    vt = Scd2Store(spark, f"{root}/dim", K.DIM_PRODUCTS, "product_id")
+    vt = Scd2Store(spark, f"{root}/dim", K.DIM_PRODUCTS, S.PRODUCTS)
     batch = K.conform(spark.createDataFrame([_p(1, "a", "2024-01-01"), _p(1, "b", "2024-01-02")], COLS),
                       K.RAW_PRODUCTS)
     run = STR.products_micro_batch(vt, S.AS_WRITTEN)
