@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.operators import quality as Q
+from daybook.operators import asof as AS
 from daybook.operators import scd2 as S
 from daybook.operators import checks as CH
 from daybook.operators import clean as C
@@ -255,6 +256,17 @@ def q_asof_dim_join(w: Warehouse) -> DataFrame:
                     "d.effective_date", "d.end_date", "d.product_inventory_status")
 
 
+@query("asof_carry_join", O.ASOF_DIM_JOIN)
+def q_asof_carry_join(w: Warehouse) -> DataFrame:
+    """The same rows without pairs of facts and versions: versions and facts in one
+    sorted sequence of each key and block of days."""
+    li = table(w.spark, w.sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.to_date("l_shipdate").alias("ship_date"))
+    dim = w.dim_products(S.STRICT).select("product_id", "effective_date", "end_date", "product_inventory_status")
+    j = AS.asof_carry(li, dim, "l_partkey", "product_id", "ship_date")
+    return j.select(*li.columns, "version.effective_date", "version.end_date", "version.product_inventory_status")
+
+
 # --------------------------------------------------------------- data tests
 
 @query("check_not_null", O.CHECK_NOT_NULL, stored=True)
