@@ -328,6 +328,27 @@ def q_json_flatten_comments(w: Warehouse) -> DataFrame:
     return DOC.flatten_reviews(DOC.review_pages(w.raw_comments))
 
 
+@query("json_flatten_products_drift", O.JSON_FLATTEN_PRODUCTS_DRIFT)
+def q_json_flatten_products_drift(w: Warehouse) -> DataFrame:
+    return DOC.flatten_products(DOC.product_docs_drift(w.raw_products))
+
+
+@query("json_flatten_comments_drift", O.JSON_FLATTEN_COMMENTS_DRIFT)
+def q_json_flatten_comments_drift(w: Warehouse) -> DataFrame:
+    return DOC.flatten_reviews(DOC.review_pages_drift(w.raw_comments))
+
+
+@query("json_rejects", O.JSON_REJECTS)
+def q_json_rejects(w: Warehouse) -> DataFrame:
+    """Documents landed in one pass each, the rejected ones counted where they lie."""
+    root = scratch_path(w.spark, "ingest")
+    products = SK.land_ingested(DOC.ingest_products(DOC.product_docs_drift(w.raw_products)), f"{root}/products")
+    reviews = SK.land_ingested(DOC.ingest_reviews(DOC.review_pages_drift(w.raw_comments)), f"{root}/comments")
+    kinds = SK.rejects(products).select(F.lit("product").alias("kind")).unionByName(
+        SK.rejects(reviews).select(F.col("rejected_kind").alias("kind")))
+    return kinds.groupBy("kind").agg(F.count(F.lit(1)).cast("bigint").alias("rejected"))
+
+
 def _listing(w: Warehouse) -> DataFrame:
     docs = DOC.listing_docs(table(w.spark, w.sf_dir, "part"))
     return DOC.explode_listing(docs, keep=["category", "page"])

@@ -41,6 +41,7 @@ from daybook.operators import scd2 as S
 from daybook.operators import staging as ST
 from daybook.sinks import tables as SK
 from daybook.sources import contracts as K
+from daybook.sources import documents as DOC
 from daybook.sources import readers as RD
 
 
@@ -128,6 +129,34 @@ class DailyWarehouse:
     def raw_comments(self) -> DataFrame:
         return self._read_or_empty(self.layout.raw_comments, K.CLEAN_COMMENTS)
 
+    # --------------------------------------------------------------- ingest
+    def ingest(self, run: str, product_docs: DataFrame | None = None,
+               review_pages: DataFrame | None = None) -> tuple[DataFrame | None, DataFrame | None]:
+        """Land a run's JSON documents and give its raw rows for ``run_batch`` or
+        ``run_range``. What cannot be read is kept beside them, under
+        ``ingest/<table>/run_ts=<run>/is_rejected=true``, and the run's quality report
+        counts it. Ingesting a run again replaces its documents."""
+        landed = {}
+        if product_docs is not None:
+            landed["products"] = lambda: SK.land_ingested(DOC.ingest_products(product_docs), self._ingested("products", run))
+        if review_pages is not None:
+            landed["comments"] = lambda: SK.land_ingested(DOC.ingest_reviews(review_pages), self._ingested("comments", run))
+        found = dict(zip(landed, _together(*landed.values())))
+        return tuple(SK.rows(found[name]) if name in found else None for name in ("products", "comments"))
+
+    def _ingested(self, name: str, run: str) -> str:
+        return f"{self.layout.root}/ingest/{name}/run_ts={run}"
+
+    def _reject_counts(self, name: str, run: str) -> list[DataFrame]:
+        """The number of rejected documents of a run that was ingested here."""
+        fs, p = SK._fs(self.spark, self._ingested(name, run))
+        if not fs.exists(p):
+            return []
+        landed = self.spark.read.schema("rejected string, is_rejected boolean").parquet(self._ingested(name, run))
+        return [landed.where(F.col("is_rejected")).agg(
+            F.lit(name).alias("table_name"), F.lit("rejected_documents").alias("metric"),
+            F.lit(None).cast("string").alias("key"), F.count(F.lit(1)).cast("double").alias("value"))]
+
     # ------------------------------------------------------------------ run
     def run_batch(self, run_date: str | None, products: DataFrame | None,
                   comments: DataFrame | None, run_ts: str | None = None) -> DataFrame:
@@ -212,9 +241,11 @@ class DailyWarehouse:
         if with_products:
             parts.append(Q.product_report(own(self.layout.raw_products, K.CLEAN_PRODUCTS))
                          .select(F.lit("products").alias("table_name"), "*"))
+            parts += self._reject_counts("products", run)
         if with_comments:
             parts.append(Q.comments_report(own(self.layout.raw_comments, K.CLEAN_COMMENTS))
                          .select(F.lit("comments").alias("table_name"), "*"))
+            parts += self._reject_counts("comments", run)
         if parts:
             self._stored(CH.union_all(parts).coalesce(1), f"reports/quality/run_ts={run}")
 

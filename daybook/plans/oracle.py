@@ -298,6 +298,28 @@ RAW_COMMENT_COLUMNS = "id, product_id, title, content, rating, created_at, purch
 
 JSON_FLATTEN_COMMENTS = f"SELECT {RAW_COMMENT_COLUMNS} FROM ({FX_COMMENTS}) f"
 
+# Mixed field types: what cannot be read as declared is NULL, broken documents go.
+JSON_FLATTEN_PRODUCTS_DRIFT = f"""
+SELECT id, name, short_description, price, list_price, discount, discount_rate,
+  CASE WHEN id % 5 = 3 THEN NULL ELSE all_time_quantity_sold END AS all_time_quantity_sold, inventory_status,
+  CASE WHEN id % 5 = 3 THEN NULL ELSE stock_item_qty END AS stock_item_qty,
+  CASE WHEN id % 5 = 3 THEN NULL ELSE stock_item_max_sale_qty END AS stock_item_max_sale_qty,
+  date
+FROM ({FX_PRODUCTS}) f WHERE id % 41 != 0 AND id % 43 != 0"""
+
+JSON_FLATTEN_COMMENTS_DRIFT = f"""
+SELECT {RAW_COMMENT_COLUMNS} FROM ({FX_COMMENTS}) f
+WHERE id % 47 != 0 AND coalesce(product_id % 17 != 0, TRUE)"""
+
+JSON_REJECTS = f"""
+SELECT 'product' AS kind, CAST(count(*) AS BIGINT) AS rejected FROM ({FX_PRODUCTS}) f WHERE id % 41 = 0 OR id % 43 = 0
+UNION ALL
+SELECT 'page', CAST(count(*) AS BIGINT) FROM (
+  SELECT DISTINCT product_id, floor(id / 1000) AS page FROM ({FX_COMMENTS}) f WHERE product_id % 17 = 0) p
+UNION ALL
+SELECT 'review', CAST(count(*) AS BIGINT) FROM ({FX_COMMENTS}) f
+WHERE id % 47 = 0 AND coalesce(product_id % 17 != 0, TRUE)"""
+
 LISTING_ENTRIES = """
 SELECT p_brand AS category, CAST(floor(p_partkey / 1000) AS BIGINT) AS page,
   CAST(row_number() OVER (PARTITION BY p_brand, floor(p_partkey / 1000) ORDER BY p_partkey) - 1 AS INTEGER) AS position,

@@ -27,6 +27,24 @@ def write_landing(df: DataFrame, root: str, entity: str, stamp: str) -> str:
     return path
 
 
+def land_ingested(ingested: DataFrame, path: str) -> DataFrame:
+    """Write ingested documents (``sources.documents``) in one pass, rows and rejects in
+    folders of their own, ``is_rejected=<bool>``; the written table."""
+    out = ingested.withColumn("is_rejected", F.col("rejected").isNotNull())
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("is_rejected").parquet(path))
+    return ingested.sparkSession.read.schema(out.schema).parquet(path)
+
+
+def rejects(landed: DataFrame) -> DataFrame:
+    """What could not be read; the rows' folder is not scanned."""
+    return landed.where(F.col("is_rejected")).select(*(c for c in landed.columns if c.startswith("rejected")))
+
+
+def rows(landed: DataFrame) -> DataFrame:
+    return landed.where(~F.col("is_rejected")).select(
+        *(c for c in landed.columns if not c.startswith(("rejected", "is_rejected"))))
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Header CSV; text is quoted (RFC 4180 doubled quotes) and written
     as-is, so embedded newlines and edge whitespace survive a round trip.

@@ -73,3 +73,35 @@ def test_gate_ignores_partitions_of_empty_files(spark, tmp_path):
     spark.createDataFrame([(1,)], "id int").write.parquet(f"{path}/d=2024-01-01")
     spark.createDataFrame([], "id int").write.parquet(f"{path}/d=2024-05-01")
     assert str(spark.read.parquet(path).agg({"d": "max"}).first()[0]) == "2024-01-01"
+
+
+def test_ingest_flags_in_the_same_pass(spark):
+    docs = spark.createDataFrame([('{"id": 1}',), ("[1]",), ('"x"',), ("",), (None,), ("{",), ('{"id": 2, "id": 3}',)], "doc string")
+    got = DOC.ingest_products(docs).collect()
+    assert [r["id"] for r in got] == [1] + [None] * 6
+    assert [r["rejected"] for r in got] == [None, "[1]", '"x"', "", "", "{", '{"id": 2, "id": 3}']
+    pages = spark.createDataFrame([('{"data": [{"id": 1}, 5, null, "t"]}',), ('{"data": []}',), ('{"data": {}}',), ("{}",), (None,)],
+                                  "doc string")
+    got = sorted(((r["id"], r["rejected_kind"], r["rejected"]) for r in DOC.ingest_reviews(pages).collect()), key=str)
+    assert got == sorted([(1, None, None), (None, "review", "5"), (None, "review", "null"), (None, "review", '"t"'),
+                          (None, "page", '{"data": {}}'), (None, "page", "{}"), (None, "page", "")], key=str)
+    plan = DOC.ingest_reviews(pages)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parsejson") == 1, plan
+
+
+def test_rejects_are_kept_and_reported(spark):
+    from daybook.plans.daily import DailyWarehouse
+    from daybook.session import scratch_path
+
+    wh = DailyWarehouse(spark, scratch_path(spark, "ingest"))
+    docs = [{"id": 1, "name": "a", "date": "2024-01-01"}, {"id": 2, "name": "b", "price": "3.5", "date": "2024-01-01"}]
+    review = {"id": 9, "product_id": 1, "rating": "4", "created_at": 5.0, "date": "2024-01-01"}
+    p = spark.createDataFrame([(json.dumps(d),) for d in docs] + [("{broken",), (None,)], "doc string")
+    c = spark.createDataFrame([(json.dumps({"data": [review, 7]}),), ("{broken",)], "doc string")
+    for _ in range(2):  # ingested again, the run counts the same
+        products, comments = wh.ingest("2024-01-01", p, c)
+        wh.run_batch("2024-01-01", products, comments)
+    got = {(r["table_name"], r["metric"]): r["value"] for r in wh.reports("quality").where("key IS NULL").collect()}
+    assert got["products", "rejected_documents"] == 2 and got["comments", "rejected_documents"] == 2
+    assert got["products", "total_records"] == 2 and got["comments", "total_records"] == 1
+    assert wh.ingest("other", None, c)[0] is None
