@@ -23,6 +23,7 @@ from daybook.operators import topk as TK
 from daybook.plans import oracle as O
 from daybook.plans import daily as PL
 from daybook.session import scratch_path
+from daybook.sinks import bucketed as BK
 from daybook.sinks import tables as SK
 from daybook.sources import contracts as K
 from daybook.sources import documents as DOC
@@ -440,6 +441,36 @@ def q_raw_append_two_batches(w: Warehouse) -> DataFrame:
     return K.conform(w.spark.read.schema(K.CLEAN_PRODUCTS).parquet(root), K.CLEAN_PRODUCTS)
 
 
+BUCKETS = 8
+
+
+def _bucketed(w: Warehouse, name: str, spec: BK.TableSpec, rows: DataFrame) -> DataFrame:
+    """``rows`` in a bucketed table of this session, stored in the shared folder."""
+    path = scratch_path(w.spark, name)
+    table_name = f"{name}_{path.rsplit('-', 1)[-1]}"
+    BK.create(w.spark, table_name, spec, BUCKETS, path)
+    BK.append(rows, table_name, spec, BUCKETS)
+    return w.spark.table(table_name)
+
+
+@query("bucketed_dim_join", O.BUCKETED_DIM_JOIN, stored=True)
+def q_bucketed_dim_join(w: Warehouse) -> DataFrame:
+    """Product snapshots with the version in force on their day, from two tables in
+    equal buckets of the product: no row is dealt for the join."""
+    dim = _bucketed(w, "dim_products", BK.DIM_PRODUCTS, w.dim_products(S.STRICT))
+    fact = _bucketed(w, "fact_products", BK.FACT_PRODUCTS, w.fact_products)
+    # Merged, not broadcast: a broadcast would ship the dimension.
+    joined = FA.asof_join(fact.hint("merge"), dim, "product_id", "product_id", "snapshot_date")
+    return joined.select("f.product_id", "f.snapshot_date", "f.product_price", "d.effective_date", "d.product_inventory_status")
+
+
+@query("bucketed_reviews_per_product", O.BUCKETED_REVIEWS_PER_PRODUCT, stored=True)
+def q_bucketed_reviews_per_product(w: Warehouse) -> DataFrame:
+    """Reviews counted by product in place: the buckets are the groups' partitions."""
+    fact = _bucketed(w, "fact_comments", BK.FACT_COMMENTS, w.fact_comments)
+    return fact.groupBy("product_id").agg(F.count(F.lit(1)).cast("bigint").alias("reviews"), F.max("snapshot_date").alias("last_day"))
+
+
 def _backfill(w: Warehouse) -> PL.DailyWarehouse:
     return PL.backfill(w.spark, scratch_path(w.spark, "backfill"), w.raw_products, w.raw_comments)
 

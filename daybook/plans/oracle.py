@@ -214,6 +214,16 @@ JOIN ({DIM_PRODUCTS_STRICT}) d
  AND CAST(l.l_shipdate AS DATE) >= d.effective_date
  AND (d.end_date IS NULL OR CAST(l.l_shipdate AS DATE) < d.end_date)"""
 
+BUCKETED_DIM_JOIN = f"""
+SELECT f.product_id, f.snapshot_date, f.product_price, d.effective_date, d.product_inventory_status
+FROM ({FACT_PRODUCTS}) f JOIN ({DIM_PRODUCTS_STRICT}) d
+  ON d.product_id = f.product_id AND f.snapshot_date >= d.effective_date
+ AND (d.end_date IS NULL OR f.snapshot_date < d.end_date)"""
+
+BUCKETED_REVIEWS_PER_PRODUCT = f"""
+SELECT product_id, CAST(count(*) AS BIGINT) AS reviews, max(snapshot_date) AS last_day
+FROM ({FACT_COMMENTS}) f GROUP BY product_id"""
+
 # Comment dimension of the daily pipeline (from staged reviews, not history).
 DIM_COMMENTS_STG = scd2_as_written(STG_COMMENTS, C_KEY, C_COLS, C_TRACKED, ["created_at"])
 
