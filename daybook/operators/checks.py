@@ -1,6 +1,7 @@
 """Data tests as queries. Every test reports (test, table_name, column_name,
-failures); zero failures means the test passes. Each table is scanned once
-for all of its not-null tests."""
+failures); zero failures means the test passes. ``check_table`` runs all tests of a
+table that need no other table - not-null, rules and every uniqueness key set - in one
+scan of it and one aggregate."""
 
 from __future__ import annotations
 
@@ -18,12 +19,39 @@ def _row(test: str, table: str, column: str | None, failures) -> list:
 
 
 def check_not_null(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
-    agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"c{i}") for i, c in enumerate(columns)])
-    stack = "stack({n}, {a}) AS (column_name, failures)".format(
-        n=len(columns), a=", ".join(f"'{c}', c{i}" for i, c in enumerate(columns)))
-    return agg.selectExpr(stack).select(
-        F.lit("not_null").alias("test"), F.lit(table).alias("table_name"),
-        "column_name", F.col("failures").cast("bigint").alias("failures"))
+    return check_table(df, table, not_null=columns)
+
+
+def check_table(df: DataFrame, table: str, not_null: list[str] | None = None,
+                rules: dict[str, F.Column] | None = None, unique: list[list[str]] | None = None) -> DataFrame:
+    """All these tests of one table in one scan.
+
+    Without key sets it is a single aggregate. With them it is one aggregate over
+    ``GROUPING SETS``: each key set and, for the counts, the empty set; a second, small
+    one counts the keys held by more than one row. NULL is a key value. Rows are
+    combined before the shuffle, so a key that a third of them hold is a row a task."""
+    not_null, rules, unique = not_null or [], rules or {}, unique or []
+    counted = [("not_null", c, F.col(c).isNull()) for c in not_null] + [("rule", n, p) for n, p in rules.items()]
+    keys = list(dict.fromkeys(k for ks in unique for k in ks))
+    flags = [f"_flag{i}" for i in range(len(counted))]
+    slim = df.select(*keys, *(F.coalesce(p, F.lit(False)).cast("int").alias(f) for f, (_, _, p) in zip(flags, counted)))
+    sums = [F.sum(f).cast("bigint").alias(f) for f in flags]
+    if not unique:
+        found = slim.agg(*sums)
+    else:
+        # In the group of a key set the others' keys are NULL; grouping_id tells the sets apart.
+        sets = [[F.col(k) for k in ks] for ks in unique] + [[]]
+        grouped = slim.groupingSets(sets, *(F.col(k) for k in keys)).agg(
+            F.grouping_id(*(F.col(k) for k in keys)).alias("_set"), F.count(F.lit(1)).alias("_n"), *sums)
+        ids = [sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in ks) for ks in [*unique, []]]
+        found = grouped.agg(
+            *(F.count_if((F.col("_set") == ids[i]) & (F.col("_n") > 1)).alias(f"_key{i}") for i in range(len(unique))),
+            *(F.max(F.when(F.col("_set") == ids[-1], F.col(f))).alias(f) for f in flags))
+    rows = [(test, name, flag) for (test, name, _), flag in zip(counted, flags)]
+    rows += [("unique", ",".join(ks), f"_key{i}") for i, ks in enumerate(unique)]
+    report = F.array(*(F.struct(F.lit(test).alias("test"), F.lit(table).alias("table_name"), F.lit(name).alias("column_name"),
+                                F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias("failures")) for test, name, c in rows))
+    return found.select(F.inline(report))
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
@@ -38,10 +66,9 @@ def check_relationship(child: DataFrame, parent: DataFrame, table: str, child_ke
         *_row("relationships", table, child_key, F.count(F.lit(1))))
 
 
-def check_unique(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
-    """Number of key values held by more than one row."""
-    dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return dup.agg(*_row("unique", table, ",".join(keys), F.count(F.lit(1))))
+def check_unique(df: DataFrame, table: str, *key_sets: list[str]) -> DataFrame:
+    """Number of key values held by more than one row, for each key set."""
+    return check_table(df, table, unique=list(key_sets))
 
 
 def check_one_active(dim: DataFrame, table: str, key: str) -> DataFrame:
@@ -65,8 +92,7 @@ def check_accepted(df: DataFrame, table: str, column: str, values: list[str]) ->
 
 def check_rules(df: DataFrame, table: str, rules: dict[str, F.Column]) -> DataFrame:
     """Business rules: the number of rows violating each predicate."""
-    return union_all([df.agg(*_row("rule", table, name, F.count_if(pred)))
-                      for name, pred in rules.items()])
+    return check_table(df, table, rules=rules)
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -27,19 +27,23 @@ def dedupe_by_key(df: DataFrame, keys: list[str], order: list[str],
                       *[F.col(f"_row.{c}").alias(c) for c in order + rest]).select(*df.columns)
 
 
+def product_rows(raw: DataFrame) -> DataFrame:
+    """The product job row by row: drop unnamed rows, price to double, quantity to
+    long, date text to DATE."""
+    df = conform(raw, RAW_PRODUCTS)
+    return (df.dropna(subset=["name"])
+              .withColumn("price", F.col("price").cast("double"))
+              .withColumn("all_time_quantity_sold", F.col("all_time_quantity_sold").cast("bigint"))
+              .withColumn("date", X.parse_day("date")))
+
+
 def clean_products(raw: DataFrame, dedupe_keys: list[str] | None = None) -> DataFrame:
-    """Product job: drop unnamed rows, price to double, quantity to long,
-    date text to DATE, one row per id (latest load date wins).
+    """Product job: ``product_rows``, then one row per id (latest load date wins).
 
     Default fill is deliberately *not* applied here (the source job computes
     it and discards it); staging fills instead. Use ``fill_defaults`` to get
     the filled frame."""
-    df = conform(raw, RAW_PRODUCTS)
-    df = (df.dropna(subset=["name"])
-            .withColumn("price", F.col("price").cast("double"))
-            .withColumn("all_time_quantity_sold", F.col("all_time_quantity_sold").cast("bigint"))
-            .withColumn("date", X.parse_day("date")))
-    return dedupe_by_key(df, dedupe_keys or ["id"], ["date"])
+    return dedupe_by_key(product_rows(raw), dedupe_keys or ["id"], ["date"])
 
 
 def fill_defaults(df: DataFrame, defaults: dict | None = None) -> DataFrame:

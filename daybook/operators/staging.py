@@ -22,6 +22,14 @@ def _load_date(run_date: str | None):
 
 
 def stage_products(clean: DataFrame, run_date: str | None = None) -> DataFrame:
+    return product_rows(clean, run_date).distinct()
+
+
+def stage_comments(clean: DataFrame, run_date: str | None = None) -> DataFrame:
+    return comment_rows(clean, run_date).distinct()
+
+
+def product_rows(clean: DataFrame, run_date: str | None = None) -> DataFrame:
     df = _day_filter(clean, run_date).where(F.col("id").isNotNull())
     return df.select(
         F.col("id").cast("string").alias("product_id"),
@@ -36,10 +44,10 @@ def stage_products(clean: DataFrame, run_date: str | None = None) -> DataFrame:
         F.coalesce("stock_item_qty", F.lit(0)).cast("bigint").alias("product_stock_item_qty"),
         F.coalesce("stock_item_max_sale_qty", F.lit(0)).cast("bigint").alias("product_stock_item_max_sale_qty"),
         _load_date(run_date),
-    ).distinct()
+    )
 
 
-def stage_comments(clean: DataFrame, run_date: str | None = None) -> DataFrame:
+def comment_rows(clean: DataFrame, run_date: str | None = None) -> DataFrame:
     df = (_day_filter(clean, run_date)
           .where(F.col("id").isNotNull() & F.col("product_id").isNotNull()))
     return df.select(
@@ -53,4 +61,4 @@ def stage_comments(clean: DataFrame, run_date: str | None = None) -> DataFrame:
         F.col("days_to_review").cast("bigint").alias("days_to_review"),
         F.col("rating_valid"),
         _load_date(run_date),
-    ).distinct()
+    )

@@ -19,6 +19,7 @@ from daybook.operators import clean as C
 from daybook.operators import facts as FA
 from daybook.operators.upsert import gate, not_yet_loaded
 from daybook.functions import expressions as X
+from daybook.operators import staging as ST
 from daybook.operators import topk as TK
 from daybook.plans import oracle as O
 from daybook.plans import daily as PL
@@ -28,6 +29,7 @@ from daybook.sinks import tables as SK
 from daybook.sources import contracts as K
 from daybook.sources import documents as DOC
 from daybook.sources import readers as RD
+from daybook.streaming import event_time as EV
 from daybook.streaming import landing_stream as STR
 from daybook.plans.model import Warehouse
 from daybook.sources import fixtures as FX
@@ -304,6 +306,32 @@ def q_check_unique(w: Warehouse) -> DataFrame:
     ])
 
 
+@query("check_tables_one_scan", f"{O.CHECK_NOT_NULL} UNION ALL {O.CHECK_UNIQUE}", stored=True)
+def q_check_tables_one_scan(w: Warehouse) -> DataFrame:
+    """Not-null and uniqueness tests of every table, each table scanned once."""
+    def test(df: DataFrame, name: str, not_null: list[str], key: str, day: str) -> DataFrame:
+        return CH.check_table(df, name, not_null=not_null, unique=[[key, day]])
+
+    return CH.union_all([
+        test(w.stg_products, "stg_products", ["product_id", "product_name", "load_date"], "product_id", "load_date"),
+        test(w.stg_comments, "stg_comments", ["comment_id", "product_id", "load_date"], "comment_id", "load_date"),
+        test(w.dim_products(), "dim_products", ["product_id", "effective_date", "is_active", "product_name"],
+             "product_id", "effective_date"),
+        test(w.dim_comments(history=False), "dim_comments",
+             ["comment_id", "product_id", "comment_content", "comment_rating"], "comment_id", "effective_date"),
+        test(w.fact_products, "fact_products", [], "product_id", "snapshot_date"),
+        test(w.fact_comments, "fact_comments", ["comment_id"], "comment_id", "snapshot_date"),
+    ])
+
+
+@query("check_unique_key_sets", O.CHECK_UNIQUE_KEY_SETS, stored=True)
+def q_check_unique_key_sets(w: Warehouse) -> DataFrame:
+    """Several key sets of one table at once: with the day, the day's products alone,
+    the name on a day, the key alone."""
+    return CH.check_unique(w.stg_products, "stg_products", ["product_id", "load_date"], ["product_id"],
+                           ["product_name", "load_date"], ["load_date"])
+
+
 @query("check_scd2_invariants", O.CHECK_SCD2_INVARIANTS, stored=True)
 def q_check_scd2_invariants(w: Warehouse) -> DataFrame:
     return CH.union_all([
@@ -599,6 +627,80 @@ def q_stream_scd2_available_now(w: Warehouse) -> DataFrame:
     return dim.read()
 
 
+def _same_day(w: Warehouse) -> DataFrame:
+    """Staged reviews of which a day holds several rows of a review, and copies."""
+    return ST.stage_comments(C.clean_comments(FX.raw_comments_same_day(w.spark, w.sf_dir), None))
+
+
+@query("distinct_copies", O.STG_COMMENTS_SAME_DAY)
+def q_distinct_copies(w: Warehouse) -> DataFrame:
+    return _same_day(w)
+
+
+@query("dedupe_same_day", O.SURVIVORS_SAME_DAY)
+def q_dedupe_same_day(w: Warehouse) -> DataFrame:
+    """The survivor of each review and day: the latest created, then the greatest."""
+    spec = S.COMMENTS
+    rows = _same_day(w).select(*spec.value_columns, F.col("load_date").alias("effective_date"))
+    return C.dedupe_by_key(rows, [spec.key, "effective_date"], spec.prefer)
+
+
+@query("scd2_comments_same_day", O.DIM_COMMENTS_SAME_DAY, stored=True)
+def q_scd2_comments_same_day(w: Warehouse) -> DataFrame:
+    """The same reviews merged in three parts: losers never become versions."""
+    staged = w.staged(_same_day(w))
+    cuts = [F.col("load_date") < "2024-01-08", F.col("load_date").between("2024-01-08", "2024-01-20"),
+            F.col("load_date") > "2024-01-20"]
+    return _merged(w, K.DIM_COMMENTS, S.COMMENTS, [staged.where(c) for c in cuts], S.AS_WRITTEN)
+
+
+@query("merge_delta_duplicates", O.DELTA_DUPLICATES, stored=True)
+def q_merge_delta_duplicates(w: Warehouse) -> DataFrame:
+    """The guard that keeps one row of each (key, date) of a delta, as a count: over all
+    rows that merges of same-day duplicates wrote there is none to drop."""
+    staged = w.staged(_same_day(w))
+    dim = SK.Scd2Store(w.spark, scratch_path(w.spark, "guard"), K.DIM_COMMENTS, S.COMMENTS)
+    for part in (staged.where(F.col("load_date") < "2024-01-15"), staged):
+        dim.merge(part)
+    twice = (w.spark.read.option("basePath", dim.root).parquet(f"{dim.root}/v=*").groupBy("v", "comment_id", "effective_date")
+             .agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    return twice.agg(F.lit("dim_comments").alias("table_name"), F.count(F.lit(1)).cast("bigint").alias("duplicates"))
+
+
+LAST_DAY = "2100-01-01"
+
+
+@query("stream_scd2_comments", O.DIM_COMMENTS_SAME_DAY)
+def q_stream_scd2_comments(w: Warehouse) -> DataFrame:
+    """Reviews landed day by day in two files each, 13 files a micro-batch, so that
+    days are split: survivors wait in the state until their day is over."""
+    root = scratch_path(w.spark, "stream")
+    raw = FX.raw_comments_same_day(w.spark, w.sf_dir)
+    STR.land_days_in_order(w.staged(raw, always=True), f"{root}/landing", files=2)
+    STR.land_days_in_order(EV.heartbeat(w.spark, EV.COMMENTS, LAST_DAY), f"{root}/landing")
+    dim = SK.Scd2Store(w.spark, f"{root}/dim", K.DIM_COMMENTS, S.COMMENTS, cluster_col="product_id")
+    EV.stream_into_dimension(w.spark, f"{root}/landing", dim, f"{root}/_checkpoint", EV.COMMENTS, max_files=13)
+    return dim.read()
+
+
+@query("stream_type_drift", O.DIM_PRODUCTS)
+def q_stream_type_drift(w: Warehouse) -> DataFrame:
+    """Product runs of which every other one has its quantities as doubles, taken up
+    by their manifests, conformed and streamed into the dimension."""
+    root = scratch_path(w.spark, "drift-stream")
+    raw = w.staged(w.raw_products, always=True)
+    days = sorted(r[0] for r in raw.select("date").distinct().collect())
+    for k, day in enumerate(days):
+        run = raw.where(F.col("date") == day)
+        EV.land_run(run.withColumn("all_time_quantity_sold", F.col("all_time_quantity_sold").cast("double")) if k % 2 else run,
+                    f"{root}/landing", day)
+    EV.land_run(EV.heartbeat(w.spark, EV.PRODUCTS, LAST_DAY), f"{root}/landing", LAST_DAY)
+    EV.conform_landing(w.spark, f"{root}/landing", f"{root}/conformed", f"{root}/_conforming", EV.PRODUCTS, max_runs=2)
+    dim = SK.Scd2Store(w.spark, f"{root}/dim", K.DIM_PRODUCTS, S.PRODUCTS)
+    EV.stream_into_dimension(w.spark, f"{root}/conformed", dim, f"{root}/_checkpoint", EV.PRODUCTS)
+    return dim.read()
+
+
 @query("product_quality_report", O.PRODUCT_QUALITY_REPORT)
 def q_product_quality_report(w: Warehouse) -> DataFrame:
     """The product job's whole report in one long table (metric, key,

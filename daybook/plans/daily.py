@@ -253,18 +253,17 @@ class DailyWarehouse:
         """The warehouse's declared tests on the current state."""
         dp, dc, fc = self.dim_products.read(), self.dim_comments.read(), self.fact_comments()
         return CH.union_all([
-            CH.check_not_null(stg_p, "stg_products", ["product_id", "product_name", "load_date"]),
-            CH.check_not_null(stg_c, "stg_comments", ["comment_id", "product_id", "load_date"]),
-            CH.check_not_null(dp, "dim_products", ["product_id", "effective_date", "is_active", "product_name"]),
-            CH.check_not_null(dc, "dim_comments", ["comment_id", "product_id", "comment_content", "comment_rating"]),
-            CH.check_not_null(fc, "fact_comments", ["comment_id"]),
-            CH.check_relationship(stg_c, stg_p, "stg_comments", "product_id", "product_id"),
-            CH.check_relationship(dc, dp, "dim_comments", "product_id", "product_id"),
-            # Business rules of the product job (counted, never enforced).
-            CH.check_rules(stg_p, "stg_products", {
+            # The product job's business rules are counted, never enforced.
+            CH.check_table(stg_p, "stg_products", ["product_id", "product_name", "load_date"], {
                 "product_price": F.col("product_price") < 0,
                 "product_all_time_quantity_sold": F.col("product_all_time_quantity_sold") < 0,
             }),
+            CH.check_table(stg_c, "stg_comments", ["comment_id", "product_id", "load_date"]),
+            CH.check_table(dp, "dim_products", ["product_id", "effective_date", "is_active", "product_name"]),
+            CH.check_table(dc, "dim_comments", ["comment_id", "product_id", "comment_content", "comment_rating"]),
+            CH.check_table(fc, "fact_comments", ["comment_id"]),
+            CH.check_relationship(stg_c, stg_p, "stg_comments", "product_id", "product_id"),
+            CH.check_relationship(dc, dp, "dim_comments", "product_id", "product_id"),
         ])
 
     def row_counts(self) -> DataFrame:

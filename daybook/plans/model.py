@@ -33,18 +33,23 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, run_date: str = CATALOG_RUN_DATE,
                  stored: bool = False):
         self.spark, self.sf_dir, self.run_date, self.stored = spark, sf_dir, run_date, stored
+        self._kept: dict[str, DataFrame] = {}
         if stored:
             checkpoint_dir(spark)
 
-    def _store(self, df: DataFrame) -> DataFrame:
+    def _store(self, df: DataFrame, always: bool = False) -> DataFrame:
         """Write ``df`` as a Parquet table in the shared checkpoint folder and
         read it back (lineage cut; later scans are columnar and pruned)."""
-        if not self.stored:
+        if not (self.stored or always):
             return df
         path = scratch_path(self.spark, "stored")
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def staged(self, df: DataFrame, always: bool = False) -> DataFrame:
+        """``df`` as a stored table, if this warehouse's are (or always)."""
+        return self._store(df, always)
+
     # --- products ---
     @cached_property
     def raw_products(self) -> DataFrame:
@@ -59,8 +64,17 @@ class Warehouse:
     def stg_products(self) -> DataFrame:
         return self._store(ST.stage_products(self.clean_products_by_day))
 
+    def _once(self, name: str, make) -> DataFrame:
+        """A dimension or fact of a stored warehouse is computed once, as its staged
+        tables are."""
+        if not self.stored:
+            return make()
+        if name not in self._kept:
+            self._kept[name] = self._store(make())
+        return self._kept[name]
+
     def dim_products(self, mode: str = S.AS_WRITTEN) -> DataFrame:
-        return S.scd2_history(self.stg_products, S.PRODUCTS, mode)
+        return self._once(f"dim_products_{mode}", lambda: S.scd2_history(self.stg_products, S.PRODUCTS, mode))
 
     @cached_property
     def fact_products(self) -> DataFrame:
@@ -85,7 +99,7 @@ class Warehouse:
 
     def dim_comments(self, mode: str = S.AS_WRITTEN, history: bool = True) -> DataFrame:
         src = self.comment_history if history else self.stg_comments
-        return S.scd2_history(src, S.COMMENTS, mode)
+        return self._once(f"dim_comments_{mode}_{history}", lambda: S.scd2_history(src, S.COMMENTS, mode))
 
     @cached_property
     def fact_comments(self) -> DataFrame:

@@ -228,6 +228,19 @@ FROM ({FACT_COMMENTS}) f GROUP BY product_id"""
 DIM_COMMENTS_STG = scd2_as_written(STG_COMMENTS, C_KEY, C_COLS, C_TRACKED, ["created_at"])
 
 
+# Reviews sent several times a day, every third document twice (id = the user's).
+FX_COMMENTS_SAME_DAY = f"""
+SELECT f.* REPLACE (e.user_id AS id) FROM ({FX_COMMENTS}) f JOIN events e ON f.id = e.event_id
+UNION ALL
+SELECT f.* REPLACE (e.user_id AS id) FROM ({FX_COMMENTS}) f JOIN events e ON f.id = e.event_id WHERE f.id % 3 = 0"""
+STG_COMMENTS_SAME_DAY = STG_COMMENTS.replace(FX_COMMENTS, FX_COMMENTS_SAME_DAY).replace(
+    f"'{CATALOG_RUN_DATE}' AS processing_date", "CAST(date AS VARCHAR) AS processing_date")
+SURVIVORS_SAME_DAY = versions(STG_COMMENTS_SAME_DAY, C_KEY, C_COLS, ["created_at"])
+DIM_COMMENTS_SAME_DAY = scd2_as_written(STG_COMMENTS_SAME_DAY, C_KEY, C_COLS, C_TRACKED, ["created_at"])
+# The final guard of the merge finds no (key, date) twice.
+DELTA_DUPLICATES = "SELECT 'dim_comments' AS table_name, CAST(0 AS BIGINT) AS duplicates"
+
+
 def _nn(table: str, src: str, cols: list[str]) -> str:
     return " UNION ALL ".join(
         f"SELECT 'not_null' AS test, '{table}' AS table_name, '{c}' AS column_name, "
@@ -270,6 +283,11 @@ CHECK_UNIQUE = " UNION ALL ".join([
 ])
 
 
+CHECK_UNIQUE_KEY_SETS = " UNION ALL ".join(
+    _uniq("stg_products", STG_PRODUCTS, keys) for keys in
+    (["product_id", "load_date"], ["product_id"], ["product_name", "load_date"], ["load_date"]))
+
+
 def _one_active(table: str, src: str, key: str) -> str:
     return (f"SELECT 'one_active' AS test, '{table}' AS table_name, '{key}' AS column_name, "
             f"CAST(count(*) AS BIGINT) AS failures FROM (SELECT {key} FROM ({src}) s WHERE is_active "

@@ -127,3 +127,13 @@ def comment_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(True).alias("rating_valid"),
         F.col("load_date"),
     )
+
+
+def raw_comments_same_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews sent again: the review id is the user's, so a review arrives several times
+    a day with other contents, and every third document twice as it is."""
+    rows = raw_comments(spark, sf_dir)
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id")
+    rows = rows.join(ev, rows["id"] == ev["event_id"]).withColumn("id", F.col("user_id"))
+    copies = F.when(F.col("event_id") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return rows.withColumn("_copy", F.explode(copies)).select(*(c for c in rows.columns if c not in ("event_id", "user_id")))

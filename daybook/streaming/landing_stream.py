@@ -47,10 +47,11 @@ def stream_products_into_dimension(spark: SparkSession, landing: str, dim: Scd2S
         raise q.exception()
 
 
-def land_days_in_order(raw: DataFrame, landing: str) -> list[str]:
+def land_days_in_order(raw: DataFrame, landing: str, files: int | None = None) -> list[str]:
     """Land raw documents one day at a time, oldest first, the way the daily
-    crawl drops them (a ``date=<day>`` folder per run)."""
+    crawl drops them (a ``date=<day>`` folder per run; ``files``: in so many files)."""
     days = sorted(r[0] for r in raw.select("date").distinct().collect())
     for d in days:
-        raw.where(F.col("date") == d).drop("date").write.mode("overwrite").parquet(f"{landing}/date={d}")
+        rows = raw.where(F.col("date") == d).drop("date")
+        (rows.repartition(files) if files else rows).write.mode("overwrite").parquet(f"{landing}/date={d}")
     return days
