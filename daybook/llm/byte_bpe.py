@@ -8,7 +8,8 @@ looking pairs up in a literal map of ranks.
    ``PART_WORDS`` distinct words or ``PART_ITEMS`` words in all at most, or is one
    document) and writes a row for each new word and a row for each document with the
    numbers of its words, as a string of a character a number, in place of its text.
-2. The distinct words of all parts are folded and written.
+2. The words of all parts meet by word; each distinct word is folded once (a word that
+   more than ``SHARED`` parts have, once for so many of them).
 3. The ids of words go back to their parts, each part's words and then its
    documents meet in a task, and documents gather the ids of their words.
 
@@ -50,9 +51,11 @@ from daybook.llm.common import fresh, in_arrow, let, partitions_for, ranges, shu
 BUCKETS = 16384
 PART_WORDS = 200_000
 PART_ITEMS = 4_000_000
-#: Documents whose words are numbered together; words that a task folds.
+#: Documents whose words are numbered together; words of parts that a task takes, parts
+#: that share a fold.
 BLOCK = 500
-FOLDED = 20_000
+FOLDED = 250_000
+SHARED = 4096
 #: Stands before and after each piece of a word; no byte is this character.
 MARK = "\u0100"
 
@@ -192,11 +195,17 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
 
     rows = stored(in_arrow(given, numbered, numbers), "numbered-words")
     words = rows.where(F.col(number).isNotNull()).select(part, number, word)
-    tasks = partitions_for(words.count(), FOLDED, shuffle_partitions(docs.sparkSession))
-    known = stored(words.select(word).repartition(tasks, word).distinct()
-                   .select(word, word_ids(F.col(word), ranks).alias(ids)), "word-ids")
-    answers = words.join(known, word).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in kept), part, number,
-                                             F.lit(None).cast("string").alias(word), ids)
+    size = words.agg(F.count(F.lit(1)).alias("words"), F.max(part).alias("last")).first()
+    # Parts are numbered by the partitions of the input, so there are about as many.
+    share = F.shiftright(part, 32) % partitions_for((size["last"] or 0) >> 32, SHARED, 1)
+    tasks = partitions_for(size["words"], FOLDED, shuffle_partitions(docs.sparkSession))
+    answers = (words.withColumn(ids, share).repartition(tasks, word, ids).groupBy(word, ids)
+               .agg(F.collect_list(F.struct(F.col(part).alias("part"), F.col(number).alias("number"))).alias(number))
+               # Within the exploded array the ids of a word are found once.
+               .select(F.inline(let(word_ids(F.col(word), ranks), lambda found: F.transform(number, lambda x: F.struct(
+                   x["part"].alias(part), x["number"].alias(number), found.alias(ids))))))
+               .select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in kept), part, number,
+                       F.lit(None).cast("string").alias(word), ids))
     every = (rows.where(F.col(number).isNull()).withColumn(ids, F.lit(None).cast("array<int>")).unionAll(answers)
              .repartition(part).sortWithinPartitions(part, F.col(number).asc_nulls_last()))
     return in_arrow(every, gathered, T.StructType([*(T.StructField(f.name, f.dataType) for f in kept),

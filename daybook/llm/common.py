@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -41,11 +43,38 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+_scope: ContextVar[list[str] | None] = ContextVar("scratch tables", default=None)
+
+
+@contextmanager
+def scratch() -> Iterator[list[str]]:
+    """The folders of the tables that are ``stored`` within."""
+    outer, paths = _scope.get(), []
+    token = _scope.set(paths)
+    try:
+        yield paths
+    finally:
+        _scope.reset(token)
+        if outer is not None:
+            outer += paths
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete these folders: nothing that is still to run reads them."""
+    for path in paths:
+        given = spark._jvm.org.apache.hadoop.fs.Path(path)
+        given.getFileSystem(spark._jsc.hadoopConfiguration()).delete(given, True)
+    paths.clear()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet into the shared folder and read again: its
-    lineage is cut, and a lost executor costs nothing that was finished."""
+    lineage is cut, and a lost executor costs nothing that was finished. The folder
+    stays until the cluster clears it, or ``remove`` does (see ``scratch``)."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if (paths := _scope.get()) is not None:
+        paths.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

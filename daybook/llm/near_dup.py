@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import fresh, in_arrow, stored, table
+from daybook.llm.common import fresh, in_arrow, remove, scratch, stored, table
 
 SHINGLE = 4
 BANDS, ROWS = 25, 5
@@ -264,37 +264,41 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bounds = reps.select("id", "n")
     done, count = 0, 1
     while True:
-        now = buckets.join(labels, "id")
-        # Buckets of several components.
-        mixed = now.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"),
-                                          F.count(F.lit(1)).alias("n"))
-        left = stored(now.join(mixed.where(f"low != high AND n > {done}").select("bucket"), "bucket", "left_semi"),
-                      "open-buckets")
-        if left.isEmpty():
-            break
-        if done:
-            now = left.select("id").distinct()
-            shared = _shared_shingles(stored(_texts(now, reps, texts), "open-texts"), size)
-            bounds = stored(reps.join(now, "id", "left_semi").select("id", "n", _bands().alias("bands"))
-                            .join(shared, "id"), "shared-shingles")
-        left = left.join(bounds, "id")
-        turn = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("degree"), "id"))
-        hubs = (left.withColumn("turn", turn).where(f"turn <= {done + count}").where(f"turn > {done}")
-                .select("bucket", F.col("id").alias("hub"), F.col("label").alias("hub_label"), F.col("n").alias("hub_n"),
-                        *(F.col(c).alias(f"hub_{c}") for c in ("shared", "bands") if done)))
-        # At most this many shingles are common, so at least the rest are in the union.
-        common, first = F.least("n", "hub_n"), F.lit(True)
-        if done:
-            common = F.aggregate(F.zip_with("shared", "hub_shared", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
-            # A pair that shares several buckets is made in the first of them.
-            before = F.slice("bands", F.lit(1), F.array_position("bands", F.col("bucket")).cast("int") - 1)
-            first = ~F.arrays_overlap(before, F.col("hub_bands"))
-        possible = 100 * common >= percent * (F.col("n") + F.col("hub_n") - common)
-        pairs = (left.join(hubs, "bucket").where((F.col("label") != F.col("hub_label")) & first & possible)
-                 .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct())
-        links = stored(_verified(pairs, reps, texts, size, percent), "links")
-        labels = connected(labels, links)
-        done, count = done + count, count * HUB_GROWTH
+        with scratch() as spent:
+            now = buckets.join(labels, "id")
+            # Buckets of several components.
+            mixed = now.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"),
+                                              F.count(F.lit(1)).alias("n"))
+            left = stored(now.join(mixed.where(f"low != high AND n > {done}").select("bucket"), "bucket", "left_semi"),
+                          "open-buckets")
+            if left.isEmpty():
+                break
+            if done:
+                now = left.select("id").distinct()
+                shared = _shared_shingles(stored(_texts(now, reps, texts), "open-texts"), size)
+                bounds = stored(reps.join(now, "id", "left_semi").select("id", "n", _bands().alias("bands"))
+                                .join(shared, "id"), "shared-shingles")
+            left = left.join(bounds, "id")
+            turn = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("degree"), "id"))
+            hubs = (left.withColumn("turn", turn).where(f"turn <= {done + count}").where(f"turn > {done}")
+                    .select("bucket", F.col("id").alias("hub"), F.col("label").alias("hub_label"), F.col("n").alias("hub_n"),
+                            *(F.col(c).alias(f"hub_{c}") for c in ("shared", "bands") if done)))
+            # At most this many shingles are common, so at least the rest are in the union.
+            common, first = F.least("n", "hub_n"), F.lit(True)
+            if done:
+                common = F.aggregate(F.zip_with("shared", "hub_shared", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+                # A pair that shares several buckets is made in the first of them.
+                before = F.slice("bands", F.lit(1), F.array_position("bands", F.col("bucket")).cast("int") - 1)
+                first = ~F.arrays_overlap(before, F.col("hub_bands"))
+            possible = 100 * common >= percent * (F.col("n") + F.col("hub_n") - common)
+            pairs = (left.join(hubs, "bucket").where((F.col("label") != F.col("hub_label")) & first & possible)
+                     .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct())
+            links = stored(_verified(pairs, reps, texts, size, percent), "links")
+            labels = connected(labels, links)
+            done, count = done + count, count * HUB_GROWTH
+            # All but the labels of the round was read for the last time.
+            old = [p for p in spent if "/labels-" not in p]
+        remove(docs.sparkSession, old)
 
     nodes = members.join(labels.withColumnRenamed("id", "node"), "node").select("id", "label")
     several = stored(nodes.groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("other")), "members")
