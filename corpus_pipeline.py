@@ -12,16 +12,22 @@ in the shared folder and read again:
 All but the last return the columns of ``documents``. SQL cannot express
 stages 1, 3 and 5; the rows are tested against the stages' brute-force
 versions instead.
+
+What a stage returns must be written before the next one is called, as ``run`` does: a
+stage begins by deleting the scratch tables of the one before.
 """
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm.byte_bpe import decode, encode, read_ranks
-from daybook.llm.common import stored, table
+from daybook.llm.common import remove, scratch, stored, table
 from daybook.llm.language_id import UNKNOWN, predict, train_on_documents
 from daybook.llm.line_chunks import dedup_line_runs
 from daybook.llm.near_dup import drop_near_duplicates
@@ -35,6 +41,25 @@ SHINGLE = 5
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: Scratch tables of the last stage, by application.
+_left: dict[str, list[str]] = {}
+
+
+def _clearing(stage: Stage) -> Stage:
+    """``stage``, which first deletes the scratch tables of the stage before."""
+    @functools.wraps(stage)
+    def cleared(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        application = spark.sparkContext.applicationId
+        remove(spark, _left.pop(application, []))
+        with scratch() as own:
+            out = stage(spark, docs, sf_dir)
+        _left[application] = own
+        return out
+    return cleared
+
+
+@_clearing
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = train_on_documents(docs)
     least = {lang: low + MIN_CERTAINTY * (1 - low) for lang, low in model.lowest_scores().items()} | {UNKNOWN: 1.0}
@@ -45,18 +70,22 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return found.where(sure).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
+@_clearing
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return dedup_line_runs(docs)
 
 
+@_clearing
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_near_duplicates(docs, size=SHINGLE)
 
 
+@_clearing
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mix_sources(docs)
 
 
+@_clearing
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, the ids, and the text decoded from them."""
     ranks = read_ranks(public_tokenizers.path(RANK_FILE))
