@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.operators import quality as Q
+from daybook.operators import report_states as RS
 from daybook.operators import asof as AS
 from daybook.operators import scd2 as S
 from daybook.operators import checks as CH
@@ -27,6 +28,8 @@ from daybook.session import scratch_path
 from daybook.sinks import bucketed as BK
 from daybook.sinks import tables as SK
 from daybook.sources import contracts as K
+from daybook.sources import csv_infer as CI
+from daybook.sources import days as DAYS
 from daybook.sources import documents as DOC
 from daybook.sources import readers as RD
 from daybook.streaming import event_time as EV
@@ -419,6 +422,52 @@ def q_csv_to_parquet_landing(w: Warehouse) -> DataFrame:
     return w.spark.read.parquet(path)
 
 
+def _orders(w: Warehouse) -> DataFrame:
+    return table(w.spark, w.sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                                     F.to_date("o_orderdate").alias("o_orderdate"))
+
+
+@query("csv_infer_roundtrip", O.CSV_INFER_ROUNDTRIP)
+def q_csv_infer_roundtrip(w: Warehouse) -> DataFrame:
+    """Orders to CSV; types inferred from a fifth of the rows, stored as a contract, and
+    every row read under it."""
+    root = scratch_path(w.spark, "csv-infer")
+    SK.write_csv(_orders(w), f"{root}/csv")
+    CI.save_contract(w.spark, CI.infer(CI.read_text(w.spark, f"{root}/csv"), sample=0.2), f"{root}/contract")
+    typed = CI.read_typed(w.spark, f"{root}/csv", CI.load_contract(w.spark, f"{root}/contract"))
+    return SK.rows(SK.land_ingested(typed, f"{root}/landed"))
+
+
+@query("csv_rejects", O.CSV_REJECTS)
+def q_csv_rejects(w: Warehouse) -> DataFrame:
+    """Every 97th price is no number and every 89th date no day: under the contract of
+    the clean file these rows are kept apart and counted."""
+    root = scratch_path(w.spark, "csv-rejects")
+    orders = _orders(w)
+    dirty = orders.withColumns({
+        "o_totalprice": F.when(F.col("o_orderkey") % 97 == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string")),
+        "o_orderdate": F.when(F.col("o_orderkey") % 89 == 0, F.lit("soon")).otherwise(F.col("o_orderdate").cast("string"))})
+    SK.write_csv(dirty, f"{root}/csv")
+    landed = SK.land_ingested(CI.read_typed(w.spark, f"{root}/csv", orders.schema), f"{root}/landed")
+    key = F.when(~F.col("is_rejected"), F.col("o_orderkey"))
+    return landed.agg(F.count(F.lit(1)).cast("bigint").alias("total_rows"),
+                      F.count_if("is_rejected").cast("bigint").alias("rejected"), F.sum(key).alias("accepted_keys"))
+
+
+@query("backfill_scattered_days", O.BACKFILL_SCATTERED_DAYS)
+def q_backfill_scattered_days(w: Warehouse) -> DataFrame:
+    """The even years' days out of a raw table of two runs: a day table prunes its folders
+    while the query runs."""
+    root = scratch_path(w.spark, "scattered")
+    clean = w.clean_products_by_day
+    for k in range(2):
+        SK.append_run(clean.where(F.col("id") % 2 == k), f"{root}/raw", f"run{k}")
+    raw = w.spark.read.schema(K.CLEAN_PRODUCTS).parquet(f"{root}/raw")
+    days = [f"{y}-12-31" for y in range(1970, 2100, 2)]
+    rows = DAYS.of_days(raw, DAYS.write_days(w.spark, f"{root}/days", days))
+    return rows.select(F.col("id").cast("string").alias("product_id"), "price", F.col("date").alias("day"))
+
+
 @query("topk_comments_per_product", O.TOPK_COMMENTS_PER_PRODUCT)
 def q_topk_comments_per_product(w: Warehouse) -> DataFrame:
     raw = FX.raw_comments(w.spark, w.sf_dir, with_score=True).where(F.col("product_id").isNotNull())
@@ -713,6 +762,34 @@ def q_comments_quality_report(w: Warehouse) -> DataFrame:
     return Q.comments_report(w.clean_comments)
 
 
+def _report_states(w: Warehouse) -> DataFrame:
+    """States of all raw rows as runs leave them, in three runs by id."""
+    root = scratch_path(w.spark, "states")
+    clean = w.clean_comments
+    for k in range(3):
+        part = F.col("id") % 3 == k
+        CH.union_all([RS.states(w.clean_products_by_day.where(part), RS.products_spec()),
+                      RS.states(clean.where(part), RS.comments_spec())]).write.parquet(f"{root}/run_ts={k}")
+    return w.spark.read.schema(RS.SCHEMA).parquet(f"{root}/run_ts=*")
+
+
+def _history_report(states: DataFrame) -> DataFrame:
+    # The estimated number of ids has no counterpart in SQL; a unit test bounds its error.
+    return RS.report(states).where("metric != 'distinct_ids_estimate'")
+
+
+@query("history_report", O.HISTORY_REPORT)
+def q_history_report(w: Warehouse) -> DataFrame:
+    """The whole quality report over all runs, from their states alone."""
+    return _history_report(_report_states(w))
+
+
+@query("history_report_span", O.HISTORY_REPORT_SPAN)
+def q_history_report_span(w: Warehouse) -> DataFrame:
+    """A span of days out of the middle, from states that were merged by day before."""
+    return _history_report(RS.over(RS.merged(_report_states(w), keep_day=True), "1993-06-01", "2024-01-12"))
+
+
 @query("adhoc_copy_qty_double", O.ADHOC_COPY_QTY_DOUBLE)
 def q_adhoc_copy_qty_double(w: Warehouse) -> DataFrame:
     """Landed product files read under the copy job's contract: quantity

@@ -15,8 +15,9 @@ Storage layout under ``root`` (a shared folder on a cluster):
   run only ever adds its own snapshot partition (the gate admits nothing
   older than the newest snapshot), so writing that partition is the whole
   upsert and the fact history is never rewritten.
-* ``reports/tests``, ``reports/quality`` — a folder ``run_ts=<run>`` for each
-  run: the data tests and the quality report, computed in the run.
+* ``reports/tests``, ``reports/quality``, ``reports/states`` — a folder
+  ``run_ts=<run>`` for each run: the data tests, the quality report and its mergeable
+  states by day, computed in the run.
 
 Each written table cuts the lineage for the next step, so a run's plans
 stay short however many runs came before.
@@ -37,10 +38,12 @@ from daybook.operators import checks as CH
 from daybook.operators import clean as C
 from daybook.operators import facts as FA
 from daybook.operators import quality as Q
+from daybook.operators import report_states as RS
 from daybook.operators import scd2 as S
 from daybook.operators import staging as ST
 from daybook.sinks import tables as SK
 from daybook.sources import contracts as K
+from daybook.sources import days as DAYS
 from daybook.sources import documents as DOC
 from daybook.sources import readers as RD
 
@@ -117,6 +120,12 @@ class DailyWarehouse:
                 .parquet(f"{self.layout.root}/reports/{kind}/run_ts=*")
                 .withColumn("run_ts", F.col("run_ts").cast("string")))
 
+    def history_report(self, start: str | None = None, end: str | None = None) -> DataFrame:
+        """The quality report of a span of days, from the states that runs have left."""
+        at = f"{self.layout.root}/reports/states"
+        rows = self.spark.read.option("basePath", at).schema(RS.SCHEMA).parquet(f"{at}/run_ts=*")
+        return RS.report(RS.over(rows, start, end))
+
     def fact_products(self) -> DataFrame:
         return self._read_or_empty(self.layout.fact_products, K.FACT_PRODUCTS)
 
@@ -211,6 +220,25 @@ class DailyWarehouse:
         return self._load(run, stg_p, stg_c, products is not None, comments is not None,
                           lambda: FA.fact_comments_delta_asof(stg_c, self.dim_products.read(), self.fact_comments()))
 
+    def run_days(self, days: list[str], products: DataFrame | None, comments: DataFrame | None, run_ts: str) -> DataFrame:
+        """Catch up any set of days in one pass, however scattered: as ``run_range``, but
+        only the folders of these days are read, of this run or of others. The day
+        table stays beside the run's reports. A gate ignores days that a dimension or fact
+        has passed already."""
+        steps = []
+        if products is not None:
+            clean_p = C.clean_products(products, dedupe_keys=["id", "date"])
+            steps.append(lambda: SK.append_run(clean_p, self.layout.raw_products, run_ts))
+        if comments is not None:
+            clean_c = C.clean_comments(comments, None)
+            steps.append(lambda: SK.append_run(clean_c, self.layout.raw_comments, run_ts))
+        _together(*steps)
+        wanted = DAYS.write_days(self.spark, f"{self.layout.root}/reports/days/run_ts={run_ts}", days)
+        stg_p, stg_c = self._stage(ST.stage_products(DAYS.of_days(self.raw_products(), wanted)),
+                                   ST.stage_comments(DAYS.of_days(self.raw_comments(), wanted)))
+        return self._load(run_ts, stg_p, stg_c, products is not None, comments is not None,
+                          lambda: FA.fact_comments_delta_asof(stg_c, self.dim_products.read(), self.fact_comments()))
+
     def _stage(self, stg_p: DataFrame, stg_c: DataFrame) -> list[DataFrame]:
         return _together(lambda: self._stored(stg_p, "staging/products"),
                          lambda: self._stored(stg_c, "staging/comments"))
@@ -237,17 +265,20 @@ class DailyWarehouse:
         def own(path: str, contract) -> DataFrame:
             return K.conform(self.spark.read.schema(contract).parquet(f"{path}/run_ts={run}"), contract)
 
-        parts = []
+        parts, states = [], []
         if with_products:
+            states.append(RS.states(own(self.layout.raw_products, K.CLEAN_PRODUCTS), RS.products_spec()))
             parts.append(Q.product_report(own(self.layout.raw_products, K.CLEAN_PRODUCTS))
                          .select(F.lit("products").alias("table_name"), "*"))
             parts += self._reject_counts("products", run)
         if with_comments:
+            states.append(RS.states(own(self.layout.raw_comments, K.CLEAN_COMMENTS), RS.comments_spec()))
             parts.append(Q.comments_report(own(self.layout.raw_comments, K.CLEAN_COMMENTS))
                          .select(F.lit("comments").alias("table_name"), "*"))
             parts += self._reject_counts("comments", run)
         if parts:
             self._stored(CH.union_all(parts).coalesce(1), f"reports/quality/run_ts={run}")
+            self._stored(CH.union_all(states).coalesce(1), f"reports/states/run_ts={run}")
 
     def tests(self, stg_p: DataFrame, stg_c: DataFrame) -> DataFrame:
         """The warehouse's declared tests on the current state."""

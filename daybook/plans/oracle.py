@@ -367,6 +367,18 @@ MENU_CATEGORY_IDS = """
 SELECT link, string_split(link, '/c')[-1] AS category_id
 FROM (SELECT url || '/c' || CAST(page_id AS VARCHAR) AS link FROM pages) m"""
 
+BACKFILL_SCATTERED_DAYS = f"""
+SELECT CAST(id AS VARCHAR) AS product_id, price, date AS day FROM ({CLEAN_PRODUCTS_BY_DAY}) p WHERE year(date) % 2 = 0"""
+
+CSV_INFER_ROUNDTRIP = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders"""
+
+CSV_REJECTS = """
+SELECT CAST(count(*) AS BIGINT) AS total_rows,
+  CAST(count(*) FILTER (WHERE o_orderkey % 97 = 0 OR o_orderkey % 89 = 0) AS BIGINT) AS rejected,
+  CAST(sum(o_orderkey) FILTER (WHERE o_orderkey % 97 != 0 AND o_orderkey % 89 != 0) AS BIGINT) AS accepted_keys
+FROM orders"""
+
 CSV_TO_PARQUET_LANDING = "SELECT conv_id, turn, role, text FROM conversations"
 
 TOPK_COMMENTS_PER_PRODUCT = f"""
@@ -422,6 +434,30 @@ COMMENTS_QUALITY_REPORT = f"WITH c AS ({CLEAN_COMMENTS})\n" + "\nUNION ALL ".joi
      "SELECT 'rating' AS metric, CAST(rating AS VARCHAR) AS key, CAST(count(*) AS DOUBLE) AS value FROM c GROUP BY rating",
      "SELECT 'sentiment' AS metric, sentiment AS key, CAST(count(*) AS DOUBLE) AS value FROM c GROUP BY sentiment"])
 
+_MEASURES = [("price", "price"), ("all_time_quantity_sold", "all_time_quantity_sold")]
+_HISTORY_PRODUCTS = f"WITH c AS ({CLEAN_PRODUCTS_BY_DAY})\n" + "\nUNION ALL ".join(
+    [_metric("total_records", "count(*)"),
+     _metric("negative_price", "count(*) FILTER (WHERE price < 0)"),
+     _metric("negative_quantity", "count(*) FILTER (WHERE all_time_quantity_sold < 0)")]
+    + [_metric(f"{name}_{m}", e.format(c=c)) for m, c in _MEASURES for name, e in [
+        ("avg", "round(avg({c}), 4)"), ("min", "min({c})"), ("max", "max({c})"), ("sum", "sum({c})"),
+        ("stddev", "round(stddev_samp({c}), 4)")]]
+    + [_metric("null_count", f"count(*) FILTER (WHERE {c} IS NULL)", key=f"'{c}'") for c in _P_COLS]
+    + ["SELECT 'inventory_status' AS metric, inventory_status AS key, CAST(count(*) AS DOUBLE) AS value "
+       "FROM c GROUP BY inventory_status"])
+_HISTORY_COMMENTS = f"WITH c AS ({CLEAN_COMMENTS})\n" + "\nUNION ALL ".join(
+    [_metric("total_records", "count(*)"),
+     _metric("valid_ratings", "count(*) FILTER (WHERE rating_valid)"),
+     _metric("unknown_content", "count(*) FILTER (WHERE content = 'unknown')"),
+     "SELECT 'rating' AS metric, CAST(rating AS VARCHAR) AS key, CAST(count(*) AS DOUBLE) AS value FROM c GROUP BY rating",
+     "SELECT 'sentiment' AS metric, sentiment AS key, CAST(count(*) AS DOUBLE) AS value FROM c GROUP BY sentiment"])
+HISTORY_REPORT = (f"SELECT 'products' AS table_name, p.* FROM ({_HISTORY_PRODUCTS}) p UNION ALL "
+                  f"SELECT 'comments' AS table_name, p.* FROM ({_HISTORY_COMMENTS}) p")
+HISTORY_REPORT_SPAN = HISTORY_REPORT.replace(f"WITH c AS ({CLEAN_PRODUCTS_BY_DAY})",
+    f"WITH c AS (SELECT * FROM ({CLEAN_PRODUCTS_BY_DAY}) WHERE date BETWEEN DATE '1993-06-01' AND DATE '2024-01-12')").replace(
+    f"WITH c AS ({CLEAN_COMMENTS})",
+    f"WITH c AS (SELECT * FROM ({CLEAN_COMMENTS}) WHERE date BETWEEN DATE '1993-06-01' AND DATE '2024-01-12')")
+
 ADHOC_COPY_QTY_DOUBLE = f"""
 SELECT id, name, short_description, price, list_price, discount, discount_rate,
   CAST(all_time_quantity_sold AS DOUBLE) AS all_time_quantity_sold, inventory_status,
