@@ -3,8 +3,8 @@
 Every document is measured by base rules over its whole text. The failure
 rate of each host is shrunk towards the rate of all hosts by a beta prior
 whose strength is fitted to the spread of the hosts' rates (method of
-moments): a host of few documents stays near the mean, a large one keeps its
-own rate. A document is kept if it passes the base rules and the shrunk rate
+moments), less the spread that chance alone gives rates of so few documents: a host of
+few documents stays near the mean, a large one keeps its own rate. A document is kept if it passes the base rules and the shrunk rate
 of its host is not above the limit.
 
 Cases: a null or empty text has no words and fails; a null host is a host of
@@ -71,13 +71,16 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
 
 
 def host_rates(measured: DataFrame) -> DataFrame:
-    """(host, n, failures, shrunk_rate) with the empirical beta prior. The two
-    numbers of the prior are all that reaches the driver."""
+    """(host, n, failures, shrunk_rate) with the empirical beta prior. The
+    numbers of the prior are all that reaches the driver. A host's rate of n
+    documents varies by mean * (1 - mean) / n about its true rate; what is left of the
+    variance of the rates is that of the true ones."""
     hosts = measured.groupBy("host").agg(F.count(F.lit(1)).alias("n"),
                                          F.sum(F.col("base_failed").cast("long")).alias("failures"))
     rate = F.col("failures") / F.col("n")
-    mean, var = hosts.agg(F.sum("failures") / F.sum("n"), F.var_pop(rate)).first() or (None, None)
-    mean, var = mean or 0.0, var or 0.0
+    mean, var, inverse = hosts.agg(F.sum("failures") / F.sum("n"), F.var_pop(rate), F.avg(1 / F.col("n"))).first()
+    mean = mean or 0.0
+    var = (var or 0.0) - mean * (1 - mean) * (inverse or 0.0)
     strength = max(mean * (1 - mean) / var - 1, 0.0) if var > 0 else 1e6
     shrunk = (F.col("failures") + F.lit(mean * strength)) / (F.col("n") + F.lit(strength))
     return hosts.withColumn("shrunk_rate", shrunk)
@@ -118,7 +121,8 @@ m AS (SELECT w.doc_id, source, len(words)::BIGINT AS n_words,
       FROM w LEFT JOIN rep ON w.doc_id = rep.doc_id),
 b AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM m),
 h AS (SELECT source, count(*) AS n, sum(base_failed::INT) AS f FROM b GROUP BY source),
-p AS (SELECT sum(f) / sum(n) AS mean, var_pop(f / n) AS v FROM h),
+q AS (SELECT sum(f) / sum(n) AS mean, var_pop(f / n) AS v, avg(1 / n) AS inverse FROM h),
+p AS (SELECT mean, v - mean * (1 - mean) * inverse AS v FROM q),
 s AS (SELECT mean, CASE WHEN v > 0 THEN greatest(mean * (1 - mean) / v - 1, 0) ELSE 1e6 END AS strength FROM p),
 r AS (SELECT source, (f + mean * strength) / (n + strength) AS rate FROM h, s)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
