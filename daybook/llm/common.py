@@ -87,8 +87,10 @@ def bounded_batches(spark: SparkSession) -> None:
 
 
 def in_arrow(df: DataFrame, function, schema) -> DataFrame:
-    """``df.mapInArrow`` with batches of bounded size."""
+    """``df.mapInArrow`` with batches of bounded size; ``function`` reads columns by place."""
     bounded_batches(df.sparkSession)
+    if any("." in c for c in df.columns):  # mapInArrow takes such a name for a field
+        df = df.toDF(*(f"column{i}" for i in range(len(df.columns))))
     return df.mapInArrow(function, schema)
 
 

@@ -70,11 +70,12 @@ def _cdf(mean: Column) -> Column:
 def mix_sources(docs: DataFrame, seed: int = 17, id_col: str = "doc_id", source_col: str = "source",
                 copy_col: str | None = None, **targets) -> DataFrame:
     """Each document as often as its Poisson count says, in shuffled order, with
-    the number of the copy in ``copy_col`` if that is given."""
+    the number of the copy as the last column, ``copy_col``, if that is given (see
+    ``fresh`` for a name that ``docs`` has)."""
     rates = target_rates(docs, source_col, **targets)
     parts = F.greatest(F.ceil(F.col("rate") / MAX_PART), F.lit(1)).cast("int")
     rates = rates.withColumn("parts", parts).withColumn("cdf", _cdf(F.col("rate") / F.col("parts")))
-    src, n_parts, cdf, copy, key = fresh(docs, "mix_source", "parts", "cdf", "mix_copy", "mix_key")
+    src, n_parts, cdf, times, copy, key = fresh(docs, "mix_source", "parts", "cdf", "poisson", "mix_copy", "mix_key")
     rates = rates.where("rate > 0").select(F.col("mix_source").alias(src), F.col("parts").alias(n_parts),
                                            F.col("cdf").alias(cdf))
     if rates.limit(MAX_BROADCAST_SOURCES + 1).count() <= MAX_BROADCAST_SOURCES:
@@ -82,12 +83,12 @@ def mix_sources(docs: DataFrame, seed: int = 17, id_col: str = "doc_id", source_
     the_id = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
     count = F.aggregate(F.sequence(F.lit(1), F.col(n_parts)), F.lit(0), lambda total, j: total + F.size(
         F.filter(F.col(cdf), lambda c: c <= uniform(F.lit(str(seed)), the_id, j.cast("string")))))
-    copies = F.explode(F.when(F.col("poisson") > 0, F.sequence(F.lit(1), F.col("poisson"))))
+    copies = F.explode(F.when(F.col(times) > 0, F.sequence(F.lit(1), F.col(times))))
     dealt = (docs.join(rates, F.col(source_col).eqNullSafe(F.col(src)))
-             .withColumn("poisson", count).withColumn(copy, copies)
+             .withColumn(times, count).withColumn(copy, copies)
              .withColumn(key, F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), the_id, F.col(copy).cast("string"))))
              .repartition(F.col(key)).sortWithinPartitions(key))
-    extra = [F.col(copy).alias(copy_col)] if copy_col else []
+    extra = [F.col(copy).alias(*fresh(docs, copy_col))] if copy_col else []
     return dealt.select(*(F.col(f"`{c}`") for c in docs.columns), *extra)
 
 

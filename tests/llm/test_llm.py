@@ -87,6 +87,23 @@ def test_source_mix(spark, docs, empty):
     assert abs(by["a"] - 1000) < 150 and abs(by["b"] - 3000) < 250
 
 
+def test_names_that_clash(spark):
+    """Columns of the names that operators use or add pass through."""
+    table = spark.createDataFrame([(1, "one two three", "en", "s", 5, 6, "p", [1.5], "x", "lp", 0.5)],
+                                  "doc_id long, text string, lang string, source string, poisson int, copy int, part string, "
+                                  "`token_ids` array<double>, `a.b` string, lang_pred string, score double").selectExpr("*", "named_struct('x y', 1) AS `st ruct`")
+    given = table.first()
+    mixed = source_mix.mix_sources(table, weights={"s": 1.0}, epochs=30.0, copy_col="copy")
+    assert mixed.columns == [*table.columns, "_copy"] and tuple(mixed.first())[:-1] == tuple(given)
+    ranks = byte_bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
+    out = byte_bpe.decode(byte_bpe.encode(table, ranks, P.PATTERN), ranks)
+    assert out.columns == [*table.columns, "_token_ids", "decoded"] and tuple(out.first())[:-2] == tuple(given)
+    assert out.first()["decoded"] == b"one two three"
+    model = language_id.train_on_documents(spark.read.parquet(f"{SMALL}/documents.parquet"))
+    found = language_id.predict(table, model)
+    assert found.columns == [*table.columns, "_lang_pred", "_score"] and tuple(found.first())[:-2] == tuple(given)
+
+
 def test_language_id(spark, docs, empty):
     table = spark.read.parquet(f"{SMALL}/documents.parquet")
     model = language_id.train_on_documents(table)
@@ -208,6 +225,20 @@ def test_host_quality(docs, empty):
     assert host_quality.judge_by_host(empty).count() == 0
 
 
+def test_host_prior_shrinks_small_hosts_and_rejects_bad_ones(spark):
+    good, bad = words(40, 3), "x"
+    # Hosts of one document each: their rates of 0 and 1 are chance, all stay near the mean.
+    small = spark.createDataFrame([(i, bad if i % 4 == 0 else good, f"h{i}") for i in range(120)], "doc_id long, text string, source string")
+    rates = [r["host_rate"] for r in host_quality.judge_by_host(small).collect()]
+    assert max(rates) - min(rates) < 0.01 and abs(rates[0] - 0.25) < 0.01
+    # A large host most of which fails is rejected, its good documents too; a small one with a failure is not.
+    rows = [(i, bad if i % 10 else good, "bad") for i in range(400)] + [(1000 + i, good, f"g{i % 8}") for i in range(800)]
+    rows += [(5000, bad, "tiny"), (5001, good, "tiny2"), (5002, good, "tiny")]
+    got = {r["doc_id"]: r for r in host_quality.judge_by_host(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert not got[0]["base_failed"] and not got[0]["kept"] and got[0]["host_rate"] > 0.8
+    assert all(got[1000 + i]["kept"] for i in range(800)) and got[5002]["kept"] and got[5001]["kept"] and not got[5000]["kept"]
+
+
 def test_pipeline(spark):
     import corpus_pipeline as C
 
