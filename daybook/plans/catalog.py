@@ -575,12 +575,63 @@ def q_backfill_row_counts(w: Warehouse) -> DataFrame:
     return _backfill(w).row_counts()
 
 
+#: Roots of the warehouses that were run day by day, by application and inputs: the
+#: queries below read one stored warehouse.
+_DAILY: dict[tuple[str, str], str] = {}
+
+
+def _daily(w: Warehouse) -> PL.DailyWarehouse:
+    """Every load day run through the daily pipeline in date order (land,
+    clean, append, stage, SCD2 merge, facts, tests)."""
+    key = (w.spark.sparkContext.applicationId, w.sf_dir)
+    if key not in _DAILY:
+        root = scratch_path(w.spark, "warehouse")
+        PL.run_days(w.spark, root, w.raw_products, w.raw_comments)
+        _DAILY[key] = root
+    return PL.DailyWarehouse(w.spark, _DAILY[key])
+
+
 @query("daily_runs_row_counts", O.DAILY_ROW_COUNTS)
 def q_daily_runs_row_counts(w: Warehouse) -> DataFrame:
-    """Every load day run through the daily pipeline in date order (land,
-    clean, append, stage, SCD2 merge, facts, tests); rows per stored table."""
-    pl = PL.run_days(w.spark, scratch_path(w.spark, "warehouse"), w.raw_products, w.raw_comments)
-    return pl.row_counts()
+    """Rows per stored table after all days."""
+    return _daily(w).row_counts()
+
+
+@query("daily_dim_products", O.DIM_PRODUCTS)
+def q_daily_dim_products(w: Warehouse) -> DataFrame:
+    """The whole product dimension after all days."""
+    return _daily(w).dim_products.read()
+
+
+@query("daily_dim_comments", O.DIM_COMMENTS_STG)
+def q_daily_dim_comments(w: Warehouse) -> DataFrame:
+    return _daily(w).dim_comments.read()
+
+
+@query("daily_fact_comments", O.FACT_COMMENTS)
+def q_daily_fact_comments(w: Warehouse) -> DataFrame:
+    return _daily(w).fact_comments()
+
+
+@query("daily_test_report", O.DAILY_TEST_REPORT)
+def q_daily_test_report(w: Warehouse) -> DataFrame:
+    """The stored tables' tests in the report of the last run."""
+    tests = _daily(w).reports("tests")
+    last = tests.agg(F.max("run_ts")).scalar()
+    return (tests.where((F.col("run_ts") == last) & ~F.col("table_name").startswith("stg_"))
+            .select("test", "table_name", "column_name", "failures"))
+
+
+@query("landing_by_run_stamp", O.LANDING_BY_RUN_STAMP)
+def q_landing_by_run_stamp(w: Warehouse) -> DataFrame:
+    """Product runs landed under their run stamps (an hour past midnight of the load
+    day); the stamps, which sort as text, choose the runs that are read."""
+    root = scratch_path(w.spark, "landing")
+    at = F.to_timestamp(F.concat("date", F.lit(" 01:00:00")))
+    (w.raw_products.withColumn("run_ts", X.run_stamp(at)).write.partitionBy("run_ts").parquet(f"{root}/products"))
+    whole = w.raw_products.schema.add("run_ts", "string")
+    runs = w.spark.read.schema(whole).parquet(f"{root}/products").where(F.col("run_ts") >= "19950101_000000")
+    return runs.groupBy("run_ts").agg(F.count(F.lit(1)).cast("bigint").alias("documents"), F.min("id").alias("first_id"))
 
 
 def _first_days(w: Warehouse, n: int):

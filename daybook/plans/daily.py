@@ -7,8 +7,8 @@ Storage layout under ``root`` (a shared folder on a cluster):
   ``run_ts=<run>/date=<day>``: each run appends a folder of its own, so a
   second batch of a day, a late document or one without a date removes
   nothing, and a re-run replaces only its own rows.
-* ``staging/products``, ``staging/comments`` — the run's staged rows, written
-  once and read by every later step.
+* ``staging/products``, ``staging/comments`` — the staged rows of each run under
+  ``run_ts=<run>``, written once and read by every later step of it.
 * ``dim_products``, ``dim_comments`` — ``Scd2Store``: each run writes the
   versions it inserts or ends, committed by a marker.
 * ``fact_products``, ``fact_comments`` — partitioned by ``snapshot_date``; a
@@ -191,7 +191,7 @@ class DailyWarehouse:
             steps.append(raw("comments", C.clean_comments(comments, run_date), lay.raw_comments))
         self.metrics += _together(*steps)
         stg_p, stg_c = self._stage(
-            ST.stage_products(self._raw_day(lay.raw_products, run_date, K.CLEAN_PRODUCTS), run_date),
+            run, ST.stage_products(self._raw_day(lay.raw_products, run_date, K.CLEAN_PRODUCTS), run_date),
             ST.stage_comments(self._raw_day(lay.raw_comments, run_date, K.CLEAN_COMMENTS), run_date))
         return self._load(run, stg_p, stg_c, products is not None, comments is not None,
                           lambda: FA.fact_comments_delta(stg_c, self.dim_products.read_open(), self.fact_comments()))
@@ -215,7 +215,7 @@ class DailyWarehouse:
         _together(*steps)
         lo, hi = F.lit(start).cast("date"), F.lit(end).cast("date")
         stg_p, stg_c = self._stage(
-            ST.stage_products(self.raw_products().where(F.col("date").between(lo, hi))),
+            run, ST.stage_products(self.raw_products().where(F.col("date").between(lo, hi))),
             ST.stage_comments(self.raw_comments().where(F.col("date").between(lo, hi))))
         return self._load(run, stg_p, stg_c, products is not None, comments is not None,
                           lambda: FA.fact_comments_delta_asof(stg_c, self.dim_products.read(), self.fact_comments()))
@@ -234,14 +234,16 @@ class DailyWarehouse:
             steps.append(lambda: SK.append_run(clean_c, self.layout.raw_comments, run_ts))
         _together(*steps)
         wanted = DAYS.write_days(self.spark, f"{self.layout.root}/reports/days/run_ts={run_ts}", days)
-        stg_p, stg_c = self._stage(ST.stage_products(DAYS.of_days(self.raw_products(), wanted)),
+        stg_p, stg_c = self._stage(run_ts, ST.stage_products(DAYS.of_days(self.raw_products(), wanted)),
                                    ST.stage_comments(DAYS.of_days(self.raw_comments(), wanted)))
         return self._load(run_ts, stg_p, stg_c, products is not None, comments is not None,
                           lambda: FA.fact_comments_delta_asof(stg_c, self.dim_products.read(), self.fact_comments()))
 
-    def _stage(self, stg_p: DataFrame, stg_c: DataFrame) -> list[DataFrame]:
-        return _together(lambda: self._stored(stg_p, "staging/products"),
-                         lambda: self._stored(stg_c, "staging/comments"))
+    def _stage(self, run: str, stg_p: DataFrame, stg_c: DataFrame) -> list[DataFrame]:
+        """Each run stages into folders of its own: a reader of an older run's rows, or a
+        run at the same time, is not disturbed."""
+        return _together(lambda: self._stored(stg_p, f"staging/products/run_ts={run}"),
+                         lambda: self._stored(stg_c, f"staging/comments/run_ts={run}"))
 
     def _load(self, run: str, stg_p: DataFrame, stg_c: DataFrame, with_products: bool, with_comments: bool,
               comment_facts: Callable) -> DataFrame:

@@ -367,6 +367,17 @@ MENU_CATEGORY_IDS = """
 SELECT link, string_split(link, '/c')[-1] AS category_id
 FROM (SELECT url || '/c' || CAST(page_id AS VARCHAR) AS link FROM pages) m"""
 
+# Runs of the hour after midnight of each load day; those from 1995 on.
+LANDING_BY_RUN_STAMP = f"""
+SELECT strftime(CAST(date AS DATE), '%Y%m%d') || '_010000' AS run_ts, CAST(count(*) AS BIGINT) AS documents,
+  min(id) AS first_id FROM ({FX_PRODUCTS}) f WHERE date >= '1995' GROUP BY date"""
+
+DAILY_TEST_REPORT = " UNION ALL ".join([
+    _nn("dim_products", DIM_PRODUCTS, ["product_id", "effective_date", "is_active", "product_name"]),
+    _nn("dim_comments", DIM_COMMENTS_STG, ["comment_id", "product_id", "comment_content", "comment_rating"]),
+    _nn("fact_comments", FACT_COMMENTS, ["comment_id"]),
+    _rel("dim_comments", DIM_COMMENTS_STG, DIM_PRODUCTS, "product_id")])
+
 BACKFILL_SCATTERED_DAYS = f"""
 SELECT CAST(id AS VARCHAR) AS product_id, price, date AS day FROM ({CLEAN_PRODUCTS_BY_DAY}) p WHERE year(date) % 2 = 0"""
 

@@ -9,7 +9,9 @@ SF_DIR = "/root/testdata/sf0.001"
 # These run whole pipelines or streams when called; their returned frames
 # are plain scans of the stored result.
 HEAVY = {"daily_runs_row_counts", "backfill_row_counts", "stream_scd2_available_now",
-         "backfill_dim_products", "backfill_dim_comments", "backfill_fact_comments"}
+         "backfill_dim_products", "backfill_dim_comments", "backfill_fact_comments",
+         "daily_dim_products", "daily_dim_comments", "daily_fact_comments", "daily_test_report",
+         "stream_scd2_comments", "stream_type_drift"}
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas", "LocalCheckpoint"]
 
