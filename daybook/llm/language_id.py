@@ -80,13 +80,12 @@ def features(text: str | None) -> np.ndarray:
 def _svm(x: np.ndarray, y: np.ndarray, ridge: float = 1e-4, steps: int = 300) -> np.ndarray:
     """Weights and bias of a linear SVM of squared hinge loss, by accelerated
     gradient steps; both classes weigh the same."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
     weight = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)).astype(x.dtype)
-    rate = 1 / (2 * (weight * (x * x).sum(1)).sum() + ridge)
-    w = v = np.zeros(x.shape[1], x.dtype)
+    rate = 1 / (2 * (weight * (np.einsum("ij,ij->i", x, x) + 1)).sum() + ridge)
+    w = v = np.zeros(x.shape[1] + 1, x.dtype)
     for k in range(steps):
-        slack = np.maximum(0, 1 - y * (x @ v))
-        new = v - rate * (ridge * v - 2 * (x.T @ (weight * y * slack)))
+        pull = weight * y * np.maximum(0, 1 - y * (x @ v[:-1] + v[-1]))
+        new = v - rate * (ridge * v - 2 * np.append(x.T @ pull, pull.sum()))
         v, w = new + k / (k + 3) * (new - w), new
     return w
 
@@ -104,9 +103,10 @@ class Model:
         lab = np.array(labels, dtype=object)
         self.scale = 1.0
         if len(x):
-            x = x / np.maximum(x.sum(1, keepdims=True), 1)
-            self.scale = float(1 / np.sqrt((x * x).sum(1).mean()))
-            x = (x * self.scale).astype(np.float32)
+            # In place: the counts are the largest thing on the driver.
+            x /= np.maximum(x.sum(1, keepdims=True), 1)
+            self.scale = float(1 / np.sqrt(np.einsum("ij,ij->i", x, x).mean()))
+            x *= np.float32(self.scale)
         fam = np.array([of.get(a, a) for a in labels], dtype=object)
         self.machines: list[np.ndarray] = []
         self.top = self._train(sorted(self.families), fam, x)
@@ -118,7 +118,7 @@ class Model:
             a, b = labels == classes[i], labels == classes[j]
             rows = a | b
             pairs.append((i, j, len(self.machines)))
-            self.machines.append(_svm(x[rows], np.where(a[rows], 1, -1).astype(np.float32)))
+            self.machines.append(_svm(x if rows.all() else x[rows], np.where(a[rows], 1, -1).astype(np.float32)))
         return classes, pairs
 
     def _decide(self, node, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
