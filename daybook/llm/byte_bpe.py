@@ -56,6 +56,8 @@ PART_ITEMS = 4_000_000
 BLOCK = 500
 FOLDED = 250_000
 SHARED = 4096
+#: Characters of a plan's text that the driver keeps.
+PLAN_TEXT = 100_000
 #: Stands before and after each piece of a word; no byte is this character.
 MARK = "\u0100"
 
@@ -193,6 +195,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
                                                      pa.array(values[ranges(starts[flat], of_word)], pa.int32()))
                     yield pa.RecordBatch.from_arrays([*doc.columns[:n], lists], [*(f.name for f in kept), ids])
 
+    # The literal map is in the plan, whose text the driver keeps for each of its versions.
+    docs.sparkSession.conf.set("spark.sql.maxPlanStringLength", PLAN_TEXT)
     rows = stored(in_arrow(given, numbered, numbers), "numbered-words")
     words = rows.where(F.col(number).isNotNull()).select(part, number, word)
     size = words.agg(F.count(F.lit(1)).alias("words"), F.max(part).alias("last")).first()
