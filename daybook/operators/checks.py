@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.operators import reduce as R
+
 REPORT = ["test", "table_name", "column_name", "failures"]
 
 
@@ -62,8 +64,12 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
 
 def check_relationship(child: DataFrame, parent: DataFrame, table: str, child_key: str,
                        parent_key: str) -> DataFrame:
-    return orphans(child, parent, child_key, parent_key).agg(
-        *_row("relationships", table, child_key, F.count(F.lit(1))))
+    """The number of ``orphans``. The child's rows are counted by key first and only parents
+    whose key a child may hold are dealt."""
+    held = child.where(F.col(child_key).isNotNull()).groupBy(child_key).agg(F.count(F.lit(1)).alias("_n"))
+    near = R.may_match(parent.select(F.col(parent_key).alias(child_key)), child_key, R.key_words(held, child_key))
+    return orphans(held, near, child_key, child_key).agg(
+        *_row("relationships", table, child_key, F.coalesce(F.sum("_n"), F.lit(0))))
 
 
 def check_unique(df: DataFrame, table: str, *key_sets: list[str]) -> DataFrame:

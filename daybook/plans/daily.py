@@ -194,7 +194,7 @@ class DailyWarehouse:
             run, ST.stage_products(self._raw_day(lay.raw_products, run_date, K.CLEAN_PRODUCTS), run_date),
             ST.stage_comments(self._raw_day(lay.raw_comments, run_date, K.CLEAN_COMMENTS), run_date))
         return self._load(run, stg_p, stg_c, products is not None, comments is not None,
-                          lambda: FA.fact_comments_delta(stg_c, self.dim_products.read_open(), self.fact_comments()))
+                          lambda: FA.fact_comments_delta(stg_c, self.dim_products.read_open(stg_c), self.fact_comments()))
 
     def run_range(self, start: str | None, end: str | None, products: DataFrame | None,
                   comments: DataFrame | None, run_ts: str | None = None) -> DataFrame:
@@ -249,17 +249,26 @@ class DailyWarehouse:
               comment_facts: Callable) -> DataFrame:
         """Dimensions, facts and reports from the staged rows of a run."""
         lay = self.layout
+
+        def review_facts() -> None:
+            SK.write_clustered(comment_facts(), lay.fact_comments, "snapshot_date", "product_id", mode="overwrite",
+                               tiebreak=("comment_id",))
+
+        def products() -> None:
+            self.dim_products.merge(stg_p, self.mode)
+            if with_comments:  # needs the products' new versions
+                review_facts()
+
         steps = [lambda: self._report(run, with_products, with_comments)]
         if with_products:
-            steps += [lambda: self.dim_products.merge(stg_p, self.mode),
+            steps += [products,
                       lambda: SK.write_clustered(FA.fact_products_delta(stg_p, self.fact_products()), lay.fact_products,
                                                  "snapshot_date", "product_id", mode="overwrite")]
         if with_comments:
             steps.append(lambda: self.dim_comments.merge(stg_c, self.mode))
+            if not with_products:
+                steps.append(review_facts)
         _together(*steps)
-        if with_comments:  # needs the products' new versions
-            SK.write_clustered(comment_facts(), lay.fact_comments, "snapshot_date", "product_id", mode="overwrite",
-                               tiebreak=("comment_id",))
         return self._stored(self.tests(stg_p, stg_c).coalesce(1), f"reports/tests/run_ts={run}")
 
     def _report(self, run: str, with_products: bool, with_comments: bool) -> None:
@@ -284,7 +293,8 @@ class DailyWarehouse:
 
     def tests(self, stg_p: DataFrame, stg_c: DataFrame) -> DataFrame:
         """The warehouse's declared tests on the current state."""
-        dp, dc, fc = self.dim_products.read(), self.dim_comments.read(), self.fact_comments()
+        # These tests ask for no end date, and a version is active or not but never NULL.
+        dp, dc, fc = self.dim_products.inserted(), self.dim_comments.inserted(), self.fact_comments()
         return CH.union_all([
             # The product job's business rules are counted, never enforced.
             CH.check_table(stg_p, "stg_products", ["product_id", "product_name", "load_date"], {

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.operators import merge as M
+from daybook.operators import reduce as R
 from daybook.operators.scd2 import AS_WRITTEN, Scd2Spec
 from daybook.sources.contracts import conform, empty
 
@@ -124,8 +125,9 @@ class Scd2Store:
     that write at the very same time are not kept apart. The marker holds the dimension's greatest
     effective date, which the gate of the next run needs.
 
-    ``log`` is what a merge reads: key, date and digests. ``read`` gives the table:
-    inserted versions with the end that a later run gave them (a join on key and date)."""
+    ``log`` is what a merge reads: key, date and digests; of it a merge deals only the
+    rows whose key the batch may hold. ``read`` gives the table: inserted versions with the
+    end that a later run gave them (a join on key and date)."""
 
     MARKER = "_COMMITTED"
 
@@ -184,9 +186,19 @@ class Scd2Store:
     def _closings(self) -> DataFrame:
         return self._states(M.CLOSING).select(self.key, "effective_date", F.col("end_date").alias("closed_on"))
 
-    def read_open(self) -> DataFrame:
-        return (conform(self._states(M.OPEN), self.contract)
-                .join(self._closings(), [self.key, "effective_date"], "left_anti").select(*self.contract.fieldNames()))
+    def inserted(self) -> DataFrame:
+        """Every version as it was inserted, without the ends that came later: as many rows
+        as ``read``, and no join."""
+        return conform(self._states(M.OPEN, M.ENDED), self.contract)
+
+    def read_open(self, partners: DataFrame | None = None) -> DataFrame:
+        """The active versions; with ``partners``, at least those whose key is in its column
+        of the same name (others are left out before the join where that is sure)."""
+        opened, closings = conform(self._states(M.OPEN), self.contract), self._closings()
+        if partners is not None:
+            words = R.key_words(partners, self.key)
+            opened, closings = R.may_match(opened, self.key, words), R.may_match(closings, self.key, words)
+        return (opened.join(closings, [self.key, "effective_date"], "left_anti").select(*self.contract.fieldNames()))
 
     def read(self) -> DataFrame:
         once_open = conform(self._states(M.OPEN), self.contract).join(self._closings(), [self.key, "effective_date"], "left")
@@ -196,8 +208,12 @@ class Scd2Store:
 
     def merge(self, batch: DataFrame, mode: str = AS_WRITTEN) -> int:
         """Merge staged rows of one load date or several, see ``merge_changes``."""
-        mark = self.high_water()
-        return self._write(M.merge_changes(self.log(), batch, self.spec, mode,
+        mark, log = self.high_water(), self.log()
+        if mark:
+            # Versions of other keys neither end nor hide a row of the batch.
+            taken = batch.where(F.col("load_date") >= F.lit(mark).cast("date"))
+            log = R.may_match(log, self.key, R.key_words(taken, self.key))
+        return self._write(M.merge_changes(log, batch, self.spec, mode,
                                            high_water=F.lit(mark).cast("date") if mark else None), mark)
 
     def _write(self, changes: DataFrame, mark: str | None) -> int:
