@@ -1,13 +1,14 @@
 """As-of join by union and carry: each fact gets the version of its key that is in
 force on its date, and no (fact, version) pairs are formed.
 
-Versions and facts are cut into blocks of ``block_days`` days. A first, small pass takes
-the last version of each (key, block) and carries it into the next blocks of the key
+Versions and facts are cut into blocks of ``block_days`` days, the facts of a block into
+``spread`` parts. A first, small pass gathers the versions of each (key, block) and the
+parts that its facts lie in, and carries the last version into the next blocks of the key
 that hold rows. Then versions, carried versions and facts are unioned, dealt by
-(key, block) and sorted by date; the last version before a fact is the last value seen.
-A hot key spreads over its blocks, and within a block over ``spread`` parts of its
-facts; versions, far fewer, go to each part. Work is linear in facts and versions
-but for the sort.
+(key, block, part) and sorted by date; the last version before a fact is the last value seen.
+A hot key spreads over its blocks, and within a block over the parts; versions go to
+those parts only that have facts. The dimension is read once. Work is linear in facts and
+versions but for the sort.
 
 The dimension has one version for each key and effective date (``strict`` mode): of several
 the one that ends last counts. A version holds on [effective_date, end_date).
@@ -42,18 +43,23 @@ def asof_carry(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, fa
     whole = given.where(F.col("_key").isNotNull() & F.col("_date").isNotNull())
     block = _block("_date", block_days).alias("_block")
 
-    # One row for each (key, block) that holds rows: its last version, or none.
-    last = versions.groupBy("_key", block).agg(F.max(F.struct("_date", "_end", "_version")).alias("_last"))
-    touched = whole.groupBy("_key", block).agg(F.lit(None).cast(last.schema["_last"].dataType).alias("_last"))
-    blocks = last.unionByName(touched).groupBy("_key", "_block").agg(F.max("_last").alias("_last"))
+    part = F.pmod(F.xxhash64("_fact"), F.lit(spread)).cast("int").alias("_part")
+    asked = whole.select("_key", block, "_date", "_fact", part)
+
+    # One row for each (key, block) that holds rows: its versions and the parts of its facts.
+    own = versions.select("_key", block, F.struct("_date", "_end", "_version").alias("_known"), F.lit(None).cast("int").alias("_part"))
+    touched = asked.select("_key", "_block", "_part").distinct()
+    blocks = own.unionByName(touched, allowMissingColumns=True).groupBy("_key", "_block").agg(
+        F.collect_list("_known").alias("_own"), F.collect_set("_part").alias("_parts"))
     before = Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (blocks.select("_key", "_block", F.last("_last", ignorenulls=True).over(before).alias("_last"))
-               .where(F.col("_last").isNotNull())
-               .select("_key", "_block", "_last._date", "_last._end", "_last._version"))
+    last = F.when(F.size("_own") > 0, F.array_max("_own"))
+    carried = blocks.withColumn("_carried", F.last(last, ignorenulls=True).over(before))
 
-    parts = F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("_part")
-    known = versions.select("_key", block, "_date", "_end", "_version").unionByName(carried).select("*", parts)
-    asked = whole.select("_key", block, "_date", "_fact", F.pmod(F.xxhash64("_fact"), F.lit(spread)).cast("int").alias("_part"))
+    # Versions meet facts only in the parts that have some.
+    every = F.concat("_own", F.when(F.col("_carried").isNotNull(), F.array("_carried")).otherwise(F.slice("_own", 1, 0)))
+    known = (carried.where(F.size("_parts") > 0).select("_key", "_block", F.explode("_parts").alias("_part"), every.alias("_every"))
+             .select("_key", "_block", "_part", F.explode("_every").alias("_known"))
+             .select("_key", "_block", "_part", "_known._date", "_known._end", "_known._version"))
     order = (Window.partitionBy("_key", "_block", "_part").orderBy("_date", F.col("_fact").isNotNull(), "_end")
              .rowsBetween(Window.unboundedPreceding, 0))
     seen = F.last(F.when(F.col("_fact").isNull(), F.struct("_end", "_version")), ignorenulls=True).over(order)

@@ -5,6 +5,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from daybook.operators import asof as AS
 from daybook.operators import checks as CH
 from daybook.operators import reduce as R
 from daybook.operators import scd2 as S
@@ -88,3 +89,14 @@ def test_relationship_deals_few_parents_and_counts_children(spark):
     assert CH.check_relationship(child.where("c = '1'"), parent, "t", "c", "k").first().failures == 0
     assert CH.check_relationship(child.where("false"), parent, "t", "c", "k").first().failures == 0
     assert CH.check_relationship(child, parent.where("false"), "t", "c", "k").first().failures == 5
+
+def test_asof_versions_meet_facts_in_their_parts_only(spark):
+    days = [dt.date(2024, 1, d) for d in (1, 20)]
+    dim = spark.createDataFrame([(k, days[0], days[1], "a") for k in range(50)] + [(k, days[1], None, "b") for k in range(50)],
+                                "k int, effective_date date, end_date date, v string")
+    facts = spark.createDataFrame([(k, dt.date(2024, 3, 1) if k % 2 else days[0]) for k in range(60)], "fk int, day date")
+    got = AS.asof_carry(facts, dim, "fk", "k", "day").select("fk", "version.v")
+    assert {(r.fk, r.v) for r in got.collect()} == {(k, "b" if k % 2 else "a") for k in range(50)}
+    # 110 rows that prepare the blocks, 110 blocks at most; then 60 facts, each with its one or two
+    # versions. Versions that go to every part would be 400 or more.
+    assert _dealt(got, "_key") <= 460
