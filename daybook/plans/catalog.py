@@ -720,7 +720,7 @@ def q_stream_scd2_available_now(w: Warehouse) -> DataFrame:
     an AvailableNow trigger (two files per micro-batch) and merged into a
     stored dimension by foreachBatch: equals the one-job history."""
     root = scratch_path(w.spark, "stream")
-    STR.land_days_in_order(w.raw_products, f"{root}/landing")
+    STR.land_days_in_order(w.staged(w.raw_products, always=True), f"{root}/landing")
     dim = SK.Scd2Store(w.spark, f"{root}/dim_products", K.DIM_PRODUCTS, S.PRODUCTS)
     STR.stream_products_into_dimension(w.spark, f"{root}/landing", dim, f"{root}/_checkpoint",
                                        max_files=2)

@@ -206,12 +206,13 @@ class Scd2Store:
         return (once_open.withColumns({"end_date": end, "is_active": end.isNull()}).select(*self.contract.fieldNames())
                 .unionByName(conform(self._states(M.ENDED), self.contract)))
 
-    def merge(self, batch: DataFrame, mode: str = AS_WRITTEN) -> int:
-        """Merge staged rows of one load date or several, see ``merge_changes``."""
+    def merge(self, batch: DataFrame, mode: str = AS_WRITTEN, keys: DataFrame | None = None) -> int:
+        """Merge staged rows of one load date or several, see ``merge_changes``. ``keys``
+        holds every key of the batch (others too), if that is cheaper to read than the batch."""
         mark, log = self.high_water(), self.log()
         if mark:
             # Versions of other keys neither end nor hide a row of the batch.
-            taken = batch.where(F.col("load_date") >= F.lit(mark).cast("date"))
+            taken = keys if keys is not None else batch.where(F.col("load_date") >= F.lit(mark).cast("date"))
             log = R.may_match(log, self.key, R.key_words(taken, self.key))
         return self._write(M.merge_changes(log, batch, self.spec, mode,
                                            high_water=F.lit(mark).cast("date") if mark else None), mark)

@@ -82,9 +82,12 @@ def stream_into_dimension(spark: SparkSession, landing: str, dim: Scd2Store, che
     micro-batch changes nothing: its days are loaded."""
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        staged = entity.stage(batch)
-        if not staged.isEmpty():
-            dim.merge(staged, mode)
+        staged = entity.stage(batch).persist()  # a merge reads its keys, then its rows
+        try:
+            if not staged.isEmpty():
+                dim.merge(staged, mode)
+        finally:
+            staged.unpersist()
 
     rows = entity.clean(_reader(spark, entity.raw, max_files).parquet(landing))
     _drain(survivors(rows, entity.order(), lateness), checkpoint, merge)

@@ -26,7 +26,7 @@ def products_micro_batch(dim: Scd2Store, mode: str):
         # One run's documents: clean per (id, day), stage, merge.
         clean = C.clean_products(batch, dedupe_keys=["id", "date"])
         stg = ST.stage_products(clean)
-        dim.merge(stg, mode)
+        dim.merge(stg, mode, keys=batch.select(F.col("id").cast("string").alias(dim.key)))
     return run
 
 
@@ -49,9 +49,10 @@ def stream_products_into_dimension(spark: SparkSession, landing: str, dim: Scd2S
 
 def land_days_in_order(raw: DataFrame, landing: str, files: int | None = None) -> list[str]:
     """Land raw documents one day at a time, oldest first, the way the daily
-    crawl drops them (a ``date=<day>`` folder per run; ``files``: in so many files)."""
+    crawl drops them (a ``date=<day>`` folder per run; ``files``: in so many files, else
+    in as many as their size asks for). ``raw`` is read once for each day: give a stored table."""
     days = sorted(r[0] for r in raw.select("date").distinct().collect())
     for d in days:
         rows = raw.where(F.col("date") == d).drop("date")
-        (rows.repartition(files) if files else rows).write.mode("overwrite").parquet(f"{landing}/date={d}")
+        (rows.repartition(files) if files else rows.hint("rebalance")).write.mode("overwrite").parquet(f"{landing}/date={d}")
     return days

@@ -9,6 +9,7 @@ from daybook.operators import asof as AS
 from daybook.operators import checks as CH
 from daybook.operators import reduce as R
 from daybook.operators import scd2 as S
+from daybook.plans import catalog as CAT
 from daybook.session import scratch_path
 from daybook.sinks.tables import Scd2Store
 from daybook.sources import contracts as K
@@ -100,3 +101,15 @@ def test_asof_versions_meet_facts_in_their_parts_only(spark):
     # 110 rows that prepare the blocks, 110 blocks at most; then 60 facts, each with its one or two
     # versions. Versions that go to every part would be 400 or more.
     assert _dealt(got, "_key") <= 460
+
+
+def test_the_stream_lands_days_of_a_table_computed_once(spark, monkeypatch, tmp_path):
+    spark.range(20).selectExpr("id l_partkey", "timestamp'1995-03-01' l_shipdate", "double(id) l_quantity", "0.1d l_discount",
+                               "'N' l_returnflag").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(20).selectExpr("id p_partkey", "'n' p_name", "'t' p_type", "2.5d p_retailprice").write.parquet(
+        f"{tmp_path}/part.parquet")
+    landed = []
+    whole = CAT.STR.land_days_in_order
+    monkeypatch.setattr(CAT.STR, "land_days_in_order", lambda raw, *args, **kw: (landed.append(raw), whole(raw, *args, **kw))[1])
+    assert CAT.QUERIES["stream_scd2_available_now"](spark, str(tmp_path)).count() == 19  # id 0 has no name
+    assert landed[0].count() == 20 and not [f for f in landed[0].inputFiles() if "lineitem" in f]
