@@ -1,19 +1,23 @@
 """Byte-level BPE encoding and decoding with a file of ranks.
 
-Texts are split by the pattern into words, and each distinct word of the corpus is
-encoded once: Spark higher-order functions fold the ranked merges over its bytes,
+Texts are split by the pattern into words, and distinct words are encoded, not
+occurrences: Spark higher-order functions fold the ranked merges over their bytes,
 looking pairs up in a literal map of ranks.
 
-1. A pass over the texts numbers the words of a part of the documents (a part has
-   ``PART_WORDS`` distinct words or ``PART_ITEMS`` words in all at most, or is one
-   document) and writes a row for each new word and a row for each document with the
-   numbers of its words, as a string of a character a number, in place of its text.
-2. The words of all parts meet by word; each distinct word is folded once (a word that
-   more than ``SHARED`` parts have, once for so many of them).
-3. The ids of words go back to their parts, each part's words and then its
-   documents meet in a task, and documents gather the ids of their words.
+1. The commonest words of a sample of the texts (``COMMON`` words at most, of about
+   ``SAMPLE`` characters) are folded once for the corpus. They are a memory of answers
+   only: a word that is not among them is folded where it stands.
+2. One pass without a shuffle encodes all texts. It numbers the words of a part of the
+   documents (a part has ``PART_WORDS`` further distinct words or ``PART_ITEMS`` words in all
+   at most, or is a block) and sends a row for each word that is neither common nor known
+   to the part, then a row for each document with the numbers of its words in place of its text;
+   the words are folded on their way, and documents behind them gather the ids.
 
-Texts are read once and not shuffled. A step of the fold takes the pair of lowest rank
+Nothing is dealt or stored, so disk and memory do not grow with the input. A rare word
+is folded once for each part that has it. The texts are read three times (their length, the
+sample, the pass), so ``docs`` should be a stored table.
+
+A step of the fold takes the pair of lowest rank
 and merges it wherever it stands, left to right, as one replacement in a string
 of marked pieces; a merge makes no pair of a lower rank in a vocabulary that its
 own merges reproduce, so this equals one merge at a time. A word of n bytes takes as
@@ -46,16 +50,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.common import fresh, in_arrow, let, partitions_for, ranges, shuffle_partitions, stored, table
+from daybook.llm.common import fresh, in_arrow, let, ranges, shuffle_partitions, table
 
 BUCKETS = 16384
 PART_WORDS = 200_000
 PART_ITEMS = 4_000_000
-#: Documents whose words are numbered together; words of parts that a task takes, parts
-#: that share a fold.
+#: Documents whose words are numbered together.
 BLOCK = 500
-FOLDED = 250_000
-SHARED = 4096
+#: Words that are folded once for the corpus; characters of the sample that they are taken from.
+COMMON = 400_000
+SAMPLE = 60_000_000
 #: Characters of a plan's text that the driver keeps.
 PLAN_TEXT = 100_000
 #: Stands before and after each piece of a word; no byte is this character.
@@ -110,41 +114,58 @@ def word_ids(word: Column, ranks: dict[bytes, int]) -> Column:
     return let(_rank_map(ranks), lambda rank_map: fold_merges(word, rank_map))
 
 
-def _packed(numbers: np.ndarray, sizes: np.ndarray) -> pa.StringArray:
-    """Lists of numbers as strings of a character a number (not the surrogates)."""
-    points = numbers + np.where(numbers >= 0xD800, 0x800, 0)
-    width = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
-    ends = np.concatenate([[0], np.cumsum(width)])[np.concatenate([[0], np.cumsum(sizes)])]
-    data = points.astype("<u4").tobytes().decode("utf-32-le").encode()
-    return pa.StringArray.from_buffers(len(sizes), pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data))
+def _numbers(packed: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers of all lists, sizes of the lists) of lists packed as bytes."""
+    ends = np.frombuffer(packed.buffers()[1], np.int32, len(packed) + 1, packed.offset * 4)
+    return np.frombuffer(packed.buffers()[2] or b"", np.int32)[ends[0] // 4:ends[-1] // 4], np.diff(ends) // 4
+
+
+def _bytes(word: Column) -> Column:
+    """The UTF-8 bytes of a text as a string of byte characters."""
+    return F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
+
+
+def _split(text: Column, pattern: str) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?U){pattern}"), F.lit(0))
 
 
-def _unpacked(packed: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
-    """(numbers of all lists, sizes of the lists)."""
-    points = np.frombuffer("".join(packed.to_pylist()).encode("utf-32-le"), "<u4").astype(np.int64)
-    return points - np.where(points >= 0xE000, 0x800, 0), pc.utf8_length(packed).to_numpy().astype(np.int64)
+def common_words(texts: DataFrame, ranks: dict[bytes, int], pattern: str) -> pa.Table:
+    """(word, ids) of the commonest words of a sample of ``texts`` (one column), ``COMMON`` at most."""
+    text = F.col(f"`{texts.columns[0]}`")
+    size = texts.agg(F.sum(F.length(text).cast("long"))).first()[0] or 0
+    part = texts.sample(SAMPLE / size, seed=1) if size > SAMPLE else texts
+    counts = part.select(F.explode(_split(text, pattern)).alias("word")).groupBy("word").count()
+    most = counts.orderBy(F.desc("count"), "word").limit(COMMON).select("word")
+    tasks = shuffle_partitions(texts.sparkSession)
+    return most.repartition(tasks).select("word", word_ids(_bytes(F.col("word")), ranks).alias("ids")).toArrow()
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text", ids_col: str = "token_ids",
            keep_text: bool = True) -> DataFrame:
     """``docs`` and, as the last column, the ids of the text (array of int)."""
     kept = [f for f in docs.schema.fields if keep_text or f.name != text_col]
-    part, number, word, ids = fresh(docs, "part", "number", "word", ids_col)
+    part, word, packed, ids = fresh(docs, "part", "word", "packed", ids_col)
     n, columns = len(kept), [F.col(f"`{f.name}`") for f in kept]
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     # Characters that are unassigned to the JVM may be letters to others.
     strange = F.rlike(text, F.lit(r"\p{Cn}"))
-    given = docs.select(*columns, F.when(~strange, F.regexp_extract_all(text, F.lit(f"(?U){pattern}"), F.lit(0))).alias(part),
-                        F.when(strange, text).alias(word))
+    given = docs.select(*columns, F.when(~strange, _split(text, pattern)).alias(part), F.when(strange, text).alias(word))
     numbers = T.StructType([*(T.StructField(f.name, f.dataType) for f in kept), T.StructField(part, T.LongType()),
-                            T.StructField(number, T.IntegerType()), T.StructField(word, T.StringType())])
+                            T.StructField(word, T.StringType()), T.StructField(packed, T.BinaryType())])
+    # The literal map is in the plan, whose text the driver keeps for each of its versions.
+    docs.sparkSession.conf.set("spark.sql.maxPlanStringLength", PLAN_TEXT)
+    known = common_words(docs.select(F.col(f"`{text_col}`")), ranks, pattern).combine_chunks()
+    common_texts = pa.concat_arrays(known.column(0).chunks) if len(known) else pa.array([], pa.string())
+    common_ids = pa.concat_arrays(known.column(1).chunks) if len(known) else pa.array([], pa.list_(pa.int32()))
+    common_sizes = pc.list_value_length(common_ids).to_numpy().astype(np.int32)
+    common_values = common_ids.flatten().to_numpy().astype(np.int32)
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
-        from pyspark import TaskContext
 
-        split, seen, items, at = regex.compile(pattern), {}, 0, TaskContext.get().partitionId() << 32
-        names = [*(f.name for f in kept), part, number, word]
+        split, seen, items, at = regex.compile(pattern), {}, 0, 0
+        common = {w: k for k, w in enumerate(common_texts.to_pylist())}
+        names, base = [*(f.name for f in kept), part, word, packed], len(common)
         for whole in batches:
             for b in (whole.slice(k, BLOCK) for k in range(0, whole.num_rows, BLOCK)):
                 if len(seen) > PART_WORDS or items > PART_ITEMS:
@@ -153,22 +174,25 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
                 if lists.null_count:
                     lists = pa.array([split.findall(o) if w is None else w for w, o in
                                       zip(lists.to_pylist(), b.column(n + 1).to_pylist())], pa.list_(pa.string()))
-                coded, known = pc.dictionary_encode(lists.flatten()), len(seen)
+                coded, before = pc.dictionary_encode(lists.flatten()), base + len(seen)
                 distinct = coded.dictionary.to_pylist()
-                of = np.array([seen.setdefault(w, len(seen)) for w in distinct], np.int64)
-                new = [w.encode().decode("latin-1") for w, k in zip(distinct, of) if k >= known]
+                of = np.array([k if (k := common.get(w)) is not None else seen.setdefault(w, base + len(seen))
+                               for w in distinct], np.int32)
+                new = [w.encode().decode("latin-1") for w, k in zip(distinct, of.tolist()) if k >= before]
                 items += len(coded)
-                yield pa.RecordBatch.from_arrays(
-                    [*(pa.nulls(len(new), b.schema.field(i).type) for i in range(n)), pa.array(np.full(len(new), at)),
-                     pa.array(np.arange(known, len(seen)), pa.int32()), pa.array(new, pa.string())], names)
-                yield pa.RecordBatch.from_arrays(
-                    [*b.columns[:n], pa.array(np.full(b.num_rows, at)), pa.nulls(b.num_rows, pa.int32()),
-                     _packed(of[coded.indices.to_numpy()], pc.list_value_length(lists).to_numpy())], names)
+                if new:
+                    yield pa.RecordBatch.from_arrays(
+                        [*(pa.nulls(len(new), b.schema.field(i).type) for i in range(n)), pa.array(np.full(len(new), at)),
+                         pa.array(new, pa.string()), pa.nulls(len(new), pa.binary())], names)
+                ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(), dtype=np.int64)])
+                lists = pa.BinaryArray.from_buffers(pa.binary(), b.num_rows, [
+                    None, pa.py_buffer((4 * ends).astype(np.int32)), pa.py_buffer(of[coded.indices.to_numpy()])])
+                yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(np.full(b.num_rows, at)),
+                                                  pa.nulls(b.num_rows, pa.string()), lists], names)
 
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, waiting = None, []
-        starts = sizes = np.zeros(0, np.int64)
-        values = np.zeros(0, np.int32)
+        at, waiting, sizes, values = 0, [], common_sizes, common_values
+        starts = np.cumsum(sizes, dtype=np.int64) - sizes
         for b in batches:
             parts, is_doc = b.column(n).to_numpy(), b.column(n + 1).is_null().to_numpy(zero_copy_only=False)
             cuts = np.flatnonzero((np.diff(parts) != 0) | (np.diff(is_doc.astype(np.int8)) != 0)) + 1
@@ -177,43 +201,30 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
                 if i == j:
                     continue
                 if parts[i] != at:
-                    at, waiting, starts, sizes, values = parts[i], [], starts[:0], sizes[:0], values[:0]
+                    at, waiting, sizes, values = parts[i], [], common_sizes, common_values
+                    starts = np.cumsum(sizes, dtype=np.int64) - sizes
                 run = b.slice(i, j - i)
                 if not is_doc[i]:
                     found = run.column(n + 3)
-                    waiting.append((pc.list_value_length(found).to_numpy().astype(np.int64), found.flatten().to_numpy()))
+                    waiting.append((pc.list_value_length(found).to_numpy(), found.flatten().to_numpy()))
                     continue
                 if waiting:
                     sizes = np.concatenate([sizes, *(x for x, _ in waiting)])
                     values = np.concatenate([values, *(x for _, x in waiting)])
-                    starts, waiting = np.cumsum(sizes) - sizes, []
+                    starts, waiting = np.cumsum(sizes, dtype=np.int64) - sizes, []
                 for doc in (run.slice(k, BLOCK) for k in range(0, run.num_rows, BLOCK)):
-                    flat, of_doc = _unpacked(doc.column(n + 2))
+                    flat, of_doc = _numbers(doc.column(n + 2))
                     of_word = sizes[flat]
-                    ends = np.concatenate([[0], np.cumsum(of_word)])[np.concatenate([[0], np.cumsum(of_doc)])]
+                    ends = np.concatenate([[0], np.cumsum(of_word, dtype=np.int64)])[np.concatenate([[0], np.cumsum(of_doc)])]
                     lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)),
                                                      pa.array(values[ranges(starts[flat], of_word)], pa.int32()))
                     yield pa.RecordBatch.from_arrays([*doc.columns[:n], lists], [*(f.name for f in kept), ids])
 
-    # The literal map is in the plan, whose text the driver keeps for each of its versions.
-    docs.sparkSession.conf.set("spark.sql.maxPlanStringLength", PLAN_TEXT)
-    rows = stored(in_arrow(given, numbered, numbers), "numbered-words")
-    words = rows.where(F.col(number).isNotNull()).select(part, number, word)
-    size = words.agg(F.count(F.lit(1)).alias("words"), F.max(part).alias("last")).first()
-    # Parts are numbered by the partitions of the input, so there are about as many.
-    share = F.shiftright(part, 32) % partitions_for((size["last"] or 0) >> 32, SHARED, 1)
-    tasks = partitions_for(size["words"], FOLDED, shuffle_partitions(docs.sparkSession))
-    answers = (words.withColumn(ids, share).repartition(tasks, word, ids).groupBy(word, ids)
-               .agg(F.collect_list(F.struct(F.col(part).alias("part"), F.col(number).alias("number"))).alias(number))
-               # Within the exploded array the ids of a word are found once.
-               .select(F.inline(let(word_ids(F.col(word), ranks), lambda found: F.transform(number, lambda x: F.struct(
-                   x["part"].alias(part), x["number"].alias(number), found.alias(ids))))))
-               .select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in kept), part, number,
-                       F.lit(None).cast("string").alias(word), ids))
-    every = (rows.where(F.col(number).isNull()).withColumn(ids, F.lit(None).cast("array<int>")).unionAll(answers)
-             .repartition(part).sortWithinPartitions(part, F.col(number).asc_nulls_last()))
-    return in_arrow(every, gathered, T.StructType([*(T.StructField(f.name, f.dataType) for f in kept),
-                                                   T.StructField(ids, T.ArrayType(T.IntegerType()))]))
+    rows = in_arrow(given, numbered, numbers)
+    # Words stand before the documents that need them; the projection leaves rows in their order.
+    folded = rows.withColumn(ids, F.when(F.col(word).isNotNull(), word_ids(F.col(word), ranks)))
+    return in_arrow(folded, gathered, T.StructType([*(T.StructField(f.name, f.dataType) for f in kept),
+                                                    T.StructField(ids, T.ArrayType(T.IntegerType()))]))
 
 
 def _concatenated(lists: pa.ListArray, pieces: pa.BinaryArray) -> pa.BinaryArray:

@@ -8,7 +8,7 @@ import random
 import numpy as np
 import pytest
 
-from daybook.llm import (byte_bpe, chat_pairs, host_quality, language_id, license_scan, line_chunks, near_dup,
+from daybook.llm import (byte_bpe, chat_pairs, common, host_quality, language_id, license_scan, line_chunks, near_dup,
                          sketch_diff, source_mix, token_files)
 from daybook.llm.queries import ORACLE, QUERIES
 from daybook.session import scratch_path
@@ -167,6 +167,21 @@ def test_byte_bpe_is_tiktoken(docs, empty):
     assert byte_bpe.encode(empty, ranks, P.PATTERN).count() == 0
 
 
+def test_byte_bpe_deals_and_stores_nothing(spark, docs, monkeypatch):
+    """Words beyond the common ones of a sample are folded in the pass, part by part."""
+    import tiktoken
+
+    for name, value in (("COMMON", 5), ("SAMPLE", 3000), ("PART_WORDS", 200), ("BLOCK", 2)):
+        monkeypatch.setattr(byte_bpe, name, value)
+    ranks = byte_bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
+    own = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    with common.scratch() as tables:
+        encoded = byte_bpe.encode(docs.coalesce(1), ranks, P.PATTERN)
+        rows = encoded.collect()
+    assert tables == [] and "Exchange" not in encoded._jdf.queryExecution().executedPlan().toString()
+    assert len(rows) == len(TEXTS) + 2 and all(r["token_ids"] == own.encode_ordinary(r["text"] or "") for r in rows)
+
+
 def test_chat_pairs(spark):
     rows = [(1, 0, "user", "hi <|im_end|>"), (1, 1, "assistant", "yo"), (1, 2, "user", "bye"), (2, 0, "user", "q"),
             (3, 0, None, None), (3, 1, "assistant", "yo"), (3, 1, "assistant", "yo"), (None, 0, "assistant", "z")]
