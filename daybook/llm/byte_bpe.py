@@ -1,36 +1,31 @@
 """Byte-level BPE encoding and decoding with a file of ranks.
 
 Texts are split by the pattern into words, and distinct words are encoded, not
-occurrences: Spark higher-order functions fold the ranked merges over their bytes,
-looking pairs up in a literal map of ranks.
+occurrences: ranked merges are folded over the bytes of all of a batch's new words at once.
 
 1. The commonest words of a sample of the texts (``COMMON`` words at most, of about
    ``SAMPLE`` characters) are folded once for the corpus. They are a memory of answers
    only: a word that is not among them is folded where it stands.
 2. One pass without a shuffle encodes all texts. It numbers the words of a part of the
    documents (a part has ``PART_WORDS`` further distinct words or ``PART_ITEMS`` words in all
-   at most, or is a block) and sends a row for each word that is neither common nor known
-   to the part, then a row for each document with the numbers of its words in place of its text;
-   the words are folded on their way, and documents behind them gather the ids.
+   at most, or is a block), folds those that are neither common nor known to the part,
+   and gathers the ids of each document by its words' numbers.
 
 Nothing is dealt or stored, so disk and memory do not grow with the input. A rare word
 is folded once for each part that has it. The texts are read three times (their length, the
 sample, the pass), so ``docs`` should be a stored table.
 
-A step of the fold takes the pair of lowest rank
-and merges it wherever it stands, left to right, as one replacement in a string
-of marked pieces; a merge makes no pair of a lower rank in a vocabulary that its
-own merges reproduce, so this equals one merge at a time. A word of n bytes takes as
-many steps as it has different merges, n - 1 at most; words of thousands of bytes
-(runs without a boundary) are slow, but are folded as all others.
+A step of the fold takes the lowest rank of a word's pairs and merges it
+wherever it stands, left to right, for each word at the same time; a merge makes no pair of a
+lower rank in a vocabulary that its own merges reproduce, so this equals one merge at a
+time. Only pairs beside a merge are looked up again, and a word without a pair to merge
+leaves the fold. A word of n bytes takes as many steps as it has different merges, n - 1 at
+most; words of any length are folded as all others.
 
-Bytes are handled as strings of the characters U+0000 to U+00FF, one a byte.
-The map is an array of small maps, chosen by the CRC-32 of the key, because
-Spark searches a map from its start. Texts with characters that
-the JVM's Unicode tables lack are split in Python.
+The pattern is the JVM's; texts with characters that its Unicode tables lack are split in Python.
 
-Cases: a null text counts as empty and has no ids; texts and words may be of
-any length; every row is encoded by itself, so repeated ids do no harm; other
+Cases: a null text counts as empty and has no ids; a byte without a rank has a null id; texts and
+words may be of any length; every row is encoded by itself, so repeated ids do no harm; other
 columns pass through, whatever their names (where one has the name of the new
 column, see ``fresh``, the new one is still the last); an empty table gives no rows.
 Decoding concatenates the pieces of the ids; null ids decode to nothing.
@@ -39,8 +34,6 @@ Decoding concatenates the pieces of the ids; null ids decode to nothing.
 from __future__ import annotations
 
 import base64
-import json
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,9 +43,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.common import fresh, in_arrow, let, ranges, shuffle_partitions, table
+from daybook.llm.common import fresh, in_arrow, ranges, table
 
-BUCKETS = 16384
 PART_WORDS = 200_000
 PART_ITEMS = 4_000_000
 #: Documents whose words are numbered together.
@@ -60,10 +52,8 @@ BLOCK = 500
 #: Words that are folded once for the corpus; characters of the sample that they are taken from.
 COMMON = 400_000
 SAMPLE = 60_000_000
-#: Characters of a plan's text that the driver keeps.
-PLAN_TEXT = 100_000
-#: Stands before and after each piece of a word; no byte is this character.
-MARK = "\u0100"
+#: The rank of a pair that makes no piece.
+NONE = np.iinfo(np.int32).max
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -71,160 +61,124 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
-def _rank_map(ranks: dict[bytes, int]) -> Column:
-    """A literal array of maps from byte strings to ranks (folded from JSON)."""
-    maps: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
-    for piece, rank in ranks.items():
-        key = piece.decode("latin-1")
-        maps[zlib.crc32(key.encode()) % BUCKETS][key] = rank
-    return F.from_json(F.lit(json.dumps(maps, ensure_ascii=False)), "array<map<string,int>>")
-
-
-def fold_merges(word: Column, rank_map: Column) -> Column:
-    """array<int>: the ids of a word given as a string of byte characters."""
-
-    def rank(piece: Column) -> Column:
-        return F.element_at(F.get(rank_map, (F.crc32(piece) % BUCKETS).cast("int")), piece)
-
-    def pieces(marked: Column) -> Column:
-        return F.filter(F.split(marked, MARK), lambda x: x != "")
-
-    def state(marked: Column) -> Column:
-        """The pieces and the pair to merge next, null if none has a rank."""
-        def lowest(p: Column) -> Column:
-            return let(F.transform(p, lambda x, i: rank(F.concat(x, F.get(p, i + 1)))), lambda r: let(
-                F.array_position(r, F.array_min(r)).cast("int"),
-                lambda i: F.struct(marked.alias("marked"), F.get(p, i - 1).alias("one"), F.get(p, i).alias("two"))))
-        return let(pieces(marked), lowest)
-
-    def step(s: Column, _: Column) -> Column:
-        pair = F.concat(F.lit(MARK), s["one"], F.lit(MARK + MARK), s["two"], F.lit(MARK))
-        merged = F.concat(F.lit(MARK), s["one"], s["two"], F.lit(MARK))
-        return F.when(s["one"].isNull(), s).otherwise(let(F.replace(s["marked"], pair, merged), state))
-
-    single = F.concat(F.lit(MARK), F.array_join(F.filter(F.split(word, ""), lambda c: c != ""), MARK + MARK), F.lit(MARK))
-    folded = F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(word) - 1, F.lit(1))), let(single, state), step,
-                         lambda s: F.transform(pieces(s["marked"]), rank))
-    return F.coalesce(let(rank(word), lambda whole: F.when(whole.isNotNull(), F.array(whole))), folded)
-
-
-def word_ids(word: Column, ranks: dict[bytes, int]) -> Column:
-    """``fold_merges`` with the map bound once: as a lambda variable it is one
-    literal of the plan, however often the merges look it up."""
-    return let(_rank_map(ranks), lambda rank_map: fold_merges(word, rank_map))
-
-
-def _numbers(packed: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
-    """(numbers of all lists, sizes of the lists) of lists packed as bytes."""
-    ends = np.frombuffer(packed.buffers()[1], np.int32, len(packed) + 1, packed.offset * 4)
-    return np.frombuffer(packed.buffers()[2] or b"", np.int32)[ends[0] // 4:ends[-1] // 4], np.diff(ends) // 4
-
-
-def _bytes(word: Column) -> Column:
-    """The UTF-8 bytes of a text as a string of byte characters."""
-    return F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
+class Merges:
+    """The pairs of ids whose pieces make a piece of the vocabulary, and its rank, which is its id."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks, self.end = ranks, max(ranks.values(), default=-1) + 1
+        # Bytes without a rank have numbers from ``end`` on, so that they can be merged.
+        ids = {bytes([k]): self.end + k for k in range(256)} | ranks
+        found = {(one << 32) + two: rank for piece, rank in ranks.items() for k in range(1, len(piece))
+                 if (one := ids.get(piece[:k])) is not None and (two := ids.get(piece[k:])) is not None}
+        self.pairs = np.array(sorted(found), np.int64)
+        self.made = np.array([found[k] for k in self.pairs.tolist()], np.int32)
+        self.single = np.array([ids[bytes([k])] for k in range(256)], np.int32)
+        self.double = self.rank(np.repeat(self.single, 256), np.tile(self.single, 256))
+
+    def rank(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        pair = (one.astype(np.int64) << 32) + two
+        if not len(self.pairs):
+            return np.full(len(pair), NONE, np.int32)
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == pair, self.made[at], NONE)
+
+    def fold(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(sizes, values) of the lists of ids of ``words``."""
+        whole = np.array([self.ranks.get(w, -1) for w in words], np.int32)
+        known, rest = np.flatnonzero(whole >= 0), np.flatnonzero(whole < 0)
+        done = [(known, whole[known])]
+        others = [words[k] for k in rest.tolist()]
+        of = np.repeat(rest, np.array([len(w) for w in others], np.int64))
+        data = np.frombuffer(b"".join(others), np.uint8)
+        ids, rank = self.single[data], np.full(len(data), NONE, np.int32)
+        # rank[i] is that of the pieces i and i + 1, if they are of one word.
+        rank[:-1] = np.where(of[1:] == of[:-1], self.double[data[:-1] * np.int32(256) + data[1:]], NONE)
+        while len(ids):
+            starts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+            least = np.repeat(np.minimum.reduceat(rank, starts), np.diff(starts, append=len(of)))
+            more = least != NONE
+            if not more.all():
+                done.append((of[~more], ids[~more]))
+                of, ids, rank, least = of[more], ids[more], rank[more], least[more]
+                if not len(ids):
+                    break
+            at = np.flatnonzero(rank == least)
+            # Of pairs that share pieces every other one is merged, from the left.
+            k = np.arange(len(at))
+            at = at[(k - np.maximum.accumulate(np.where(np.diff(at, prepend=-2) != 1, k, 0))) % 2 == 0]
+            ids[at] = least[at]
+            kept = np.ones(len(ids), bool)
+            kept[at + 1] = False
+            of, ids, rank = of[kept], ids[kept], rank[kept]
+            at -= np.arange(len(at))
+            at = np.concatenate([at, at[at > 0] - 1])
+            after = np.minimum(at + 1, len(ids) - 1)
+            rank[at] = np.where((after > at) & (of[after] == of[at]), self.rank(ids[at], ids[after]), NONE)
+        of, values = (np.concatenate(x) for x in zip(*done))
+        return np.bincount(of, minlength=len(words)), values[np.argsort(of, kind="stable")]
 
 
 def _split(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(f"(?U){pattern}"), F.lit(0))
 
 
-def common_words(texts: DataFrame, ranks: dict[bytes, int], pattern: str) -> pa.Table:
-    """(word, ids) of the commonest words of a sample of ``texts`` (one column), ``COMMON`` at most."""
+def common_words(texts: DataFrame, pattern: str) -> list[str]:
+    """The commonest words of a sample of ``texts`` (one column), ``COMMON`` at most."""
     text = F.col(f"`{texts.columns[0]}`")
     size = texts.agg(F.sum(F.length(text).cast("long"))).first()[0] or 0
     part = texts.sample(SAMPLE / size, seed=1) if size > SAMPLE else texts
     counts = part.select(F.explode(_split(text, pattern)).alias("word")).groupBy("word").count()
-    most = counts.orderBy(F.desc("count"), "word").limit(COMMON).select("word")
-    tasks = shuffle_partitions(texts.sparkSession)
-    return most.repartition(tasks).select("word", word_ids(_bytes(F.col("word")), ranks).alias("ids")).toArrow()
+    return counts.orderBy(F.desc("count"), "word").limit(COMMON).select("word").toArrow().column(0).to_pylist()
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text", ids_col: str = "token_ids",
            keep_text: bool = True) -> DataFrame:
     """``docs`` and, as the last column, the ids of the text (array of int)."""
     kept = [f for f in docs.schema.fields if keep_text or f.name != text_col]
-    part, word, packed, ids = fresh(docs, "part", "word", "packed", ids_col)
+    part, word, ids = fresh(docs, "part", "word", ids_col)
     n, columns = len(kept), [F.col(f"`{f.name}`") for f in kept]
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     # Characters that are unassigned to the JVM may be letters to others.
     strange = F.rlike(text, F.lit(r"\p{Cn}"))
     given = docs.select(*columns, F.when(~strange, _split(text, pattern)).alias(part), F.when(strange, text).alias(word))
-    numbers = T.StructType([*(T.StructField(f.name, f.dataType) for f in kept), T.StructField(part, T.LongType()),
-                            T.StructField(word, T.StringType()), T.StructField(packed, T.BinaryType())])
-    # The literal map is in the plan, whose text the driver keeps for each of its versions.
-    docs.sparkSession.conf.set("spark.sql.maxPlanStringLength", PLAN_TEXT)
-    known = common_words(docs.select(F.col(f"`{text_col}`")), ranks, pattern).combine_chunks()
-    common_texts = pa.concat_arrays(known.column(0).chunks) if len(known) else pa.array([], pa.string())
-    common_ids = pa.concat_arrays(known.column(1).chunks) if len(known) else pa.array([], pa.list_(pa.int32()))
-    common_sizes = pc.list_value_length(common_ids).to_numpy().astype(np.int32)
-    common_values = common_ids.flatten().to_numpy().astype(np.int32)
-
-    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    merges = Merges(ranks)
+    common_texts = common_words(docs.select(F.col(f"`{text_col}`")), pattern)
+    common_sizes, common_values = merges.fold([w.encode() for w in common_texts])
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
-        split, seen, items, at = regex.compile(pattern), {}, 0, 0
-        common = {w: k for k, w in enumerate(common_texts.to_pylist())}
-        names, base = [*(f.name for f in kept), part, word, packed], len(common)
+        split, common = regex.compile(pattern), {w: k for k, w in enumerate(common_texts)}
+        seen, items, sizes, values = {}, 0, common_sizes, common_values
+        starts = np.cumsum(sizes) - sizes
         for whole in batches:
             for b in (whole.slice(k, BLOCK) for k in range(0, whole.num_rows, BLOCK)):
                 if len(seen) > PART_WORDS or items > PART_ITEMS:
-                    seen, items, at = {}, 0, at + 1
+                    seen, items, sizes, values = {}, 0, common_sizes, common_values
+                    starts = np.cumsum(sizes) - sizes
                 lists = b.column(n)
                 if lists.null_count:
                     lists = pa.array([split.findall(o) if w is None else w for w, o in
                                       zip(lists.to_pylist(), b.column(n + 1).to_pylist())], pa.list_(pa.string()))
-                coded, before = pc.dictionary_encode(lists.flatten()), base + len(seen)
+                coded, before = pc.dictionary_encode(lists.flatten()), len(common) + len(seen)
                 distinct = coded.dictionary.to_pylist()
-                of = np.array([k if (k := common.get(w)) is not None else seen.setdefault(w, base + len(seen))
-                               for w in distinct], np.int32)
-                new = [w.encode().decode("latin-1") for w, k in zip(distinct, of.tolist()) if k >= before]
+                of = np.array([k if (k := common.get(w)) is not None else seen.setdefault(w, len(common) + len(seen))
+                               for w in distinct], np.int64)
                 items += len(coded)
-                if new:
-                    yield pa.RecordBatch.from_arrays(
-                        [*(pa.nulls(len(new), b.schema.field(i).type) for i in range(n)), pa.array(np.full(len(new), at)),
-                         pa.array(new, pa.string()), pa.nulls(len(new), pa.binary())], names)
-                ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(), dtype=np.int64)])
-                lists = pa.BinaryArray.from_buffers(pa.binary(), b.num_rows, [
-                    None, pa.py_buffer((4 * ends).astype(np.int32)), pa.py_buffer(of[coded.indices.to_numpy()])])
-                yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(np.full(b.num_rows, at)),
-                                                  pa.nulls(b.num_rows, pa.string()), lists], names)
-
-    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, waiting, sizes, values = 0, [], common_sizes, common_values
-        starts = np.cumsum(sizes, dtype=np.int64) - sizes
-        for b in batches:
-            parts, is_doc = b.column(n).to_numpy(), b.column(n + 1).is_null().to_numpy(zero_copy_only=False)
-            cuts = np.flatnonzero((np.diff(parts) != 0) | (np.diff(is_doc.astype(np.int8)) != 0)) + 1
-            cuts = [0, *cuts.tolist(), b.num_rows]
-            for i, j in zip(cuts, cuts[1:]):
-                if i == j:
-                    continue
-                if parts[i] != at:
-                    at, waiting, sizes, values = parts[i], [], common_sizes, common_values
-                    starts = np.cumsum(sizes, dtype=np.int64) - sizes
-                run = b.slice(i, j - i)
-                if not is_doc[i]:
-                    found = run.column(n + 3)
-                    waiting.append((pc.list_value_length(found).to_numpy(), found.flatten().to_numpy()))
-                    continue
-                if waiting:
-                    sizes = np.concatenate([sizes, *(x for x, _ in waiting)])
-                    values = np.concatenate([values, *(x for _, x in waiting)])
-                    starts, waiting = np.cumsum(sizes, dtype=np.int64) - sizes, []
-                for doc in (run.slice(k, BLOCK) for k in range(0, run.num_rows, BLOCK)):
-                    flat, of_doc = _numbers(doc.column(n + 2))
-                    of_word = sizes[flat]
-                    ends = np.concatenate([[0], np.cumsum(of_word, dtype=np.int64)])[np.concatenate([[0], np.cumsum(of_doc)])]
-                    lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)),
-                                                     pa.array(values[ranges(starts[flat], of_word)], pa.int32()))
-                    yield pa.RecordBatch.from_arrays([*doc.columns[:n], lists], [*(f.name for f in kept), ids])
-
-    rows = in_arrow(given, numbered, numbers)
-    # Words stand before the documents that need them; the projection leaves rows in their order.
-    folded = rows.withColumn(ids, F.when(F.col(word).isNotNull(), word_ids(F.col(word), ranks)))
-    return in_arrow(folded, gathered, T.StructType([*(T.StructField(f.name, f.dataType) for f in kept),
-                                                    T.StructField(ids, T.ArrayType(T.IntegerType()))]))
+                if len(common) + len(seen) > before:
+                    more, found = merges.fold([w.encode() for w, k in zip(distinct, of.tolist()) if k >= before])
+                    sizes, values = np.concatenate([sizes, more]), np.concatenate([values, found])
+                    starts = np.cumsum(sizes) - sizes
+                flat = of[coded.indices.to_numpy()]
+                of_word = sizes[flat]
+                words = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(), dtype=np.int64)])
+                ends = np.concatenate([[0], np.cumsum(of_word)])[words]
+                got = values[ranges(starts[flat], of_word)]
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(got, pa.int32(), mask=got >= merges.end))
+                yield pa.RecordBatch.from_arrays([*b.columns[:n], lists], [*(f.name for f in kept), ids])
+
+    return in_arrow(given, encoded, T.StructType([*(T.StructField(f.name, f.dataType) for f in kept),
+                                                  T.StructField(ids, T.ArrayType(T.IntegerType()))]))
 
 
 def _concatenated(lists: pa.ListArray, pieces: pa.BinaryArray) -> pa.BinaryArray:

@@ -182,6 +182,27 @@ def test_byte_bpe_deals_and_stores_nothing(spark, docs, monkeypatch):
     assert len(rows) == len(TEXTS) + 2 and all(r["token_ids"] == own.encode_ordinary(r["text"] or "") for r in rows)
 
 
+def test_byte_bpe_folds_in_one_arrow_pass(docs):
+    """No map of ranks in the plan, and no words sent to the JVM and back."""
+    import tiktoken
+
+    ranks = byte_bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
+    own = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    plan = byte_bpe.encode(docs, ranks, P.PATTERN)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "from_json" not in plan and "entries" not in plan
+    draw = random.Random(5)
+    words = ["".join(draw.choices(letters, k=draw.randint(1, most))).encode() for letters, most in
+             [("ab", 60), ("aeinrst", 200), (" a", 40), ("é日本語中x", 50), ("\x00\n\t", 9)] for _ in range(200)]
+    words += [b"a" * k for k in range(1, 90)] + ["".join(draw.choices("abcdefghij", k=20_000)).encode()]
+    sizes, values = byte_bpe.Merges(ranks).fold(words)
+    lists = [v.tolist() for v in np.split(values, np.cumsum(sizes)[:-1])]
+    assert lists == [own._encode_single_piece(w) for w in words]
+    # Ranks of part of the bytes: pieces are merged over the others, which have no id alone.
+    merges = byte_bpe.Merges({b"a": 0, b"xy": 1, b"axy": 2})
+    sizes, values = merges.fold([b"axya", b"", b"xxy", b"a"])
+    assert sizes.tolist() == [2, 0, 2, 1] and [v if v < merges.end else None for v in values.tolist()] == [2, 0, None, 1, 0]
+
+
 def test_chat_pairs(spark):
     rows = [(1, 0, "user", "hi <|im_end|>"), (1, 1, "assistant", "yo"), (1, 2, "user", "bye"), (2, 0, "user", "q"),
             (3, 0, None, None), (3, 1, "assistant", "yo"), (3, 1, "assistant", "yo"), (None, 0, "assistant", "z")]
