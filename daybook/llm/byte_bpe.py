@@ -50,8 +50,8 @@ PART_ITEMS = 4_000_000
 #: Documents whose words are numbered together.
 BLOCK = 500
 #: Words that are folded once for the corpus; characters of the sample that they are taken from.
-COMMON = 400_000
-SAMPLE = 60_000_000
+COMMON = 50_000
+SAMPLE = 8_000_000
 #: The rank of a pair that makes no piece.
 NONE = np.iinfo(np.int32).max
 

@@ -50,7 +50,7 @@ DIM = 8192
 #: Slope of the logistic curve that maps a margin to a share of belief.
 SLOPE = 2.0
 #: Bytes of text that a worker takes apart at a time, or one longer text.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 17
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -165,6 +165,18 @@ class Model:
         return langs, scores
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(label, places of the counts that are not 0, these counts) of (label, text); one text's ``DIM`` counts are held."""
+    for b in batches:
+        at, n = [], []
+        for text in b.column(1).to_pylist():
+            found = features(text)
+            places = np.flatnonzero(found)
+            at.append(places.astype(np.uint16).tobytes())
+            n.append(found[places].astype(np.float32).tobytes())
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(at, pa.binary()), pa.array(n, pa.binary())], ["label", "at", "n"])
+
+
 def train(labelled: DataFrame, label_col: str = "lang", id_col: str = "doc_id", text_col: str = "text",
           families: dict[str, list[str]] = FAMILIES, max_rows: int = MAX_ROWS) -> Model:
     """A model of at most ``max_rows`` documents of each label of ``labelled``."""
@@ -182,16 +194,7 @@ def train(labelled: DataFrame, label_col: str = "lang", id_col: str = "doc_id",
     sample = (rows.withColumn("key", key).where(F.col("key") < F.element_at(share, F.col("label")))
               .withColumn("r", F.row_number().over(order)).where(F.col("r") <= max_rows).select("label", "text"))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [features(t) for t in b.column(1).to_pylist()]
-            at = [np.flatnonzero(f).astype(np.uint16) for f in found]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([a.tobytes() for a in at], pa.binary()),
-                 pa.array([f[a].astype(np.float32).tobytes() for f, a in zip(found, at)], pa.binary())],
-                ["label", "at", "n"])
-
-    got = in_arrow(sample, count, "label string, at binary, n binary").collect()
+    got = in_arrow(sample, _counted, "label string, at binary, n binary").collect()
     got = sorted((r for r in got if r["at"]), key=lambda r: (r["label"], bytes(r["at"]), bytes(r["n"])))
     x = np.zeros((len(got), DIM), np.float32)
     for row, r in zip(x, got):

@@ -4,8 +4,10 @@ import collections
 import hashlib
 import math
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from daybook.llm import (byte_bpe, chat_pairs, common, host_quality, language_id, license_scan, line_chunks, near_dup,
@@ -117,6 +119,22 @@ def test_language_id(spark, docs, empty):
     assert language_id.predict(empty, model).count() == 0
 
 
+def test_language_id_holds_few_counts():
+    """A batch of training texts is counted text by text, and one of a prediction in small steps."""
+    texts = [words(8, k) for k in range(2000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 2000), pa.array(texts)], ["label", "text"])
+    tracemalloc.start()
+    out = list(language_id._counted([batch]))[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20e6  # 2000 arrays of DIM counts are 131 MB
+    for k in (0, 1999):
+        want = language_id.features(texts[k])
+        at, n = (np.frombuffer(out.column(j)[k].as_py(), t) for j, t in ((1, np.uint16), (2, np.float32)))
+        assert at.tolist() == np.flatnonzero(want).tolist() and n.tolist() == want[at].tolist()
+    assert language_id.STEP_BYTES <= 1 << 17
+
+
 def test_sketch_diff(docs, empty):
     got = sketch_diff.compare_with_next(docs).collect()
     rows = sorted([(-1, "null id text")] + [(i, t or "") for i, t in [*enumerate(TEXTS), (6, LONG)]])
