@@ -16,7 +16,7 @@ from daybook.operators import facts as FA
 from daybook.operators import scd2 as S
 from daybook.operators import staging as ST
 from daybook.sources import contracts as K
-from daybook.session import checkpoint_dir, scratch_path
+from daybook.session import checkpoint_dir, scratch_path, small_tasks
 from daybook.sources import fixtures as FX
 
 # Processing date stamped by the review job in the catalog queries (the last
@@ -43,7 +43,8 @@ class Warehouse:
         if not (self.stored or always):
             return df
         path = scratch_path(self.spark, "stored")
-        df.write.mode("overwrite").parquet(path)
+        with small_tasks(self.spark):
+            df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def staged(self, df: DataFrame, always: bool = False) -> DataFrame:

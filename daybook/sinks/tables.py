@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from daybook.operators import merge as M
 from daybook.operators import reduce as R
 from daybook.operators.scd2 import AS_WRITTEN, Scd2Spec
+from daybook.session import small_tasks
 from daybook.sources.contracts import conform, empty
 
 
@@ -228,8 +229,9 @@ class Scd2Store:
         if self._committed(v):
             raise FileExistsError(f"{self._path(v)} is committed: another writer was faster")
         # Static overwrite: a retry clears everything a crashed attempt left.
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "static")
-            .partitionBy("state").parquet(self._path(v)))
+        with small_tasks(out.sparkSession):
+            (out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+                .partitionBy("state").parquet(self._path(v)))
         inserted = self.spark.read.schema(self._schema).parquet(self._path(v)).where(F.col("state") != M.CLOSING)
         newest = inserted.agg(F.max("effective_date").cast("string")).first()[0]
         fs, p = _fs(self.spark, f"{self._path(v)}/{self.MARKER}")

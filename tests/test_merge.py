@@ -6,8 +6,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from daybook import session as SE
 from daybook.operators import merge as M
 from daybook.operators import scd2 as S
+from daybook.plans.model import Warehouse
 from daybook.session import scratch_path
 from daybook.sinks.tables import Scd2Store
 from daybook.sources import contracts as K
@@ -91,3 +93,40 @@ def test_executed_plan_deals_once_and_reads_no_texts(spark, mode):
     for wide in ("comment_content", "sentiment", "comment_rating"):
         assert wide not in of_log[0].split("ReadSchema:")[1]
     assert "Join" not in final and "Subquery" not in final
+
+
+def test_tasks_of_a_merge_and_of_a_stored_table_stay_small(spark, monkeypatch):
+    least = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    stg = spark.range(4_000).selectExpr("md5(string(id)) k", "sha2(string(id), 256) a", "id b", "date'2024-01-01' load_date")
+
+    def files():
+        st = store(spark)
+        st.merge(stg)
+        kept = Warehouse(spark, "", stored=True).staged(stg.hint("rebalance", "k"))
+        assert st.read().count() == kept.count() == 4_000
+        return len(st.inserted().inputFiles()), len(kept.inputFiles())
+
+    assert files() == (1, 1)  # a task writes a file
+    before = {k: spark.conf.get(k) for k in SE.TASK_BYTES}
+    monkeypatch.setattr(SE, "TASK_BYTES", dict.fromkeys(before, 32 << 10))
+    now = spark.conf.get(least)
+    spark.conf.set(least, "1k")  # 1 MB, more than these rows
+    try:
+        assert min(files()) >= 3
+    finally:
+        spark.conf.set(least, now)
+    assert {k: spark.conf.get(k) for k in before} == before
+
+
+def test_small_tasks_keep_smaller_options_and_nest(spark):
+    scan, deal = SE.TASK_BYTES
+    before = {k: spark.conf.get(k) for k in SE.TASK_BYTES}
+    spark.conf.set(deal, "16k")
+    try:
+        with SE.small_tasks(spark):
+            with SE.small_tasks(spark):
+                pass
+            assert spark.conf.get(deal) == "16k" and spark.conf.get(scan) == str(SE.TASK_BYTES[scan])
+        assert spark.conf.get(scan) == before[scan] and spark.conf.get(deal) == "16k"
+    finally:
+        spark.conf.set(deal, before[deal])
