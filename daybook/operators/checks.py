@@ -56,6 +56,29 @@ def check_table(df: DataFrame, table: str, not_null: list[str] | None = None,
     return found.select(F.inline(report))
 
 
+def check_tables(tables: list[tuple[DataFrame, str, list[str], dict[str, F.Column]]]) -> DataFrame:
+    """``check_table`` of several tables, given as (table, name, columns that are not NULL, rules), in one
+    aggregate: each table is scanned once, and a task deals a row a table."""
+    tested = [[("not_null", c, F.col(c).isNull()) for c in not_null] + [("rule", n, p) for n, p in rules.items()]
+              for _, _, not_null, rules in tables]
+    flags = [f"_flag{i}" for i in range(max(map(len, tested)))]
+    frames = []
+    for i, ((df, *_), found) in enumerate(zip(tables, tested)):
+        preds = [F.coalesce(p, F.lit(False)).cast("int") for _, _, p in found]
+        preds += [F.lit(0)] * (len(flags) - len(preds))
+        frames.append(df.select(F.lit(i).alias("_table"), *(p.alias(f) for p, f in zip(preds, flags))))
+    # A row of zeros for each table, which may be empty.
+    none = tables[0][0].sparkSession.range(0, len(tables), 1, 1)
+    frames.append(none.select(F.col("id").cast("int").alias("_table"), *(F.lit(0).alias(f) for f in flags)))
+    sums = union_all(frames).groupBy("_table").agg(*(F.sum(f).cast("bigint").alias(f) for f in flags))
+    report = F.lit(None)
+    for i, ((_, table, *_), found) in enumerate(zip(tables, tested)):
+        rows = F.array(*(F.struct(F.lit(test).alias("test"), F.lit(table).alias("table_name"), F.lit(name).alias("column_name"),
+                                  F.col(f).alias("failures")) for f, (test, name, _) in zip(flags, found)))
+        report = F.when(F.col("_table") == i, rows).otherwise(report)
+    return sums.select(F.inline(report))
+
+
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """Child rows whose non-NULL key has no parent row."""
     p = parent.select(F.col(parent_key).alias(child_key)).distinct()
@@ -66,8 +89,9 @@ def check_relationship(child: DataFrame, parent: DataFrame, table: str, child_ke
                        parent_key: str) -> DataFrame:
     """The number of ``orphans``. The child's rows are counted by key first and only parents
     whose key a child may hold are dealt."""
-    held = child.where(F.col(child_key).isNotNull()).groupBy(child_key).agg(F.count(F.lit(1)).alias("_n"))
-    near = R.may_match(parent.select(F.col(parent_key).alias(child_key)), child_key, R.key_words(held, child_key))
+    keyed = child.where(F.col(child_key).isNotNull())
+    held = keyed.groupBy(child_key).agg(F.count(F.lit(1)).alias("_n"))
+    near = R.may_match(parent.select(F.col(parent_key).alias(child_key)), child_key, R.key_words(keyed, child_key))
     return orphans(held, near, child_key, child_key).agg(
         *_row("relationships", table, child_key, F.coalesce(F.sum("_n"), F.lit(0))))
 

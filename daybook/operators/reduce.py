@@ -16,7 +16,8 @@ _WORD, _HELD = "_word", "_held"
 
 
 def _slot(key: str) -> Column:
-    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(BITS)).cast("int")
+    # A mask is never NULL, pmod may be: Spark would hash each row again to test that.
+    return F.xxhash64(F.col(key).cast("string")).bitwiseAND(F.lit(BITS - 1)).cast("int")
 
 
 def key_words(rows: DataFrame, key: str) -> DataFrame:

@@ -17,10 +17,6 @@ def _day_filter(df: DataFrame, run_date: str | None) -> DataFrame:
     return df if run_date is None else df.where(F.col("date") == date_lit(run_date))
 
 
-def _load_date(run_date: str | None):
-    return (F.col("date") if run_date is None else date_lit(run_date)).alias("load_date")
-
-
 def stage_products(clean: DataFrame, run_date: str | None = None) -> DataFrame:
     return product_rows(clean, run_date).distinct()
 
@@ -43,7 +39,7 @@ def product_rows(clean: DataFrame, run_date: str | None = None) -> DataFrame:
         F.coalesce("inventory_status", F.lit("unknown")).alias("product_inventory_status"),
         F.coalesce("stock_item_qty", F.lit(0)).cast("bigint").alias("product_stock_item_qty"),
         F.coalesce("stock_item_max_sale_qty", F.lit(0)).cast("bigint").alias("product_stock_item_max_sale_qty"),
-        _load_date(run_date),
+        F.col("date").alias("load_date"),
     )
 
 
@@ -60,5 +56,5 @@ def comment_rows(clean: DataFrame, run_date: str | None = None) -> DataFrame:
         F.col("purchased_at"),
         F.col("days_to_review").cast("bigint").alias("days_to_review"),
         F.col("rating_valid"),
-        _load_date(run_date),
+        F.col("date").alias("load_date"),
     )

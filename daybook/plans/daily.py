@@ -21,18 +21,24 @@ Storage layout under ``root`` (a shared folder on a cluster):
 
 Each written table cuts the lineage for the next step, so a run's plans
 stay short however many runs came before.
+
+Runs of many days (``run_batches``) write each table in the order of the runs, and a run
+waits only for what it reads: its own rows, and the tables as the run before left them.
+So the rows of the next runs are cleaned and staged while one loads, and its tests go on
+beside the next loads, on the state that it left.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from collections import deque
+from collections.abc import Callable, Iterable
+from concurrent.futures import Future, ThreadPoolExecutor
+from contextlib import ExitStack
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from daybook.operators import checks as CH
 from daybook.operators import clean as C
@@ -51,6 +57,9 @@ from daybook.sources import readers as RD
 #: Name of the run that holds the documents without a valid day.
 UNDATED = "undated"
 
+#: Runs of ``run_batches`` that are under way at once.
+UNDER_WAY = 4
+
 
 @dataclass
 class Layout:
@@ -82,6 +91,27 @@ def _together(*steps: Callable):
         return [f.result() for f in [pool.submit(step) for step in steps]]
 
 
+@dataclass
+class Staged:
+    """A run whose rows are in raw and staging."""
+
+    run: str
+    products: DataFrame
+    comments: DataFrame
+    with_products: bool
+    with_comments: bool
+    metrics: list[dict]
+
+
+@dataclass
+class State:
+    """The tables as a run left them: later runs do not change what it reads."""
+
+    dim_products: int
+    dim_comments: int
+    fact_comments: DataFrame
+
+
 class DailyWarehouse:
     def __init__(self, spark: SparkSession, root: str, mode: str = S.AS_WRITTEN):
         self.spark, self.layout, self.mode = spark, Layout(root), mode
@@ -106,9 +136,8 @@ class DailyWarehouse:
         fs, p = SK._fs(self.spark, day)
         if not fs.globStatus(p):
             return K.empty(self.spark, contract)
-        part = StructType([f for f in contract.fields if f.name != "date"])
-        return K.conform(self.spark.read.schema(part).parquet(day)
-                         .withColumn("date", F.lit(run_date).cast("date")), contract)
+        # The day comes from the folder: as a literal it would be in the generated code, anew each day.
+        return K.conform(self.spark.read.option("basePath", path).schema(contract).parquet(day), contract)
 
     def _stored(self, df: DataFrame, path: str) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{self.layout.root}/{path}")
@@ -175,6 +204,78 @@ class DailyWarehouse:
         of the day) adds to them; the run date if None. A ``run_date`` of None is
         for documents without a day: they reach raw and the quality report, and
         no dimension or fact. Returns the run's data-test report, which is stored."""
+        staged = self._prepare(run_date, products, comments, run_ts)
+        self.metrics += staged.metrics
+        return self._load(staged.run, staged.products, staged.comments, staged.with_products, staged.with_comments,
+                          lambda: self._comment_facts(staged.comments))
+
+    def run_batches(self, batches: Iterable[Callable[[], tuple]]) -> None:
+        """``run_batch`` for each run in order; a batch gives its arguments when called, and
+        no two batches are of one day. ``UNDER_WAY`` runs overlap: each table is written in
+        order, review facts and tests read the versions that their own run left, and the
+        product dimension waits until the run before has its review facts, so that these can be made
+        again. After a failed step no later run writes that table, nor one that reads it."""
+        none = Future()
+        none.set_result(0)
+        dp = dc = fp = none
+        fc, under_way = Future(), deque()
+        fc.set_result(self.fact_comments())
+        with ExitStack() as pools:
+            rows, tests = (pools.enter_context(ThreadPoolExecutor(2)) for _ in range(2))
+            to_dp, to_dc, to_fp, to_fc = (pools.enter_context(ThreadPoolExecutor(1)) for _ in range(4))
+            try:
+                for batch in batches:
+                    if len(under_way) == UNDER_WAY:
+                        self.metrics += under_way.popleft()[-1].result()
+                    run = rows.submit(self._prepared, batch)
+                    dp = to_dp.submit(self._dim_step, run, self.dim_products, "products", dp, fc)
+                    dc = to_dc.submit(self._dim_step, run, self.dim_comments, "comments", dc)
+                    fp = to_fp.submit(self._product_facts_step, run, fp)
+                    fc = to_fc.submit(self._review_facts_step, run, dp, fc)
+                    under_way.append((run, dp, dc, fp, fc, tests.submit(self._tests_step, run, dp, dc, fp, fc)))
+                while under_way:
+                    self.metrics += under_way.popleft()[-1].result()
+            finally:
+                for step in (x for steps in under_way for x in steps):
+                    step.cancel()
+
+    def _prepared(self, batch: Callable[[], tuple]) -> Staged:
+        staged = self._prepare(*batch())
+        self._report(staged.run, staged.with_products, staged.with_comments)
+        return staged
+
+    def _dim_step(self, run: Future, dim: SK.Scd2Store, name: str, *before: Future) -> int:
+        """The dimension's version after a run."""
+        for step in before:
+            step.result()
+        staged = run.result()
+        rows, given = {"products": (staged.products, staged.with_products),
+                       "comments": (staged.comments, staged.with_comments)}[name]
+        return dim.merge(rows, self.mode) if given else dim.current_version() or 0
+
+    def _product_facts_step(self, run: Future, before: Future) -> None:
+        before.result()
+        staged = run.result()
+        if staged.with_products:
+            self._write_product_facts(staged.products)
+
+    def _review_facts_step(self, run: Future, dp: Future, before: Future) -> DataFrame:
+        """The review fact as a run leaves it: a frame of the files that it has then."""
+        kept, staged = before.result(), run.result()
+        if not staged.with_comments:
+            return kept
+        self._write_review_facts(self._comment_facts(staged.comments, dp.result()))
+        return self.fact_comments()
+
+    def _tests_step(self, run: Future, dp: Future, dc: Future, fp: Future, fc: Future) -> list[dict]:
+        staged = run.result()
+        fp.result()
+        self._tested(staged.run, staged.products, staged.comments, State(dp.result(), dc.result(), fc.result()))
+        return staged.metrics
+
+    def _prepare(self, run_date: str | None, products: DataFrame | None, comments: DataFrame | None,
+                 run_ts: str | None = None) -> Staged:
+        """Clean, append to raw and stage the documents of a run."""
         run, lay = run_ts or run_date or UNDATED, self.layout
 
         def raw(name: str, clean: DataFrame, path: str) -> Callable:
@@ -189,12 +290,22 @@ class DailyWarehouse:
             steps.append(raw("products", C.clean_products(products), lay.raw_products))
         if comments is not None:
             steps.append(raw("comments", C.clean_comments(comments, run_date), lay.raw_comments))
-        self.metrics += _together(*steps)
+        metrics = _together(*steps)
         stg_p, stg_c = self._stage(
             run, ST.stage_products(self._raw_day(lay.raw_products, run_date, K.CLEAN_PRODUCTS), run_date),
             ST.stage_comments(self._raw_day(lay.raw_comments, run_date, K.CLEAN_COMMENTS), run_date))
-        return self._load(run, stg_p, stg_c, products is not None, comments is not None,
-                          lambda: FA.fact_comments_delta(stg_c, self.dim_products.read_open(stg_c), self.fact_comments()))
+        return Staged(run, stg_p, stg_c, products is not None, comments is not None, metrics)
+
+    def _comment_facts(self, stg_c: DataFrame, version: int | None = None) -> DataFrame:
+        return FA.fact_comments_delta(stg_c, self.dim_products.active(stg_c, version), self.fact_comments())
+
+    def _write_review_facts(self, rows: DataFrame) -> None:
+        SK.write_clustered(rows, self.layout.fact_comments, "snapshot_date", "product_id", mode="overwrite",
+                           tiebreak=("comment_id",))
+
+    def _write_product_facts(self, stg_p: DataFrame) -> None:
+        SK.write_clustered(FA.fact_products_delta(stg_p, self.fact_products()), self.layout.fact_products,
+                           "snapshot_date", "product_id", mode="overwrite")
 
     def run_range(self, start: str | None, end: str | None, products: DataFrame | None,
                   comments: DataFrame | None, run_ts: str | None = None) -> DataFrame:
@@ -248,11 +359,8 @@ class DailyWarehouse:
     def _load(self, run: str, stg_p: DataFrame, stg_c: DataFrame, with_products: bool, with_comments: bool,
               comment_facts: Callable) -> DataFrame:
         """Dimensions, facts and reports from the staged rows of a run."""
-        lay = self.layout
-
         def review_facts() -> None:
-            SK.write_clustered(comment_facts(), lay.fact_comments, "snapshot_date", "product_id", mode="overwrite",
-                               tiebreak=("comment_id",))
+            self._write_review_facts(comment_facts())
 
         def products() -> None:
             self.dim_products.merge(stg_p, self.mode)
@@ -261,15 +369,19 @@ class DailyWarehouse:
 
         steps = [lambda: self._report(run, with_products, with_comments)]
         if with_products:
-            steps += [products,
-                      lambda: SK.write_clustered(FA.fact_products_delta(stg_p, self.fact_products()), lay.fact_products,
-                                                 "snapshot_date", "product_id", mode="overwrite")]
+            steps += [products, lambda: self._write_product_facts(stg_p)]
         if with_comments:
             steps.append(lambda: self.dim_comments.merge(stg_c, self.mode))
             if not with_products:
                 steps.append(review_facts)
         _together(*steps)
-        return self._stored(self.tests(stg_p, stg_c).coalesce(1), f"reports/tests/run_ts={run}")
+        return self._tested(run, stg_p, stg_c)
+
+    def _state(self) -> State:
+        return State(self.dim_products.current_version() or 0, self.dim_comments.current_version() or 0, self.fact_comments())
+
+    def _tested(self, run: str, stg_p: DataFrame, stg_c: DataFrame, state: State | None = None) -> DataFrame:
+        return self._stored(self.tests(stg_p, stg_c, state).coalesce(1), f"reports/tests/run_ts={run}")
 
     def _report(self, run: str, with_products: bool, with_comments: bool) -> None:
         """The whole quality report on the raw rows that this run wrote."""
@@ -291,20 +403,24 @@ class DailyWarehouse:
             self._stored(CH.union_all(parts).coalesce(1), f"reports/quality/run_ts={run}")
             self._stored(CH.union_all(states).coalesce(1), f"reports/states/run_ts={run}")
 
-    def tests(self, stg_p: DataFrame, stg_c: DataFrame) -> DataFrame:
-        """The warehouse's declared tests on the current state."""
+    def tests(self, stg_p: DataFrame, stg_c: DataFrame, state: State | None = None) -> DataFrame:
+        """The warehouse's declared tests on the given state, or the current one."""
+        state = state or self._state()
         # These tests ask for no end date, and a version is active or not but never NULL.
-        dp, dc, fc = self.dim_products.inserted(), self.dim_comments.inserted(), self.fact_comments()
+        dp, dc = self.dim_products.inserted(state.dim_products), self.dim_comments.inserted(state.dim_comments)
+        fc = state.fact_comments
         return CH.union_all([
             # The product job's business rules are counted, never enforced.
-            CH.check_table(stg_p, "stg_products", ["product_id", "product_name", "load_date"], {
-                "product_price": F.col("product_price") < 0,
-                "product_all_time_quantity_sold": F.col("product_all_time_quantity_sold") < 0,
-            }),
-            CH.check_table(stg_c, "stg_comments", ["comment_id", "product_id", "load_date"]),
-            CH.check_table(dp, "dim_products", ["product_id", "effective_date", "is_active", "product_name"]),
-            CH.check_table(dc, "dim_comments", ["comment_id", "product_id", "comment_content", "comment_rating"]),
-            CH.check_table(fc, "fact_comments", ["comment_id"]),
+            CH.check_tables([
+                (stg_p, "stg_products", ["product_id", "product_name", "load_date"], {
+                    "product_price": F.col("product_price") < 0,
+                    "product_all_time_quantity_sold": F.col("product_all_time_quantity_sold") < 0,
+                }),
+                (stg_c, "stg_comments", ["comment_id", "product_id", "load_date"], {}),
+                (dp, "dim_products", ["product_id", "effective_date", "is_active", "product_name"], {}),
+                (dc, "dim_comments", ["comment_id", "product_id", "comment_content", "comment_rating"], {}),
+                (fc, "fact_comments", ["comment_id"], {}),
+            ]),
             CH.check_relationship(stg_c, stg_p, "stg_comments", "product_id", "product_id"),
             CH.check_relationship(dc, dp, "dim_comments", "product_id", "product_id"),
         ])
@@ -367,17 +483,20 @@ def run_days(spark: SparkSession, root: str, raw_products: DataFrame, raw_commen
     all row work happens in Spark. Documents without a valid day follow in a
     run of their own."""
     pl = DailyWarehouse(spark, root, mode)
-    lp = land_by_day(raw_products, root, "products")
-    lc = land_by_day(raw_comments, root, "comments")
+    lp, lc = _together(lambda: land_by_day(raw_products, root, "products"),
+                       lambda: land_by_day(raw_comments, root, "comments"))
     p_days, c_days = (set(landed_days(spark, p)) for p in (lp, lc))
-    for day in sorted(p_days | c_days):
-        p = landed_day(spark, lp, day, K.RAW_PRODUCTS) if day in p_days else None
-        c = landed_day(spark, lc, day, K.RAW_COMMENTS) if day in c_days else None
-        pl.run_batch(day, p, c)
     p_rest, c_rest = (landed_undated(spark, p) for p in (lp, lc))
+
+    def batch(day: str) -> Callable[[], tuple]:
+        return lambda: (day, landed_day(spark, lp, day, K.RAW_PRODUCTS) if day in p_days else None,
+                        landed_day(spark, lc, day, K.RAW_COMMENTS) if day in c_days else None)
+
+    batches = [batch(day) for day in sorted(p_days | c_days)]
     if p_rest or c_rest:
-        pl.run_batch(None, RD.read_landed_days(spark, lp, p_rest, K.RAW_PRODUCTS) if p_rest else None,
-                     RD.read_landed_days(spark, lc, c_rest, K.RAW_COMMENTS) if c_rest else None)
+        batches.append(lambda: (None, RD.read_landed_days(spark, lp, p_rest, K.RAW_PRODUCTS) if p_rest else None,
+                                RD.read_landed_days(spark, lc, c_rest, K.RAW_COMMENTS) if c_rest else None))
+    pl.run_batches(batches)
     return pl
 
 
@@ -386,8 +505,8 @@ def backfill(spark: SparkSession, root: str, raw_products: DataFrame, raw_commen
     """Land both raw inputs, then catch up all their days in one run. Every
     landed folder is read: a date that is no day gives a NULL one in raw."""
     pl = DailyWarehouse(spark, root, mode)
-    lp = land_by_day(raw_products, root, "products")
-    lc = land_by_day(raw_comments, root, "comments")
+    lp, lc = _together(lambda: land_by_day(raw_products, root, "products"),
+                       lambda: land_by_day(raw_comments, root, "comments"))
     days = landed_days(spark, lp) + landed_days(spark, lc)
     p = RD.read_landed_days(spark, lp, _landed(spark, lp), K.RAW_PRODUCTS)
     c = RD.read_landed_days(spark, lc, _landed(spark, lc), K.RAW_COMMENTS)

@@ -173,9 +173,9 @@ class Scd2Store:
         finally:
             stream.close()
 
-    def _states(self, *states: str) -> DataFrame:
-        v = self.current_version()
-        if v is None:
+    def _states(self, *states: str, version: int | None = None) -> DataFrame:
+        v = self.current_version() if version is None else version
+        if not v:
             return empty(self.spark, self._schema)
         df = self.spark.read.schema(self._schema).parquet(self.root)
         return df.where((F.col("v") <= v) & F.col("state").isin(*states))
@@ -187,10 +187,10 @@ class Scd2Store:
     def _closings(self) -> DataFrame:
         return self._states(M.CLOSING).select(self.key, "effective_date", F.col("end_date").alias("closed_on"))
 
-    def inserted(self) -> DataFrame:
+    def inserted(self, version: int | None = None) -> DataFrame:
         """Every version as it was inserted, without the ends that came later: as many rows
-        as ``read``, and no join."""
-        return conform(self._states(M.OPEN, M.ENDED), self.contract)
+        as ``read``, and no join. ``version``: as of that run (0: before any), the newest if None."""
+        return conform(self._states(M.OPEN, M.ENDED, version=version), self.contract)
 
     def read_open(self, partners: DataFrame | None = None) -> DataFrame:
         """The active versions; with ``partners``, at least those whose key is in its column
@@ -201,6 +201,17 @@ class Scd2Store:
             opened, closings = R.may_match(opened, self.key, words), R.may_match(closings, self.key, words)
         return (opened.join(closings, [self.key, "effective_date"], "left_anti").select(*self.contract.fieldNames()))
 
+    def active(self, partners: DataFrame, version: int | None = None) -> DataFrame:
+        """Key, effective_date, end_date and is_active of the active versions (``version``: see
+        ``inserted``), at least of those whose key is in the column of the same name of
+        ``partners``: the log is read once and others are left out before it is dealt."""
+        log = self._states(M.OPEN, M.CLOSING, version=version).select(self.key, "effective_date", "state")
+        # An aggregate, not an anti join: Spark moves that below the bitmap, and the whole log would be dealt.
+        state = (R.may_match(log, self.key, R.key_words(partners, self.key)).groupBy(self.key, "effective_date")
+                 .agg(F.bool_or(F.col("state") == M.CLOSING).alias("_closed")))
+        return state.where(~F.col("_closed")).select(
+            self.key, "effective_date", F.lit(None).cast("date").alias("end_date"), F.lit(True).alias("is_active"))
+
     def read(self) -> DataFrame:
         once_open = conform(self._states(M.OPEN), self.contract).join(self._closings(), [self.key, "effective_date"], "left")
         end = F.coalesce("closed_on", "end_date")
