@@ -87,13 +87,27 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
 
 def check_relationship(child: DataFrame, parent: DataFrame, table: str, child_key: str,
                        parent_key: str) -> DataFrame:
-    """The number of ``orphans``. The child's rows are counted by key first and only parents
-    whose key a child may hold are dealt."""
-    keyed = child.where(F.col(child_key).isNotNull())
-    held = keyed.groupBy(child_key).agg(F.count(F.lit(1)).alias("_n"))
-    near = R.may_match(parent.select(F.col(parent_key).alias(child_key)), child_key, R.key_words(keyed, child_key))
-    return orphans(held, near, child_key, child_key).agg(
-        *_row("relationships", table, child_key, F.coalesce(F.sum("_n"), F.lit(0))))
+    """The number of ``orphans``, see ``check_relationships``."""
+    return check_relationships([(child, parent, table, child_key, parent_key)])
+
+
+def check_relationships(related: list[tuple[DataFrame, DataFrame, str, str, str]]) -> DataFrame:
+    """The number of ``orphans`` of each (child, parent, child's name, child key, parent key), all
+    in one aggregate: children and parents are counted by key, and only parents whose key a
+    child may hold are dealt."""
+    frames = []
+    for i, (child, parent, _, child_key, parent_key) in enumerate(related):
+        keyed = child.select(F.col(child_key).cast("string").alias("_key")).where(F.col("_key").isNotNull())
+        near = R.may_match(parent.select(F.col(parent_key).cast("string").alias("_key")), "_key", R.key_words(keyed, "_key"))
+        frames += [rows.select(F.lit(i).alias("_relation"), "_key", F.lit(n).alias("_child"), F.lit(1 - n).alias("_parent"))
+                   for rows, n in ((keyed, 1), (near, 0))]
+    by_key = (union_all(frames).groupBy("_relation", "_key")
+              .agg(F.sum("_child").alias("_n"), F.max("_parent").alias("_found")))
+    lost = [F.sum(F.when((F.col("_relation") == i) & (F.col("_found") == 0), F.col("_n"))) for i in range(len(related))]
+    counts = by_key.agg(*(F.coalesce(n, F.lit(0)).cast("bigint").alias(f"_lost{i}") for i, n in enumerate(lost)))
+    return counts.select(F.inline(F.array(*(
+        F.struct(*_row("relationships", table, child_key, F.col(f"_lost{i}")))
+        for i, (_, _, table, child_key, _) in enumerate(related)))))
 
 
 def check_unique(df: DataFrame, table: str, *key_sets: list[str]) -> DataFrame:

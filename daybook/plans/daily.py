@@ -58,7 +58,7 @@ from daybook.sources import readers as RD
 UNDATED = "undated"
 
 #: Runs of ``run_batches`` that are under way at once.
-UNDER_WAY = 4
+UNDER_WAY = 3
 
 
 @dataclass
@@ -221,8 +221,8 @@ class DailyWarehouse:
         fc, under_way = Future(), deque()
         fc.set_result(self.fact_comments())
         with ExitStack() as pools:
-            rows, tests = (pools.enter_context(ThreadPoolExecutor(2)) for _ in range(2))
-            to_dp, to_dc, to_fp, to_fc = (pools.enter_context(ThreadPoolExecutor(1)) for _ in range(4))
+            # A thread for each table: a run's step begins when that of the run before has ended.
+            rows, to_dp, to_dc, to_fp, to_fc, tests = (pools.enter_context(ThreadPoolExecutor(1)) for _ in range(6))
             try:
                 for batch in batches:
                     if len(under_way) == UNDER_WAY:
@@ -421,8 +421,8 @@ class DailyWarehouse:
                 (dc, "dim_comments", ["comment_id", "product_id", "comment_content", "comment_rating"], {}),
                 (fc, "fact_comments", ["comment_id"], {}),
             ]),
-            CH.check_relationship(stg_c, stg_p, "stg_comments", "product_id", "product_id"),
-            CH.check_relationship(dc, dp, "dim_comments", "product_id", "product_id"),
+            CH.check_relationships([(stg_c, stg_p, "stg_comments", "product_id", "product_id"),
+                                    (dc, dp, "dim_comments", "product_id", "product_id")]),
         ])
 
     def row_counts(self) -> DataFrame:

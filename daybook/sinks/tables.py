@@ -207,8 +207,9 @@ class Scd2Store:
         ``partners``: the log is read once and others are left out before it is dealt."""
         log = self._states(M.OPEN, M.CLOSING, version=version).select(self.key, "effective_date", "state")
         # An aggregate, not an anti join: Spark moves that below the bitmap, and the whole log would be dealt.
-        state = (R.may_match(log, self.key, R.key_words(partners, self.key)).groupBy(self.key, "effective_date")
-                 .agg(F.bool_or(F.col("state") == M.CLOSING).alias("_closed")))
+        # Dealt by key, as the semi join that follows needs it.
+        state = (R.may_match(log, self.key, R.key_words(partners, self.key)).repartition(self.key)
+                 .groupBy(self.key, "effective_date").agg(F.bool_or(F.col("state") == M.CLOSING).alias("_closed")))
         return state.where(~F.col("_closed")).select(
             self.key, "effective_date", F.lit(None).cast("date").alias("end_date"), F.lit(True).alias("is_active"))
 
